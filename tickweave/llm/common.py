@@ -101,6 +101,19 @@ def ranked(df: DataFrame, stratum: str, first: str, second: str, ties: list[str]
     )
 
 
+def join_hot(rows: DataFrame, dim: DataFrame, key: str, count: str, total: int) -> DataFrame:
+    """rows joined with dim on a key that every row finds once, however hot some keys are.
+
+    ``dim`` has for each key its number of rows; of ``total`` rows, at most
+    1024 keys can have more than a 1024th each.  Those are broadcast; the rest,
+    none of them hot, are shuffled.
+    """
+    hot = dim.where(F.col(count) * 1024 > total)
+    cold = dim.where(F.col(count) * 1024 <= total)
+    marks = F.broadcast(hot.select(key))
+    return rows.join(F.broadcast(hot), key).unionByName(rows.join(marks, key, "left_anti").join(cold, key))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (a, b) of longs: rows (node, root), root the smallest node.
 

@@ -5,22 +5,59 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickweave.llm import mixing, sharding
-from tickweave.llm.common import table
+from tickweave.llm import decontaminate, extract, fingerprints, mixing, neardup, quality, sharding, warc
+from tickweave.llm.common import held_out, table
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = quality.score(docs, quality.learn(docs, labels))
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score",
+        (F.col("score") >= quality.KEEP).cast("int").alias("predicted"),
+    )
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", neardup.hex_of(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("row")
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint(table(spark, sf_dir, "documents"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("html")
+
+
+def op9_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality": op1_quality,
+        "op2_simhash": op2_simhash,
         "op3_mixing": op3_mixing,
+        "op5_decontaminate": op5_decontaminate,
+        "op6_fingerprint": op6_fingerprint,
+        "op8_warc": op8_warc,
+        "op9_extract": op9_extract,
         "op10_sharding": op10_sharding,
     }
 
