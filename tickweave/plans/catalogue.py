@@ -4,12 +4,539 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from tickweave.functions import decimals, ids
+from tickweave.operators import book, funding, registry, replay, sampler, validate, versions, yields
+from tickweave.plans import projection as p
+from tickweave.plans.projection import BOOK_DEPTH, table
+from tickweave.sources.binance import field, whole
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+# Shared parts of the SQL; the Spark side doesn't use them.
+_EV = (
+    "ev AS (SELECT e.*, t.instrument_id FROM events e JOIN (SELECT event_type, CAST(row_number() OVER (ORDER BY event_type) AS BIGINT) AS instrument_id "
+    "FROM (SELECT DISTINCT event_type FROM events)) t USING (event_type))"
+)
+_WR = _EV + (
+    ", wr AS (SELECT instrument_id, sec, sec // 60 AS minute, sec % 60 AS second, CASE WHEN event_id % 2 = 0 THEN 'bid' ELSE 'ask' END AS side, "
+    "CAST(CASE WHEN event_id % 2 = 0 THEN 40 - user_id % 40 ELSE 41 + user_id % 40 END AS BIGINT) AS price, CAST(event_id % 4 AS BIGINT) AS qty, event_id "
+    "FROM (SELECT *, CAST((day(ts) - 1) * 24 + hour(ts) AS BIGINT) AS sec FROM ev))"
+)
+_SAMPLES = _WR + (
+    ", lastw AS (SELECT instrument_id, side, price, sec, arg_max(qty, event_id) AS qty FROM wr GROUP BY ALL), "
+    "secs AS (SELECT CAST(unnest(range(0, (SELECT max(sec) + 1 FROM wr))) AS BIGINT) AS sec), "
+    "grid AS (SELECT instrument_id, side, price, sec FROM (SELECT DISTINCT instrument_id, side, price FROM wr), secs), "
+    "state AS (SELECT instrument_id, side, price, sec, last_value(qty IGNORE NULLS) OVER (PARTITION BY instrument_id, side, price ORDER BY sec) AS qty "
+    "FROM grid LEFT JOIN lastw USING (instrument_id, side, price, sec)), "
+    "valid AS (SELECT instrument_id, sec, sec // 60 AS minute, sec % 60 AS second FROM (SELECT DISTINCT instrument_id FROM wr), secs WHERE (instrument_id + sec) % 7 <> 3), "
+    "anch AS (SELECT instrument_id, minute, CAST(sum(CAST(1 AS BIGINT) << second) AS BIGINT) AS valid_bitmap FROM valid GROUP BY 1, 2 HAVING min(second) = 0), "
+    "top AS (SELECT * FROM (SELECT s.instrument_id, v.minute, v.second, s.side, s.price, s.qty, row_number() OVER (PARTITION BY s.instrument_id, s.sec, s.side "
+    "ORDER BY CASE WHEN s.side = 'bid' THEN -s.price ELSE s.price END) AS level FROM state s JOIN valid v USING (instrument_id, sec) WHERE s.qty > 0) "
+    f"WHERE level <= {BOOK_DEPTH})"
+)
+
+
+def _query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        _QUERIES[name] = f
+        if sql is not None:
+            _SQL[name] = sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+def _us(c: str) -> Column:
+    return F.unix_micros(c)
+
+
+@_query(
+    "minute_bitmap",
+    f"WITH {_WR} SELECT instrument_id, minute, CAST(sum(CAST(1 AS BIGINT) << second) AS BIGINT) AS valid_bitmap "
+    "FROM (SELECT DISTINCT instrument_id, minute, second FROM wr) GROUP BY 1, 2 HAVING min(second) = 0",
+)
+def minute_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampler.anchored(p.writes(spark, sf_dir).select("instrument_id", "minute", "second").distinct())
+
+
+@_query(
+    "replay_second_31",
+    f"WITH {_WR}, l AS (SELECT instrument_id, minute, side, price, arg_max(qty, event_id) AS qty FROM wr WHERE second <= 31 GROUP BY ALL) "
+    "SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY instrument_id, minute, side ORDER BY CASE WHEN side = 'bid' THEN -price ELSE price END) AS INT) AS level "
+    "FROM l WHERE qty > 0) WHERE level <= 50",
+)
+def replay_second_31(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replay.last_writes(p.writes(spark, sf_dir).where("second <= 31"), ["instrument_id", "minute"], "event_id")
+
+
+@_query(
+    "tick_conversion",
+    "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(cents AS BIGINT) AS tick, CAST(CASE WHEN cents % 5 = 0 THEN cents // 5 END AS BIGINT) AS coarse_tick, "
+    "CAST(l_quantity AS BIGINT) * 4 AS lot FROM (SELECT *, CAST(CAST(l_extendedprice AS DECIMAL(18, 2)) * 100 AS BIGINT) AS cents FROM lineitem)",
+)
+def tick_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    price, lot = F.col("l_extendedprice").cast("decimal(18,2)"), F.col("l_quantity").cast("decimal(18,2)")
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", decimals.price_tick(price, F.lit("0.01")).alias("tick"),
+        decimals.price_tick(price, F.lit("0.05")).alias("coarse_tick"), decimals.quantity_lot(lot, F.lit("0.25")).cast("long").alias("lot"),
+    )
+
+
+def _hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = p.events(spark, sf_dir)
+    span = rows.agg(F.date_trunc("hour", F.min("ts")).alias("a"), F.date_trunc("hour", F.max("ts")).alias("b"))
+    each = rows.select("instrument_id").distinct().join(F.broadcast(span))
+    return each.select("instrument_id", F.explode(F.sequence("a", "b", F.expr("interval 1 hour"))).alias("hour"))
+
+
+_HOURS = (
+    "hrs AS (SELECT instrument_id, unnest(generate_series((SELECT date_trunc('hour', min(ts)) FROM ev), (SELECT date_trunc('hour', max(ts)) FROM ev), INTERVAL 1 HOUR)) AS hour "
+    "FROM (SELECT DISTINCT instrument_id FROM ev))"
+)
+
+
+@_query(
+    "hourly_asof",
+    f"WITH {_EV}, {_HOURS} SELECT h.instrument_id, epoch_us(h.hour) AS hour_us, arg_max(e.event_id, e.event_id) AS event_id, epoch_us(max(e.ts)) AS source_us "
+    "FROM hrs h JOIN ev e ON e.instrument_id = h.instrument_id AND e.ts <= h.hour AND e.ts >= h.hour - INTERVAL 10 MINUTE GROUP BY 1, 2",
+)
+def hourly_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = p.events(spark, sf_dir).select(
+        "instrument_id", F.timestamp_seconds(F.lit(4102444800)).alias("funding_time"), F.col("event_id").alias("rate"),
+        F.col("ts").alias("source_time"), F.col("event_id").alias("arrival"),
+    )
+    found = funding.at_hours(rows, _hours(spark, sf_dir), max_age="10 minutes")
+    return found.select("instrument_id", _us("hour").alias("hour_us"), F.col("rate").alias("event_id"), _us("source_time").alias("source_us"))
+
+
+@_query(
+    "settlement_asof",
+    f"WITH {_EV}, {_HOURS}, est AS (SELECT *, (epoch_us(ts) // 28800000000) * 28800000000 + 28800000000 + CASE WHEN event_id % 2 = 1 THEN 28800000000 ELSE 0 END AS target FROM ev), "
+    "known AS (SELECT h.instrument_id, epoch_us(h.hour) AS hour_us, e.target, max(e.event_id) AS event_id, epoch_us(max(e.ts)) AS source_us FROM hrs h JOIN est e "
+    "ON e.instrument_id = h.instrument_id AND e.ts <= h.hour AND e.ts >= h.hour - INTERVAL 48 HOUR GROUP BY 1, 2, 3), "
+    "flag AS (SELECT *, bool_or(target = hour_us) OVER (PARTITION BY instrument_id, hour_us) AS settlement, source_us >= hour_us - 1800000000 AS fresh FROM known) "
+    "SELECT instrument_id, hour_us, settlement, arg_max(event_id, event_id) AS event_id, arg_max(source_us, event_id) AS source_us, arg_max(target, event_id) AS funding_us "
+    "FROM flag WHERE fresh AND (NOT settlement OR target = hour_us) GROUP BY 1, 2, 3",
+)
+def settlement_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = F.timestamp_seconds(p.settlement() + F.when(F.col("event_id") % 2 == 1, 28800).otherwise(0))
+    rows = p.events(spark, sf_dir).select(
+        "instrument_id", target.alias("funding_time"), F.col("event_id").alias("rate"), F.col("ts").alias("source_time"), F.col("event_id").alias("arrival")
+    )
+    found = funding.at_hours(rows, _hours(spark, sf_dir), max_age="30 minutes")
+    return found.select(
+        "instrument_id", _us("hour").alias("hour_us"), "settlement", F.col("rate").alias("event_id"), _us("source_time").alias("source_us"), _us("funding_time").alias("funding_us")
+    )
+
+
+@_query(
+    "delta_encoding",
+    f"WITH {_SAMPLES}, vs AS (SELECT v.*, lag(second) OVER (PARTITION BY v.instrument_id, v.minute ORDER BY second) AS before FROM valid v JOIN anch USING (instrument_id, minute)), "
+    "cur AS (SELECT v.instrument_id, v.minute, v.second, t.side, t.price, t.qty FROM vs v JOIN top t USING (instrument_id, minute, second) WHERE v.second > 0), "
+    "prv AS (SELECT v.instrument_id, v.minute, v.second, t.side, t.price, t.qty FROM vs v JOIN top t ON t.instrument_id = v.instrument_id AND t.minute = v.minute AND t.second = v.before) "
+    "SELECT coalesce(c.instrument_id, q.instrument_id) AS instrument_id, coalesce(c.minute, q.minute) AS minute, CAST(coalesce(c.second, q.second) AS INT) AS second, "
+    "coalesce(c.side, q.side) AS side, coalesce(c.price, q.price) AS price, coalesce(c.qty, 0) AS qty FROM cur c FULL JOIN prv q ON c.instrument_id = q.instrument_id "
+    "AND c.minute = q.minute AND c.second = q.second AND c.side = q.side AND c.price = q.price WHERE c.qty IS DISTINCT FROM q.qty",
+)
+def delta_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    top = sampler.rank_levels(p.samples(spark, sf_dir), BOOK_DEPTH)
+    return sampler.changes(top, p.held_seconds(spark, sf_dir)).withColumn("second", F.col("second").cast("int"))
+
+
+def _stored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return sampler.encode(p.samples(spark, sf_dir), p.held_seconds(spark, sf_dir), BOOK_DEPTH)
+
+
+@_query(
+    "encode_replay_roundtrip",
+    f"WITH {_SAMPLES} SELECT (t.minute << 32) | t.instrument_id AS minute_id, CAST(t.second AS INT) AS second, t.side, t.price, t.qty, CAST(t.level AS INT) AS level "
+    "FROM top t JOIN anch USING (instrument_id, minute)",
+)
+def encode_replay_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    levels = replay.every_second(*_stored(spark, sf_dir), BOOK_DEPTH)
+    return levels.select("minute_id", "second", "side", "price", F.col("qty").cast("long").alias("qty"), "level")
+
+
+@_query(
+    "stored_at_second_59",
+    f"WITH {_SAMPLES} SELECT (t.minute << 32) | t.instrument_id AS minute_id, t.side, t.price, t.qty, CAST(t.level AS INT) AS level "
+    "FROM top t JOIN anch USING (instrument_id, minute) WHERE t.second = 59",
+)
+def stored_at_second_59(spark: SparkSession, sf_dir: str) -> DataFrame:
+    levels = replay.at_second(*_stored(spark, sf_dir), 59, BOOK_DEPTH)
+    return levels.select("minute_id", "side", "price", F.col("qty").cast("long").alias("qty"), "level")
+
+
+@_query(
+    "replay_requests",
+    f"WITH {_SAMPLES}, req AS (SELECT DISTINCT instrument_id + (CASE WHEN event_id % 13 = 0 THEN 1000 ELSE 0 END) AS instrument_id, sec FROM (SELECT instrument_id, event_id, "
+    "CAST((day(ts) - 1) * 24 + hour(ts) AS BIGINT) AS sec FROM ev)), best AS (SELECT instrument_id, minute, second, max(CASE WHEN side = 'bid' AND level = 1 THEN price END) AS bid, "
+    "max(CASE WHEN side = 'bid' AND level = 1 THEN qty END) AS bid_qty, max(CASE WHEN side = 'ask' AND level = 1 THEN price END) AS ask, CAST(sum(qty) AS BIGINT) AS total FROM top GROUP BY 1, 2, 3) "
+    "SELECT r.instrument_id, r.sec AS time_s, CASE WHEN a.valid_bitmap IS NULL THEN 'not_found' WHEN v.sec IS NULL THEN 'invalid' ELSE 'valid' END AS status, b.bid, b.bid_qty, b.ask, b.total "
+    "FROM req r LEFT JOIN anch a ON a.instrument_id = r.instrument_id AND a.minute = r.sec // 60 LEFT JOIN valid v ON v.instrument_id = r.instrument_id AND v.sec = r.sec "
+    "LEFT JOIN best b ON a.valid_bitmap IS NOT NULL AND b.instrument_id = r.instrument_id AND b.minute = r.sec // 60 AND b.second = r.sec % 60",
+)
+def replay_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shift = F.when(F.col("event_id") % 13 == 0, 1000).otherwise(0)
+    asked = p.writes(spark, sf_dir).select((F.col("instrument_id") + shift).alias("instrument_id"), F.timestamp_seconds("sec").alias("time")).distinct()
+    found = replay.books(asked, *_stored(spark, sf_dir), BOOK_DEPTH)
+    sums = lambda c: F.aggregate(c, F.lit(0).cast("decimal(30,0)"), lambda a, x: (a + x).cast("decimal(30,0)"))
+    return found.select(
+        "instrument_id", F.unix_seconds("time").alias("time_s"), "status", F.get("bid_prices", F.lit(0)).alias("bid"),
+        F.get("bid_qtys", F.lit(0)).cast("long").alias("bid_qty"), F.get("ask_prices", F.lit(0)).alias("ask"),
+        (sums("bid_qtys") + sums("ask_qtys")).cast("long").alias("total"),
+    )
+
+
+_WIDE = ", ".join(
+    f"coalesce(max(CASE WHEN t.side = '{s}' AND t.level = {n} THEN t.{c} END), 0) AS {s}_{k}_{n:02d}"
+    for s in ("bid", "ask")
+    for n in range(1, BOOK_DEPTH + 1)
+    for k, c in (("price", "price"), ("qty", "qty"))
+)
+
+
+@_query(
+    "wide_minutes",
+    f"WITH {_SAMPLES} SELECT (a.minute << 32) | a.instrument_id AS id, a.instrument_id, a.minute * 60 AS minute_s, a.valid_bitmap, {_WIDE} FROM anch a "
+    "LEFT JOIN top t ON t.instrument_id = a.instrument_id AND t.minute = a.minute AND t.second = 0 GROUP BY a.minute, a.instrument_id, a.valid_bitmap",
+)
+def wide_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wide = sampler.widen(_stored(spark, sf_dir)[0], BOOK_DEPTH)
+    levels = [F.col(c).cast("long").alias(c) for c in wide.columns[4:]]
+    return wide.select("id", "instrument_id", F.unix_seconds("minute_time").alias("minute_s"), "valid_bitmap", *levels)
+
+
+@_query(
+    "final_by_insertion",
+    "SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value FROM events GROUP BY user_id",
+)
+def final_by_insertion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
+    return versions.current(rows, ["user_id"], seq="event_id")
+
+
+@_query(
+    "final_by_version",
+    "SELECT user_id, event_type, event_id, is_actual FROM (SELECT user_id, event_type, event_id, value > 50 AS is_actual, row_number() OVER (PARTITION BY user_id, event_type "
+    "ORDER BY value > 50 DESC, event_id DESC) AS rn FROM events) WHERE rn = 1",
+)
+def final_by_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", (F.col("value") > 50).alias("is_actual"))
+    return versions.current(rows, ["user_id", "event_type"], seq="event_id", version="is_actual")
+
+
+def _rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p.events(spark, sf_dir).select(
+        "instrument_id", F.date_trunc("hour", "ts").alias("hour_time"), F.timestamp_seconds(p.settlement()).alias("funding_time"),
+        F.col("value").cast("decimal(18,2)").cast(decimals.WIDE).alias("rate"), (F.col("event_id") % 37 == 0).alias("is_actual"), F.col("event_id").alias("_ingest_seq"),
+    )
+
+
+_RATES = _EV + (
+    ", rates AS (SELECT instrument_id, epoch_us(date_trunc('hour', ts)) AS hour_us, (epoch_us(ts) // 28800000000) * 28800000000 + 28800000000 AS funding_us, "
+    "CAST(CAST(value AS DECIMAL(18, 2)) * 100 AS BIGINT) AS cents, event_id % 37 = 0 AS is_actual, event_id FROM ev)"
+)
+
+
+@_query(
+    "pending_confirmations",
+    f"WITH {_RATES}, fin AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY instrument_id, hour_us ORDER BY is_actual DESC, event_id DESC) AS rn FROM rates) WHERE rn = 1) "
+    "SELECT instrument_id, funding_us FROM fin WHERE funding_us BETWEEN epoch_us(TIMESTAMP '2024-01-05') AND epoch_us(TIMESTAMP '2024-01-20') "
+    "GROUP BY 1, 2 HAVING max(CAST(is_actual AS INT)) = 0",
+)
+def pending_confirmations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    since, through = (F.timestamp_seconds(F.lit(s)) for s in (1704412800, 1705708800))
+    return funding.pending(_rates(spark, sf_dir), since, through).select("instrument_id", _us("funding_time").alias("funding_us"))
+
+
+@_query(
+    "upsert_rates",
+    f"WITH {_RATES}, st AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY instrument_id, hour_us ORDER BY is_actual DESC, event_id DESC) AS rn FROM rates WHERE event_id % 3 > 0) WHERE rn = 1), "
+    "inc AS (SELECT instrument_id, hour_us, arg_max(funding_us, event_id) AS funding_us, arg_max(cents, event_id) AS cents, arg_max(is_actual, event_id) AS is_actual FROM rates WHERE event_id % 3 = 0 GROUP BY 1, 2) "
+    "SELECT i.instrument_id, i.hour_us, i.funding_us, i.cents, i.is_actual FROM inc i LEFT JOIN st s ON s.instrument_id = i.instrument_id AND s.hour_us = i.hour_us "
+    "WHERE s.rn IS NULL OR NOT ((s.is_actual AND NOT i.is_actual) OR (s.is_actual = i.is_actual AND s.cents = i.cents AND s.funding_us = i.funding_us))",
+)
+def upsert_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _rates(spark, sf_dir)
+    incoming = versions.current(rows.where("_ingest_seq % 3 = 0"), ["instrument_id", "hour_time"]).drop("_ingest_seq")
+    kept = funding.upsert(rows.where("_ingest_seq % 3 > 0"), incoming)
+    return kept.select("instrument_id", _us("hour_time").alias("hour_us"), _us("funding_time").alias("funding_us"), (F.col("rate") * 100).cast("long").alias("cents"), "is_actual")
+
+
+@_query("confirmation_tasks", f"WITH {_RATES} SELECT DISTINCT instrument_id, funding_us FROM rates")
+def confirmation_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return funding.tasks(_rates(spark, sf_dir)).select("instrument_id", _us("funding_time").alias("funding_us"))
+
+
+@_query(
+    "first_attempts",
+    "SELECT event_id, CAST(CASE WHEN late >= 3600000000 THEN 3 WHEN late >= 900000000 THEN 2 WHEN late >= 300000000 THEN 1 ELSE 0 END AS INT) AS attempt, "
+    "CASE WHEN late >= 120000000 THEN now_us ELSE target + 120000000 END AS due_us FROM (SELECT event_id, epoch_us(ts) AS now_us, (epoch_us(ts) // 7200000000) * 7200000000 AS target, "
+    "epoch_us(ts) % 7200000000 AS late FROM events)",
+)
+def first_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    now = F.col("ts").cast("timestamp")
+    rows = table(spark, sf_dir, "events").select("event_id", now.alias("now"), F.timestamp_seconds(F.floor(F.unix_seconds(now) / 7200) * 7200).alias("target"))
+    attempt, due = funding.first_attempt(F.col("target"), F.col("now"))
+    return rows.select("event_id", attempt.alias("attempt"), F.unix_micros(due).alias("due_us"))
+
+
+@_query(
+    "request_slots",
+    f"WITH {_RATES}, due AS (SELECT DISTINCT instrument_id, funding_us, CASE WHEN instrument_id % 2 = 0 THEN 'OKX' ELSE 'Binance' END AS exchange, funding_us + 120000000 AS due_us FROM rates), "
+    "k AS (SELECT *, row_number() OVER (PARTITION BY exchange ORDER BY due_us, instrument_id, funding_us) - 1 AS k FROM due) "
+    "SELECT exchange, instrument_id, funding_us, CAST(max(due_us - k * 1000000) OVER (PARTITION BY exchange ORDER BY k) + k * 1000000 AS BIGINT) AS start_us FROM k",
+)
+def request_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    due = funding.tasks(_rates(spark, sf_dir)).withColumn("exchange", F.when(F.col("instrument_id") % 2 == 0, "OKX").otherwise("Binance"))
+    due = due.withColumn("due", F.col("funding_time") + F.expr("interval 2 minutes"))
+    return funding.request_slots(due).select("exchange", "instrument_id", _us("funding_time").alias("funding_us"), _us("start").alias("start_us"))
+
+
+def _instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = p.events(spark, sf_dir).select("instrument_id", "event_type").distinct()
+    kind = F.when(F.col("instrument_id") == 5, "spot").otherwise("perpetual")
+    return rows.select(
+        "instrument_id", F.when(F.col("instrument_id") % 2 == 0, "OKX").otherwise("Binance").alias("exchange"), kind.alias("market_type"), F.col("event_type").alias("exchange_symbol")
+    )
+
+
+@_query(
+    "backfill_routing",
+    f"WITH {_RATES}, fin AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY instrument_id, hour_us ORDER BY is_actual DESC, event_id DESC) AS rn FROM rates) WHERE rn = 1), "
+    "pend AS (SELECT instrument_id, funding_us FROM fin WHERE funding_us BETWEEN epoch_us(TIMESTAMP '2024-01-05') AND epoch_us(TIMESTAMP '2024-01-20') GROUP BY 1, 2 HAVING max(CAST(is_actual AS INT)) = 0) "
+    "SELECT p.instrument_id, p.funding_us, CASE WHEN p.instrument_id % 2 = 0 THEN 'OKX' ELSE 'Binance' END AS exchange, t.event_type AS exchange_symbol FROM pend p "
+    "JOIN (SELECT DISTINCT instrument_id, event_type FROM ev) t USING (instrument_id) WHERE p.instrument_id <> 5",
+)
+def backfill_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    since, through = (F.timestamp_seconds(F.lit(s)) for s in (1704412800, 1705708800))
+    open_ = funding.pending(_rates(spark, sf_dir), since, through)
+    routed = registry.route_backfill(open_, _instruments(spark, sf_dir), ["Binance", "OKX"])
+    return routed.select("instrument_id", _us("funding_time").alias("funding_us"), "exchange", "exchange_symbol")
+
+
+@_query(
+    "confirm_rates",
+    f"WITH {_RATES} SELECT t.instrument_id, (t.funding_us // 3600000000) * 3600000000 AS hour_us, t.funding_us, a.cents FROM (SELECT DISTINCT instrument_id, funding_us FROM rates) t "
+    "JOIN (SELECT instrument_id, funding_us, arg_max(cents, event_id) AS cents, arg_max(event_id, event_id) AS event_id FROM rates GROUP BY 1, 2) a USING (instrument_id, funding_us) WHERE a.event_id % 4 > 0",
+)
+def confirm_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _rates(spark, sf_dir)
+    last = rows.groupBy("instrument_id", "funding_time").agg(F.max_by("rate", "_ingest_seq").alias("rate"), F.max("_ingest_seq").alias("e"))
+    answers = last.withColumn("rate", F.when(F.col("e") % 4 > 0, F.col("rate")))
+    found = funding.confirm(funding.tasks(rows), answers)
+    return found.select("instrument_id", _us("hour_time").alias("hour_us"), _us("funding_time").alias("funding_us"), (F.col("rate") * 100).cast("long").alias("cents"))
+
+
+def _updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = F.floor(F.col("value") * 10).cast("long")
+    return table(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("arrival_seq"), (whole - F.col("event_id") % 3 - 1).alias("prev_id"), (whole - F.col("event_id") % 5).alias("first_id"), whole.alias("final_id"))
+
+
+_UPDATES = (
+    "up AS (SELECT user_id, event_id AS arrival_seq, w - event_id % 3 - 1 AS prev_id, w - event_id % 5 AS first_id, w AS final_id FROM (SELECT *, CAST(floor(value * 10) AS BIGINT) AS w FROM events)), "
+    "seen AS (SELECT *, max(final_id) OVER (PARTITION BY user_id ORDER BY arrival_seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM up)"
+)
+
+
+@_query(
+    "sequence_chain",
+    f"WITH {_UPDATES}, fresh AS (SELECT * FROM seen WHERE before IS NULL OR final_id > before) SELECT user_id, arrival_seq, prev_id, first_id, final_id, "
+    "coalesce(prev_id <> lag(final_id) OVER (PARTITION BY user_id ORDER BY arrival_seq), FALSE) AS gap FROM fresh",
+)
+def sequence_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return book.chain_breaks(_updates(spark, sf_dir), ["user_id"])
+
+
+@_query(
+    "sequence_ranges",
+    f"WITH {_UPDATES} SELECT user_id, arrival_seq, prev_id, first_id, final_id, coalesce(first_id > before + 1, FALSE) AS gap FROM seen WHERE before IS NULL OR final_id > before",
+)
+def sequence_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return book.range_breaks(_updates(spark, sf_dir), ["user_id"])
+
+
+@_query(
+    "id_allocation",
+    "WITH inc AS (SELECT s_suppkey AS pos, CAST((s_nationkey + 10) % 5 AS INT) AS region, 'NATION_' || (s_nationkey + 10) AS name FROM supplier), "
+    "first AS (SELECT region, name, min(pos) AS f FROM inc GROUP BY 1, 2), known AS (SELECT f.*, n.id FROM first f LEFT JOIN (SELECT n_regionkey AS region, n_name AS name, CAST(min(n_nationkey) + 1 AS BIGINT) AS id "
+    "FROM nation GROUP BY 1, 2) n USING (region, name)), fresh AS (SELECT region, name, (SELECT max(n_nationkey) + 1 FROM nation) + row_number() OVER (ORDER BY f) AS id FROM known WHERE id IS NULL) "
+    "SELECT i.pos, CAST(coalesce(k.id, fresh.id) AS BIGINT) AS instrument_id, k.id IS NULL AS is_new, i.region, i.name FROM inc i JOIN known k USING (region, name) LEFT JOIN fresh USING (region, name)",
+)
+def id_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nations = table(spark, sf_dir, "nation").select((F.col("n_nationkey") + 1).cast("long").alias("instrument_id"), F.col("n_regionkey").alias("region"), F.col("n_name").alias("name"))
+    key = F.col("s_nationkey") + 10
+    incoming = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("pos"), (key % 5).cast("int").alias("region"), F.concat(F.lit("NATION_"), key.cast("string")).alias("name"))
+    return registry.register(nations, incoming, fields=["region", "name"])
+
+
+@_query(
+    "ordered_selection",
+    "SELECT CAST(v.pos AS INT) AS pos, n.n_name, n.n_nationkey, n.n_regionkey FROM (VALUES (0, 'NATION_7'), (1, 'NATION_3'), (2, 'NATION_21'), (3, 'NATION_0')) v(pos, name) JOIN nation n ON n.n_name = v.name",
+)
+def ordered_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nations = table(spark, sf_dir, "nation").select("n_name", "n_nationkey", "n_regionkey")
+    return registry.select_in_order(nations, ["NATION_7", "NATION_3", "NATION_21", "NATION_0"], "n_name")
+
+
+@_query(
+    "feed_lookup",
+    "SELECT e.event_id, n.n_nationkey FROM events e LEFT JOIN nation n ON n.n_name = 'NATION_' || (e.user_id % 40)",
+)
+def feed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("NATION_"), (F.col("user_id") % 40).cast("string")).alias("symbol"))
+    dim = table(spark, sf_dir, "nation").select(F.col("n_name").alias("exchange_symbol"), F.col("n_nationkey").alias("instrument_id"))
+    known, unknown = registry.lookup(feed, dim, "symbol")
+    both = known.select("event_id", "instrument_id").unionByName(unknown.select("event_id", F.lit(None).cast("int").alias("instrument_id")))
+    return both.withColumnRenamed("instrument_id", "n_nationkey")
+
+
+@_query(
+    "snapshot_rules",
+    "WITH b AS (SELECT l_orderkey, coalesce(list(l_partkey % 15 + 1 ORDER BY l_partkey % 15 DESC) FILTER (l_linenumber % 2 = 1), []) AS bp, "
+    "coalesce(list(l_suppkey % 20 + 12 ORDER BY l_suppkey % 20) FILTER (l_linenumber % 2 = 0), []) AS ap FROM lineitem GROUP BY 1) "
+    "SELECT l_orderkey, concat_ws(',', CASE WHEN len(bp) NOT BETWEEN 1 AND 3 THEN 'bid_depth' END, CASE WHEN len(list_distinct(bp)) < len(bp) THEN 'bid_order' END, "
+    "CASE WHEN len(ap) NOT BETWEEN 1 AND 3 THEN 'ask_depth' END, CASE WHEN len(list_distinct(ap)) < len(ap) THEN 'ask_order' END, "
+    "CASE WHEN len(bp) > 0 AND len(ap) > 0 AND bp[1] >= ap[1] THEN 'crossed' END) AS broken FROM b",
+)
+def snapshot_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    odd = F.col("l_linenumber") % 2 == 1
+    rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.sort_array(F.collect_list(F.when(odd, F.col("l_partkey") % 15 + 1)), asc=False).alias("bid_prices"),
+        F.sort_array(F.collect_list(F.when(~odd, F.col("l_suppkey") % 20 + 12))).alias("ask_prices"),
+    )
+    books = rows.withColumns({f"{s}_qtys": F.transform(f"{s}_prices", lambda x: F.lit(1).cast("decimal(20,0)")) for s in ("bid", "ask")})
+    return books.select("l_orderkey", F.concat_ws(",", validate.snapshot(3)).alias("broken"))
+
+
+@_query(
+    "instrument_rules",
+    "WITH i AS (SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN 'spot' WHEN 1 THEN 'perpetual' WHEN 2 THEN 'delivery' ELSE 'option' END AS kind, "
+    "CASE WHEN p_partkey % 3 > 0 THEN p_type END AS settle, p_size % 3 AS mult, p_partkey % 5 = 0 AS expires, CASE WHEN p_partkey % 7 = 0 THEN ' ' || p_brand ELSE p_brand END AS ex FROM part) "
+    "SELECT p_partkey, concat_ws(',', CASE WHEN p_partkey < 1 THEN 'instrument_id' END, CASE WHEN trim(ex) <> ex THEN 'exchange_text' END, CASE WHEN kind = 'option' THEN 'market_type' END, "
+    "CASE WHEN mult <= 0 THEN 'contract_multiplier' END, CASE WHEN (kind = 'spot') = (settle IS NOT NULL) THEN 'settle_asset' END, CASE WHEN kind = 'spot' AND mult <> 1 THEN 'spot_multiplier' END, "
+    "CASE WHEN (kind = 'delivery') <> expires THEN 'expiry_time' END) AS broken FROM i",
+)
+def instrument_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size, key = F.col("p_size") % 4, F.col("p_partkey")
+    rows = table(spark, sf_dir, "part").select(
+        key, key.alias("instrument_id"), F.when(key % 7 == 0, F.concat(F.lit(" "), "p_brand")).otherwise(F.col("p_brand")).alias("exchange"),
+        F.when(size == 0, "spot").when(size == 1, "perpetual").when(size == 2, "delivery").otherwise("option").alias("market_type"),
+        F.col("p_name").alias("exchange_symbol"), F.lit("A").alias("base_asset"), F.lit("B").alias("quote_asset"),
+        F.when(key % 3 > 0, F.col("p_type")).alias("settle_asset"), (F.col("p_size") % 3).cast(decimals.WIDE).alias("contract_multiplier"),
+        F.lit(1).cast(decimals.WIDE).alias("price_tick_size"), F.lit(1).cast(decimals.WIDE).alias("quantity_step_size"),
+        F.when(key % 5 == 0, F.timestamp_seconds(F.lit(0))).alias("expiry_time"),
+    )
+    return rows.select("p_partkey", F.concat_ws(",", validate.instrument()).alias("broken"))
+
+
+@_query(
+    "strict_decimals",
+    "WITH r AS (SELECT event_id, CASE event_id % 9 WHEN 0 THEN '' || user_id WHEN 1 THEN '-' || user_id || '.' || event_id % 1000 WHEN 2 THEN '+' || user_id WHEN 3 THEN user_id || 'e3' "
+    "WHEN 4 THEN user_id || '.' WHEN 5 THEN '.' || event_id % 1000 WHEN 6 THEN ' ' || user_id WHEN 7 THEN user_id || '.1.2' ELSE user_id || '.0000000000000000001' END AS raw FROM events), "
+    "s AS (SELECT *, regexp_matches(raw, '^-?([0-9]+[.]?[0-9]*|[.][0-9]+)$') AS ok FROM r) "
+    "SELECT event_id, raw, ok AS is_strict, CASE WHEN ok AND event_id % 9 < 8 THEN CAST(CAST(rtrim(raw, '.') AS DECIMAL(38, 18)) * 1000 AS BIGINT) END AS thousandths FROM s",
+)
+def strict_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    user, part, case = F.col("user_id").cast("string"), (F.col("event_id") % 1000).cast("string"), F.col("event_id") % 9
+    forms = [user, F.concat(F.lit("-"), user, F.lit("."), part), F.concat(F.lit("+"), user), F.concat(user, F.lit("e3")), F.concat(user, F.lit(".")), F.concat(F.lit("."), part), F.concat(F.lit(" "), user), F.concat(user, F.lit(".1.2"))]
+    raw = F.concat(user, F.lit(".0000000000000000001"))
+    for k, form in enumerate(forms):
+        raw = F.when(case == k, form).otherwise(raw)
+    rows = table(spark, sf_dir, "events").select("event_id", raw.alias("raw"))
+    return rows.select("event_id", "raw", decimals.is_strict(F.col("raw")).alias("is_strict"), (decimals.strict(F.col("raw")) * 1000).cast("long").alias("thousandths"))
+
+
+@_query("json_fields", "SELECT event_id, CAST(regexp_extract(props, '\"k\": ?([0-9]+)', 1) AS BIGINT) AS k FROM events")
+def json_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+
+    return table(spark, sf_dir, "events").select("event_id", whole(field("$.k", "props")).alias("k"))
+
+
+@_query(
+    "minute_ids",
+    f"WITH {_EV} SELECT event_id, ((epoch_us(ts) // 60000000) << 32) | instrument_id AS minute_id, (epoch_us(ts) // 60000000) * 60 AS minute_s, instrument_id FROM ev",
+)
+def minute_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = p.events(spark, sf_dir).select("event_id", ids.minute_id(F.col("instrument_id"), F.col("ts")).alias("minute_id"))
+    return rows.select("event_id", "minute_id", F.unix_seconds(ids.minute_time(F.col("minute_id"))).alias("minute_s"), ids.instrument_of(F.col("minute_id")).alias("instrument_id"))
+
+
+@_query(
+    "prices_from_ticks",
+    "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(CAST(l_extendedprice AS DECIMAL(18, 2)) * 100 AS BIGINT) AS price_cents, "
+    "CAST(l_quantity AS BIGINT) * p_size * 100 AS base_hundredths FROM lineitem JOIN part ON p_partkey = l_partkey",
+)
+def prices_from_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ticks = tick_conversion(spark, sf_dir).join(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_size"), "l_partkey")
+    price = decimals.price(F.col("tick"), F.lit("0.01").cast("decimal(4,2)"))
+    base = decimals.quantity(F.col("lot"), F.lit("0.25").cast("decimal(4,2)"), F.col("p_size").cast("decimal(10,0)"))
+    return ticks.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", (price * 100).cast("long").alias("price_cents"), (base * 100).cast("long").alias("base_hundredths"))
+
+
+@_query("duplicate_keys", "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
+def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return versions.duplicates(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@_query(
+    "yield_routes",
+    "SELECT c_custkey, CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'candidate' WHEN c_mktsegment = 'HOUSEHOLD' THEN 'rejected' ELSE 'unknown' END AS eligibility, "
+    "CAST(CAST(c_acctbal AS DECIMAL(18, 2)) * 100 AS BIGINT) - 100 - 50 - c_nationkey * 100 AS net_cents FROM customer",
+)
+def yield_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.when(F.col("c_mktsegment") == "BUILDING", "none").when(F.col("c_mktsegment") == "MACHINERY", "fixed").when(F.col("c_mktsegment") == "HOUSEHOLD", "variable")
+    net = yields.net_yield(F.col("c_acctbal").cast("decimal(18,2)"), F.lit(1), F.lit("0.5"), F.col("c_nationkey"), F.lit(0))
+    return table(spark, sf_dir, "customer").select("c_custkey", yields.eligibility(kind).alias("eligibility"), (net * 100).cast("long").alias("net_cents"))
+
+
+@_query(
+    "staking_rewards",
+    "WITH t AS (SELECT c_custkey AS candidate_id, CAST(floor(c_acctbal) + 2000 AS BIGINT) AS votes FROM customer ORDER BY 2 DESC, 1 LIMIT 127) SELECT candidate_id, votes, "
+    "CAST(row_number() OVER (ORDER BY votes DESC, candidate_id) AS INT) AS place, CAST(1000000 * votes // sum(votes) OVER () AS BIGINT) AS vote_reward, "
+    "CAST(CASE WHEN row_number() OVER (ORDER BY votes DESC, candidate_id) <= 27 THEN 270000 // 27 ELSE 0 END AS BIGINT) AS block_reward FROM t",
+)
+def staking_rewards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("candidate_id"), (F.floor("c_acctbal") + 2000).cast("long").alias("votes"))
+    return yields.staking(rows, 1_000_000, 270_000)
+
+
+@_query("stateful_books")
+def stateful_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as an update of its instrument's book, after one snapshot; the state machine's view after each."""
+    rows = p.events(spark, sf_dir)
+    bid = F.col("event_id") % 2 == 0
+    level = F.array(F.struct(
+        F.when(bid, 40 - F.col("user_id") % 40).otherwise(41 + F.col("user_id") % 40).cast("long").alias("price"), (F.col("event_id") % 4).cast("decimal(20,0)").alias("qty")
+    ))
+    none = F.array().cast("array<struct<price:bigint,qty:decimal(20,0)>>")
+    before = F.coalesce(F.lag("event_id").over(Window.partitionBy("instrument_id").orderBy("event_id")) + 1, F.lit(0))
+    common = ["instrument_id", F.lit("OKX").alias("exchange"), F.lit("perpetual").alias("market_type"), F.lit(1).cast("long").alias("conn_id")]
+    updates = rows.select(
+        *common, (F.col("event_id") + 1).alias("arrival_seq"), F.col("ts").alias("arrival_time"), F.lit("update").alias("kind"), F.lit(None).cast("long").alias("first_id"),
+        (F.col("event_id") + 1).alias("final_id"), before.alias("prev_id"), F.col("ts").alias("source_time"),
+        F.when(bid, level).otherwise(none).alias("bids"), F.when(~bid, level).otherwise(none).alias("asks"),
+    )
+    start = F.timestamp_seconds(F.lit(0))
+    one = lambda price: F.array(F.struct(F.lit(price).cast("long").alias("price"), F.lit(1).cast("decimal(20,0)").alias("qty")))
+    snapshots = rows.select("instrument_id").distinct().select(
+        *common, F.lit(0).cast("long").alias("arrival_seq"), start.alias("arrival_time"), F.lit("snapshot").alias("kind"), F.lit(None).cast("long").alias("first_id"),
+        F.lit(0).cast("long").alias("final_id"), F.lit(-1).cast("long").alias("prev_id"), start.alias("source_time"), one(40).alias("bids"), one(41).alias("asks"),
+    )
+    return book.replay_log(snapshots.unionByName(updates), depth=5)
