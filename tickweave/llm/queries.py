@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.llm import decontaminate, extract, fingerprints, mixing, neardup, quality, sharding, warc
+import corpus_pipeline
+from tickweave.llm import decontaminate, extract, fingerprints, lm, mixing, neardup, quality, sharding, toxicity, warc
 from tickweave.llm.common import held_out, table
 
 
@@ -29,6 +30,15 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("row")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = toxicity.score(docs, toxicity.learn(docs, labels))
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -37,6 +47,10 @@ def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(table(spark, sf_dir, "documents"))
 
 
+def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("html")
 
@@ -51,11 +65,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_quality": op1_quality,
         "op2_simhash": op2_simhash,
         "op3_mixing": op3_mixing,
+        "op4_toxicity": op4_toxicity,
         "op5_decontaminate": op5_decontaminate,
         "op6_fingerprint": op6_fingerprint,
+        "op7_lm": op7_lm,
         "op8_warc": op8_warc,
         "op9_extract": op9_extract,
         "op10_sharding": op10_sharding,
@@ -63,4 +80,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    found = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
+    return found
