@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -12,14 +13,23 @@ from pyspark.sql import types as T
 
 from tickweave.llm.common import ID, held_out, in_batches
 
-#: Words in a window and from one window to the next; every word is in two windows, but for the ends.
-WINDOW, STEP = 48, 24
+#: Words in a window and from one window to the next; neighbours share eight words.
+WINDOW, STEP = 32, 24
 #: Labelled rows of either kind that are fitted on at most (smallest hashes of ids), and windows of each, spread over its whole text.
 FIT_TOXIC, FIT_CLEAN, FIT_WINDOWS = 1500, 3000, 48
 THRESHOLD = 0.5
 HIDDEN, EMBED, ATTEND = 8, 8, 8
-WORD_ROWS, GRAM_ROWS, GRAMS = 1 << 14, 1 << 15, (3, 4)
-BATCH, ROUNDS, LEARN_RATE, SEED = 128, 8, 0.01, 11
+#: Hashes that words and character runs are told apart by, and the runs' bytes.
+WORD_HASHES, GRAM_HASHES, GRAMS = 1 << 20, 1 << 21, (3, 5, 7)
+BATCH, ROUNDS, WARM, STEPS, LEARN_RATE, SEED = 128, 8, 5, 900, 0.01, 11
+#: A word or run has a vector of its own if this many sampled documents use it, or a 400th of them; others are zero, so no text is learned by heart.
+LEAST_DOCS, LEAST_SHARE = 3, 1 / 400
+#: Share of words that are hidden in training.
+HIDE = 0.2
+#: Weight decay for each unit of the learning rate.
+DECAY = 2.0
+#: Windows scored together.
+TOGETHER = 1024
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _KEPT = np.float32(30)  # update gate of padding: the state stays as it is
@@ -30,12 +40,12 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def _spread(x: np.ndarray, rows: int) -> np.ndarray:
-    return ((x * _MULT) >> np.uint64(40)).astype(np.int64) % rows
+    return ((x * _MULT) >> np.uint64(40)).astype(np.int64) & (rows - 1)
 
 
 @dataclass
 class Words:
-    """Rows of the embedding tables that distinct words use: one of words, and those of their character runs."""
+    """Hashes of distinct words and of their character runs, these with the number of their word."""
 
     word: np.ndarray
     gram: np.ndarray
@@ -44,7 +54,7 @@ class Words:
 
     @classmethod
     def of(cls, words: list[bytes]) -> Words:
-        """Runs of three and four bytes with a blank at either end of the word, all words at once."""
+        """Runs of bytes with a blank at either end of the word, all words at once."""
         data = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8).astype(np.uint64)
         blank = data == 32
         number = np.cumsum(blank) - 1
@@ -61,16 +71,14 @@ class Words:
             for j in range(1, n - 1):
                 good &= ~blank[j : j + m]
             at = np.flatnonzero(good)
-            grams.append(_spread(h[at], GRAM_ROWS))
+            grams.append(_spread(h[at], GRAM_HASHES))
             owners.append(number[at + 1])
-        inner = np.flatnonzero(~blank)
         starts = np.flatnonzero(blank)[:-1]
         if len(words):
-            place = inner - starts[number[inner]]
-            power = np.cumprod(np.full(int(place.max()) + 1, np.uint64(1000003), np.uint64))
-            np.add.at(hashes, number[inner], data[inner] * power[place])
+            power = np.cumprod(np.full(int(np.diff(np.append(starts, len(data))).max()) + 1, np.uint64(1000003), np.uint64))
+            hashes = np.add.reduceat(data * power[np.arange(len(data)) - starts[np.minimum(number, len(starts) - 1)]], starts)
         gram, owner = np.concatenate(grams or [[]]).astype(np.int64), np.concatenate(owners or [[]]).astype(np.int64)
-        return cls(_spread(hashes, WORD_ROWS), gram, owner, np.maximum(np.bincount(owner, minlength=len(words)), 1).astype(np.float32))
+        return cls(_spread(hashes, WORD_HASHES), gram, owner, np.sqrt(np.maximum(np.bincount(owner, minlength=len(words)), 1)).astype(np.float32))
 
     def take(self, rows: np.ndarray, bounds: np.ndarray, order: np.ndarray) -> Words:
         """The words of these rows; bounds and order sort the runs by their word."""
@@ -89,22 +97,45 @@ class Network:
     p: dict[str, np.ndarray] = field(default_factory=dict)
     scale: float = 1.0
     shift: float = 0.0
+    row: dict[str, np.ndarray] = field(default_factory=dict)
 
     @classmethod
     def fresh(cls, seed: int = SEED) -> Network:
         rng = np.random.default_rng(seed)
         draw = lambda *shape, s: rng.normal(0, s, shape).astype(np.float32)
         x, h = 2 * EMBED, HIDDEN
-        p = {"word": draw(WORD_ROWS, EMBED, s=0.1), "gram": draw(GRAM_ROWS, EMBED, s=0.3)}
+        p = {"word": np.zeros((1, EMBED), np.float32), "gram": np.zeros((1, EMBED), np.float32)}
         for d in ("f", "b"):
             p |= {f"w{d}": draw(x, 3 * h, s=x**-0.5), f"c{d}": np.zeros(3 * h, np.float32), f"u{d}": draw(h, 3 * h, s=h**-0.5)}
         p |= {"a": draw(2 * h, ATTEND, s=(2 * h) ** -0.5), "v": draw(ATTEND, s=0.5), "o": draw(2 * h, s=0.5), "k": np.zeros(1, np.float32)}
-        return cls(p)
+        return cls(p, row={"word": np.zeros(WORD_HASHES, np.int32), "gram": np.zeros(GRAM_HASHES, np.int32)})
 
     def inputs(self, words: Words) -> np.ndarray:
-        own = self.p["gram"][words.gram]
-        runs = np.stack([np.bincount(words.owner, own[:, j], len(words.word)) for j in range(EMBED)], 1) if len(own) else np.zeros((len(words.word), EMBED))
-        return np.concatenate([self.p["word"][words.word], (runs / words.count[:, None]).astype(np.float32)], 1)
+        """Vectors of words: their own, and the sum of their runs', over the root of the number of runs."""
+        out = np.zeros((len(words.word), 2 * EMBED), self.p["gram"].dtype)
+        out[:, :EMBED] = self.p["word"][self.row["word"][words.word]]
+        rows = self.row["gram"][words.gram]
+        known = np.flatnonzero(rows)
+        own, owner = self.p["gram"][rows[known]], words.owner[known]
+        first = np.concatenate([[0], np.flatnonzero(np.diff(owner)) + 1]) if len(owner) else np.zeros(0, np.int64)
+        if len(first):  # stretches of runs with the same word
+            np.add.at(out[:, EMBED:], owner[first], np.add.reduceat(own, first))
+        out[:, EMBED:] /= words.count[:, None]
+        return out
+
+    def keep_common(self, words: Words, ids: list[np.ndarray], order: np.ndarray, bounds: np.ndarray, seed: int = SEED) -> None:
+        """Gives vectors to the words and runs that enough documents use."""
+        least, rng = max(LEAST_DOCS, int(len(ids) * LEAST_SHARE)), np.random.default_rng(seed)
+        used = {"word": np.zeros(WORD_HASHES, np.int32), "gram": np.zeros(GRAM_HASHES, np.int32)}
+        for i in ids:
+            mine = words.take(np.unique(i), bounds, order)
+            used["word"][np.unique(mine.word)] += 1
+            used["gram"][np.unique(mine.gram)] += 1
+        for k, n in used.items():
+            good = n >= least
+            self.row[k] = np.where(good, np.cumsum(good), 0).astype(np.int32)
+            self.p[k] = rng.normal(0, 0.1, (int(good.sum()) + 1, EMBED)).astype(np.float32)
+            self.p[k][0] = 0
 
     def gates(self, x: np.ndarray, d: str) -> np.ndarray:
         """The words' share of the gates, with padding as the last row."""
@@ -136,10 +167,10 @@ class Network:
 
     def logits(self, gates: tuple[np.ndarray, np.ndarray], at: np.ndarray) -> np.ndarray:
         out = np.empty(len(at), np.float32)
-        for i in range(0, len(at), 4096):
-            part = at[i : i + 4096]
+        for i in range(0, len(at), TOGETHER):
+            part = at[i : i + TOGETHER]
             hidden = np.concatenate([self.states(g, part, d) for g, d in zip(gates, "fb", strict=True)], 2)
-            out[i : i + 4096] = self.pooled(hidden, part < len(gates[0]) - 1)[2] @ self.p["o"] + self.p["k"]
+            out[i : i + TOGETHER] = self.pooled(hidden, part < len(gates[0]) - 1)[2] @ self.p["o"] + self.p["k"]
         return out
 
     def gradients(self, words: Words, at: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
@@ -181,9 +212,12 @@ class Network:
             g[f"w{d}"], g[f"c{d}"] = x.T @ table, table.sum(0)
             dx += table @ p[f"w{d}"].T
         g["word"] = np.zeros_like(p["word"])
-        np.add.at(g["word"], words.word, dx[:, :EMBED])
+        np.add.at(g["word"], self.row["word"][words.word], dx[:, :EMBED])
         g["gram"] = np.zeros_like(p["gram"])
-        np.add.at(g["gram"], words.gram, (dx[:, EMBED:] / words.count[:, None])[words.owner])
+        rows = self.row["gram"][words.gram]
+        known = np.flatnonzero(rows)
+        np.add.at(g["gram"], rows[known], (dx[:, EMBED:] / words.count[:, None])[words.owner[known]])
+        g["word"][0] = 0
         return g
 
 
@@ -196,8 +230,9 @@ def windows(ids: np.ndarray, pad: int) -> np.ndarray:
 
 
 def _number(texts: list[list[bytes]]) -> tuple[list[bytes], list[np.ndarray]]:
-    known: dict[bytes, int] = {}
-    ids = [np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words)) for words in texts]
+    known: defaultdict[bytes, int] = defaultdict()
+    known.default_factory = known.__len__
+    ids = [np.fromiter(map(known.__getitem__, words), np.int64, len(words)) for words in texts]
     return list(known), ids
 
 
@@ -232,6 +267,7 @@ def fit(texts: list[str | None], labels: np.ndarray, prior: float | None = None,
     pad, all_words = len(vocabulary), Words.of(vocabulary)
     order = np.argsort(all_words.owner, kind="stable")
     bounds = np.concatenate([[0], np.cumsum(np.bincount(all_words.owner, minlength=pad))])
+    net.keep_common(all_words, ids, order, bounds)
     each = []
     for i in ids:
         w = windows(i, pad)
@@ -249,19 +285,17 @@ def fit(texts: list[str | None], labels: np.ndarray, prior: float | None = None,
 
     chance = lambda of: (starts[of] + rng.random(len(of)) * (starts[of + 1] - starts[of])).astype(np.int64)
     everyone, clean = np.arange(len(labels)), np.flatnonzero(labels == 0)
-    target_steps = max(1, 240 // max(1, len(labels) // BATCH))
+    passes = int(np.clip(STEPS * BATCH // (rounds * 2 * len(labels)), 1, 12))
     for turn in range(rounds):
-        for _ in range(min(4, target_steps)):
-            if turn == 0:
-                picks, owner = np.concatenate([chance(everyone), chance(everyone)]), np.concatenate([everyone, everyone])
-            else:
-                if _ == 0:
-                    best = tops()[0]
-                picks, owner = np.concatenate([best, chance(clean)]), np.concatenate([everyone, clean])
+        best = tops()[0] if turn >= WARM else None
+        for _ in range(passes):
+            one, other = (chance(everyone), everyone) if best is None else (best, clean)
+            picks, owner = np.concatenate([one, chance(other)]), np.concatenate([everyone, other])
             mixed = rng.permutation(len(picks))
             for i in range(0, len(mixed), BATCH):
                 chosen = mixed[i : i + BATCH]
-                at, of = flat[picks[chosen]], owner[chosen]
+                at, of = flat[picks[chosen]].copy(), owner[chosen]
+                at[rng.random(at.shape) < HIDE] = pad
                 used, inverse = np.unique(at, return_inverse=True)
                 inverse = inverse.reshape(at.shape)
                 if used[-1] == pad:
@@ -273,7 +307,7 @@ def fit(texts: list[str | None], labels: np.ndarray, prior: float | None = None,
                     m, s = moment[k]
                     m += np.float32(0.1) * (g[k] - m)
                     s += np.float32(0.001) * (g[k] * g[k] - s)
-                    v -= np.float32(rate) * m / (np.sqrt(s) + np.float32(1e-8))
+                    v -= np.float32(rate) * (m / (np.sqrt(s) + np.float32(1e-8)) + np.float32(DECAY) * v)
     top = tops()[1].astype(np.float64)
     weight = np.where(labels > 0, prior / share, (1 - prior) / (1 - share))
     a, b = 1.0, 0.0
@@ -314,4 +348,4 @@ def score(docs: DataFrame, net: Network) -> DataFrame:
         found = scores(sent.value, batch.column("text").to_pylist())
         return pa.record_batch([batch.column("doc_id"), pa.array(found)], ["doc_id", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(in_batches(run, 1024), schema)
+    return docs.select("doc_id", "text").mapInArrow(in_batches(run, 2500), schema)
