@@ -67,9 +67,32 @@ def in_batches(
     return run
 
 
+def seeded(seed: int, *parts: Column) -> Column:
+    """A hash of 60 bits that SQL engines share: the first 15 hex digits of the MD5 of seed and parts, joined by colons; null is ``null``."""
+    text = F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(x.cast("string"), F.lit("null")) for x in parts])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
 def unit(h: Column) -> Column:
-    """A 64-bit hash as a number from 0 to under 1."""
-    return F.shiftrightunsigned(h, 33).cast("double") / float(2**31)
+    """A hash of 60 bits as a number from 0 to under 1."""
+    return F.shiftright(h, 29).cast("double") / float(2**31)
+
+
+def seeded_sql(seed: int, *parts: str) -> str:
+    """``seeded`` in DuckDB."""
+    text = " || ':' || ".join([f"'{seed}'", *[f"coalesce(CAST({x} AS VARCHAR), 'null')" for x in parts]])
+    return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
+
+
+def ranked_sql(rows: str, stratum: str, ties: str, weight: str, block: int = 20_000) -> str:
+    """``ranked`` in DuckDB: common tables ``{rows}_1`` to ``{rows}_4`` over ``rows`` with hashes h and h2."""
+    return (
+        f"{rows}_1 AS (SELECT *, count(*) OVER (PARTITION BY {stratum}) AS n FROM {rows}), "
+        f"{rows}_2 AS (SELECT *, CAST(floor((h >> 29) / 2147483648.0 * ceil(n / {block}.0)) AS BIGINT) AS _a FROM {rows}_1), "
+        f"{rows}_3 AS (SELECT *, CAST(floor((h2 >> 29) / 2147483648.0 * ceil(count(*) OVER (PARTITION BY {stratum}, _a) / {2 * block}.0)) AS BIGINT) AS _b FROM {rows}_2), "
+        f"{rows}_4 AS (SELECT *, row_number() OVER w AS rank, CAST(sum({weight}) OVER w - {weight} AS BIGINT) AS before FROM {rows}_3 "
+        f"WINDOW w AS (PARTITION BY {stratum} ORDER BY _a, _b, h, h2, {ties} ROWS UNBOUNDED PRECEDING))"
+    )
 
 
 def ranked(df: DataFrame, stratum: str, first: str, second: str, ties: list[str], weight: str, block: int = 20_000) -> DataFrame:

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickweave.llm.common import WORD, cut, ranked
+from tickweave.llm.common import WORD, cut, ranked, ranked_sql, seeded, seeded_sql
 
 #: Share of the largest entropy (equal weights) that the mixture should reach.
 ENTROPY = 0.97
@@ -79,7 +79,7 @@ def mix(
     rows = cut(
         docs.select(
             "doc_id", "source",
-            (F.xxhash64("doc_id", "source", "text") if row is None else F.col(row)).alias("row"),
+            (seeded(seed, F.col("doc_id"), F.col("source"), F.col("text")) if row is None else F.col(row)).alias("row"),
             F.when(F.col("source").isNull(), "n").otherwise(F.concat(F.lit("v"), "source")).alias("stratum"),
             F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long").alias("tokens"),
         )
@@ -101,12 +101,12 @@ def mix(
     )
     reads = rows.join(plan, "stratum").withColumn("block", F.explode(F.expr("sequence(1L, whole + if(rest > 0, 1L, 0L))")))
     reads = reads.withColumn("part", F.concat_ws(":", F.col("block").cast("string"), "stratum"))
-    reads = reads.withColumn("h", F.xxhash64(F.lit(seed), "block", "doc_id", "row")).withColumn("h2", F.xxhash64(F.lit(seed + 1), "h"))
+    reads = reads.withColumn("h", seeded(seed, F.col("block"), F.col("doc_id"), F.col("row"))).withColumn("h2", seeded(seed + 1, F.col("h")))
     order = ranked(cut(reads), "part", "h", "h2", ["doc_id", "row"], "tokens", block)
     kept = order.where((F.col("block") <= F.col("whole")) | (F.col("before") < F.col("rest")))
     return kept.select(
-        "doc_id", "row", "source", "tokens", "block", "rank", "source_tokens", "share", "weight", "readings",
-        F.lit(alpha).alias("exponent"),
+        "doc_id", "row", "source", "tokens", "block", "rank", "source_tokens", "share", F.round("weight", 9).alias("weight"),
+        F.round("readings", 9).alias("readings"), F.round(F.lit(alpha), 9).alias("exponent"),
     )
 
 
@@ -122,3 +122,28 @@ def mix_rows(docs: DataFrame, **options) -> DataFrame:
     once = keyed.dropDuplicates([_ROW])
     repeated = once.join(reads, once[_ROW] == reads["row"]).withColumn(_ROW, F.explode(F.sequence(F.lit(1), F.col(_READS))))
     return repeated.select(*(once[c] for c in docs.columns))
+
+
+def sql(entropy: float = ENTROPY, repeats: float = REPEATS, seed: int = SEED, block: int = 20_000) -> str:
+    """``mix`` of the table documents in DuckDB, without ``row``."""
+    steps = ["l0 AS (SELECT CAST(0 AS DOUBLE) AS a, CAST(1 AS DOUBLE) AS b)"]
+    for k in range(7):
+        steps += [
+            f"g{k} AS (SELECT a + (b - a) * i / 32 AS alpha FROM l{k}, range(33) r(i))",
+            f"m{k} AS (SELECT alpha FROM (SELECT alpha, sum(pow(share, alpha)) AS z, sum(pow(share, alpha) * ln(share)) AS d FROM g{k}, used GROUP BY alpha) WHERE ln(z) - alpha * d / z >= {entropy} * ln((SELECT n FROM facts)))",
+            f"l{k + 1} AS (SELECT a, coalesce((SELECT min(alpha) FROM g{k} WHERE alpha > a), 1.0) AS b FROM (SELECT coalesce((SELECT max(alpha) FROM m{k}), 0.0) AS a))",
+        ]
+    return (
+        "WITH docs AS (SELECT doc_id, source, CASE WHEN source IS NULL THEN 'n' ELSE 'v' || source END AS stratum, "
+        f"CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS tokens, {seeded_sql(seed, 'doc_id', 'source', 'text')} AS row FROM documents), "
+        "src AS (SELECT stratum, source_tokens, source_tokens / greatest(sum(source_tokens) OVER (), 1) AS share FROM (SELECT stratum, CAST(sum(tokens) AS BIGINT) AS source_tokens FROM docs GROUP BY 1)), "
+        f"used AS (SELECT share FROM src WHERE share > 0), facts AS (SELECT count(*) AS n, min(share) AS low, max(share) AS high FROM used), {', '.join(steps)}, "
+        f"al AS (SELECT CASE WHEN n < 2 OR low = high THEN 1.0 WHEN pow(high / low, 1 - a) > {repeats} THEN greatest(a, 1 - ln({repeats}) / ln(high / low)) ELSE a END AS alpha FROM l7, facts), "
+        "pw AS (SELECT *, CASE WHEN share > 0 THEN pow(share, alpha) ELSE 0 END AS w, CASE WHEN share > 0 THEN pow(share, alpha - 1) END AS o FROM src, al), "
+        "pl AS (SELECT *, w / coalesce(nullif(sum(w) OVER (), 0), 1) AS weight, coalesce(o / min(o) OVER (), 1.0) AS readings FROM pw), "
+        "plan AS (SELECT *, CAST(floor(readings) AS BIGINT) AS whole, CAST(floor((readings - floor(readings)) * source_tokens) AS BIGINT) AS rest FROM pl), "
+        "ex AS (SELECT d.doc_id, d.source, d.tokens, d.row, p.*, unnest(range(1, whole + CASE WHEN rest > 0 THEN 2 ELSE 1 END)) AS block FROM docs d JOIN plan p USING (stratum)), "
+        f"hx AS (SELECT *, block || ':' || stratum AS part, {seeded_sql(seed, 'block', 'doc_id', 'row')} AS h FROM ex), rows_ AS (SELECT *, {seeded_sql(seed + 1, 'h')} AS h2 FROM hx), "
+        f"{ranked_sql('rows_', 'part', 'doc_id NULLS FIRST, row', 'tokens', block)} "
+        "SELECT doc_id, source, tokens, block, rank, source_tokens, share, round(weight, 9) AS weight, round(readings, 9) AS readings, round(alpha, 9) AS exponent FROM rows__4 WHERE block <= whole OR before < rest"
+    )

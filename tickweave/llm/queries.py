@@ -81,4 +81,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     found = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
-    return found
+    return found | {"op3_mixing": mixing.sql(), "op8_warc": warc.sql(), "op10_sharding": sharding.sql()}

@@ -301,3 +301,12 @@ def round_trip(pages: DataFrame, payloads: bool = False) -> DataFrame:
     """
     folder = f"{shared_dir(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
     return read(write(pages, folder), payloads)
+
+
+def sql() -> str:
+    """The digests of ``round_trip`` over the table pages in DuckDB."""
+    return (
+        f"WITH p AS (SELECT page_id, url, coalesce(html, '') AS x, octet_length(encode(coalesce(html, ''))) AS n FROM pages), t AS (SELECT *, CASE WHEN n >= {REVISIT_BYTES} THEN max(page_id) OVER (PARTITION BY x) END AS top FROM p) "
+        "SELECT page_id, url, CAST(n AS BIGINT) AS payload_bytes, sha1(x) AS payload_digest, CASE WHEN top IS NOT NULL AND page_id IS DISTINCT FROM top THEN 'revisit' ELSE 'response' END AS record_type, "
+        "CASE WHEN page_id IS DISTINCT FROM top THEN top END AS refers_to FROM t"
+    )
