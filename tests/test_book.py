@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 import pytest
 
@@ -96,7 +97,7 @@ def _log(spark):
     rows = [row(0, "snapshot", 1, -1, [(100, 5)], [(102, 5)])]
     rows += [row(i, "update", i + 1, i, [(100 - i % 3, i % 5)], [(103 + i % 4, 1)]) for i in range(1, 30)]
     rows += [row(30, "update", 40, 35, [], []), row(31, "snapshot", 50, -1, [(90, 1)], [(95, 1)])]
-    return spark.createDataFrame([r[:11] + (list(r[11]), list(r[12])) for r in rows], schemas.BOOK_EVENT)
+    return spark.createDataFrame([r[:11] + tuple([(p, Decimal(q)) for p, q in side] for side in r[11:]) for r in rows], schemas.BOOK_EVENT)
 
 
 def test_batch_and_stream_agree(spark, tmp_path):

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 from datetime import datetime, timedelta, timezone
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ SECONDS = "instrument_id long, minute long, second int"
 
 def frames(spark, books):
     """books: {(instrument, minute, second): (bids, asks) or None for invalid}"""
-    rows = [(*k, side, p, q) for k, v in books.items() if v for side, levels in zip(("bid", "ask"), v, strict=True) for p, q in levels.items()]
+    rows = [(*k, side, p, Decimal(q)) for k, v in books.items() if v for side, levels in zip(("bid", "ask"), v, strict=True) for p, q in levels.items()]
     return spark.createDataFrame(rows, SAMPLES), spark.createDataFrame([k for k, v in books.items() if v], SECONDS)
 
 

@@ -27,7 +27,7 @@ def strict(raw: Column) -> Column:
 
     The places are counted in the text, as a cast would round them away.
     """
-    return F.when(is_strict(raw) & (written_scale(raw) <= SCALE), F.rtrim(F.lit("."), raw).try_cast(WIDE))
+    return F.when(is_strict(raw) & (written_scale(raw) <= SCALE), F.rtrim(raw, F.lit(".")).try_cast(WIDE))
 
 
 def positive(raw: Column) -> Column:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -18,21 +21,16 @@ def register(existing: DataFrame, incoming: DataFrame, fields: list[str] = DEFIN
     New definitions are numbered by one writer, as ids must have no gaps; they
     are a feed's instruments, not its data.
     """
-    known = existing.groupBy(*fields).agg(F.min(id_column).alias("_known"))
-    first = incoming.groupBy(*fields).agg(F.min(pos).alias("_first"))
-    same = F.lit(True)
-    for c in fields:
-        same = same & first[c].eqNullSafe(known[c])
-    joined = first.join(known, same, "left").select(*[first[c] for c in fields], "_first", "_known")
+    known = existing.groupBy(*[F.col(c).alias(f"_k_{c}") for c in fields]).agg(F.min(id_column).alias("_known"))
+    first = incoming.groupBy(*[F.col(c).alias(f"_d_{c}") for c in fields]).agg(F.min(pos).alias("_first"))
+    same = lambda left, right: reduce(and_, (F.col(f"{left}{c}").eqNullSafe(F.col(f"{right}{c}")) for c in fields))
+    joined = first.join(known, same("_d_", "_k_"), "left").select(*[f"_d_{c}" for c in fields], "_first", "_known")
     top = existing.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("long").alias("_top"))
     fresh = joined.where("_known is null").withColumn("_n", F.row_number().over(Window.orderBy("_first")))
     ids = joined.where("_known is not null").withColumn("_n", F.lit(None).cast("int")).unionByName(fresh).crossJoin(F.broadcast(top))
-    numbered = ids.select(*fields, F.coalesce("_known", F.col("_top") + F.col("_n")).alias(id_column), F.col("_known").isNull().alias("is_new"))
-    back = F.lit(True)
-    for c in fields:
-        back = back & incoming[c].eqNullSafe(numbered[c])
-    checked = F.when(numbered[id_column] <= MAX_INSTRUMENT, numbered[id_column]).otherwise(F.raise_error(F.lit("no instrument id is left")).cast("long"))
-    return incoming.join(numbered, back).select(incoming[pos], checked.cast("long").alias(id_column), "is_new", *[incoming[c] for c in fields])
+    numbered = ids.select(*[f"_d_{c}" for c in fields], F.coalesce("_known", F.col("_top") + F.col("_n")).alias("_id"), F.col("_known").isNull().alias("is_new"))
+    checked = F.when(F.col("_id") <= MAX_INSTRUMENT, F.col("_id")).otherwise(F.raise_error(F.lit("no instrument id is left")).cast("long"))
+    return incoming.select(pos, *fields).join(numbered, same("", "_d_")).select(pos, checked.cast("long").alias(id_column), "is_new", *fields)
 
 
 def select_in_order(available: DataFrame, requested: list[str], column: str = "exchange_symbol") -> DataFrame:

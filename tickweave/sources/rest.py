@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 #: Answers that are asked for again; any other is an error at once.
 AGAIN = frozenset({429, 500, 502, 503, 504})
@@ -36,11 +37,12 @@ def get(url: str, attempts: int = ATTEMPTS, open_: Callable = urllib.request.url
 
 def fetch(requests: DataFrame, attempts: int = ATTEMPTS, get_: Callable[[str, int], str] = get) -> DataFrame:
     """Rows of requests (column url) with their payload."""
-    schema = requests.schema.add("payload", "string") if "payload" not in requests.columns else requests.schema
+    fields = [x for x in requests.schema.fields if x.name != "payload"]
+    schema = T.StructType([*fields, T.StructField("payload", T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
-            yield frame.assign(payload=[get_(url, attempts) for url in frame["url"]])
+            yield frame.assign(payload=[get_(url, attempts) for url in frame["url"]])[schema.names]
 
     return requests.mapInPandas(run, schema)
 
