@@ -15,6 +15,12 @@ DOCS = T.StructType(
 )
 
 
+@pytest.fixture(scope="session")
+def middle(small) -> str:
+    """Enough labelled rows and words for models to be held to figures."""
+    return str(Path(small).parent / "sf0.01")
+
+
 @pytest.fixture(scope="session")
 def make_docs(spark):
     def make(rows):
