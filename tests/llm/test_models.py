@@ -9,8 +9,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tickweave.llm import lm, quality, toxicity
+from tickweave.llm import common, lm, quality, toxicity
 from tickweave.llm.queries import op1_quality, op4_toxicity
 
 
@@ -185,3 +186,16 @@ def test_lm_odd_rows(spark, odd_docs, no_docs, monkeypatch):
     monkeypatch.setattr(lm, "COMMON", 2.0)  # nothing is common: all goes through the join
     for a, b in zip(sorted(map(tuple, rows), key=repr), sorted(map(tuple, lm.score(odd_docs).collect()), key=repr), strict=True):
         assert a[:5] == b[:5] and a[5:7] == pytest.approx(b[5:7], rel=1e-9)
+
+
+def test_lowest_is_the_smallest_hashes(spark):
+    rows = spark.range(20_000).withColumnRenamed("id", "k")
+    got = [x.k for x in common.lowest(rows, 100, "k").collect()]
+    assert got == [x.k for x in rows.orderBy(F.xxhash64("k")).limit(100).collect()]
+    assert common.lowest(rows.where("k < 7"), 100, "k").count() == 7 and common.lowest(rows.where("k < 0"), 5, "k").count() == 0
+
+
+def test_excerpts_spread_over_long_texts():
+    assert toxicity.excerpt(None) == "" and toxicity.excerpt("a  B\nc") == "a B c"
+    words = toxicity.excerpt(" ".join(map(str, range(100_000)))).split()
+    assert len(words) == toxicity.FIT_WORDS and words[0] == "0" and words[-1] == "99999"

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickweave.llm.common import ID, held_out, in_batches
+from tickweave.llm.common import ID, held_out, in_batches, lowest
 
 #: Documents scored below this are rejected.
 KEEP = 0.7
@@ -142,7 +142,7 @@ def learn(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int =
     driver, ``rows`` times 26 numbers at most.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id"), modulus, remainder))
-    sample = known.groupBy("doc_id").agg(F.max("quality").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    sample = lowest(known.groupBy("doc_id").agg(F.max("quality").alias("label")), rows, "doc_id")
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(sample), "doc_id")
     schema = T.StructType([ID, T.StructField("x", T.ArrayType(T.FloatType())), T.StructField("y", T.IntegerType())])
 
