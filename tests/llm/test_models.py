@@ -64,10 +64,10 @@ def test_quality_odd_rows(spark, odd_docs, no_docs):
 def test_network_gradients():
     net = toxicity.Network.fresh(1)
     vocabulary = [b"alpha", b"be", "ü".encode(), b"delta"]
-    words = toxicity.Words.of(vocabulary)
-    order = np.argsort(words.owner, kind="stable")
-    bounds = np.concatenate([[0], np.cumsum(np.bincount(words.owner, minlength=4))])
-    net.keep_common(words, [np.arange(3)] * 3 + [np.array([3])], order, bounds)
+    words, bounds = toxicity.Words.in_order(vocabulary, block=3)
+    net.keep_common(words, [np.arange(3)] * 3 + [np.array([3])], bounds)
+    plain = toxicity.Words.of(vocabulary)
+    assert sorted(zip(plain.owner, plain.gram, strict=True)) == sorted(zip(words.owner, words.gram, strict=True)) and (plain.word == words.word).all()
     assert (net.row["word"][words.word[:3]] > 0).all() and net.row["word"][words.word[3]] == 0
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
     rng = np.random.default_rng(0)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -30,8 +31,8 @@ LEAST_DOCS, LEAST_SHARE = 3, 1 / 400
 HIDE = 0.2
 #: Weight decay for each unit of the learning rate.
 DECAY = 2.0
-#: Windows scored together.
-TOGETHER = 1024
+#: Windows scored together, and words hashed together in fitting.
+TOGETHER, BLOCK = 1024, 20_000
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _KEPT = np.float32(30)  # update gate of padding: the state stays as it is
@@ -42,7 +43,7 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def _spread(x: np.ndarray, rows: int) -> np.ndarray:
-    return ((x * _MULT) >> np.uint64(40)).astype(np.int64) & (rows - 1)
+    return ((x * _MULT) >> np.uint64(40)).astype(np.int32) & np.int32(rows - 1)
 
 
 @dataclass
@@ -74,20 +75,30 @@ class Words:
                 good &= ~blank[j : j + m]
             at = np.flatnonzero(good)
             grams.append(_spread(h[at], GRAM_HASHES))
-            owners.append(number[at + 1])
+            owners.append(number[at + 1].astype(np.int32))
         starts = np.flatnonzero(blank)[:-1]
         if len(words):
             power = np.cumprod(np.full(int(np.diff(np.append(starts, len(data))).max()) + 1, np.uint64(1000003), np.uint64))
-            hashes = np.add.reduceat(data * power[np.arange(len(data)) - starts[np.minimum(number, len(starts) - 1)]], starts)
-        gram, owner = np.concatenate(grams or [[]]).astype(np.int64), np.concatenate(owners or [[]]).astype(np.int64)
+            hashes = np.add.reduceat((data * power[np.arange(len(data)) - starts[np.minimum(number, len(starts) - 1)]])[:-1], starts)
+        gram, owner = np.concatenate(grams or [[]]).astype(np.int32), np.concatenate(owners or [[]]).astype(np.int32)
         return cls(_spread(hashes, WORD_HASHES), gram, owner, np.sqrt(np.maximum(np.bincount(owner, minlength=len(words)), 1)).astype(np.float32))
 
-    def take(self, rows: np.ndarray, bounds: np.ndarray, order: np.ndarray) -> Words:
-        """The words of these rows; bounds and order sort the runs by their word."""
+    @classmethod
+    def in_order(cls, words: list[bytes], block: int = BLOCK) -> tuple[Words, np.ndarray]:
+        """Many words, hashed in blocks, with the runs in order of their words; and where each word's runs begin."""
+        parts = []
+        for a in range(0, max(len(words), 1), block):
+            part = cls.of(words[a : a + block])
+            order = np.argsort(part.owner, kind="stable")
+            parts.append((part.word, part.gram[order], part.owner[order] + np.int32(a), part.count))
+        joined = cls(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        return joined, np.searchsorted(joined.owner, np.arange(len(words) + 1))
+
+    def take(self, rows: np.ndarray, bounds: np.ndarray) -> Words:
+        """These of the words ``in_order``."""
         size = bounds[rows + 1] - bounds[rows]
         first = np.repeat(bounds[rows] - np.concatenate([[0], np.cumsum(size)[:-1]]), size)
-        at = order[np.arange(int(size.sum())) + first]
-        return Words(self.word[rows], self.gram[at], np.repeat(np.arange(len(rows)), size), self.count[rows])
+        return Words(self.word[rows], self.gram[np.arange(int(size.sum())) + first], np.repeat(np.arange(len(rows)), size), self.count[rows])
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -125,12 +136,12 @@ class Network:
         out[:, EMBED:] /= words.count[:, None]
         return out
 
-    def keep_common(self, words: Words, ids: list[np.ndarray], order: np.ndarray, bounds: np.ndarray, seed: int = SEED) -> None:
+    def keep_common(self, words: Words, ids: list[np.ndarray], bounds: np.ndarray, seed: int = SEED) -> None:
         """Gives vectors to the words and runs that enough documents use."""
         least, rng = max(LEAST_DOCS, int(len(ids) * LEAST_SHARE)), np.random.default_rng(seed)
         used = {"word": np.zeros(WORD_HASHES, np.int32), "gram": np.zeros(GRAM_HASHES, np.int32)}
         for i in ids:
-            mine = words.take(np.unique(i), bounds, order)
+            mine = words.take(np.unique(i), bounds)
             used["word"][np.unique(mine.word)] += 1
             used["gram"][np.unique(mine.gram)] += 1
         for k, n in used.items():
@@ -227,20 +238,20 @@ def windows(ids: np.ndarray, pad: int) -> np.ndarray:
     """All overlapping windows of a text's words; a short or empty text has one, padded."""
     n = len(ids)
     count = max(1, -(-(n - WINDOW) // STEP) + 1)
-    padded = np.concatenate([ids, np.full(WINDOW, pad, np.int64)])
+    padded = np.concatenate([ids, np.full(WINDOW, pad, np.int32)])
     return padded[np.arange(count)[:, None] * STEP + np.arange(WINDOW)]
 
 
-def _number(texts: list[list[bytes]]) -> tuple[list[bytes], list[np.ndarray]]:
+def _number(texts: Iterable[list[bytes]]) -> tuple[list[bytes], list[np.ndarray]]:
     known: defaultdict[bytes, int] = defaultdict()
     known.default_factory = known.__len__
-    ids = [np.fromiter(map(known.__getitem__, words), np.int64, len(words)) for words in texts]
+    ids = [np.fromiter(map(known.__getitem__, words), np.int32, len(words)) for words in texts]
     return list(known), ids
 
 
 def scores(net: Network, texts: list[str | None]) -> np.ndarray:
     """Probability for each whole text: the calibrated logit of its most toxic window."""
-    vocabulary, ids = _number([words_of(x) for x in texts])
+    vocabulary, ids = _number(words_of(x) for x in texts)
     x = net.inputs(Words.of(vocabulary))
     cut_up = [windows(i, len(vocabulary)) for i in ids]
     logits = net.logits((net.gates(x, "f"), net.gates(x, "b")), np.concatenate(cut_up))
@@ -265,22 +276,22 @@ def fit(texts: list[str | None], labels: np.ndarray, prior: float | None = None,
     if len(labels) == 0 or share in (0.0, 1.0):
         net.scale, net.shift = 0.0, float(np.log((prior + 1e-3) / (1 - prior + 1e-3)))
         return net
-    vocabulary, ids = _number([words_of(x) for x in texts])
-    pad, all_words = len(vocabulary), Words.of(vocabulary)
-    order = np.argsort(all_words.owner, kind="stable")
-    bounds = np.concatenate([[0], np.cumsum(np.bincount(all_words.owner, minlength=pad))])
-    net.keep_common(all_words, ids, order, bounds)
+    vocabulary, ids = _number(words_of(x) for x in texts)
+    pad = len(vocabulary)
+    all_words, bounds = Words.in_order(vocabulary)
+    net.keep_common(all_words, ids, bounds)
     each = []
     for i in ids:
         w = windows(i, pad)
         each.append(w if len(w) <= FIT_WINDOWS else w[np.unique(np.linspace(0, len(w) - 1, FIT_WINDOWS).astype(int))])
     flat, starts = np.concatenate(each), np.concatenate([[0], np.cumsum([len(w) for w in each])])
+    del each, ids, vocabulary
     weight_of = np.where(labels > 0, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step = 0
 
     def tops() -> tuple[np.ndarray, np.ndarray]:
-        x = net.inputs(all_words)
+        x = np.concatenate([net.inputs(all_words.take(np.arange(a, min(a + BLOCK, pad)), bounds)) for a in range(0, max(pad, 1), BLOCK)])
         logits = net.logits((net.gates(x, "f"), net.gates(x, "b")), flat)
         best = np.array([a + int(logits[a:b].argmax()) for a, b in zip(starts[:-1], starts[1:], strict=True)])
         return best, logits[best]
@@ -302,7 +313,7 @@ def fit(texts: list[str | None], labels: np.ndarray, prior: float | None = None,
                 inverse = inverse.reshape(at.shape)
                 if used[-1] == pad:
                     used = used[:-1]
-                g = net.gradients(all_words.take(used, bounds, order), inverse, labels[of], weight_of[of])
+                g = net.gradients(all_words.take(used, bounds), inverse, labels[of], weight_of[of])
                 step += 1
                 rate = LEARN_RATE * (1 - 0.8 * turn / rounds) * (1 - 0.999**step) ** 0.5 / (1 - 0.9**step)
                 for k, v in net.p.items():
