@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickweave.llm.common import cut, shared_dir
+from tickweave.llm.common import cut, lowest, shared_dir
 
 # Fixed values of the formats.
 WARC_VERSION = b"WARC/1.1"
@@ -180,8 +180,9 @@ def frames(stream, where: str = "archive") -> Iterator[bytes]:
 
 def dictionary(pages: DataFrame) -> bytes:
     """A dictionary from a bounded, stated sample of pages; it bears on sizes alone, never on what is read back."""
-    sample = pages.where("html is not null and html <> ''").orderBy(F.xxhash64("page_id"), "page_id").limit(DICTIONARY_PAGES)
-    texts = [page_record(0, "http://example.org/", x.html.encode(), None) for x in sample.select(F.substring("html", 1, PAGE_BYTES).alias("html")).collect()]
+    ids = lowest(pages.where("html is not null and html <> ''").select("page_id").dropna().distinct(), DICTIONARY_PAGES, "page_id")
+    heads = pages.join(F.broadcast(ids), "page_id").groupBy("page_id").agg(F.min(F.substring("html", 1, PAGE_BYTES)).alias("html"))
+    texts = [page_record(0, "http://example.org/", (x.html or "").encode(), None) for x in heads.orderBy("page_id").collect()]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, texts).as_bytes()
     except zstandard.ZstdError:  # too few samples: their own bytes serve
