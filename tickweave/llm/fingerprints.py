@@ -189,4 +189,5 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     both = placed.select("part", F.lit(False).alias("lent"), "k", "h", "doc_id", "text").unionByName(
         lent.select(F.col("_part").alias("part"), F.lit(True).alias("lent"), "k", "h", "doc_id", "text")
     )
-    return both.repartition("part").sortWithinPartitions("part", "lent", "k", "h").mapInArrow(_follow, FIELDS)
+    dealt = both.repartitionById(parts, F.col("part").cast("int"))  # hashed numbers of ranges would collide and leave tasks without any
+    return dealt.sortWithinPartitions("part", "lent", "k", "h").mapInArrow(_follow, FIELDS)
