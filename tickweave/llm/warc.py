@@ -29,6 +29,8 @@ REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 32_000_000
 #: The dictionary: its bytes, and the pages (those with the smallest hashes of their ids) and the bytes of each that it is made from.
 DICTIONARY_BYTES, DICTIONARY_PAGES, PAGE_BYTES = 16_384, 256, 8_192
+#: Tasks that read archives at most; beyond it a task reads several.
+READERS = 100_000
 DATE = "2024-01-01T00:00:00Z"
 CHUNK = 1 << 16
 
@@ -284,7 +286,8 @@ def read(manifest: DataFrame, payloads: bool = True) -> DataFrame:
                 if seen != expected:
                     raise BadArchive(f"{path}: {seen} pages, {expected} listed")
 
-    return manifest.repartition("path").mapInArrow(run, RECORDS)
+    tasks = min(max(manifest.count(), 1), READERS)  # a number, as the few bytes of a manifest would else be put into one task
+    return manifest.repartition(tasks).mapInArrow(run, RECORDS)
 
 
 def _rows(found: list[dict]) -> pa.RecordBatch:
