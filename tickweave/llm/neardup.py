@@ -184,6 +184,8 @@ def links(fps: DataFrame) -> DataFrame:
     radius, where meeting proves the link; that is linear in their number.
     """
     once = fps.select("fp").distinct()
+    # by number and by another hash, so that this isn't left out: few bytes would be put into few tasks, which emit 130 times what they read
+    once = once.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("fp"))
     keyed = once.mapInArrow(in_batches(_ball_keys, 1000), _PAIR).repartition("a").sortWithinPartitions("a", "b")
     found = cut(keyed.mapInArrow(_collide, _PAIR))
     near = found.where("a <> b")
