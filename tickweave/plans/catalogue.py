@@ -464,8 +464,6 @@ def strict_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("json_fields", "SELECT event_id, CAST(regexp_extract(props, '\"k\": ?([0-9]+)', 1) AS BIGINT) AS k FROM events")
 def json_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-
-
     return table(spark, sf_dir, "events").select("event_id", whole(field("$.k", "props")).alias("k"))
 
 
