@@ -326,6 +326,17 @@ def test_odd_pages(page, text):
     assert extract.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("inner", "text"),
+    [("<p class=notice>Ad<p>Para 1<p>Para 2", "Para 1\nPara 2"), ("<p>Before<div class=ad>Ad<p>Para 1</p><p>Para 2</p>", "Before\nAd\nPara 1\nPara 2")]
+    + [("<ul><li>one<li class=share>Share<ul><li>on</ul><li>two</ul><p>After", "one\ntwo\nAfter"), ("<dl><dt class=ad>x<dd>y</dl>z", "y\nz")]
+    + [("<table><tr><td>a<tr class=ad><td>Ad<tr><td class=ad>Ad<td>b</table><p>After", "a\nb\nAfter"), ("<p>a <span class=ad>Ad</p><p>b", "a\nb")]
+    + [("<section><div class=ad><b>Ad</section><p>After", "After"), ("<div class=ad><div>Ad</div>Ad</div><p>After", "After"), ("<p>One<nav>x<p>Two", "One\nx\nTwo")],
+)
+def test_unwanted_elements_without_end_tag(inner, text):
+    assert extract.main_text(f"<body><article><h1>Title</h1>{inner}</article><p>Out</body>") == f"Title\n{text}"
+
+
 def test_very_long_and_broken_pages_are_quick():
     import time
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,36 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Elements whose end tag HTML lets be left out (inline ones are ended with what holds them), and parts of tables.
+OPTIONAL = frozenset("p li dt dd tr td th thead tbody tfoot caption colgroup option optgroup".split())
+PARTS = frozenset("table caption colgroup thead tbody tfoot tr td th".split())
+#: Elements that hold the whole article: their end doesn't stand for a missing end tag.
+WHOLE = frozenset("article main body html".split())
+#: Elements that end an open paragraph.
+ENDS_P = frozenset(
+    """address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr
+    li main menu nav ol p pre search section summary table ul""".split()
+)
+_SCOPE, _BUTTON, _TABLE, _ITEM, _ROW = "<scope", "<button", "<table", "<item", "<row"
+#: Elements out of which nothing is ended by a tag inside.
+_BORDERS = {
+    _SCOPE: frozenset("table caption td th template object html".split()),
+    _BUTTON: frozenset("table caption td th template object html button".split()),
+    _TABLE: frozenset("table template html".split()),
+    _ITEM: (ENDS_P | frozenset("table caption td th tr tbody thead tfoot template object button select body html".split())) - frozenset("address div p li dt dd hr".split()),
+    _ROW: frozenset("table template html tr".split()),
+}
+_CELL, _GROUP = (("td", "th"), _ROW), (("thead", "tbody", "tfoot", "caption", "colgroup"), _TABLE)
+#: What a start tag ends: the innermost of these elements inside the border.
+_SIBLINGS = {
+    "li": ((("li",), _ITEM),),
+    **dict.fromkeys(("dt", "dd"), ((("dt", "dd"), _ITEM),)),
+    **dict.fromkeys(("td", "th"), (_CELL,)),
+    "tr": ((("tr",), _TABLE), (("caption", "colgroup"), _TABLE)),
+    **dict.fromkeys(("thead", "tbody", "tfoot"), (_GROUP, (("tr",), _TABLE))),
+    **dict.fromkeys(("option", "optgroup"), ((("option",), _SCOPE),)),
+    "a": ((("a",), "<block"),),
+}
 #: Words in a class or id that name what isn't the article.
 NAMES = frozenset(
     """ad ads advert advertisement advertorial adverts aside banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright
@@ -58,7 +90,79 @@ def _unwanted(tag: str, attributes: str, inside: bool) -> bool:
     return False
 
 
-def lines(page: str, skip: bool = True) -> list[tuple[str, int, bool]]:
+@dataclass
+class Token:
+    """A tag of a page, or the end of the page, with where it lies; ``end`` is the token that ends the element, if one does."""
+
+    start: int
+    stop: int
+    tag: str
+    close: bool = False
+    attributes: str = ""
+    end: int | None = None
+    own: bool = False
+
+
+def tokens(page: str) -> list[Token]:
+    """Tags in order, without comments and what raw elements hold, and a last one without name for the page's end."""
+    out: list[Token] = []
+    at = 0
+    while m := _TAG.search(page, at):
+        at = m.end()
+        tag = (m[2] or m[5] or "").lower()
+        close = bool(m[1] or m[4])
+        if tag in RAW and not close:
+            stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)", re.I).search(page, at)
+            at = stop.start() if stop else len(page)
+            tag = ""
+        out.append(Token(m.start(), at, tag, close, m[3] or m[6] or ""))
+    out.append(Token(len(page), len(page), ""))
+    return out
+
+
+def _pair(found: list[Token]) -> None:
+    """Notes for every element which token ends it: its own end tag, or by HTML's rules a sibling's start or a parent's end.
+
+    An element whose end tag may not be left out, and that only the end of the
+    article or of the page cuts off, never ends.
+    """
+    stack: list[int] = []
+    places: defaultdict[str, list[int]] = defaultdict(list)  # depths of the open elements of each name, and of each kind of border
+
+    def names(tag: str) -> list[str]:
+        return [tag, *(k for k, v in _BORDERS.items() if tag in v), *(["<block"] if tag not in INLINE else [])]
+
+    def top(*of: str) -> int:
+        return max((places[x][-1] for x in of if places[x]), default=-1)
+
+    def close_to(depth: int, by: int, own: bool = False) -> None:
+        while len(stack) > depth:
+            t = found[stack.pop()]
+            for x in names(t.tag):
+                places[x].pop()
+            mine = own and len(stack) == depth
+            if mine or t.tag in OPTIONAL or not (found[by].close and found[by].tag in WHOLE):
+                t.end, t.own = by, mine
+
+    for i, t in enumerate(found[:-1]):
+        if not t.tag or t.tag in RAW:
+            continue
+        if t.close:
+            at = top(t.tag)
+            border = "<block" if t.tag in INLINE else _TABLE if t.tag in PARTS else _SCOPE
+            if at >= 0 and (t.tag == "table" or at >= top(border)) and not (t.tag == "li" and at < top("ul", "ol")):
+                close_to(at, i, own=True)
+            continue
+        for mine, border in (*_SIBLINGS.get(t.tag, ()), *([(("p",), _BUTTON)] if t.tag in ENDS_P else ())):
+            if (at := top(*mine)) > top(border):
+                close_to(at, i)
+        if t.tag not in VOID and not t.attributes.endswith("/"):
+            for x in names(t.tag):
+                places[x].append(len(stack))
+            stack.append(i)
+
+
+def lines(page: str) -> list[tuple[str, int, bool]]:
     """The blocks of a page without markup, in order: (text, characters of links, inside an article).
 
     What lies in menus, footers, forms and the like, or in elements whose class
@@ -68,8 +172,8 @@ def lines(page: str, skip: bool = True) -> list[tuple[str, int, bool]]:
     out: list[tuple[str, int, bool]] = []
     parts: list[str] = []
     linked, in_link, inside, seen = 0, 0, 0, False
-    stop_at, depth, began = "", 0, 0
-    at, n = 0, len(page)
+    found = tokens(page)
+    _pair(found)
 
     def flush() -> None:
         nonlocal linked
@@ -79,40 +183,26 @@ def lines(page: str, skip: bool = True) -> list[tuple[str, int, bool]]:
         parts.clear()
         linked = 0
 
-    while at < n:
-        m = _TAG.search(page, at)
-        end = m.start() if m else n
-        if end > at and not stop_at:
-            text = html.unescape(page[at:end])
+    at, i = 0, 0
+    while i < len(found):
+        t = found[i]
+        if t.start > at:
+            text = html.unescape(page[at : t.start])
             parts.append(text)
             if in_link:
                 linked += len(text)
-        if not m:
-            break
-        at = m.end()
-        tag = (m[2] or m[5] or "").lower()
+        at, i = t.stop, i + 1
+        tag, close = t.tag, t.close
         if not tag:
             continue
-        close, attributes = bool(m[1] or m[4]), m[3] or m[6] or ""
-        if tag in RAW and not close:
-            stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)", re.I).search(page, at)
-            at = stop.start() if stop else n
-            continue
-        if stop_at:
-            if tag in ARTICLE and not close and not seen and not _unwanted(tag, attributes, False):
-                stop_at = ""  # an article begins: what went before never ended
-            elif tag == stop_at:
-                depth += -1 if close else 1
-                if not depth:
-                    stop_at = ""
-                continue
-            else:
-                continue
-        if not close and skip and tag not in VOID and not attributes.endswith("/") and _unwanted(tag, attributes, inside > 0):
+        if t.end is not None and _unwanted(tag, t.attributes, inside > 0):
             if tag not in INLINE:
                 flush()
                 out.append(("", 0, False))
-            stop_at, depth, began = tag, 1, len(out)
+            # an article begins: what went before never ended
+            first = None if seen else next((k for k in range(i, t.end) if _begins_article(found[k])), None)
+            i = t.end + t.own if first is None else first
+            at = found[t.end].stop if first is None and t.own else found[i].start
             continue
         if tag == "a":
             in_link = 0 if close else 1
@@ -124,14 +214,11 @@ def lines(page: str, skip: bool = True) -> list[tuple[str, int, bool]]:
                 seen = True
                 inside = max(0, inside - 1) if close else inside + 1
     flush()
-    if stop_at and skip and began < len(out) + 1:
-        return _unended(page, out)
     return out
 
 
-def _unended(page: str, out: list[tuple[str, int, bool]]) -> list[tuple[str, int, bool]]:
-    """Where an unwanted element ran to the page's end: what came before it, or the whole page if that was nothing."""
-    return out if any(text for text, _, _ in out) else lines(page, skip=False)
+def _begins_article(t: Token) -> bool:
+    return t.tag in ARTICLE and not t.close and not _unwanted(t.tag, t.attributes, False)
 
 
 def main_text(page: str | None) -> str:
