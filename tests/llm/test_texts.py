@@ -337,6 +337,32 @@ def test_unwanted_elements_without_end_tag(inner, text):
     assert extract.main_text(f"<body><article><h1>Title</h1>{inner}</article><p>Out</body>") == f"Title\n{text}"
 
 
+LONG = "This paragraph is long enough to be a part of the story, as all of them are."
+LINKS = "<ul><li><a href=1>One link</a></li><li><a href=2>Another link</a></li><li><a href=3>The last</a></li></ul>"
+
+
+@pytest.mark.parametrize(
+    "blocks",
+    [[LONG, "Three short", "lines", "apart", "A paragraph of some sixty characters, which is below 86.", "Short", "lines", "again", LONG]]
+    + [["A short heading", LONG, LONG, "The end."], ["Roses are red", "Violets are blue", "Sugar is sweet", "And so are you"], ["你好吗？", "我很好。", "谢谢你。", "再见。"]]
+    + [[LONG, *(f"Item {i}" for i in range(9)), LONG]],
+)
+def test_unmarked_page_keeps_short_lines(blocks):
+    body = "".join(f"<p>{x}</p>" for x in blocks)
+    assert extract.main_text(f"<body>{LINKS}{body}{LINKS}</body>") == "\n".join(blocks)
+
+
+def test_unmarked_page_keeps_a_paragraph_set_apart():
+    apart = "A paragraph of some sixty characters, which is below 86."
+    assert extract.main_text(f"<body><p>{LONG * 4}</p>{LINKS}<p>{apart}</p>{LINKS}<p>{LONG}</p></body>") == f"{LONG * 4}\n{apart}\n{LONG}"
+
+
+@pytest.mark.parametrize("wrapper", ["div class='content has-sidebar'", "div id=no-comments", "article class='post no-comments'", "div class=search-prices", "div class='page sidebar'", "form id=all"])
+def test_wrapper_is_not_what_its_name_holds(wrapper):
+    page = f"<body>{LINKS}<{wrapper}><h1>Title</h1><p>{LONG}</p><div class='ad-box'>Buy this</div><p>{LONG}</p></{wrapper.split()[0]}><div id=comments><p>A comment</p></div></body>"
+    assert extract.main_text(page) == f"Title\n{LONG}\n{LONG}"
+
+
 def test_very_long_and_broken_pages_are_quick():
     import time
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 from collections import defaultdict
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,10 +16,14 @@ from pyspark.sql import types as T
 
 from tickweave.llm.common import in_batches
 
-#: Lines in a window, and characters by which a window is a surge on pages that don't mark their article.
-WINDOW, SURGE = 3, 86
-#: Characters that a line needs to count on such pages, and the share of them that links may have.
-LINE, LINKED = 25, 0.5
+#: Lines in a window.
+WINDOW = 3
+#: On pages that don't mark their article a run is kept with this share of the median line's characters, or with this many.
+SURGE, ENOUGH = 0.25, 40
+#: Share of a line's characters that links may have.
+LINKED = 0.5
+#: Shares of a page's text without links that an element holds which is not skipped: with a heading or article in it, and without.
+MASS, ALL = 0.5, 0.9
 
 # Elements of HTML.
 RAW = frozenset("script style textarea title noscript iframe noframes xmp".split())
@@ -64,6 +69,11 @@ NAMES = frozenset(
     discussion disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted
     promotion recommended related replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget""".split()
 )
+#: Words that may stand beside these in a hyphenated name, which else names something of its own: has-sidebar, no-comments, share-prices.
+BESIDE = frozenset(
+    """area article bar block bottom box button buttons container content entry form group icon icons inner item items left link links list main outer page panel
+    post right section site slot text thread title top unit wrap wrapper""".split()
+)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 
 _TAG = re.compile(
@@ -73,6 +83,17 @@ _TAG = re.compile(
 )
 _LABEL = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 _WORDS = re.compile(r"[a-z0-9]+")
+_WORDY = re.compile(r"[^\W_]")
+
+
+def _named(label: str) -> bool:
+    """Whether a class or id, as a whole or in all its parts, names what isn't the article."""
+    parts = [x for x in _WORDS.findall(label) if not x.isdigit()]
+    return not NAMES.isdisjoint(parts) and all(x in NAMES or x in BESIDE for x in parts)
+
+
+def _hidden(attributes: str) -> bool:
+    return any(name.lower() == "hidden" or (name.lower() == "aria-hidden" and "".join(v).lower() == "true") for name, *v in _LABEL.findall(attributes))
 
 
 def _unwanted(tag: str, attributes: str, inside: bool) -> bool:
@@ -85,7 +106,7 @@ def _unwanted(tag: str, attributes: str, inside: bool) -> bool:
         name = name.lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value in ROLES):
             return True
-        if name in ("class", "id") and not NAMES.isdisjoint(_WORDS.findall(value)):
+        if name in ("class", "id") and any(map(_named, value.split())):
             return not (tag == "article" and name == "id")
     return False
 
@@ -162,18 +183,39 @@ def _pair(found: list[Token]) -> None:
             stack.append(i)
 
 
+def _masses(page: str, found: list[Token]) -> Callable[[int], bool]:
+    """A test whether an element, by its token's number, holds the page's main text, so that no name makes it unwanted."""
+    text, heads, at, in_link = [0], [0], 0, False
+    for t in found:
+        text.append(text[-1] + (0 if in_link else len("".join(page[at : t.start].split()))))
+        heads.append(heads[-1] + (not t.close and (t.tag == "h1" or t.tag in ARTICLE)))
+        in_link = not t.close if t.tag == "a" else in_link
+        at = t.stop
+
+    def holds(i: int) -> bool:
+        t = found[i]
+        share = (text[t.end + 1] - text[i + 1]) / max(text[-1], 1)
+        if share < MASS or _hidden(t.attributes):
+            return False
+        return heads[t.end] > heads[i + 1] or (share >= ALL and t.tag not in BOILERPLATE and t.tag != "header")
+
+    return holds
+
+
 def lines(page: str) -> list[tuple[str, int, bool]]:
     """The blocks of a page without markup, in order: (text, characters of links, inside an article).
 
     What lies in menus, footers, forms and the like, or in elements whose class
     or id names such, gives empty lines: gaps in the distribution.  An element
-    of this kind that never ends is taken as if it were none.
+    of this kind that never ends, or that holds the page's main text, is taken as
+    if it were none.
     """
     out: list[tuple[str, int, bool]] = []
     parts: list[str] = []
     linked, in_link, inside, seen = 0, 0, 0, False
     found = tokens(page)
     _pair(found)
+    holds = _masses(page, found)
 
     def flush() -> None:
         nonlocal linked
@@ -195,7 +237,7 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
         tag, close = t.tag, t.close
         if not tag:
             continue
-        if t.end is not None and _unwanted(tag, t.attributes, inside > 0):
+        if t.end is not None and _unwanted(tag, t.attributes, inside > 0) and not holds(i - 1):
             if tag not in INLINE:
                 flush()
                 out.append(("", 0, False))
@@ -226,11 +268,11 @@ def main_text(page: str | None) -> str:
 
     Lengths of lines are summed over windows of three.  The distribution
     surges where windows rise from nothing and dives where they fall back to
-    nothing; the lines between are kept where some window between holds enough.
+    nothing: three lines of links, of signs alone or of what is left out.
     On pages with an article or main element lines outside it count nothing
-    and any text in it is enough.  On others, short lines and lines of links
-    count nothing, and a surge needs 86 characters, or as many as the page's
-    fullest window has if that is less.
+    and any text in it is enough.  On others, lines of links and of signs alone
+    count nothing, and what lies between a surge and a dive is kept if it has a
+    quarter of the characters of the page's median line, or 40 of them.
     """
     rows = lines(page or "")
     if not rows:
@@ -239,11 +281,13 @@ def main_text(page: str | None) -> str:
     if marked:
         size = np.array([len(text) if inside else 0 for text, _, inside in rows])
     else:
-        size = np.array([len(t) if len(t) >= LINE and link <= LINKED * len(t) else 0 for t, link, _ in rows])
+        size = np.array([len(t) if link <= LINKED * len(t) and _WORDY.search(t) else 0 for t, link, _ in rows])
         if not size.any():
             size = np.array([len(t) if link <= LINKED * len(t) else 0 for t, link, _ in rows])
+        if not size.any():
+            return ""
     wide = np.convolve(size, np.ones(WINDOW, np.int64))  # window k ends with line k
-    least = 1 if marked else min(SURGE, int(wide.max()))
+    least = 1 if marked else min(ENOUGH, SURGE * float(np.median(size[size > 0])))
     kept: list[str] = []
     at = 0
     while at < len(wide):
@@ -253,7 +297,7 @@ def main_text(page: str | None) -> str:
         dive = at
         while dive < len(wide) and wide[dive]:
             dive += 1
-        if wide[at:dive].max() >= least:
+        if size[at : min(dive, len(size))].sum() >= least:
             within = np.flatnonzero(size[at : min(dive, len(size))]) + at
             kept += [rows[k][0] for k in range(within[0], within[-1] + 1) if rows[k][0] and (rows[k][2] or not marked)]
         at = dive
