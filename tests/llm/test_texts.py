@@ -105,6 +105,15 @@ def test_neardup_odd_rows(odd_docs, no_docs, make_docs):
     assert neardup.dedup(bare).count() == 2
 
 
+def test_dedup_with_ids_that_name_several_texts(make_docs):
+    a, b, c = (words(random.Random(i), 40) for i in range(3))
+    kept = lambda *rows: sorted((x.doc_id, x.text) for x in neardup.dedup(make_docs([(i, t, "s") for i, t in rows]).repartition(3)).collect())
+    assert kept((3, a), (5, a), (5, b), (7, c)) == sorted([(3, a), (5, b), (7, c)])
+    assert kept((5, a), (5, b), (6, b), (5, b)) == sorted([(5, a), (5, b)])
+    near = [f"{a} {a} {a} {a} {a} {x}" for x in ("", " ")]
+    assert len({tuple(kept((5, near[k]), (5, near[1 - k]), (8, c))) for k in (0, 1)}) == 1
+
+
 # --- decontamination --------------------------------------------------------
 
 

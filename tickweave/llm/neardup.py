@@ -226,19 +226,34 @@ def hex_of(fp: Column) -> Column:
 def dedup(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """One document of each component: that with the smallest id, with its own columns.
 
-    Of rows that repeat this id one stays; a component without any id keeps one of its rows.
+    Of rows of a component that repeat this id, and of a component without any
+    id, the row with the smallest hashes stays.  A row is told by its id and its
+    fingerprint, so an id that stands in several components keeps one row in
+    each of which it is the smallest.
     """
     found = classes(docs, size)
-    best = found.where("doc_id = component").select(F.col("doc_id").alias("__keep__")).distinct()
-    kept = docs.join(best, docs["doc_id"] == best["__keep__"], "left_semi")
-    again = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and doc_id is not null")
-    if not again.isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
+    best = found.where("doc_id = component").select(F.col("doc_id").alias("__keep__"), F.col("fp").alias("__fp__"), F.col("root").alias("__root__")).distinct()
+    again = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and doc_id is not null").select(F.col("doc_id").alias("__again__"))
+    repeated = not again.isEmpty()
+    once = best.join(again, F.col("__keep__") == F.col("__again__"), "left_anti") if repeated else best
+    kept = docs.join(once.select("__keep__"), docs["doc_id"] == F.col("__keep__"), "left_semi")
+    if repeated:
+        rows = docs.join(again, docs["doc_id"] == F.col("__again__"), "left_semi")
+        met = _with_fingerprint(rows, size).withColumn("__keep__", F.col("doc_id")).join(best, ["__keep__", "__fp__"])
+        kept = kept.unionByName(_one_of_each(met, docs))
     lost = found.where("component is null").select(F.col("fp").alias("__fp__"), F.col("root").alias("__root__")).distinct()
     if lost.isEmpty():
         return kept
-    nameless = _with_fingerprint(docs.where("doc_id is null"), size).join(lost, "__fp__").dropDuplicates(["__root__"])
-    return kept.unionByName(nameless.select(*docs.columns))
+    nameless = _with_fingerprint(docs.where("doc_id is null"), size).join(lost, "__fp__")
+    return kept.unionByName(_one_of_each(nameless, docs))
+
+
+def _one_of_each(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """Of each root the row with the smallest hash of its text, then of its other columns; with the columns of ``docs``."""
+    order = [F.sha2(F.col("text").cast("binary"), 256)]
+    order += [F.xxhash64(F.col(f"`{x.name}`")) for x in docs.schema if "map<" not in x.dataType.simpleString()]
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.groupBy("__root__").agg(F.min_by(whole, F.struct(*order)).alias("__row__")).select("__row__.*")
 
 
 def _with_fingerprint(docs: DataFrame, size: int) -> DataFrame:
