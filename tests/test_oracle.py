@@ -8,7 +8,7 @@ from decimal import Decimal
 import duckdb
 import pytest
 
-from tickweave.plans import catalogue
+from tickweave.plans import catalogue, wire  # noqa: F401  (wire adds its queries)
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
 

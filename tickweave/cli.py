@@ -43,13 +43,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> li
         spark = spark or SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
         asked = spark.createDataFrame([(got.replay_instrument, got.replay_time)], "instrument_id long, time timestamp")
         month = [got.replay_time.strftime("%Y%m")]
-        mine = f"instrument_id = {got.replay_instrument}"
-        minutes = store.read(spark, config.database, "order_book_minute", mine, month)
-        own = f"minute_id & {MAX_INSTRUMENT} = {got.replay_instrument}"
-        answers = replay.books(asked, minutes, store.read(spark, config.database, "order_book_second_delta", own, month))
-        if answers.first()["status"] == "not_found":
+        minute, second = divmod(int(got.replay_time.timestamp()), 60)
+        key = minute << 32 | got.replay_instrument
+        minutes = store.read(spark, config.database, "order_book_minute", f"instrument_id = {got.replay_instrument} and minute_time = timestamp_seconds({minute * 60})", month)
+        deltas = store.read(spark, config.database, "order_book_second_delta", f"minute_id = {key} and second_offset <= {second}", month)
+        answers = replay.books(asked, minutes, deltas)
+        (answer,) = answers.select("status", replay.json_of().alias("value")).collect()
+        if answer.status == "not_found":
             raise SystemExit("not found")
-        out = [x.value for x in replay.as_json(answers).collect()]
+        out = [answer.value]
     else:
         out = []
     print(*out, sep="\n")

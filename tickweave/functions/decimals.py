@@ -35,23 +35,25 @@ def positive(raw: Column) -> Column:
     return F.when(value > 0, value)
 
 
-def _whole(value: Column, step: Column) -> Column:
-    """The quotient where step divides value, else null; ``/`` and not ``div``, which wraps beyond 2**63."""
+def _quotient(value: Column, step: Column, least: Column) -> Column:
+    """value / step where step divides a value of at least ``least``, else null; ``/`` and not ``div``, which wraps beyond 2**63.
+
+    The remainder decides, exactly; value and quotient are computed once each.
+    """
     value, step = value.cast(WIDE), step.cast(WIDE)
-    divides = F.when(step > 0, value % step) == 0
-    return F.when(divides, value / F.when(step > 0, step))
+    return F.when((step > 0) & (value >= least) & (value % step == 0), value / step)
 
 
 def price_tick(value: Column, step: Column) -> Column:
     """Whole ticks from 1 to 2**63-1 as a long, else null: nothing is rounded."""
-    q = _whole(value, step)
-    return F.when((q >= 1) & (q <= F.lit(str(MAX_TICK)).cast("decimal(20,0)")), q.cast("long"))
+    return _quotient(value, step, step.cast(WIDE)).try_cast("long")
 
 
 def quantity_lot(value: Column, step: Column) -> Column:
     """Whole lots from 0 to 2**64-1 as decimal(20,0), else null."""
-    q = _whole(value, step)
-    return F.when((q >= 0) & (q <= F.lit(str(MAX_LOT)).cast("decimal(20,0)")), q.cast("decimal(20,0)"))
+    beyond = F.lit(str(MAX_LOT + 1)).cast("decimal(20,0)")
+    lot = F.least(_quotient(value, step, F.lit(0).cast(WIDE)).try_cast("decimal(26,0)"), beyond.cast("decimal(26,0)"))
+    return F.nullif(lot, beyond.cast("decimal(26,0)")).cast("decimal(20,0)")
 
 
 def price(tick: Column, step: Column) -> Column:

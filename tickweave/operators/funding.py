@@ -25,32 +25,45 @@ def latest(estimates: DataFrame, arrival: str = "arrival") -> DataFrame:
     return newest.select("instrument_id", "funding_time", *[F.col("_row")[c].alias(c) for c in rest])
 
 
+def _hour_after(c: str) -> Column:
+    """The first whole hour that isn't before a time."""
+    return F.timestamp_seconds(F.ceil(F.unix_micros(c) / F.lit(3_600_000_000)) * 3600)
+
+
+def _chosen(found: DataFrame, hours: DataFrame, unavailable: DataFrame | None) -> DataFrame:
+    """Of rows (instrument_id, hour, settlement, own, any) the estimate that stands at each hour that is asked for."""
+    asked = hours.select("instrument_id", "hour").distinct()
+    if unavailable is not None:
+        down = asked.join(unavailable, "instrument_id").where("hour >= from_time and (to_time is null or hour < to_time)").select("instrument_id", "hour")
+        asked = asked.join(down, ["instrument_id", "hour"], "left_anti")
+    chosen = found.select("instrument_id", "hour", "settlement", F.when(F.col("settlement"), F.col("own")).otherwise(F.col("any")).alias("r"))
+    return chosen.where("r is not null").join(asked, ["instrument_id", "hour"], "left_semi").select("instrument_id", "hour", "settlement", "r.*")
+
+
 def at_hours(
     estimates: DataFrame, hours: DataFrame, max_age: str = MAX_AGE, retention: str = RETENTION, arrival: str = "arrival", unavailable: DataFrame | None = None
 ) -> DataFrame:
-    """The estimate that stands at each (instrument_id, hour): rows of those that have one, with rate, funding_time and source_time.
+    """The estimate that stands at each (instrument_id, whole hour): rows of those that have one, with rate, funding_time and source_time.
 
-    Known at an hour is what had arrived by then, of each settlement the
-    latest.  If any known entry, fresh or not, settles in that very hour, only
-    a fresh one that does so counts, so the next period never stands in for a
-    settlement; else the freshest does.  Age bounds are inclusive.
+    Known at an hour is what the feed had said by then, by its source times, of
+    each settlement the latest.  If any known entry, fresh or not, settles in
+    that very hour, only a fresh one that does so counts, so the next period
+    never stands in for a settlement; else the freshest does.  Age bounds are
+    inclusive.  ``at_store`` reads a store that keeps no history instead.
 
-    Estimates are dealt to the hours that could know them: a source time is
-    known for at most ``retention``, so the join is on the instrument and on
-    blocks of that length rather than on all hours.
+    Only the last estimate before each hour can stand, so estimates are first
+    reduced to one for each instrument, settlement and hour, and these are
+    carried on to the hours until the next, for ``retention`` at most.
 
     ``unavailable`` has intervals (instrument_id, from_time, to_time) during
     which a feed was down: hours within have no estimate.
     """
-    seconds = f"cast(unix_seconds(timestamp '1970-01-01 00:00:00Z' + interval '{retention}') as bigint)"
-    block = lambda c: F.expr(f"unix_seconds({c}) div {seconds}")
-    known = estimates.withColumn("_b", F.explode(F.array(block("source_time"), block("source_time") + 1)))
-    asked = hours.select("instrument_id", "hour").distinct().withColumn("_b", block("hour"))
-    if unavailable is not None:
-        down = asked.join(unavailable, "instrument_id").where("hour >= from_time and (to_time is null or hour < to_time)").select("instrument_id", "hour")
-        asked = asked.join(down, ["instrument_id", "hour"], "left_anti")
-    met = known.join(asked, ["instrument_id", "_b"]).where(f"source_time <= hour and source_time >= hour - interval '{retention}'")
-    each = met.groupBy("instrument_id", "hour", "funding_time").agg(F.max_by(F.struct("source_time", "rate", arrival), F.struct("source_time", arrival)).alias("e"))
+    order = F.struct("source_time", arrival)
+    last = estimates.withColumn("hour", _hour_after("source_time")).groupBy("instrument_id", "funding_time", "hour").agg(F.max_by(F.struct("source_time", "rate", arrival), order).alias("e"))
+    next_ = F.lead("hour").over(Window.partitionBy("instrument_id", "funding_time").orderBy("hour"))
+    until = F.date_trunc("hour", F.col("e.source_time") + F.expr(f"interval '{retention}'"))
+    spans = last.withColumn("_to", F.least(until, next_ - F.expr("interval 1 hour"))).where("_to >= hour")
+    each = spans.withColumn("hour", F.explode(F.sequence("hour", "_to", F.expr("interval 1 hour")))).drop("_to")
     fresh = F.expr(f"e.source_time >= hour - interval '{max_age}'")
     settles = F.date_trunc("hour", "funding_time") == F.col("hour")
     order = F.struct("e.source_time", f"e.{arrival}")
@@ -60,8 +73,28 @@ def at_hours(
         F.max_by(F.when(fresh & settles, row), F.when(fresh & settles, order)).alias("own"),
         F.max_by(F.when(fresh, row), F.when(fresh, order)).alias("any"),
     )
-    chosen = F.when(F.col("settlement"), F.col("own")).otherwise(F.col("any"))
-    return found.select("instrument_id", "hour", "settlement", chosen.alias("r")).where("r is not null").select("instrument_id", "hour", "settlement", "r.*")
+    return _chosen(found, hours, unavailable)
+
+
+def at_store(store: DataFrame, hours: DataFrame, max_age: str = MAX_AGE, arrival: str = "arrival", unavailable: DataFrame | None = None) -> DataFrame:
+    """The same from a store that keeps the latest estimate of each settlement alone (``latest``), as it is read afterwards.
+
+    An entry whose source time is after the hour is no candidate, yet if it
+    settles in that hour it rules the other settlements out: the earlier entry
+    that it replaced is gone.
+    """
+    until = F.date_trunc("hour", F.col("source_time") + F.expr(f"interval '{max_age}'"))
+    row, order = F.struct("funding_time", "source_time", "rate"), F.struct("source_time", arrival)
+    own = F.date_trunc("hour", "funding_time")
+    first = _hour_after("source_time")
+    fresh = store.withColumn("hour", F.explode(F.when(until >= first, F.sequence(first, until, F.expr("interval 1 hour")))))
+    fresh = fresh.select("instrument_id", "hour", (own == F.col("hour")).alias("settles"), row.alias("row"), order.alias("order"))
+    flags = store.select("instrument_id", own.alias("hour"), F.lit(True).alias("settles"), F.lit(None).cast(fresh.schema["row"].dataType).alias("row"), F.lit(None).cast(fresh.schema["order"].dataType).alias("order"))
+    settles = F.col("settles")
+    found = fresh.unionByName(flags).groupBy("instrument_id", "hour").agg(
+        F.bool_or("settles").alias("settlement"), F.max_by(F.when(settles, F.col("row")), F.when(settles, F.col("order"))).alias("own"), F.max_by("row", "order").alias("any")
+    )
+    return _chosen(found, hours, unavailable)
 
 
 def hourly_rates(at_hour: DataFrame) -> DataFrame:

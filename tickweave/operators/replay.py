@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -10,25 +10,26 @@ from tickweave.functions import ids
 from tickweave.schemas import DEPTH, SIDES
 
 
+def levels(prices: str, qtys: str) -> Column:
+    """Both sides' levels, given the names of their arrays behind ``bid`` and ``ask``, as one array of (side, price, qty)."""
+
+    def one(side: str) -> Column:
+        pairs = F.arrays_zip(F.col(f"{side}_{prices}").alias("price"), F.col(f"{side}_{qtys}").alias("qty"))
+        return F.transform(pairs, lambda x: F.struct(F.lit(side).alias("side"), x["price"].alias("price"), x["qty"].alias("qty")))
+
+    return F.concat(*map(one, SIDES))
+
+
 def writes(minutes: DataFrame, deltas: DataFrame) -> DataFrame:
     """Rows (minute_id, second, side, price, qty): the anchor's levels at second 0, then every change.
 
     Deltas count only with their minute, as the minute is what makes them
     visible, and only at seconds that it has as valid.
     """
-    parts = []
-    for side in SIDES:
-        pairs = F.arrays_zip(F.col(f"{side}_prices").alias("price"), F.col(f"{side}_qtys").alias("qty"))
-        parts.append(minutes.select(F.col("id").alias("minute_id"), F.lit(0).alias("second"), F.lit(side).alias("side"), F.explode(pairs).alias("x")))
+    first = minutes.select(F.col("id").alias("minute_id"), F.lit(0).alias("second"), F.inline(levels("prices", "qtys")))
     held = deltas.join(minutes.select(F.col("id").alias("minute_id"), "valid_bitmap"), "minute_id")
     held = held.where(ids.is_set(F.col("valid_bitmap"), F.col("second_offset")))
-    for side in SIDES:
-        pairs = F.arrays_zip(F.col(f"{side}_change_prices").alias("price"), F.col(f"{side}_change_qtys").alias("qty"))
-        parts.append(held.select("minute_id", F.col("second_offset").alias("second"), F.lit(side).alias("side"), F.explode(pairs).alias("x")))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.select("minute_id", "second", "side", F.col("x.price").alias("price"), F.col("x.qty").alias("qty"))
+    return first.unionByName(held.select("minute_id", F.col("second_offset").alias("second"), F.inline(levels("change_prices", "change_qtys"))))
 
 
 def last_writes(rows: DataFrame, keys: list[str], order: str = "second", depth: int = DEPTH) -> DataFrame:
@@ -79,25 +80,23 @@ def books(requests: DataFrame, minutes: DataFrame, deltas: DataFrame, depth: int
     found = found.withColumn("status", status)
     valid = found.where("status = 'valid'")
     keys = ["minute_id", "second"]
-    parts = []
-    for side in SIDES:
-        pairs = F.arrays_zip(F.col(f"{side}_prices").alias("price"), F.col(f"{side}_qtys").alias("qty"))
-        parts.append(valid.select(*keys, F.lit(0).alias("at"), F.lit(side).alias("side"), F.explode(pairs).alias("x")))
+    first = valid.select(*keys, F.lit(0).alias("at"), F.inline(levels("prices", "qtys")))
     near = valid.select(*keys, "valid_bitmap").join(deltas, "minute_id").where("second_offset <= second").where(ids.is_set(F.col("valid_bitmap"), F.col("second_offset")))
-    for side in SIDES:
-        pairs = F.arrays_zip(F.col(f"{side}_change_prices").alias("price"), F.col(f"{side}_change_qtys").alias("qty"))
-        parts.append(near.select(*keys, F.col("second_offset").alias("at"), F.lit(side).alias("side"), F.explode(pairs).alias("x")))
-    rows = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
-    levels = last_writes(rows.select(*keys, "at", "side", "x.price", "x.qty"), keys, "at", depth)
+    rows = first.unionByName(near.select(*keys, F.col("second_offset").alias("at"), F.inline(levels("change_prices", "change_qtys"))))
+    held = last_writes(rows, keys, "at", depth)
     sides = []
     for side in SIDES:
         pairs = F.sort_array(F.collect_list(F.when(F.col("side") == side, F.struct("level", "price", "qty"))))
         sides += [F.transform(pairs, lambda x: x["price"]).alias(f"{side}_prices"), F.transform(pairs, lambda x: x["qty"]).alias(f"{side}_qtys")]
-    return found.select("instrument_id", "time", *keys, "status").join(levels.groupBy(*keys).agg(*sides), keys, "left").drop(*keys)
+    return found.select("instrument_id", "time", *keys, "status").join(held.groupBy(*keys).agg(*sides), keys, "left").drop(*keys)
 
 
-def as_json(answers: DataFrame) -> DataFrame:
-    """One JSON object for each answer: valid, and the snapshot only if it is."""
+def json_of() -> Column:
+    """An answer as a JSON object: valid, and the snapshot only if it is."""
     book = F.struct(*[f"{s}_{k}" for s in SIDES for k in ("prices", "qtys")], F.col("time").alias("source_time"))
     valid = F.col("status") == "valid"
-    return answers.select(F.to_json(F.struct(valid.alias("valid"), F.when(valid, book).alias("snapshot"))).alias("value"))
+    return F.to_json(F.struct(valid.alias("valid"), F.when(valid, book).alias("snapshot")))
+
+
+def as_json(answers: DataFrame) -> DataFrame:
+    return answers.select(json_of().alias("value"))

@@ -11,7 +11,8 @@ from pyspark.sql.window import Window
 from tickweave.functions import decimals, ids
 from tickweave.operators import book, funding, registry, replay, sampler, validate, versions, yields
 from tickweave.plans import projection as p
-from tickweave.plans.projection import BOOK_DEPTH, table
+from tickweave.plans.projection import PRICES, table
+from tickweave.schemas import DEPTH
 from tickweave.sources.binance import field, whole
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,21 +25,21 @@ _EV = (
     "FROM (SELECT DISTINCT event_type FROM events)) t USING (event_type))"
 )
 _WR = _EV + (
-    ", wr AS (SELECT instrument_id, sec, sec // 60 AS minute, sec % 60 AS second, CASE WHEN event_id % 2 = 0 THEN 'bid' ELSE 'ask' END AS side, "
-    "CAST(CASE WHEN event_id % 2 = 0 THEN 40 - user_id % 40 ELSE 41 + user_id % 40 END AS BIGINT) AS price, CAST(event_id % 4 AS BIGINT) AS qty, event_id "
+    ", wr AS MATERIALIZED (SELECT instrument_id, sec, sec // 60 AS minute, sec % 60 AS second, CASE WHEN event_id % 2 = 0 THEN 'bid' ELSE 'ask' END AS side, "
+    f"CAST(CASE WHEN event_id % 2 = 0 THEN {PRICES} - user_id % {PRICES} ELSE {PRICES + 1} + user_id % {PRICES} END AS BIGINT) AS price, CAST(event_id % 4 AS BIGINT) AS qty, event_id "
     "FROM (SELECT *, CAST((day(ts) - 1) * 24 + hour(ts) AS BIGINT) AS sec FROM ev))"
 )
 _SAMPLES = _WR + (
     ", lastw AS (SELECT instrument_id, side, price, sec, arg_max(qty, event_id) AS qty FROM wr GROUP BY ALL), "
     "secs AS (SELECT CAST(unnest(range(0, (SELECT max(sec) + 1 FROM wr))) AS BIGINT) AS sec), "
     "grid AS (SELECT instrument_id, side, price, sec FROM (SELECT DISTINCT instrument_id, side, price FROM wr), secs), "
-    "state AS (SELECT instrument_id, side, price, sec, last_value(qty IGNORE NULLS) OVER (PARTITION BY instrument_id, side, price ORDER BY sec) AS qty "
+    "state AS MATERIALIZED (SELECT instrument_id, side, price, sec, last_value(qty IGNORE NULLS) OVER (PARTITION BY instrument_id, side, price ORDER BY sec) AS qty "
     "FROM grid LEFT JOIN lastw USING (instrument_id, side, price, sec)), "
-    "valid AS (SELECT instrument_id, sec, sec // 60 AS minute, sec % 60 AS second FROM (SELECT DISTINCT instrument_id FROM wr), secs WHERE (instrument_id + sec) % 7 <> 3), "
-    "anch AS (SELECT instrument_id, minute, CAST(sum(CAST(1 AS BIGINT) << second) AS BIGINT) AS valid_bitmap FROM valid GROUP BY 1, 2 HAVING min(second) = 0), "
-    "top AS (SELECT * FROM (SELECT s.instrument_id, v.minute, v.second, s.side, s.price, s.qty, row_number() OVER (PARTITION BY s.instrument_id, s.sec, s.side "
+    "valid AS MATERIALIZED (SELECT instrument_id, sec, sec // 60 AS minute, sec % 60 AS second FROM (SELECT DISTINCT instrument_id FROM wr), secs WHERE (instrument_id + sec) % 7 <> 3), "
+    "anch AS MATERIALIZED (SELECT instrument_id, minute, CAST(sum(CAST(1 AS BIGINT) << second) AS BIGINT) AS valid_bitmap FROM valid GROUP BY 1, 2 HAVING min(second) = 0), "
+    "top AS MATERIALIZED (SELECT * FROM (SELECT s.instrument_id, v.minute, v.second, s.side, s.price, s.qty, row_number() OVER (PARTITION BY s.instrument_id, s.sec, s.side "
     "ORDER BY CASE WHEN s.side = 'bid' THEN -s.price ELSE s.price END) AS level FROM state s JOIN valid v USING (instrument_id, sec) WHERE s.qty > 0) "
-    f"WHERE level <= {BOOK_DEPTH})"
+    f"WHERE level <= {DEPTH})"
 )
 
 
@@ -147,18 +148,17 @@ def settlement_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     "delta_encoding",
     f"WITH {_SAMPLES}, vs AS (SELECT v.*, lag(second) OVER (PARTITION BY v.instrument_id, v.minute ORDER BY second) AS before FROM valid v JOIN anch USING (instrument_id, minute)), "
     "cur AS (SELECT v.instrument_id, v.minute, v.second, t.side, t.price, t.qty FROM vs v JOIN top t USING (instrument_id, minute, second) WHERE v.second > 0), "
-    "prv AS (SELECT v.instrument_id, v.minute, v.second, t.side, t.price, t.qty FROM vs v JOIN top t ON t.instrument_id = v.instrument_id AND t.minute = v.minute AND t.second = v.before) "
-    "SELECT coalesce(c.instrument_id, q.instrument_id) AS instrument_id, coalesce(c.minute, q.minute) AS minute, CAST(coalesce(c.second, q.second) AS INT) AS second, "
-    "coalesce(c.side, q.side) AS side, coalesce(c.price, q.price) AS price, coalesce(c.qty, 0) AS qty FROM cur c FULL JOIN prv q ON c.instrument_id = q.instrument_id "
-    "AND c.minute = q.minute AND c.second = q.second AND c.side = q.side AND c.price = q.price WHERE c.qty IS DISTINCT FROM q.qty",
+    "prv AS (SELECT v.instrument_id, v.minute, v.second, t.side, t.price, t.qty FROM vs v JOIN top t ON t.instrument_id = v.instrument_id AND t.minute = v.minute AND t.second = v.before), "
+    "both_ AS (SELECT instrument_id, minute, second, side, price, qty AS now, NULL AS was FROM cur UNION ALL SELECT instrument_id, minute, second, side, price, NULL, qty FROM prv) "
+    "SELECT instrument_id, minute, CAST(second AS INT) AS second, side, price, coalesce(max(now), 0) AS qty FROM both_ GROUP BY instrument_id, minute, second, side, price HAVING max(now) IS DISTINCT FROM max(was)",
 )
 def delta_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    top = sampler.rank_levels(p.samples(spark, sf_dir), BOOK_DEPTH)
+    top = sampler.rank_levels(p.samples(spark, sf_dir), DEPTH)
     return sampler.changes(top, p.held_seconds(spark, sf_dir)).withColumn("second", F.col("second").cast("int"))
 
 
 def _stored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return sampler.encode(p.samples(spark, sf_dir), p.held_seconds(spark, sf_dir), BOOK_DEPTH)
+    return sampler.encode(p.samples(spark, sf_dir), p.held_seconds(spark, sf_dir), DEPTH)
 
 
 @_query(
@@ -167,7 +167,7 @@ def _stored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     "FROM top t JOIN anch USING (instrument_id, minute)",
 )
 def encode_replay_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    levels = replay.every_second(*_stored(spark, sf_dir), BOOK_DEPTH)
+    levels = replay.every_second(*_stored(spark, sf_dir), DEPTH)
     return levels.select("minute_id", "second", "side", "price", F.col("qty").cast("long").alias("qty"), "level")
 
 
@@ -177,7 +177,7 @@ def encode_replay_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     "FROM top t JOIN anch USING (instrument_id, minute) WHERE t.second = 59",
 )
 def stored_at_second_59(spark: SparkSession, sf_dir: str) -> DataFrame:
-    levels = replay.at_second(*_stored(spark, sf_dir), 59, BOOK_DEPTH)
+    levels = replay.at_second(*_stored(spark, sf_dir), 59, DEPTH)
     return levels.select("minute_id", "side", "price", F.col("qty").cast("long").alias("qty"), "level")
 
 
@@ -193,7 +193,7 @@ def stored_at_second_59(spark: SparkSession, sf_dir: str) -> DataFrame:
 def replay_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     shift = F.when(F.col("event_id") % 13 == 0, 1000).otherwise(0)
     asked = p.writes(spark, sf_dir).select((F.col("instrument_id") + shift).alias("instrument_id"), F.timestamp_seconds("sec").alias("time")).distinct()
-    found = replay.books(asked, *_stored(spark, sf_dir), BOOK_DEPTH)
+    found = replay.books(asked, *_stored(spark, sf_dir), DEPTH)
     sums = lambda c: F.aggregate(c, F.lit(0).cast("decimal(30,0)"), lambda a, x: (a + x).cast("decimal(30,0)"))
     return found.select(
         "instrument_id", F.unix_seconds("time").alias("time_s"), "status", F.get("bid_prices", F.lit(0)).alias("bid"),
@@ -205,7 +205,7 @@ def replay_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 _WIDE = ", ".join(
     f"coalesce(max(CASE WHEN t.side = '{s}' AND t.level = {n} THEN t.{c} END), 0) AS {s}_{k}_{n:02d}"
     for s in ("bid", "ask")
-    for n in range(1, BOOK_DEPTH + 1)
+    for n in range(1, DEPTH + 1)
     for k, c in (("price", "price"), ("qty", "qty"))
 )
 
@@ -216,7 +216,7 @@ _WIDE = ", ".join(
     "LEFT JOIN top t ON t.instrument_id = a.instrument_id AND t.minute = a.minute AND t.second = 0 GROUP BY a.minute, a.instrument_id, a.valid_bitmap",
 )
 def wide_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = sampler.widen(_stored(spark, sf_dir)[0], BOOK_DEPTH)
+    wide = sampler.widen(_stored(spark, sf_dir)[0], DEPTH)
     levels = [F.col(c).cast("long").alias(c) for c in wide.columns[4:]]
     return wide.select("id", "instrument_id", F.unix_seconds("minute_time").alias("minute_s"), "valid_bitmap", *levels)
 
@@ -515,13 +515,26 @@ def staking_rewards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return yields.staking(rows, 1_000_000, 270_000)
 
 
-@_query("stateful_books")
+_BOOKS = (
+    f"WITH {_EV}, up AS (SELECT instrument_id, event_id + 1 AS seq, CASE WHEN event_id % 2 = 0 THEN 'bid' ELSE 'ask' END AS side, "
+    f"CAST(CASE WHEN event_id % 2 = 0 THEN {PRICES} - user_id % {PRICES} ELSE {PRICES + 1} + user_id % {PRICES} END AS BIGINT) AS price, CAST(event_id % 4 AS BIGINT) AS qty FROM ev "
+    f"UNION ALL SELECT instrument_id, 0, s.side, s.price, 1 FROM (SELECT DISTINCT instrument_id FROM ev), (VALUES ('bid', {PRICES}), ('ask', {PRICES + 1})) s(side, price)), "
+    "cells AS (SELECT t.instrument_id, t.seq, c.side, c.price FROM (SELECT DISTINCT instrument_id, seq FROM up) t JOIN (SELECT DISTINCT instrument_id, side, price FROM up) c USING (instrument_id)), "
+    "held AS (SELECT instrument_id, seq, side, price, last_value(u.qty IGNORE NULLS) OVER (PARTITION BY instrument_id, side, price ORDER BY seq) AS qty FROM cells LEFT JOIN up u USING (instrument_id, seq, side, price)), "
+    "best AS (SELECT *, row_number() OVER (PARTITION BY instrument_id, seq, side ORDER BY CASE WHEN side = 'bid' THEN -price ELSE price END) AS level FROM held WHERE qty > 0), "
+    f"sides AS (SELECT instrument_id, seq, string_agg(price || ':' || qty, ' ' ORDER BY level) FILTER (side = 'bid') AS bids, string_agg(price || ':' || qty, ' ' ORDER BY level) FILTER (side = 'ask') AS asks FROM best WHERE level <= {DEPTH} GROUP BY 1, 2) "
+    "SELECT t.instrument_id, CAST(t.seq AS BIGINT) AS arrival_seq, 'valid' AS state, CAST(t.seq AS BIGINT) AS sequence, CASE WHEN bids IS NOT NULL AND asks IS NOT NULL THEN bids ELSE '' END AS bids, "
+    "CASE WHEN bids IS NOT NULL AND asks IS NOT NULL THEN asks ELSE '' END AS asks FROM (SELECT DISTINCT instrument_id, seq FROM up) t LEFT JOIN sides USING (instrument_id, seq)"
+)
+
+
+@_query("stateful_books", _BOOKS)
 def stateful_books(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as an update of its instrument's book, after one snapshot; the state machine's view after each."""
     rows = p.events(spark, sf_dir)
     bid = F.col("event_id") % 2 == 0
     level = F.array(F.struct(
-        F.when(bid, 40 - F.col("user_id") % 40).otherwise(41 + F.col("user_id") % 40).cast("long").alias("price"), (F.col("event_id") % 4).cast("decimal(20,0)").alias("qty")
+        F.when(bid, PRICES - F.col("user_id") % PRICES).otherwise(PRICES + 1 + F.col("user_id") % PRICES).cast("long").alias("price"), (F.col("event_id") % 4).cast("decimal(20,0)").alias("qty")
     ))
     none = F.array().cast("array<struct<price:bigint,qty:decimal(20,0)>>")
     before = F.coalesce(F.lag("event_id").over(Window.partitionBy("instrument_id").orderBy("event_id")) + 1, F.lit(0))
@@ -535,6 +548,8 @@ def stateful_books(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = lambda price: F.array(F.struct(F.lit(price).cast("long").alias("price"), F.lit(1).cast("decimal(20,0)").alias("qty")))
     snapshots = rows.select("instrument_id").distinct().select(
         *common, F.lit(0).cast("long").alias("arrival_seq"), start.alias("arrival_time"), F.lit("snapshot").alias("kind"), F.lit(None).cast("long").alias("first_id"),
-        F.lit(0).cast("long").alias("final_id"), F.lit(-1).cast("long").alias("prev_id"), start.alias("source_time"), one(40).alias("bids"), one(41).alias("asks"),
+        F.lit(0).cast("long").alias("final_id"), F.lit(-1).cast("long").alias("prev_id"), start.alias("source_time"), one(PRICES).alias("bids"), one(PRICES + 1).alias("asks"),
     )
-    return book.replay_log(snapshots.unionByName(updates), depth=5)
+    found = book.replay_log(snapshots.unionByName(updates))
+    levels = lambda side: F.array_join(F.transform(F.arrays_zip(F.col(f"{side}_prices").alias("p"), F.col(f"{side}_qtys").alias("q")), lambda x: F.concat_ws(":", x["p"].cast("string"), x["q"].cast("string"))), " ")
+    return found.select("instrument_id", "arrival_seq", "state", "sequence", levels("bid").alias("bids"), levels("ask").alias("asks"))

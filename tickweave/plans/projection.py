@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-BOOK_DEPTH = 10
+#: Prices a side, more than the depth that is kept.
+PRICES = 60
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,13 +22,13 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def writes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows (instrument_id, sec, minute, second, side, price, qty, event_id): bids at ticks 1 to 40, asks at 41 to 80, which never cross."""
+    """Rows (instrument_id, sec, minute, second, side, price, qty, event_id): bids at ticks 1 to 60, asks at 61 to 120, which never cross."""
     bid = F.col("event_id") % 2 == 0
     sec = (F.dayofmonth("ts") - 1) * 24 + F.hour("ts")
     return events(spark, sf_dir).select(
         "instrument_id", sec.alias("sec"), F.floor(sec / 60).cast("long").alias("minute"), (sec % 60).alias("second"),
         F.when(bid, "bid").otherwise("ask").alias("side"),
-        F.when(bid, 40 - F.col("user_id") % 40).otherwise(41 + F.col("user_id") % 40).cast("long").alias("price"),
+        F.when(bid, PRICES - F.col("user_id") % PRICES).otherwise(PRICES + 1 + F.col("user_id") % PRICES).cast("long").alias("price"),
         (F.col("event_id") % 4).alias("qty"), "event_id",
     )
 
