@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 
 from tickweave import schemas
-from tickweave.operators import book
+from tickweave.operators import book, replay, sampler
 from tickweave.operators.book import INVALID, VALID, Book, BookError, Feed
 from tickweave.sources import feed as feeds
 from tickweave.streaming import books as streaming
@@ -130,3 +130,60 @@ def test_set_based_continuity(spark):
     rows = spark.createDataFrame([(1, 1, 0, 1, 5), (1, 2, 5, 6, 7), (1, 3, 5, 6, 7), (1, 4, 8, 9, 10)], "k int, arrival_seq int, prev_id int, first_id int, final_id int")
     assert [(x.arrival_seq, x.gap) for x in book.chain_breaks(rows, ["k"]).orderBy("arrival_seq").collect()] == [(1, False), (2, False), (4, True)]
     assert [(x.arrival_seq, x.gap) for x in book.range_breaks(rows, ["k"]).orderBy("arrival_seq").collect()] == [(1, False), (2, False), (4, True)]
+
+
+def test_stream_of_minutes_is_the_batch(spark, tmp_path):
+    """Three minutes of one book, with a gap in the second and a snapshot after it: stored rows and deltas as in batch."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    start = datetime(2026, 1, 2, 3, 4, 0)
+
+    def row(seq, kind, prev, bids, asks, at):
+        return (7, "OKX", "perpetual", 1, seq, start + timedelta(seconds=at), kind, None, seq + 1, prev, T0, [(p, Decimal(q)) for p, q in bids], [(p, Decimal(q)) for p, q in asks])
+
+    rows = [row(0, "snapshot", -1, [(100, 5), (99, 2)], [(102, 5)], 0)]
+    for i in range(1, 60):
+        at = i * 3.3
+        if i == 25:
+            rows.append(row(i, "update", 3, [], [(103, 1)], at))  # a gap: invalid until the snapshot
+        elif i == 30:
+            rows.append(row(i, "snapshot", -1, [(98, 1)], [(101, 1)], at))
+        else:
+            rows.append(row(i, "update", i, [(100 - i % 4, i % 3)], [(102 + i % 2, 1 + i % 2)], at))
+    log = spark.createDataFrame(rows, schemas.BOOK_EVENT)
+    views = book.replay_log(log).withColumn("to_time", F.lead("arrival_time").over(Window.partitionBy("instrument_id").orderBy("arrival_seq"))).withColumnRenamed("arrival_time", "from_time")
+    grid = sampler.sample_grid(views).where("state = 'valid' and size(bid_prices) > 0")
+    at = F.unix_seconds("second_time")
+    seconds = grid.select("instrument_id", F.floor(at / 60).cast("long").alias("minute"), (at % 60).cast("int").alias("second"), "bid_prices", "bid_qtys", "ask_prices", "ask_qtys")
+    levels = seconds.select("instrument_id", "minute", "second", F.inline(replay.levels("prices", "qtys"))).withColumn("qty", F.col("qty").cast("decimal(20,0)"))
+    minutes, deltas = sampler.encode(levels, seconds.select("instrument_id", "minute", "second"))
+    last = max(x.minute for x in seconds.collect())
+    plain = lambda df, key: sorted(tuple(map(str, x)) for x in df.orderBy(*key).collect())
+    source, seen = str(tmp_path / "log"), str(tmp_path / "checkpoint")
+    for part in (log.where("arrival_seq < 20"), log.where("arrival_seq >= 20")):
+        part.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schemas.BOOK_EVENT).parquet(source)
+        streaming.append_each_batch(streaming.minutes(stream), str(tmp_path / "out"), seen).awaitTermination(120)
+    got_minutes, got_deltas = streaming.split_minutes(spark.read.parquet(str(tmp_path / "out")))
+    whole = minutes.where(F.unix_seconds("minute_time") < last * 60)
+    names = [x.name for x in schemas.MINUTE]
+    assert plain(got_minutes.select(names), ["id"]) == plain(whole.select(names), ["id"]) and whole.count() == 3
+    kept = deltas.join(whole.select(F.col("id").alias("minute_id")), "minute_id", "left_semi")
+    names = [x.name for x in schemas.DELTA]
+    assert plain(got_deltas.select(names), ["minute_id", "second_offset"]) == plain(kept.select(names), ["minute_id", "second_offset"]) and kept.count() > 20
+
+
+def test_stream_of_estimates(spark, tmp_path):
+    hour = datetime(2026, 1, 2, 8)
+    schema = "instrument_id long, kind string, arrival_seq long, funding_time timestamp, rate decimal(38,18), source_time timestamp"
+    put = lambda seq, rate, ago, target=hour: (1, "estimate", seq, target, Decimal(rate), hour - timedelta(seconds=ago))
+    rows = [put(0, "0.1", 90), put(1, "0.2", 95), put(2, "0.3", 90), (1, "unavailable", 3, None, None, None), put(4, "0.4", 99), put(5, "0.5", 10), put(6, "0.6", 5, hour + timedelta(hours=8))]
+    source, seen = str(tmp_path / "in"), str(tmp_path / "checkpoint")
+    for part in (rows[:3], rows[3:]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        streaming.append_each_batch(streaming.latest_estimates(stream), str(tmp_path / "out"), seen).awaitTermination(120)
+    got = spark.read.parquet(str(tmp_path / "out")).orderBy("_ingest_seq").collect()
+    # an older one is passed over, an equal source time replaces, and only what is taken ends an outage
+    assert [(str(x.rate)[:3] if x.rate is not None else None, x.available) for x in got] == [("0.1", True), ("0.3", True), (None, False), ("0.5", True), ("0.6", True)]

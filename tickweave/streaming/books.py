@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from datetime import datetime, timezone
+from decimal import Decimal
 from typing import Any
 
 import pandas as pd
@@ -15,6 +16,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from tickweave.operators.book import VIEW, Book, Feed, event_of, view
 from tickweave.operators.versions import SEQ
+from tickweave.schemas import DELTA, ESTIMATE, MINUTE, SIDES
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -63,9 +65,140 @@ def books(events: DataFrame) -> DataFrame:
     return events.groupBy("instrument_id").transformWithStateInPandas(BookProcessor(), outputStructType=VIEW, outputMode="append", timeMode="none")
 
 
-def latest_estimates(estimates: DataFrame, delay: str = "48 hours") -> DataFrame:
-    """A stream's estimates without repeats of the same settlement and source time, forgotten after 48 hours."""
-    return estimates.withWatermark("source_time", delay).dropDuplicatesWithinWatermark(["instrument_id", "funding_time", "source_time"])
+def _seconds(time: Any) -> int:
+    """The first whole second that isn't before a time."""
+    return -(-pd.Timestamp(time).value // 1_000_000_000)
+
+
+class Minute:
+    """One minute of samples as it fills: an anchor at second 0, then what differs from the last valid second."""
+
+    def __init__(self, number: int, bitmap: int = 0, anchor: list | None = None, last: list | None = None, deltas: list | None = None) -> None:
+        self.number, self.bitmap, self.anchor, self.last, self.deltas = number, bitmap, anchor, last, deltas or []
+
+    def sample(self, second: int, top: list | None) -> None:
+        """A second's best levels, None if it isn't valid; without a valid second 0 nothing is kept."""
+        if top is None or (self.anchor is None and second > 0):
+            return
+        self.bitmap |= 1 << second
+        if self.anchor is None:
+            self.anchor = top
+        elif top != self.last:
+            sides = []
+            for old, new, down in zip(self.last, top, (True, False), strict=True):
+                was, now = dict(map(tuple, old)), dict(map(tuple, new))
+                changed = sorted((p for p in was.keys() | now.keys() if was.get(p) != now.get(p)), reverse=down)
+                sides.append([[p, now.get(p, 0)] for p in changed])
+            self.deltas.append([second, *sides])
+        self.last = top
+
+    def row(self, instrument: int) -> dict:
+        names = [f"{s}_{n}" for s in SIDES for n in ("prices", "qtys")]
+        flat = lambda sides: [x for side in sides for x in ([p for p, _ in side], [Decimal(q) for _, q in side])]
+        time = pd.Timestamp(self.number * 60, unit="s")
+        deltas = [{"second_offset": s} | dict(zip([n.replace("_", "_change_", 1) for n in names], flat(sides), strict=True)) for s, *sides in self.deltas]
+        head = {"id": self.number << 32 | instrument, "instrument_id": instrument, "minute_time": time, "valid_bitmap": self.bitmap}
+        return head | dict(zip(names, flat(self.anchor), strict=True)) | {"deltas": deltas}
+
+
+#: A whole minute: the stored row and its deltas.
+WHOLE_MINUTE = T.StructType([*MINUTE.fields, T.StructField("deltas", T.ArrayType(T.StructType([x for x in DELTA if x.name != "minute_id"])))])
+
+
+class MinuteProcessor(StatefulProcessor):
+    """One instrument's book sampled at whole seconds of arrival time; a minute comes out when an event of a later one is seen.
+
+    A second has the state after the last event at or before it.  The minute
+    that is under way waits in the state, also over a restart.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("minute", T.StructType([T.StructField("feed", T.StringType()), T.StructField("minute", T.StringType())]))
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        feed, conn, minute, due = None, None, None, None
+        if self.state.exists():
+            packed, own = self.state.get()
+            (feed, conn), (due, fields) = _unpack(packed), json.loads(own)
+            minute = None if fields is None else Minute(*fields)
+        out = []
+        for row in pd.concat(list(rows)).sort_values("arrival_seq").to_dict("records"):
+            second = _seconds(row["arrival_time"])
+            if due is not None and second > due:
+                top = feed.book.top()
+                top = None if top is None else [[list(x) for x in side] for side in top]
+                for s in range(due, second):
+                    if minute is None or minute.number != s // 60:
+                        if minute is not None and minute.anchor is not None:
+                            out.append(minute.row(int(row["instrument_id"])))
+                        minute = Minute(s // 60)
+                    minute.sample(s % 60, top)
+            due = second if due is None else max(due, second)
+            if feed is None or row["conn_id"] != conn:
+                feed, conn = Feed.of(row["exchange"], row["market_type"]), int(row["conn_id"])
+            feed.apply(event_of(row))
+        fields = None if minute is None else [minute.number, minute.bitmap, minute.anchor, minute.last, minute.deltas]
+        self.state.update((_pack(feed, conn), json.dumps([due, fields])))
+        yield pd.DataFrame(out, columns=WHOLE_MINUTE.names)
+
+    def close(self) -> None:
+        pass
+
+
+def minutes(events: DataFrame) -> DataFrame:
+    """Whole minutes (WHOLE_MINUTE) of a stream of schemas.BOOK_EVENT; needs the RocksDB state store."""
+    return events.groupBy("instrument_id").transformWithStateInPandas(MinuteProcessor(), outputStructType=WHOLE_MINUTE, outputMode="append", timeMode="none")
+
+
+def split_minutes(whole: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(minutes, deltas) as they are stored, for a batch of whole minutes."""
+    return whole.drop("deltas"), whole.select(F.col("id").alias("minute_id"), F.inline("deltas"))
+
+
+ESTIMATE_STATE = T.StructType([*ESTIMATE.fields, T.StructField("available", T.BooleanType())])
+RETENTION_US = 48 * 3_600_000_000
+
+
+class EstimateProcessor(StatefulProcessor):
+    """One instrument's estimates: of each settlement the latest by source time, and whether its feed is up.
+
+    An older estimate is passed over; an equal source time replaces.  A row of
+    kind ``unavailable`` says that the feed is down; only an estimate that is
+    taken says that it is up again.  Settlements whose source time is 48 hours
+    behind the newest are forgotten.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.held = handle.getMapState("held", T.StructType([T.StructField("funding", T.LongType())]), T.StructType([T.StructField("source", T.LongType())]))
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        out, newest = [], None
+        for row in pd.concat(list(rows)).sort_values("arrival_seq").to_dict("records"):
+            base = {"instrument_id": row["instrument_id"], "funding_time": None, "rate": None, "source_time": None, "available": False}
+            if row["kind"] == "unavailable":
+                out.append(base)
+                continue
+            target, source = (pd.Timestamp(row[c]).value // 1000 for c in ("funding_time", "source_time"))
+            if self.held.containsKey((target,)) and self.held.getValue((target,))[0] > source:
+                continue
+            self.held.updateValue((target,), (source,))
+            newest = source if newest is None else max(newest, source)
+            out.append(base | {c: row[c] for c in ("funding_time", "rate", "source_time")} | {"available": True})
+        if newest is not None:
+            for target in [k for k, v in self.held.iterator() if v[0] < newest - RETENTION_US]:
+                self.held.removeKey(target)
+        yield pd.DataFrame(out, columns=ESTIMATE_STATE.names)
+
+    def close(self) -> None:
+        pass
+
+
+def latest_estimates(estimates: DataFrame) -> DataFrame:
+    """What a stream of estimates (with ``kind`` and ``arrival_seq``) leaves to be known: rows that are taken, and when a feed goes down.
+
+    The last row of an instrument and settlement is what the store holds.
+    """
+    return estimates.groupBy("instrument_id").transformWithStateInPandas(EstimateProcessor(), outputStructType=ESTIMATE_STATE, outputMode="append", timeMode="none")
 
 
 def confirmation_tasks(estimates: DataFrame, delay: str = "48 hours") -> DataFrame:
