@@ -121,3 +121,27 @@ def test_registry(spark):
     for wrong in (["a"], ["A", "A"]):
         with pytest.raises((LookupError, ValueError)):
             registry.select_in_order(names, wrong)
+
+
+def test_confirmation_is_written_back(spark):
+    """Estimates of two settlements; one is answered, a late estimate doesn't replace it, and the other stays open."""
+    from datetime import datetime, timedelta
+    from decimal import Decimal
+
+    from pyspark.sql import functions as F
+
+    from tickweave import schemas
+    from tickweave.sources import store
+
+    store.init(spark, "confirmed")
+    hour = datetime(2026, 3, 1, 8)
+    rows = lambda rate, actual: spark.createDataFrame([(i, hour, hour, Decimal(rate), actual) for i in (1, 2)], schemas.FUNDING)
+    store.upsert_rates(rows("0.0001", False), "confirmed", F.lit(1))
+    tasks = spark.createDataFrame([(1, hour), (2, hour)], "instrument_id long, funding_time timestamp")
+    answers = spark.createDataFrame([(1, hour, Decimal("0.0002")), (2, hour + timedelta(milliseconds=1), Decimal("0.0009"))], "instrument_id long, funding_time timestamp, rate decimal(38,18)")
+    assert [x.instrument_id for x in store.confirm(tasks, answers, "confirmed", F.lit(2)).collect()] == [2]
+    store.upsert_rates(rows("0.0003", False), "confirmed", F.lit(3))
+    store.upsert_rates(rows("0.0003", False), "confirmed", F.lit(4))  # says the same again
+    got = {x.instrument_id: (x.rate, x.is_actual) for x in store.read(spark, "confirmed", "funding_rate_hourly").collect()}
+    assert got == {1: (Decimal("0.0002"), True), 2: (Decimal("0.0003"), False)} or {k: (float(v[0]), v[1]) for k, v in got.items()} == {1: (0.0002, True), 2: (0.0003, False)}
+    assert spark.table("confirmed.funding_rate_hourly").count() == 4

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickweave import schemas
-from tickweave.operators import validate
+from tickweave.operators import funding, validate
 from tickweave.operators.versions import SEQ, current
 
 
@@ -56,6 +56,24 @@ def read(spark: SparkSession, database: str, table: str, where: Column | str | N
     return newest.select(*schemas.TABLES[table].names)
 
 
+def upsert_rates(rates: DataFrame, database: str, seq: Column) -> None:
+    """Appends the hourly rates that change what is stored: none over a stored actual by an estimate, none that says the same again.
+
+    Only the months of these rates are read.
+    """
+    spark = rates.sparkSession
+    months = [x.month for x in rates.select(_month("funding_rate_hourly").alias("month")).distinct().collect()]
+    stored = spark.table(f"{schemas.database_name(database)}.funding_rate_hourly").where(F.col("month").isin(months))
+    append(funding.upsert(stored, rates), database, "funding_rate_hourly", seq)
+
+
+def confirm(tasks: DataFrame, answers: DataFrame, database: str, seq: Column) -> DataFrame:
+    """Writes back the actual rates that answer tasks to the millisecond; returns the tasks that stay open."""
+    upsert_rates(funding.confirm(tasks, answers), database, seq)
+    keys = ["instrument_id", "funding_time"]
+    return tasks.join(answers.where("rate is not null").select(keys), keys, "left_anti")
+
+
 def instruments(spark: SparkSession, database: str) -> DataFrame:
     """All instruments in order of id; one that breaks a rule is an error when it is read."""
     rows = read(spark, database, "instrument")
