@@ -54,14 +54,38 @@ def test_ranked_matches_brute_force(spark):
     rng = random.Random(1)
     rows = [(rng.choice("aaab"), rng.choice([5, -7]) if rng.random() < 0.5 else rng.getrandbits(63) - 2**62, rng.getrandbits(63) - 2**62, i, rng.randint(0, 9)) for i in range(600)]
     df = spark.createDataFrame(rows, "s string, h long, h2 long, id long, w long")
-    got = common.ranked(common.cut(df), "s", "h", "h2", ["id"], "w", block=20).collect()
+    got = common.ranked(common.cut(df), "s", ["h", "h2", "id"], "w", block=20).collect()
     for s in "ab":
+        want = sorted((x[1:] for x in rows if x[0] == s))
         mine = sorted((x for x in got if x.s == s), key=lambda x: x["rank"])
         assert [x["rank"] for x in mine] == list(range(1, len(mine) + 1)) and {x.n for x in mine} == {len(mine)}
-        ahead = 0
-        for x in mine:
-            assert x.before == ahead and x.total == sum(y.w for y in mine)
-            ahead += x.w
+        assert [(x.h, x.h2, x.id, x.w) for x in mine] == want
+        assert [x.before for x in mine] == [sum(x[3] for x in want[:k]) for k in range(len(want))]
+
+
+def test_equal_rows_are_dealt_apart(spark, monkeypatch):
+    """A text that is in all rows, and rows that are equal in all: no task of the dealing has more than its share."""
+    seen = []
+    cut = common.cut
+
+    def noted(df):
+        out = cut(df)
+        if "_p" in out.columns:
+            seen.append([x["count"] for x in out.groupBy("_p").count().collect()])
+        return out
+
+    monkeypatch.setattr(common, "cut", noted)
+    same = spark.range(4000).select(F.lit(1).cast("long").alias("doc_id"), F.lit("one text").alias("text"), F.lit("a").alias("source"))
+    got = sharding.shard(same, 8, block=200).collect()
+    assert sorted((x.shard, x.slot) for x in got) == [(s, k) for s in range(8) for k in range(500)]
+    assert len(seen) == 2 and all(max(sizes) <= 2 * 200 for sizes in seen)
+
+
+def test_a_row_read_very_often_is_dealt_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "TOGETHER", 7)
+    same = spark.range(50).select(F.lit(1).cast("long").alias("doc_id"), F.lit("one text").alias("text"), F.lit("a").alias("source"))
+    rows = same.unionByName(spark.createDataFrame([(2, "another", "a")], "doc_id long, text string, source string"))
+    assert Counter(x.doc_id for x in mixing.mix_rows(rows).collect()) == {1: 50, 2: 1}
 
 
 def entropy(shares, alpha):

@@ -6,7 +6,10 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +19,8 @@ from pyspark.sql.window import Window
 WORD = r"[^\x20\x09-\x0D]+"
 #: Stands for an absent id where the smallest id is asked for.
 NO_ID = 2**63 - 1
+#: Ranges that rows are sorted into at most; Spark samples a hundred narrow rows of each.
+RANGES = 10_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,16 +28,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that driver and executors share, spark.checkpoint.dir; on one machine a new one where it is unset."""
     context = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not found:
+        if not context.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = f"file://{tempfile.mkdtemp(prefix='tickweave-')}"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(found)
     return found
 
 
+def own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+
+
+def store_of(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a folder that tasks share, and the path in it."""
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = "file://" + uri[5:]
+    return pafs.FileSystem.from_uri(uri)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The same rows with their lineage cut, kept in the shared folder."""
     shared_dir(df.sparkSession)
@@ -40,9 +58,9 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """The same rows as a Parquet table in the shared folder."""
+    """The same rows as a Parquet table in the shared folder, under one folder for each application, which may go when that ends."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{own_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -66,14 +84,19 @@ def lowest(rows: DataFrame, n: int, key: str) -> DataFrame:
 
 
 def in_batches(
-    f: Callable[[pa.RecordBatch], pa.RecordBatch | None], rows: int = 512
+    f: Callable[[pa.RecordBatch], pa.RecordBatch | None], rows: int = 512, size: int = 32_000_000
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """For mapInArrow: f on slices of at most this many rows, so that long texts don't add up."""
+    """For mapInArrow: f on slices of at most this many rows and about this many bytes of ``text``, so that long texts don't add up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                out = f(batch.slice(at, rows))
+            heavy = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy() if "text" in batch.schema.names else np.zeros(batch.num_rows)
+            sums, at = np.cumsum(heavy), 0
+            while at < batch.num_rows:
+                stop = int(np.searchsorted(sums, (sums[at - 1] if at else 0) + size, side="right"))
+                stop = min(max(stop, at + 1), at + rows, batch.num_rows)
+                out = f(batch.slice(at, stop - at))
+                at = stop
                 if out is not None and out.num_rows:
                     yield out
 
@@ -97,43 +120,40 @@ def seeded_sql(seed: int, *parts: str) -> str:
     return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
 
 
-def ranked_sql(rows: str, stratum: str, ties: str, weight: str, block: int = 20_000) -> str:
-    """``ranked`` in DuckDB: common tables ``{rows}_1`` to ``{rows}_4`` over ``rows`` with hashes h and h2."""
+def ranked_sql(rows: str, stratum: str, order: str, weight: str) -> str:
+    """``ranked`` in DuckDB: the common table ``{rows}_1`` over ``rows``."""
     return (
-        f"{rows}_1 AS (SELECT *, count(*) OVER (PARTITION BY {stratum}) AS n FROM {rows}), "
-        f"{rows}_2 AS (SELECT *, CAST(floor((h >> 29) / 2147483648.0 * ceil(n / {block}.0)) AS BIGINT) AS _a FROM {rows}_1), "
-        f"{rows}_3 AS (SELECT *, CAST(floor((h2 >> 29) / 2147483648.0 * ceil(count(*) OVER (PARTITION BY {stratum}, _a) / {2 * block}.0)) AS BIGINT) AS _b FROM {rows}_2), "
-        f"{rows}_4 AS (SELECT *, row_number() OVER w AS rank, CAST(sum({weight}) OVER w - {weight} AS BIGINT) AS before FROM {rows}_3 "
-        f"WINDOW w AS (PARTITION BY {stratum} ORDER BY _a, _b, h, h2, {ties} ROWS UNBOUNDED PRECEDING))"
+        f"{rows}_1 AS (SELECT *, count(*) OVER (PARTITION BY {stratum}) AS n, row_number() OVER w AS rank, CAST(sum({weight}) OVER w - {weight} AS BIGINT) AS before FROM {rows} "
+        f"WINDOW w AS (PARTITION BY {stratum} ORDER BY {order} ROWS UNBOUNDED PRECEDING))"
     )
 
 
-def ranked(df: DataFrame, stratum: str, first: str, second: str, ties: list[str], weight: str, block: int = 20_000) -> DataFrame:
-    """Ranks each stratum's rows along two hashes without giving a stratum to one task.
+def ranked(df: DataFrame, stratum: str, order: list[str], weight: str, block: int = 20_000) -> DataFrame:
+    """Ranks each stratum's rows in order without giving a stratum, or what is equal in all of ``order``, to one task.
 
-    ``df`` is narrow and cut.  A stratum is dealt into hash ranges of about
-    ``block`` rows; a range that equal first hashes overfill is dealt again by
-    the second hash.  Counts and weights of the ranges are summed, so a row's
-    place is that of its range plus that within it.  Adds ``rank`` (from 1),
-    ``n``, ``before`` (weight of the rows ahead) and ``total``.
+    ``df`` is narrow and cut.  Its rows are dealt to ranges of about ``block``
+    rows (to ``RANGES`` at most, beyond which ranges grow) of stratum and
+    order, and of their own number, which parts rows that are equal in all
+    else.  Counts and weights of the ranges are summed, so a row's place is
+    that of its range plus that within it.  Adds ``rank`` (from 1), ``n``
+    (rows of the stratum) and ``before`` (weight of the rows ahead).
     """
-    per = df.groupBy(stratum).agg(F.count(F.lit(1)).alias("n"), F.sum(weight).alias("total"))
-    rows = df.join(per, stratum).withColumn("_a", F.floor(unit(F.col(first)) * F.ceil(F.col("n") / block)))
-    full = rows.groupBy(stratum, "_a").agg(F.ceil(F.count(F.lit(1)) / (2 * block)).alias("_k"))
-    rows = rows.join(full, [stratum, "_a"]).withColumn("_b", F.floor(unit(F.col(second)) * F.col("_k"))).drop("_k")
-    ranges = rows.groupBy(stratum, "_a", "_b").agg(F.count(F.lit(1)).alias("_n"), F.sum(weight).alias("_w"))
-    ahead = Window.partitionBy(stratum).orderBy("_a", "_b").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.select(
-        stratum, "_a", "_b",
-        F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_n"),
-        F.coalesce(F.sum("_w").over(ahead), F.lit(0)).alias("_w"),
+    ranges = int(min(max(1, -(-df.count() // block)), RANGES))
+    dealt = df.withColumn("_r", F.monotonically_increasing_id()).repartitionByRange(ranges, stratum, *order, "_r")
+    dealt = cut(dealt.withColumn("_p", F.spark_partition_id()))
+    whole = Window.partitionBy(stratum)
+    ahead = whole.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = dealt.groupBy("_p", stratum).agg(F.count(F.lit(1)).alias("_n"), F.sum(weight).alias("_w"))
+    sizes = sizes.select(
+        "_p", stratum, F.sum("_n").over(whole).alias("n"),
+        F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_n"), F.coalesce(F.sum("_w").over(ahead), F.lit(0)).alias("_w"),
     )
-    within = Window.partitionBy(stratum, "_a", "_b").orderBy(first, second, *ties)
+    within = Window.partitionBy("_p", stratum).orderBy(*order, "_r")
     return (
-        rows.join(ranges, [stratum, "_a", "_b"])
+        dealt.join(sizes, ["_p", stratum])
         .withColumn("rank", F.col("_n") + F.row_number().over(within))
         .withColumn("before", F.col("_w") + F.sum(weight).over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col(weight))
-        .drop("_a", "_b", "_n", "_w")
+        .drop("_p", "_r", "_n", "_w")
     )
 
 
@@ -156,19 +176,21 @@ def components(edges: DataFrame) -> DataFrame:
     Alternates large-star and small-star: each round hangs neighbours on the
     smallest one known, until every edge joins a node to its root.  Rounds grow
     with the logarithm of the longest path; each is cut, and only two numbers
-    come to the driver.
+    come to the driver.  A hub's edges meet its least neighbour by broadcast.
     """
     now = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
-    mark = None
+    size, mark = now.count(), None
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.explode(F.array(F.struct("b", "m"), F.struct(F.col("a").alias("b"), "m"))).alias("e"))
+        least = both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")).select("a", F.least("a", "m").alias("m"), "n")
+        large = join_hot(both, least, "a", "n", 2 * size).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = cut(large.where("a <> b").distinct())
+        low = large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+        met = join_hot(large, low, "a", "n", size)
+        small = met.select(F.explode(F.array(F.struct("b", "m"), F.struct(F.col("a").alias("b"), "m"))).alias("e"))
         now = cut(small.select(F.col("e.b").alias("a"), F.col("e.m").alias("b")).where("a <> b").distinct())
         seen = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
+        size = seen[0]
         if mark == tuple(seen):
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
         mark = tuple(seen)

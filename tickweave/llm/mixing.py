@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickweave.llm.common import WORD, cut, ranked, ranked_sql, seeded, seeded_sql
+from tickweave.llm.common import WORD, cut, join_hot, ranked, ranked_sql, seeded, seeded_sql
 
 #: Share of the largest entropy (equal weights) that the mixture should reach.
 ENTROPY = 0.97
@@ -18,7 +18,7 @@ SEED = 77
 
 def shares(tokens: DataFrame) -> DataFrame:
     """Token counts and shares by source from rows (stratum, tokens); sources without tokens have share 0."""
-    per = cut(tokens.groupBy("stratum").agg(F.sum("tokens").alias("source_tokens")))
+    per = cut(tokens.groupBy("stratum").agg(F.sum("tokens").alias("source_tokens"), F.count(F.lit(1)).alias("rows")))
     total = per.agg(F.sum("source_tokens")).first()[0] or 0
     return cut(per.withColumn("share", F.col("source_tokens") / F.lit(float(max(total, 1)))))
 
@@ -57,7 +57,9 @@ def exponent(share: DataFrame, entropy: float = ENTROPY, repeats: float = REPEAT
     return a
 
 
-_ROW, _READS = "__row__", "__reads__"
+_ROW, _READS, _PART = "__row__", "__reads__", "__part__"
+#: Readings of one row that a task makes at once.
+TOGETHER = 10_000
 
 
 def mix(
@@ -92,17 +94,17 @@ def mix(
     z, least = per.agg(F.sum(power), F.min(often)).first()
     plan = cut(
         per.select(
-            "stratum", "source_tokens", "share",
+            "stratum", "source_tokens", "share", "rows",
             (power / F.lit(z or 1.0)).alias("weight"),
             F.coalesce(often / F.lit(least or 1.0), F.lit(1.0)).alias("readings"),
         )
         .withColumn("whole", F.floor("readings"))
         .withColumn("rest", F.floor((F.col("readings") - F.col("whole")) * F.col("source_tokens")))
     )
-    reads = rows.join(plan, "stratum").withColumn("block", F.explode(F.expr("sequence(1L, whole + if(rest > 0, 1L, 0L))")))
+    reads = join_hot(rows, plan, "stratum", "rows", rows.count()).withColumn("block", F.explode(F.expr("sequence(1L, whole + if(rest > 0, 1L, 0L))")))
     reads = reads.withColumn("part", F.concat_ws(":", F.col("block").cast("string"), "stratum"))
-    reads = reads.withColumn("h", seeded(seed, F.col("block"), F.col("doc_id"), F.col("row"))).withColumn("h2", seeded(seed + 1, F.col("h")))
-    order = ranked(cut(reads), "part", "h", "h2", ["doc_id", "row"], "tokens", block)
+    reads = reads.withColumn("h", seeded(seed, F.col("block"), F.col("doc_id"), F.col("row")))
+    order = ranked(cut(reads), "part", ["h", "doc_id", "row"], "tokens", block)
     kept = order.where((F.col("block") <= F.col("whole")) | (F.col("before") < F.col("rest")))
     return kept.select(
         "doc_id", "row", "source", "tokens", "block", "rank", "source_tokens", "share", F.round("weight", 9).alias("weight"),
@@ -115,16 +117,21 @@ def mix_rows(docs: DataFrame, **options) -> DataFrame:
 
     Rows are told apart by a hash of all columns; those equal in all of them
     are as many readings of one.  The plan moves ids and counts; the texts are
-    shuffled once, on that hash, to be repeated.
+    shuffled once, on that hash, to be repeated; one that is read very often is
+    dealt in parts to many tasks.
     """
     keyed = docs.withColumn(_ROW, F.xxhash64(*docs.columns))
-    reads = mix(keyed, row=_ROW, **options).groupBy("row").agg(F.count(F.lit(1)).cast("int").alias(_READS))
+    reads = mix(keyed, row=_ROW, **options).groupBy(F.col("row").alias(_ROW)).agg(F.count(F.lit(1)).alias(_READS))
     once = keyed.dropDuplicates([_ROW])
-    repeated = once.join(reads, once[_ROW] == reads["row"]).withColumn(_ROW, F.explode(F.sequence(F.lit(1), F.col(_READS))))
-    return repeated.select(*(once[c] for c in docs.columns))
+    repeated = once.join(reads, _ROW)
+    few, many = repeated.where(F.col(_READS) <= TOGETHER), repeated.where(F.col(_READS) > TOGETHER)
+    parts = many.withColumn(_PART, F.explode(F.sequence(F.lit(0), F.floor((F.col(_READS) - 1) / TOGETHER)))).repartition(_ROW, _PART)
+    parts = parts.withColumn(_READS, F.least(F.lit(TOGETHER), F.col(_READS) - F.col(_PART) * TOGETHER).cast("int")).drop(_PART)
+    read = few.unionByName(parts).withColumn(_ROW, F.explode(F.sequence(F.lit(1), F.col(_READS))))
+    return read.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
-def sql(entropy: float = ENTROPY, repeats: float = REPEATS, seed: int = SEED, block: int = 20_000) -> str:
+def sql(entropy: float = ENTROPY, repeats: float = REPEATS, seed: int = SEED) -> str:
     """``mix`` of the table documents in DuckDB, without ``row``."""
     steps = ["l0 AS (SELECT CAST(0 AS DOUBLE) AS a, CAST(1 AS DOUBLE) AS b)"]
     for k in range(7):
@@ -143,7 +150,7 @@ def sql(entropy: float = ENTROPY, repeats: float = REPEATS, seed: int = SEED, bl
         "pl AS (SELECT *, w / coalesce(nullif(sum(w) OVER (), 0), 1) AS weight, coalesce(o / min(o) OVER (), 1.0) AS readings FROM pw), "
         "plan AS (SELECT *, CAST(floor(readings) AS BIGINT) AS whole, CAST(floor((readings - floor(readings)) * source_tokens) AS BIGINT) AS rest FROM pl), "
         "ex AS (SELECT d.doc_id, d.source, d.tokens, d.row, p.*, unnest(range(1, whole + CASE WHEN rest > 0 THEN 2 ELSE 1 END)) AS block FROM docs d JOIN plan p USING (stratum)), "
-        f"hx AS (SELECT *, block || ':' || stratum AS part, {seeded_sql(seed, 'block', 'doc_id', 'row')} AS h FROM ex), rows_ AS (SELECT *, {seeded_sql(seed + 1, 'h')} AS h2 FROM hx), "
-        f"{ranked_sql('rows_', 'part', 'doc_id NULLS FIRST, row', 'tokens', block)} "
-        "SELECT doc_id, source, tokens, block, rank, source_tokens, share, round(weight, 9) AS weight, round(readings, 9) AS readings, round(alpha, 9) AS exponent FROM rows__4 WHERE block <= whole OR before < rest"
+        f"rows_ AS (SELECT *, block || ':' || stratum AS part, {seeded_sql(seed, 'block', 'doc_id', 'row')} AS h FROM ex), "
+        f"{ranked_sql('rows_', 'part', 'h, doc_id NULLS FIRST, row', 'tokens')} "
+        "SELECT doc_id, source, tokens, block, rank, source_tokens, share, round(weight, 9) AS weight, round(readings, 9) AS readings, round(alpha, 9) AS exponent FROM rows__1 WHERE block <= whole OR before < rest"
     )

@@ -212,8 +212,9 @@ def classes(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     per = cut(rows.groupBy("fp").agg(F.min(own).alias("least"), F.count(F.lit(1)).alias("n")))
     joined = components(links(per))
     rooted = per.join(joined, per["fp"] == joined["node"], "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root"))
-    groups = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    named = cut(rooted.join(groups, "root").select("fp", "n", "root", "component"))
+    rooted = cut(rooted)
+    groups = rooted.groupBy("root").agg(F.min("least").alias("component"), F.count(F.lit(1)).alias("own"))
+    named = cut(join_hot(rooted, groups, "root", "own", rooted.count()).select("fp", "n", "root", "component"))
     return join_hot(rows, named, "fp", "n", rows.count()).select(
         "doc_id", "fp", "root", F.when(F.col("component") != NO_ID, F.col("component")).alias("component")
     )

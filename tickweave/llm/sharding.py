@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tickweave.llm.common import cut, ranked, ranked_sql, seeded, seeded_sql, unit
 
@@ -21,9 +20,10 @@ def shard(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, block: int =
     place and cut at equal counts, so shards' counts are at most one apart (law
     ``rows``).  Equal texts hash alike, so copies mostly meet in one shard.
 
-    Only ids, hashes and sizes are shuffled, never texts.  Each source, and the
-    order of all places, is dealt in ranges of about ``block`` rows, so neither
-    a hot source nor a hot text lands in one task.
+    Only ids, hashes and sizes are shuffled, never texts.  The order of each
+    source's rows, and that of all places, is dealt in ranges of about ``block``
+    rows, so neither a hot source nor a hot text nor a row that is repeated
+    lands in one task.
 
     Null sources form a source of their own; null texts have size 8 and the
     crc32 of nothing; null and repeated ids are kept, each row apart; an empty
@@ -41,15 +41,10 @@ def shard(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, block: int =
         )
     )
     total = rows.count()
-    placed = ranked(rows, "stratum", "h", "h2", ["doc_id", "text_crc32"], "size", block)
+    placed = ranked(rows, "stratum", ["h", "h2", "doc_id", "text_crc32"], "size", block)
     offset = unit(seeded(seed + 2, F.col("stratum")))
-    placed = cut(placed.withColumn("place", (F.col("rank") - offset) / F.col("n")).drop("rank", "n", "before", "total"))
-    ranges = max(1, -(-total // block))
-    placed = placed.withColumn("_r", F.least(F.floor(F.col("place") * ranges), F.lit(ranges - 1)))
-    ahead = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    starts = placed.groupBy("_r").agg(F.count(F.lit(1)).alias("_n")).select("_r", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_n"))
-    within = Window.partitionBy("_r").orderBy("place", "stratum", "h", "h2", "doc_id", "text_crc32")
-    order = placed.join(starts, "_r").withColumn("g", F.col("_n") + F.row_number().over(within) - 1)
+    placed = cut(placed.withColumn("place", (F.col("rank") - offset) / F.col("n")).drop("rank", "n", "before").withColumn("all", F.lit(0)))
+    order = ranked(placed, "all", ["place", "stratum", "h", "h2", "doc_id", "text_crc32"], "size", block).withColumn("g", F.col("rank") - 1)
     order = order.withColumn("shard", F.expr(f"cast((g * {shards}) div {max(total, 1)} as int)"))
     return order.select(
         "doc_id", "source", "size", "text_crc32",
@@ -60,7 +55,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, block: int =
     )
 
 
-def sql(shards: int = SHARDS, seed: int = SEED, block: int = 20_000) -> str:
+def sql(shards: int = SHARDS, seed: int = SEED) -> str:
     """``shard`` of the table documents in DuckDB; crc32 is folded from half-bytes with a table made by rule."""
     return (
         "WITH tab AS (SELECT list_transform(range(16), lambda i: list_reduce(list_prepend(CAST(i AS BIGINT), range(4)), lambda a, x: xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END))) AS tab), "
@@ -68,8 +63,8 @@ def sql(shards: int = SHARDS, seed: int = SEED, block: int = 20_000) -> str:
         "rows_ AS (SELECT doc_id, source, CASE WHEN source IS NULL THEN 'n' ELSE 'v' || source END AS stratum, "
         f"{seeded_sql(seed, 'x')} AS h, {seeded_sql(seed + 1, 'doc_id', 'octet_length(encode(x))')} AS h2, CAST(octet_length(encode(x)) + 8 AS BIGINT) AS size, "
         "CASE WHEN x = '' THEN 0 ELSE xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(len(halves)), lambda i: halves[xor(i, 1) + 1])), lambda a, y: xor(a >> 4, tab[xor(a & 15, y) + 1])), 4294967295) END AS text_crc32 FROM d, tab), "
-        f"{ranked_sql('rows_', 'stratum', 'doc_id NULLS FIRST, text_crc32', 'size', block)}, "
-        f"pl AS (SELECT *, (rank - ({seeded_sql(seed + 2, 'stratum')} >> 29) / 2147483648.0) / n AS place FROM rows__4), "
+        f"{ranked_sql('rows_', 'stratum', 'h, h2, doc_id NULLS FIRST, text_crc32', 'size')}, "
+        f"pl AS (SELECT *, (rank - ({seeded_sql(seed + 2, 'stratum')} >> 29) / 2147483648.0) / n AS place FROM rows__1), "
         "o AS (SELECT *, row_number() OVER (ORDER BY place, stratum, h, h2, doc_id NULLS FIRST, text_crc32) - 1 AS g, count(*) OVER () AS total FROM pl), "
         f"s AS (SELECT *, g * {shards} // total AS shard FROM o) "
         f"SELECT doc_id, source, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'rows' AS law, CAST(shard AS INT) AS shard, CAST(g - (shard * total + {shards - 1}) // {shards} AS BIGINT) AS slot, CAST(NULL AS INT) AS grown_shard FROM s"

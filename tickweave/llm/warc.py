@@ -9,13 +9,12 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickweave.llm.common import cut, lowest, shared_dir
+from tickweave.llm.common import cut, lowest, own_dir, store_of
 
 # Fixed values of the formats.
 WARC_VERSION = b"WARC/1.1"
@@ -52,12 +51,6 @@ class BadArchive(ValueError):
     """An archive that breaks its format, with the place where it does."""
 
 
-def _store(uri: str) -> tuple[pafs.FileSystem, str]:
-    if uri.startswith("file:/") and not uri.startswith("file://"):
-        uri = "file://" + uri[5:]
-    return pafs.FileSystem.from_uri(uri)
-
-
 def _name(page_id: int | None) -> str:
     return f"<urn:page:{'none' if page_id is None else page_id}>"
 
@@ -222,7 +215,7 @@ def write(pages: DataFrame, folder: str, rows: DataFrame | None = None) -> DataF
     content = dictionary(pages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = _store(folder)
+        store, base = store_of(folder)
         store.create_dir(base, recursive=True)
         press = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(content), write_content_size=True)
         opened, done = None, []
@@ -269,7 +262,7 @@ def read(manifest: DataFrame, payloads: bool = True) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, expected in zip(batch.column("path").to_pylist(), batch.column("records").to_pylist(), strict=True):
-                store, inner = _store(path)
+                store, inner = store_of(path)
                 found, seen = [], 0
                 with store.open_input_stream(inner) as stream:
                     for number, data in enumerate(frames(stream, path)):
@@ -303,7 +296,7 @@ def round_trip(pages: DataFrame, payloads: bool = False) -> DataFrame:
     this id are responses too.  Pages without an id are kept; they revisit if
     some equal page has an id.  Null html is empty.  No pages, no archives.
     """
-    folder = f"{shared_dir(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
+    folder = f"{own_dir(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
     return read(write(pages, folder), payloads)
 
 
