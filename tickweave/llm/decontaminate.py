@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import ahocorasick
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickweave.llm.common import in_batches
+from tickweave.llm.common import own_dir, store_of
 
 #: Errors (characters put in, left out or changed) allowed for each character of an item.
 ERROR_RATE = 0.08
-#: Items with fewer characters than this match only as whole words without error.
-SHORT = 24
-#: Bytes of item texts held by a task at once; a larger benchmark is searched in as many passes as it takes.
-BLOCK_BYTES = 4_000_000
+#: Bytes of item texts that a task holds in an automaton at once, and of documents that it holds against one after the other.
+BLOCK_BYTES, HELD_BYTES = 4_000_000, 64_000_000
 
 HITS = T.StructType(
     [T.StructField(x, T.LongType()) for x in ("doc_id", "item_id")] + [T.StructField(x, T.IntegerType()) for x in ("distance", "start", "end")]
@@ -82,7 +83,7 @@ class Matcher:
             text = normal(raw)
             if not text:
                 continue
-            budget = 0 if len(text) < SHORT else int(rate * len(text))
+            budget = int(rate * len(text))
             self.items.append(Item(item_id, text, budget))
             n, m = budget + 1, len(text)
             for k in range(n):
@@ -131,7 +132,7 @@ class Matcher:
         at = whole.find(item.text)
         while at >= 0:
             a, b = low + at, low + at + m
-            if m >= SHORT or ((a == 0 or not text[a - 1].isalnum()) and (b == len(text) or not text[b].isalnum())):
+            if item.budget or ((a == 0 or not text[a - 1].isalnum()) and (b == len(text) or not text[b].isalnum())):
                 return 0, a, b
             at = whole.find(item.text, at + 1)
         if item.budget == 0 or limit < 1:
@@ -144,67 +145,94 @@ class Matcher:
         return distance, low + end - (back[1] if back else end), low + end
 
 
-def blocks(benchmark: DataFrame, size: int = BLOCK_BYTES) -> Iterator[list[tuple[int | None, str | None]]]:
-    """The items in blocks of about ``size`` bytes; one pass over the documents is made for each."""
-    items = benchmark.select("item_id", "text").where("text is not null").distinct()
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-total // size)
-    for k in range(n):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        yield [(x.item_id, x.text) for x in part.orderBy("item_id", "text").collect()]
+class Blocks:
+    """A benchmark as files in the shared folder, in blocks of about ``size`` bytes, and the tasks' way to them.
+
+    The driver holds none of it, whatever its size.  A task reads a block and
+    builds its automaton where it is needed; the last one built is kept, so a
+    benchmark of one block is read once by each Python worker.
+    """
+
+    def __init__(self, benchmark: DataFrame, rate: float, size: int = BLOCK_BYTES) -> None:
+        items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null").distinct()
+        total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        self.count, self.rate = -(-total // size), rate
+        self.kept: tuple[int, Matcher] | None = None
+        if self.count:
+            self.folder = f"{own_dir(benchmark.sparkSession)}/benchmark-{uuid.uuid4().hex}"
+            dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(self.count)))
+            dealt.repartition(int(min(self.count, 1000)), "block").write.partitionBy("block").parquet(self.folder)
+
+    def matchers(self) -> Iterator[Matcher]:
+        for k in range(self.count):
+            if self.kept is None or self.kept[0] != k:
+                self.kept = None
+                store, base = store_of(f"{self.folder}/block={k}")
+                found = store.get_file_info(pafs.FileSelector(base, allow_not_found=True))
+                items: list[tuple[int | None, str | None]] = []
+                for x in found:
+                    if x.path.endswith(".parquet"):
+                        got = pq.read_table(store.open_input_file(x.path), columns=["item_id", "text"])
+                        items += zip(got.column("item_id").to_pylist(), got.column("text").to_pylist(), strict=True)
+                self.kept = (k, Matcher(sorted(items, key=lambda x: (x[0] is not None, x)), self.rate))
+            yield self.kept[1]
+
+    def over(self, f: Callable[[Blocks, list[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        """For mapInArrow: f on batches, of which as many are held together as are worth building the automata for."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held, size = [], 0
+            for batch in batches:
+                held.append(batch)
+                size += batch.nbytes
+                if size >= (HELD_BYTES if self.count > 1 else 1):
+                    yield from f(self, held)
+                    held, size = [], 0
+            if held:
+                yield from f(self, held)
+
+        return run
+
+
+def _parts(batches: list[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def find(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
     """Rows (doc_id, item_id, distance, start, end): each item's best passage in each document that has one.
 
     Texts are compared in lower case with white space as single blanks; start
-    and end count characters of that form.  Null and empty texts hold nothing;
-    null and empty items are in nothing; items or documents that are repeated
-    or have no id are reported each with the id they have.  No matches, no rows.
+    and end count characters of that form.  An item of n characters may have
+    ``rate`` * n errors; one that is too short for any must stand as whole
+    words.  Null and empty texts hold nothing; null and empty items are in
+    nothing; items or documents that are repeated or have no id are reported
+    each with the id they have.  No matches, no rows.  The documents are read
+    once, however large the benchmark is.
     """
-    spark = docs.sparkSession
-    found = spark.createDataFrame([], HITS)
-    for block in blocks(benchmark):
-        matcher_of = _Lazy(block, rate)
+    blocks = Blocks(benchmark, rate)
 
-        def run(batch: pa.RecordBatch, matcher_of: _Lazy = matcher_of) -> pa.RecordBatch | None:
-            matcher = matcher_of()
-            rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                rows += [(doc_id, *hit) for hit in matcher.find(normal(text))]
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-            columns = zip(*rows, strict=True) if rows else [[]] * 5
-            return pa.record_batch([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], HITS.names)
+    def run(blocks: Blocks, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for matcher in blocks.matchers():
+            for batch in _parts(held):
+                rows = []
+                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                    rows += [(doc_id, *hit) for hit in matcher.find(normal(text))]
+                if rows:
+                    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+                    yield pa.record_batch([pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], HITS.names)
 
-        found = found.unionByName(docs.select("doc_id", "text").mapInArrow(in_batches(run), HITS))
-    return found
+    return docs.select("doc_id", "text").mapInArrow(blocks.over(run), HITS)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
     """The documents that hold no passage of any item, with their own columns."""
-    at = docs.columns.index("text")
-    for block in blocks(benchmark):
-        matcher_of = _Lazy(block, rate)
-
-        def run(batch: pa.RecordBatch, matcher_of: _Lazy = matcher_of) -> pa.RecordBatch:
-            matcher = matcher_of()
-            free = [next(matcher.find(normal(x)), None) is None for x in batch.column(at).to_pylist()]
-            return batch.filter(pa.array(free, pa.bool_()))
-
-        docs = docs.mapInArrow(in_batches(run), docs.schema)
-    return docs
-
-
-class _Lazy:
-    """A matcher built where it is first needed, so that items and not automata are sent."""
-
-    def __init__(self, items: list[tuple[int | None, str | None]], rate: float) -> None:
-        self.items, self.rate, self.made = items, rate, None
+    at, blocks = docs.columns.index("text"), Blocks(benchmark, rate)
 
-    def __call__(self) -> Matcher:
-        if self.made is None:
-            self.made = Matcher(self.items, self.rate)
-        return self.made
+    def run(blocks: Blocks, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for matcher in blocks.matchers():
+            held = [batch.filter(pa.array([next(matcher.find(normal(x)), None) is None for x in batch.column(at).to_pylist()], pa.bool_())) for batch in _parts(held)]
+        yield from (x for x in held if x.num_rows)
 
-    def __getstate__(self) -> dict:
-        return {"items": self.items, "rate": self.rate, "made": None}
+    return docs.mapInArrow(blocks.over(run), docs.schema)
