@@ -1,7 +1,14 @@
-"""Document fingerprints from closed syncmers."""
+"""Document fingerprints from closed syncmers: anchors with their places.
+
+A fingerprint has 64 bins.  Each holds the anchor with the least hash of its
+share of the hashes: 16 bits of it and where it first stands in the text (32
+bits, in bytes).  Two fingerprints are alike by the anchors that they share in
+the same order.
+"""
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 from collections.abc import Iterator
 
@@ -16,8 +23,10 @@ from tickweave.llm.common import ID, NO_ID, in_batches
 
 #: Bytes of a k-mer and of the inner substrings whose least must lie at an edge.
 K, S = 20, 6
-#: Bins of a fingerprint, of 16 bits each.
+#: Bins of a fingerprint.
 BINS = 64
+#: Bytes of texts in a range, and ranges at most.
+RANGE_BYTES, RANGES = 16_000_000, 20_000
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -58,26 +67,40 @@ def syncmers(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return at, h
 
 
-def sketch(hashes: np.ndarray) -> np.ndarray:
-    """The least hash of each bin as a number from 1 to 65535; 0 where a bin is empty."""
-    out = np.zeros(BINS, np.uint16)
+def sketch(at: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Of each bin the least hash as a number from 1 to 65535 and its first position; 0 and 0 where a bin is empty."""
+    out = np.zeros((2, BINS), np.int64)
     if len(hashes):
-        h = np.sort(hashes)
+        order = np.argsort(hashes, kind="stable")
+        h = hashes[order]
         bins = (h >> np.uint64(58)).astype(np.int64)
         first = np.concatenate([[0], np.flatnonzero(np.diff(bins)) + 1])
-        out[bins[first]] = (_mix(h[first]) % np.uint64(65535) + np.uint64(1)).astype(np.uint16)
+        out[0, bins[first]] = (_mix(h[first]) % np.uint64(65535) + np.uint64(1)).astype(np.int64)
+        out[1, bins[first]] = np.minimum(at[order[first]], 2**32 - 1)
     return out
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Share of the bins filled in either sketch that are equal; 1 for two empty ones."""
-    filled = (a > 0) | (b > 0)
-    n = int(filled.sum())
-    return float(((a == b) & filled).sum() / n) if n else 1.0
+    """Share of the bins filled in either sketch whose anchors are equal and in the same order; 1 for two empty ones.
+
+    What is put in or left out between anchors moves them but keeps their
+    order, so the longest run of shared anchors that ascends in both texts
+    counts; equal hashes that stand elsewhere by chance don't.
+    """
+    filled = int(((a[0] > 0) | (b[0] > 0)).sum())
+    if not filled:
+        return 1.0
+    shared = np.flatnonzero((a[0] == b[0]) & (a[0] > 0))
+    tails: list[int] = []
+    for x in b[1][shared[np.lexsort((-b[1][shared], a[1][shared]))]].tolist():
+        k = bisect.bisect_left(tails, x)
+        tails[k : k + 1] = [x]
+    return len(tails) / filled
 
 
 def written_out(x: np.ndarray) -> str:
-    return x.astype(">u2").tobytes().hex()
+    """Four hex digits of hash and eight of position for each bin."""
+    return np.concatenate([x[0].astype(">u2").view(np.uint8).reshape(-1, 2), x[1].astype(">u4").view(np.uint8).reshape(-1, 4)], axis=1).tobytes().hex()
 
 
 def anchors(docs: DataFrame) -> DataFrame:
@@ -129,11 +152,11 @@ def _compare(pairs: list[tuple[int | None, str, str]]) -> pa.RecordBatch:
         edited = (text[: len(text) - half] + after[:half]).encode()
         own = known.get("own") if known.get("text") is text else None
         if own is None:
-            own = syncmers(text.encode())[1]
-        following = syncmers(after.encode())[1]
+            own = syncmers(text.encode())
+        following = syncmers(after.encode())
         known = {"text": after, "own": following}
-        a, b, c = sketch(own), sketch(syncmers(edited)[1]), sketch(following)
-        rows.append((doc_id, len(text), hashlib.sha256(edited).hexdigest(), written_out(a), written_out(b), likeness(a, b), likeness(a, c), len(own)))
+        a, b, c = sketch(*own), sketch(*syncmers(edited)), sketch(*following)
+        rows.append((doc_id, len(text), hashlib.sha256(edited).hexdigest(), written_out(a), written_out(b), likeness(a, b), likeness(a, c), len(own[0])))
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64()]
     columns = zip(*rows, strict=True) if rows else [[]] * len(kinds)
     return pa.record_batch([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], FIELDS.names)
@@ -159,9 +182,9 @@ def fingerprint(docs: DataFrame) -> DataFrame:
 
     The edited text has its second half replaced by the start of the next
     document in ascending doc_id, the first following the last.  Ids are dealt
-    into as many ranges as the session has shuffle partitions; each range also
-    gets a copy of the next one's first row, so the texts are shuffled once and
-    sorted where they are, and no range waits for another.
+    into ranges of about ``RANGE_BYTES``; each range also gets a copy of the
+    next one's first row, so the texts are shuffled once and sorted where they
+    are, and no range waits for another.
 
     Null texts count as empty.  Rows without an id come last; rows that repeat
     an id follow each other by a hash of their text; a single row follows
@@ -170,22 +193,24 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     key = F.coalesce("doc_id", F.lit(NO_ID))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    cuts = rows.select(key.alias("k")).approxQuantile("k", [i / parts for i in range(1, parts)], 0.1 / parts) if parts > 1 else []
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0]
+    if total is None:
+        return spark.createDataFrame([], FIELDS)
+    parts = int(min(max(1, -(-total // RANGE_BYTES)), RANGES))
+    cuts = docs.select(key.alias("k")).approxQuantile("k", [i / parts for i in range(1, parts)], 0.1 / parts) if parts > 1 else []
     bounds = np.unique(np.array(cuts, np.float64))
 
     @F.pandas_udf("long")
     def part_of(k: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(bounds, k.to_numpy().astype(np.float64), side="right"))
 
+    firsts = docs.select(key.alias("k")).withColumn("part", part_of("k")).groupBy("part").agg(F.min("k").alias("k"))
+    heads = sorted((x.part, x.k) for x in firsts.collect())
+    lends = spark.createDataFrame([(heads[i - 1][0], k) for i, (_, k) in enumerate(heads)], "_part long, k long")
     placed = rows.withColumn("part", part_of(key)).withColumn("k", key).withColumn("h", F.xxhash64("text"))
-    firsts = placed.groupBy("part").agg(F.min(F.struct("k", "h")).alias("f"))
-    heads = sorted((x.part, x.f.k, x.f.h) for x in firsts.collect())
-    if not heads:
-        return spark.createDataFrame([], FIELDS)
-    lends = spark.createDataFrame([(heads[i - 1][0], k, h) for i, (_, k, h) in enumerate(heads)], "_part long, k long, h long")
-    lent = placed.join(F.broadcast(lends), ["k", "h"]).dropDuplicates(["_part"])
+    first = F.min_by(F.struct("doc_id", "text"), "h").alias("row"), F.min("h").alias("h")
+    lent = placed.join(F.broadcast(lends), "k").groupBy("_part", "k").agg(*first).select("_part", "k", "h", "row.*")
     both = placed.select("part", F.lit(False).alias("lent"), "k", "h", "doc_id", "text").unionByName(
         lent.select(F.col("_part").alias("part"), F.lit(True).alias("lent"), "k", "h", "doc_id", "text")
     )
