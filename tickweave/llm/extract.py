@@ -18,7 +18,7 @@ from tickweave.llm.common import in_batches
 
 #: Lines in a window.
 WINDOW = 3
-#: On pages that don't mark their article a run is kept with this share of the median line's characters, or with this many.
+#: A run is kept with this share of the median line's characters, or with this many.
 SURGE, ENOUGH = 0.25, 40
 #: Share of a line's characters that links may have.
 LINKED = 0.5
@@ -263,44 +263,36 @@ def _begins_article(t: Token) -> bool:
     return t.tag in ARTICLE and not t.close and not _unwanted(t.tag, t.attributes, False)
 
 
-def main_text(page: str | None) -> str:
+def main_text(page: str | None, window: int = WINDOW) -> str:
     """The article's blocks, each with white space as single blanks, joined by newlines; empty if there are none.
 
     Lengths of lines are summed over windows of three.  The distribution
     surges where windows rise from nothing and dives where they fall back to
     nothing: three lines of links, of signs alone or of what is left out.
-    On pages with an article or main element lines outside it count nothing
-    and any text in it is enough.  On others, lines of links and of signs alone
-    count nothing, and what lies between a surge and a dive is kept if it has a
-    quarter of the characters of the page's median line, or 40 of them.
+    What lies between a surge and a dive is kept, short lines and lines of
+    links with it, if it has a quarter of the characters of the page's median
+    line, or 40 of them.  On pages with an article or main element lines
+    outside it count nothing.  If all lines are of links or signs, those of
+    signs count, and if there are none, all do.
     """
     rows = lines(page or "")
-    if not rows:
-        return ""
     marked = any(inside and text for text, _, inside in rows)
-    if marked:
-        size = np.array([len(text) if inside else 0 for text, _, inside in rows])
-    else:
-        size = np.array([len(t) if link <= LINKED * len(t) and _WORDY.search(t) else 0 for t, link, _ in rows])
-        if not size.any():
-            size = np.array([len(t) if link <= LINKED * len(t) else 0 for t, link, _ in rows])
+    rows = [(text, link, text != "" and (inside or not marked)) for text, link, inside in rows]
+    size = np.zeros(len(rows), np.int64)
+    for counts in (lambda t, link: link <= LINKED * len(t) and _WORDY.search(t), lambda t, link: link <= LINKED * len(t), lambda t, link: True):
         if not size.any():
-            return ""
-    wide = np.convolve(size, np.ones(WINDOW, np.int64))  # window k ends with line k
-    least = 1 if marked else min(ENOUGH, SURGE * float(np.median(size[size > 0])))
+            size = np.array([len(t) if own and counts(t, link) else 0 for t, link, own in rows], np.int64)
+    if not size.any():
+        return ""
+    wide = np.convolve(size, np.ones(window, np.int64))  # window k ends with line k
+    up = np.diff(np.concatenate([[0], (wide > 0).astype(np.int8), [0]]))
+    least = min(ENOUGH, SURGE * float(np.median(size[size > 0])))
     kept: list[str] = []
-    at = 0
-    while at < len(wide):
-        if wide[at] == 0:
-            at += 1
-            continue
-        dive = at
-        while dive < len(wide) and wide[dive]:
-            dive += 1
-        if size[at : min(dive, len(size))].sum() >= least:
-            within = np.flatnonzero(size[at : min(dive, len(size))]) + at
-            kept += [rows[k][0] for k in range(within[0], within[-1] + 1) if rows[k][0] and (rows[k][2] or not marked)]
-        at = dive
+    for surge, dive in zip(np.flatnonzero(up > 0), np.flatnonzero(up < 0), strict=True):
+        run = size[surge:dive]
+        if run.sum() >= least:
+            within = np.flatnonzero(run) + surge
+            kept += [rows[k][0] for k in range(within[0], within[-1] + 1) if rows[k][2]]
     return "\n".join(kept)
 
 
