@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import io
+import itertools
 import random
 import re
 import struct
+from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -187,7 +190,8 @@ def test_decontaminate_blocks_and_odd_rows(spark, odd_docs, no_docs, monkeypatch
     assert sorted(x.doc_id for x in decontaminate.find(odd_docs, bench).collect()) == [1, 8, 8]
     assert decontaminate.find(no_docs, bench).count() == 0 and decontaminate.find(odd_docs, bench.where("false")).count() == 0
     many = spark.createDataFrame([(i, f"one two three number {i} of many") for i in range(20)] + [(50, "one two three")], "item_id long, text string")
-    monkeypatch.setattr(decontaminate.blocks, "__defaults__", (100,))
+    monkeypatch.setattr(decontaminate.Blocks.__init__, "__defaults__", (100,))
+    monkeypatch.setattr(decontaminate, "HELD_BYTES", 500)
     assert sorted(x.doc_id for x in decontaminate.find(odd_docs, many).collect()) == [1, 8, 8]
     assert decontaminate.clean(odd_docs, many).count() == odd_docs.count() - 3
 
@@ -211,17 +215,13 @@ def test_syncmers_by_brute_force():
     assert {p + 100: x for p, x in zip(cut.tolist(), hashes.tolist(), strict=True)} == {p: x for p, x in whole.items() if 100 <= p <= 300 - fingerprints.K}
 
 
-@pytest.mark.parametrize("parts", ["1", "4", "7"])
-def test_next_document_across_partitions(spark, make_docs, parts):
+@pytest.mark.parametrize("size", [10**9, 2000, 300])
+def test_next_document_across_ranges(make_docs, monkeypatch, size):
     rng = random.Random(10)
     texts = [words(rng, rng.randint(0, 60)) + rng.choice(["", "é", "😀"]) for _ in range(90)]
     docs = make_docs([(i * 3, t, "s") for i, t in enumerate(texts)]).repartition(5)
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        spark.conf.set("spark.sql.shuffle.partitions", parts)
-        got = {x.doc_id: x for x in fingerprints.fingerprint(docs).collect()}
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    monkeypatch.setattr(fingerprints, "RANGE_BYTES", size)
+    got = {x.doc_id: x for x in fingerprints.fingerprint(docs).collect()}
     assert len(got) == 90
     prints = [got[i * 3].fingerprint for i in range(90)]
     for i, t in enumerate(texts):
@@ -229,10 +229,31 @@ def test_next_document_across_partitions(spark, make_docs, parts):
         x = got[i * 3]
         assert x.n_chars == len(t)
         assert x.edited_sha256 == hashlib.sha256((t[: len(t) - half] + after[:half]).encode()).hexdigest()
-        assert x.fingerprint == fingerprints.written_out(fingerprints.sketch(fingerprints.syncmers(t.encode())[1]))
+        assert x.fingerprint == fingerprints.written_out(fingerprints.sketch(*fingerprints.syncmers(t.encode())))
         assert (x.near_next == 1.0) == (prints[i] == prints[(i + 1) % 90]) and 0 <= x.near_edited <= 1
 
 
+def test_likeness_is_the_longest_common_order():
+    rng = random.Random(12)
+    for _ in range(30):
+        a, b = (np.zeros((2, fingerprints.BINS), np.int64) for _ in range(2))
+        n = rng.randint(0, 8)
+        for k in range(n):
+            a[:, k], b[:, k] = (rng.choice([7, 9]), rng.randint(0, 9)), (rng.choice([0, 7, 9]), rng.randint(0, 9))
+        same = [k for k in range(n) if a[0, k] == b[0, k]]
+        most = max(len(c) for r in range(len(same) + 1) for c in itertools.combinations(same, r) if all((a[1, i] < a[1, j]) == (b[1, i] < b[1, j]) and a[1, i] != a[1, j] and b[1, i] != b[1, j] for i, j in itertools.combinations(c, 2)))
+        assert fingerprints.likeness(a, b) == (most / n if n else 1.0)
+
+
+def test_order_tells_texts_apart():
+    """The same sentences in another order share all their inner anchors, but not in order."""
+    rng = random.Random(13)
+    parts = [words(rng, 60) for _ in range(12)]
+    sketch = lambda t: fingerprints.sketch(*fingerprints.syncmers(t.encode()))
+    whole, put_in, turned = sketch(" ".join(parts)), sketch(" ".join([*parts[:6], words(rng, 20), *parts[6:]])), sketch(" ".join(parts[::-1]))
+    assert fingerprints.likeness(whole, whole) == 1.0 and fingerprints.likeness(whole, put_in) > 0.7 > 0.4 > fingerprints.likeness(whole, turned)
+
+
 def test_fingerprint_odd_rows(odd_docs, no_docs, make_docs):
     rows = fingerprints.fingerprint(odd_docs).collect()
     assert len(rows) == odd_docs.count()
@@ -256,7 +277,9 @@ def pages(spark):
     return spark.createDataFrame(rows, "page_id long, url string, html string")
 
 
-def test_round_trip(pages, spark):
+@pytest.mark.parametrize("groups", [200_000, 0])
+def test_round_trip(pages, spark, monkeypatch, groups):
+    monkeypatch.setattr(warc, "BROADCAST", groups)
     got = warc.round_trip(pages, payloads=True).collect()
     assert len(got) == pages.count()
     by = {x.page_id: x for x in got}
@@ -286,6 +309,37 @@ def test_reader_takes_one_frame_per_record(monkeypatch, pressed):
     assert [warc.parse(r)["page_id"] for r in records] == list(range(40))
 
 
+def test_archives_are_what_other_readers_take(pages, spark, tmp_path):
+    """On disk: the dictionary's skippable frame first, then frames that a plain decoder with that dictionary reads, one record each."""
+    (made, *_) = warc.write(pages.coalesce(1), f"file://{tmp_path}/plain").collect()
+    data = (tmp_path / "plain" / made.path.rsplit("/", 1)[1]).read_bytes()
+    magic, size = struct.unpack("<II", data[:8])
+    assert magic == 0x184D2A5D and len(data) == made.bytes
+    decoder = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(data[8 : 8 + size]))
+    out = decoder.stream_reader(io.BytesIO(data[8 + size :]), read_across_frames=True).read()
+    assert out.count(b"WARC/1.1\r\n") == made.records + 1
+
+
+def test_records_of_any_kind(spark, tmp_path):
+    """An archive that others might have written: WARC/1.0, requests, metadata, no digest, repeated HTTP headers, bytes that are no text."""
+    head = lambda kind, *more: [("WARC-Record-ID", f"<urn:uuid:{kind}>"), ("WARC-Date", warc.DATE), *more]
+    http = ("Content-Type", "application/http;msgtype=response")
+    made = [
+        warc.record("warcinfo", head("warcinfo"), b"software: a crawler\r\n"),
+        warc.record("request", head("request", ("Content-Type", "application/http;msgtype=request"), ("WARC-Target-URI", "http://a/")), b"GET / HTTP/1.1\r\nHost: a\r\n\r\n"),
+        warc.record("response", head("response", http, ("WARC-Target-URI", "http://a/")), b"HTTP/1.1 200 OK\r\nSet-Cookie: a\r\nSet-Cookie: b\r\n\r\n\xff\xfe\x00").replace(b"WARC/1.1", b"WARC/1.0", 1),
+        warc.record("metadata", head("metadata"), b""),
+    ]
+    press = zstandard.ZstdCompressor()
+    (tmp_path / "other.warc.zst").write_bytes(b"".join(press.compress(x) for x in made))
+    paths = spark.createDataFrame([(f"file://{tmp_path}/other.warc.zst",)], "path string")
+    got = {x.record_type: x for x in warc.records(paths).collect()}
+    assert list(map(len, (got, made))) == [4, 4] and bytes(got["response"].payload) == b"\xff\xfe\x00" and got["response"].http["set-cookie"] == "a, b"
+    assert got["request"].status == "GET / HTTP/1.1" and got["metadata"].target_uri is None and bytes(got["metadata"].payload) == b""
+    with pytest.raises(warc.BadArchive, match="digest"):
+        warc.parse_any(warc.record("resource", head("resource", ("WARC-Block-Digest", "sha1:" + "A" * 32)), b"x"))
+
+
 def test_reader_refuses_what_is_broken():
     good = warc.page_record(1, "http://x/", b"payload", None)
     assert warc.parse(good)["html"] == "payload"
@@ -372,6 +426,17 @@ def test_wrapper_is_not_what_its_name_holds(wrapper):
     assert extract.main_text(page) == f"Title\n{LONG}\n{LONG}"
 
 
+def test_distribution_decides_in_marked_articles():
+    """Rows of links before and after the text of an article lie outside surge and dive; those within a run stay."""
+    links = "".join(f"<p><a href=/{k}>Tag number {k}</a></p>" for k in range(4))
+    text = "".join(f"<p>A paragraph of the article that has some length, number {k}.</p>" for k in range(3))
+    page = f"<article><h1>A title</h1>{text}<p><a href=/x>see also</a></p>{text}{links}<p>ok</p></article>"
+    got = extract.main_text(page).split("\n")
+    assert got[0] == "A title" and got[4] == "see also" and len(got) == 8
+    assert extract.main_text(page, window=10) != extract.main_text(page)  # wider windows bridge the links
+    assert extract.main_text(f"<article>{links}</article>").count("\n") == 3  # nothing but links
+
+
 def test_very_long_and_broken_pages_are_quick():
     import time
 
@@ -406,6 +471,50 @@ def test_pipeline(spark, small):
     assert len(got) == counts[3] and {x.doc_id for x in got} == {x.doc_id for x in now.collect()}
 
 
+def test_pipeline_by_brute_force(spark, small):
+    """Every stage on what its predecessor kept: scores, all pairs of fingerprints, all passages, budgets, and the SQL of the last."""
+    from tickweave.llm import mixing, quality, sharding
+
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    kept = stages["quality"](spark, docs, small).cache()
+    model = quality.learn(docs, spark.read.parquet(f"{small}/labels.parquet"))
+    assert {x.doc_id for x in kept.collect()} == {x.doc_id for x in quality.score(docs, model).collect() if x.score >= 0.7}
+
+    texts = {x.doc_id: x.text for x in kept.collect()}
+    prints = {k: neardup.fingerprint(v.encode()) for k, v in texts.items()}
+    root = {k: k for k in texts}
+    for a, b in itertools.combinations(sorted(texts), 2):
+        if (prints[a] ^ prints[b]).bit_count() <= 3 and root[a] != root[b]:
+            low, high = sorted((root[a], root[b]))
+            root = {k: low if v == high else v for k, v in root.items()}
+    once = stages["near_duplicates"](spark, kept, small).cache()
+    assert {x.doc_id: x.text for x in once.collect()} == {k: texts[k] for k in set(root.values())}
+
+    items = [decontaminate.Item(x.item_id, decontaminate.normal(x.text), int(0.08 * len(decontaminate.normal(x.text)))) for x in spark.read.parquet(f"{small}/benchmark.parquet").collect()]
+    held = lambda t: any(decontaminate.myers(i.peq, len(i.text), decontaminate.normal(t), i.budget) for i in items)
+    clean = stages["decontamination"](spark, once, small).cache()
+    assert {x.doc_id for x in clean.collect()} == {k for k in set(root.values()) if not held(texts[k])}
+
+    mixed = stages["mixing"](spark, clean, small).cache()
+    read = Counter(x.doc_id for x in mixed.collect())
+    plan = {x.source: x for x in mixing.mix(clean).collect()}
+    for source, x in plan.items():
+        mine = {r.doc_id: len(mixing_words(r.text)) for r in clean.collect() if r.source == source}
+        assert {read[k] for k in mine} <= {int(x.readings), int(x.readings) + 1}
+        assert 0 <= sum(read[k] * n for k, n in mine.items()) - int(x.readings * sum(mine.values())) <= max(mine.values()) + 1
+
+    con = duckdb.connect()
+    con.register("documents", mixed.toArrow())
+    columns = "doc_id, source, size, text_crc32, law, shard, slot"
+    want = sorted(map(tuple, con.execute(f"SELECT {columns} FROM ({sharding.sql()})").fetchall()))
+    assert sorted(tuple(x) for x in stages["sharding"](spark, mixed, small).select(columns.split(", ")).collect()) == want
+
+
+def mixing_words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text)
+
+
 def test_pipeline_stages_on_odd_and_no_rows(spark, odd_docs, no_docs, tmp_path):
     folder = str(tmp_path)
     spark.createDataFrame([(1, 1, 0), (3, 0, 0), (7, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")

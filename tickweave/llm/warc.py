@@ -18,12 +18,15 @@ from tickweave.llm.common import cut, lowest, own_dir, store_of
 
 # Fixed values of the formats.
 WARC_VERSION = b"WARC/1.1"
+VERSIONS = (WARC_VERSION, b"WARC/1.0")
 DICTIONARY_MAGIC = 0x184D2A5D  # skippable frame that holds an archive's dictionary
 FRAME_MAGIC = 0xFD2FB528
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 #: Payloads with fewer bytes are always stored.
 REVISIT_BYTES = 1000
+#: Groups of equal payloads that are broadcast, of about 80 bytes each.
+BROADCAST = 200_000
 #: Compressed bytes after which a task begins another archive.
 ARCHIVE_BYTES = 32_000_000
 #: The dictionary: its bytes, and the pages (those with the smallest hashes of their ids) and the bytes of each that it is made from.
@@ -83,17 +86,18 @@ def page_record(page_id: int | None, url: str | None, payload: bytes, refers_to:
     return record("revisit", [*headers, ("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", _name(refers_to))], http)
 
 
-def _headers(data: bytes, where: str) -> tuple[bytes, dict[str, str], bytes]:
+def _headers(data: bytes, where: str, repeats: bool = False) -> tuple[bytes, dict[str, str], bytes]:
     head, gap, rest = data.partition(b"\r\n\r\n")
     if not gap:
         raise BadArchive(f"{where}: headers do not end")
     first, *lines = head.split(b"\r\n")
     found: dict[str, str] = {}
     for line in lines:
-        name, colon, value = line.decode().partition(":")
-        if not colon or not name.strip() or name.lower() in found:
+        name, colon, value = line.decode("utf-8", "replace").partition(":")
+        name = name.lower()
+        if not colon or not name.strip() or (name in found and not repeats):
             raise BadArchive(f"{where}: bad or repeated header {name!r}")
-        found[name.lower()] = value.strip()
+        found[name] = f"{found[name]}, {value.strip()}" if name in found else value.strip()
     return first, found, rest
 
 
@@ -104,35 +108,50 @@ def _length(headers: dict[str, str], where: str) -> int:
     return int(value)
 
 
-def parse(data: bytes, where: str = "record") -> dict | None:
-    """A frame's record with headers, lengths and digests checked; None for records that hold no page."""
-    first, headers, rest = _headers(data, where)
-    if first != WARC_VERSION:
+def parse_any(data: bytes, where: str = "record") -> dict:
+    """A frame's record of any kind, its headers, length and, where it has any, SHA-1 digests checked.
+
+    ``payload`` is the block, or what follows the headers of an HTTP message.
+    """
+    first, headers, block = _headers(data, where)
+    if first not in VERSIONS:
         raise BadArchive(f"{where}: begins with {first[:20]!r}")
     missing = {"warc-type", "warc-record-id", "warc-date"} - headers.keys()
     if missing:
         raise BadArchive(f"{where}: no {sorted(missing)}")
     n = _length(headers, where)
-    if len(rest) != n + 4 or rest[n:] != b"\r\n\r\n":
-        raise BadArchive(f"{where}: Content-Length {n}, but {len(rest) - 4} bytes")
-    kind = headers["warc-type"]
+    if len(block) != n + 4 or block[n:] != b"\r\n\r\n":
+        raise BadArchive(f"{where}: Content-Length {n}, but {len(block) - 4} bytes")
+    block, kind = block[:n], headers["warc-type"]
+    status, http, payload = b"", {}, block
+    if headers.get("content-type", "").startswith("application/http"):
+        status, http, payload = _headers(block, where, repeats=True)
+        if kind in ("response", "revisit") and not status.startswith(b"HTTP/"):
+            raise BadArchive(f"{where}: no HTTP status line")
+        if kind == "response" and "content-length" in http and len(payload) != _length(http, where):
+            raise BadArchive(f"{where}: the payload is not that of its length")
+        if kind == "revisit" and payload:
+            raise BadArchive(f"{where}: a revisit with a payload")
+    for name, covered in (("warc-block-digest", block), ("warc-payload-digest", payload)):
+        scheme, _, digest = headers.get(name, "").partition(":")
+        if scheme == "sha1" and not (kind == "revisit" and covered is payload) and base64.b32decode(digest) != hashlib.sha1(covered).digest():
+            raise BadArchive(f"{where}: {name} is not that of the content")
+    return {"record_id": headers["warc-record-id"], "record_type": kind, "date": headers["warc-date"], "target_uri": headers.get("warc-target-uri"), "headers": headers, "status": status.decode("latin-1"), "http": http, "payload": payload}
+
+
+def parse(data: bytes, where: str = "record") -> dict | None:
+    """A frame's record of a page; None for records that hold no page.  A page's record must have its length and SHA-1."""
+    got = parse_any(data, where)
+    kind, headers = got["record_type"], got["headers"]
     if kind not in ("response", "revisit"):
         return None
-    status, http, payload = _headers(rest[:n], where)
-    if not status.startswith(b"HTTP/"):
-        raise BadArchive(f"{where}: no HTTP status line")
     scheme, _, digest = headers.get("warc-payload-digest", "").partition(":")
     if scheme != "sha1":
         raise BadArchive(f"{where}: no sha1 payload digest")
-    length, raw = _length(http, where), base64.b32decode(digest)
-    if kind == "response" and (len(payload) != length or hashlib.sha1(payload).digest() != raw):
-        raise BadArchive(f"{where}: the payload is not that of its length and digest")
-    if kind == "revisit" and payload:
-        raise BadArchive(f"{where}: a revisit with a payload")
     refers = _page_of(headers["warc-refers-to"]) if kind == "revisit" else None
     return {
-        "page_id": _page_of(headers["warc-record-id"]), "url": headers.get("warc-target-uri"), "payload_bytes": length,
-        "payload_digest": raw.hex(), "record_type": kind, "refers_to": refers, "html": payload.decode() if kind == "response" else None,
+        "page_id": _page_of(got["record_id"]), "url": got["target_uri"], "payload_bytes": _length(got["http"], where), "payload_digest": base64.b32decode(digest).hex(),
+        "record_type": kind, "refers_to": refers, "html": got["payload"].decode() if kind == "response" else None,
     }
 
 
@@ -187,23 +206,27 @@ def dictionary(pages: DataFrame) -> bytes:
 def classified(pages: DataFrame) -> DataFrame:
     """Rows (page_id, url, payload, refers_to): refers_to names the response of equal payloads, null for responses.
 
-    Payloads are told apart by SHA-256 and length.  Digests that more than a
-    1024th of the pages share are at most 1024 and are broadcast; no other is
-    hot.  Only groups of two and more pages are joined.
+    Payloads are told apart by SHA-256 and length.  Only groups of two and more
+    pages are joined: all by broadcast up to ``BROADCAST`` of them, so pages are
+    read once and not shuffled; if there are more, digests that more than a
+    1024th of the pages share, at most 1024, are broadcast, and no other is hot.
     """
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("sha", F.when(F.length("payload") >= REVISIT_BYTES, F.sha2("payload", 256)))
     groups = rows.where("sha is not null").groupBy("sha").agg(F.max("page_id").alias("top"), F.count(F.lit(1)).alias("same"))
     groups = cut(groups.where("same > 1 and top is not null"))
+    names = ["page_id", "url", "payload", "top"]
+    refers = F.when(~F.col("page_id").eqNullSafe(F.col("top")), F.col("top")).alias("refers_to")
+    if groups.count() <= BROADCAST:
+        return rows.join(F.broadcast(groups), "sha", "left").select("page_id", "url", "payload", refers)
     total = pages.count()
     hot, cold = groups.where(F.col("same") * 1024 > total), groups.where(F.col("same") * 1024 <= total)
     often = rows.join(F.broadcast(hot), "sha")
     rest = rows.join(F.broadcast(hot.select("sha")), "sha", "left_anti")
     once = rest.where("sha is null").select("page_id", "url", "payload", F.lit(None).cast("long").alias("top"))
     seldom = rest.where("sha is not null").join(cold, "sha", "left")
-    names = ["page_id", "url", "payload", "top"]
     both = often.select(names).unionByName(seldom.select(names)).unionByName(once)
-    return both.select("page_id", "url", "payload", F.when(~F.col("page_id").eqNullSafe(F.col("top")), F.col("top")).alias("refers_to"))
+    return both.select("page_id", "url", "payload", refers)
 
 
 def write(pages: DataFrame, folder: str, rows: DataFrame | None = None) -> DataFrame:
@@ -235,7 +258,7 @@ def write(pages: DataFrame, folder: str, rows: DataFrame | None = None) -> DataF
             for page_id, url, payload, refers in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "payload", "refers_to")), strict=True):
                 if opened is None:
                     name = f"{uuid.uuid4().hex}.warc.zst"
-                    opened = {"name": name, "stream": store.open_output_stream(f"{base}/{name}"), "records": 0, "bytes": 0}
+                    opened = {"name": name, "stream": store.open_output_stream(f"{base}/{name}", compression=None), "records": 0, "bytes": 0}
                     put(struct.pack("<II", DICTIONARY_MAGIC, len(content)) + content)
                     info = record("warcinfo", [("WARC-Record-ID", f"<urn:archive:{name}>"), ("WARC-Date", DATE)], b"format: WARC File Format 1.1\r\n")
                     put(press.compress(info))
@@ -264,7 +287,7 @@ def read(manifest: DataFrame, payloads: bool = True) -> DataFrame:
             for path, expected in zip(batch.column("path").to_pylist(), batch.column("records").to_pylist(), strict=True):
                 store, inner = store_of(path)
                 found, seen = [], 0
-                with store.open_input_stream(inner) as stream:
+                with store.open_input_stream(inner, compression=None) as stream:
                     for number, data in enumerate(frames(stream, path)):
                         row = parse(data, f"{path}, record {number}")
                         if row is None:
@@ -283,6 +306,31 @@ def read(manifest: DataFrame, payloads: bool = True) -> DataFrame:
     return manifest.repartition(tasks).mapInArrow(run, RECORDS)
 
 
+#: Any record: HTTP headers have their names in lower case.
+ANY = T.StructType(
+    [T.StructField(x, T.StringType()) for x in ("record_id", "record_type", "date", "target_uri", "status")]
+    + [T.StructField(x, T.MapType(T.StringType(), T.StringType())) for x in ("headers", "http")]
+    + [T.StructField("payload", T.BinaryType())]
+)
+
+
+def records(paths: DataFrame) -> DataFrame:
+    """Every record of the archives at ``path``, of any kind, whoever wrote them; see ``parse_any``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                store, inner = store_of(path)
+                with store.open_input_stream(inner, compression=None) as stream:
+                    for number, data in enumerate(frames(stream, path)):
+                        got = parse_any(data, f"{path}, record {number}")
+                        maps = [pa.array([list(got[x].items())], pa.map_(pa.string(), pa.string())) for x in ("headers", "http")]
+                        yield pa.record_batch([*[pa.array([got[x]], pa.string()) for x in ANY.names[:5]], *maps, pa.array([got["payload"]], pa.binary())], ANY.names)
+
+    tasks = min(max(paths.count(), 1), READERS)
+    return paths.select("path").repartition(tasks).mapInArrow(run, ANY)
+
+
 def _rows(found: list[dict]) -> pa.RecordBatch:
     kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
     return pa.record_batch([pa.array([x[n] for x in found], k) for n, k in zip(RECORDS.names, kinds, strict=True)], RECORDS.names)
