@@ -104,7 +104,7 @@ def test_store_and_replay(spark, tmp_path, monkeypatch, capsys):
     assert store.compact(spark, "bookstore", "order_book_second_delta", str(tmp_path / "c")).count() == 59
     assert store.stored_bytes(spark, str(tmp_path / "c")) > 0
     assert len(cli.main(["--print-ddl"])) == 5
-    instrument = (1, "OKX", "perpetual", "BTC-USDT-SWAP", "BTC", "USDT", "USDT", "0.01", "0.1", "1", None)
+    instrument = (1, "OKX", "perpetual", "ZOR-USDT-SWAP", "ZOR", "USDT", "USDT", "0.015", "0.2", "2", None)
     rows = spark.createDataFrame([instrument, instrument[:2] + ("margin",) + instrument[3:]], "a int, b string, c string, d string, e string, f string, g string, h string, i string, j string, k timestamp")
     named = rows.toDF(*[x.name for x in __import__("tickweave.schemas", fromlist=["x"]).INSTRUMENT])
     store.append(named.where("market_type = 'perpetual'"), "bookstore", "instrument", F.lit(1))

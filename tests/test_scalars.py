@@ -70,7 +70,7 @@ def test_settings():
     for bad in ("0", "-1", "x"):
         with pytest.raises(ValueError):
             config.positive(bad, 1)
-    assert config.Config.load({"TICKWEAVE_OKX_SPOT": "BTC-USDT"}).okx_spot == ("BTC-USDT",)
+    assert config.Config.load({"TICKWEAVE_OKX_SPOT": "ZOR-USDT"}).okx_spot == ("ZOR-USDT",)
 
 
 def test_cli_arguments():
@@ -112,6 +112,6 @@ def test_rest_retries(spark):
 
 def test_urls_and_delays():
     assert rest.instruments_url("OKX", "perpetual").endswith("instType=SWAP") and "fapi" in rest.instruments_url("Binance", "perpetual")
-    assert "limit=1000" in rest.snapshot_url("BTCUSDT", "spot") and "startTime=5&endTime=6" in rest.funding_history_url("Binance", "BTCUSDT", 5)
-    assert rest.stream_names("Binance", ["BTCUSDT"], "depth") == ["btcusdt@depth@100ms"]
+    assert "limit=1000" in rest.snapshot_url("ZORUSDT", "spot") and "startTime=5&endTime=6" in rest.funding_history_url("Binance", "ZORUSDT", 5)
+    assert rest.stream_names("Binance", ["ZORUSDT"], "depth") == ["zorusdt@depth@100ms"]
     assert [feed.reconnect_delay(k) for k in range(7)] == [1, 2, 4, 8, 16, 30, 30]

@@ -22,14 +22,14 @@ OKX_STEPS = {"price_tick_size": Decimal("0.1"), "quantity_step_size": Decimal("1
 
 
 def symbol(name, **more):
-    filters = [{"filterType": "PRICE_FILTER", "tickSize": "0.10"}, {"filterType": "LOT_SIZE", "stepSize": "0.001"}]
-    return {"symbol": name, "status": "TRADING", "contractType": "PERPETUAL", "baseAsset": "BTC", "quoteAsset": "USDT", "marginAsset": "USDT", "filters": filters} | more
+    filters = [{"filterType": "PRICE_FILTER", "tickSize": "0.0500"}, {"filterType": "LOT_SIZE", "stepSize": "0.002"}]
+    return {"symbol": name, "status": "TRADING", "contractType": "PERPETUAL", "baseAsset": "ZOR", "quoteAsset": "USDT", "marginAsset": "USDT", "filters": filters} | more
 
 
 def test_exchange_info(spark):
-    payload = {"symbols": [symbol("BTCUSDT"), symbol("OLD", status="BREAK"), symbol("BTCUSD", marginAsset="BTC"), symbol("Q", contractType="CURRENT_QUARTER")]}
+    payload = {"symbols": [symbol("ZORUSDT"), symbol("OLD", status="BREAK"), symbol("ZORUSD", marginAsset="ZOR"), symbol("Q", contractType="CURRENT_QUARTER")]}
     (row,) = binance.instruments(feed(spark, payload), "perpetual").collect()
-    assert row.exchange_symbol == "BTCUSDT" and row.settle_asset == "USDT" and row.price_tick_size == Decimal("0.1") and row[VIOLATIONS] == []
+    assert row.exchange_symbol == "ZORUSDT" and row.settle_asset == "USDT" and row.price_tick_size == Decimal("0.05") and row[VIOLATIONS] == []
     twice = symbol("A")
     twice["filters"] = twice["filters"] + twice["filters"][:1]
     assert binance.instruments(feed(spark, {"symbols": [twice]}), "perpetual").first()[VIOLATIONS] == ["price_filter"]
@@ -49,47 +49,47 @@ def test_binance_snapshot(spark):
 
 
 def test_binance_update(spark):
-    good = {"e": "depthUpdate", "E": 5, "T": 7, "s": "BTCUSDT", "U": 100, "u": 101, "pu": 99, "b": [["100.1", "0"]], "a": []}
-    known = {"exchange_symbol": "BTCUSDT", "market_type": "perpetual"} | STEPS
-    row = binance.depth_updates(feed(spark, {"stream": "btcusdt@depth", "data": good}, **known)).first()
+    good = {"e": "depthUpdate", "E": 5, "T": 7, "s": "ZORUSDT", "U": 100, "u": 101, "pu": 99, "b": [["100.1", "0"]], "a": []}
+    known = {"exchange_symbol": "ZORUSDT", "market_type": "perpetual"} | STEPS
+    row = binance.depth_updates(feed(spark, {"stream": "zorusdt@depth", "data": good}, **known)).first()
     assert row[VIOLATIONS] == [] and (row.first_id, row.final_id, row.prev_id) == (100, 101, 99) and row.source_time.microsecond == 7000
     assert binance.depth_updates(feed(spark, good, **known | {"market_type": "spot"})).first().source_time.microsecond == 5000
-    for change, code in [({"U": 102}, "ids"), ({"pu": 0}, "prev_id"), ({"s": "btcusdt"}, "symbol"), ({"e": "x"}, "event"), ({"b": [["1", "1"], ["1", "2"]]}, "bids")]:
+    for change, code in [({"U": 102}, "ids"), ({"pu": 0}, "prev_id"), ({"s": "zorusdt"}, "symbol"), ({"e": "x"}, "event"), ({"b": [["1", "1"], ["1", "2"]]}, "bids")]:
         assert code in binance.depth_updates(feed(spark, good | change, **known)).first()[VIOLATIONS]
-    assert "stream" in binance.depth_updates(feed(spark, {"stream": "ethusdt@depth", "data": good}, **known)).first()[VIOLATIONS]
+    assert "stream" in binance.depth_updates(feed(spark, {"stream": "kepusdt@depth", "data": good}, **known)).first()[VIOLATIONS]
 
 
 def test_mark_price_and_history(spark):
-    dim = spark.createDataFrame([(1, "BTCUSDT", "perpetual")], "instrument_id long, exchange_symbol string, market_type string")
-    row = binance.mark_prices(feed(spark, {"e": "markPriceUpdate", "E": 9, "s": "BTCUSDT", "r": "0.0001", "T": 1800000}), dim).first()
+    dim = spark.createDataFrame([(1, "ZORUSDT", "perpetual")], "instrument_id long, exchange_symbol string, market_type string")
+    row = binance.mark_prices(feed(spark, {"e": "markPriceUpdate", "E": 9, "s": "ZORUSDT", "r": "0.0001", "T": 1800000}), dim).first()
     assert row.instrument_id == 1 and row.rate == Decimal("0.0001") and row[VIOLATIONS] == []
     assert binance.mark_prices(feed(spark, {"result": None, "id": 1}), dim).count() == 0
     assert "control" in binance.mark_prices(feed(spark, {"code": 2, "msg": "x"}), dim).first()[VIOLATIONS]
     time = datetime(2026, 1, 1, 8, tzinfo=timezone.utc)
     ms = int(time.timestamp() * 1000)
     for shift, found in ((0, True), (1, False)):
-        payload = [{"symbol": "BTCUSDT", "fundingRate": "0.0002", "fundingTime": ms + shift}]
-        got = binance.funding_history(feed(spark, payload, instrument_id=1, exchange_symbol="BTCUSDT", funding_time=time)).first()
+        payload = [{"symbol": "ZORUSDT", "fundingRate": "0.0002", "fundingTime": ms + shift}]
+        got = binance.funding_history(feed(spark, payload, instrument_id=1, exchange_symbol="ZORUSDT", funding_time=time)).first()
         assert (got.rate is not None) == found and got.is_actual
 
 
 def test_okx_instruments(spark):
-    item = dict(instType="SWAP", instId="BTC-USDT-SWAP", state="live", baseCcy="", quoteCcy="", settleCcy="USDT", ctType="linear", ctVal="0.01", ctMult="1", ctValCcy="BTC", tickSz="0.1", lotSz="1")
+    item = dict(instType="SWAP", instId="ZOR-USDT-SWAP", state="live", baseCcy="", quoteCcy="", settleCcy="USDT", ctType="linear", ctVal="0.005", ctMult="3", ctValCcy="ZOR", tickSz="0.2", lotSz="2")
     (row,) = okx.instruments(feed(spark, {"code": "0", "msg": "", "data": [item, item | {"instId": "X-USD-SWAP", "ctType": "inverse"}]}), "perpetual").collect()
-    assert row.base_asset == "BTC" and row.contract_multiplier == Decimal("0.01") and row[VIOLATIONS] == []
-    for change, code in [({"ctValCcy": "USD"}, "contract_asset"), ({"instId": "BTC-USDT"}, "name"), ({"ctVal": "0"}, "contract")]:
+    assert row.base_asset == "ZOR" and row.contract_multiplier == Decimal("0.015") and row[VIOLATIONS] == []
+    for change, code in [({"ctValCcy": "USD"}, "contract_asset"), ({"instId": "ZOR-USDT"}, "name"), ({"ctVal": "0"}, "contract")]:
         assert code in okx.instruments(feed(spark, {"code": "0", "data": [item | change]}), "perpetual").first()[VIOLATIONS]
     assert "code" in okx.instruments(feed(spark, {"code": "1", "data": []}), "perpetual").first()[VIOLATIONS]
-    spot = dict(instType="SPOT", instId="BTC-USDT", state="live", baseCcy="BTC", quoteCcy="USDT", settleCcy="", tickSz="0.1", lotSz="0.001")
+    spot = dict(instType="SPOT", instId="ZOR-USDT", state="live", baseCcy="ZOR", quoteCcy="USDT", settleCcy="", tickSz="0.3", lotSz="0.004")
     assert okx.instruments(feed(spark, {"code": "0", "data": [spot]}), "spot").first()[VIOLATIONS] == []
 
 
 def test_okx_depth(spark):
     def message(action="snapshot", **change):
         item = {"asks": [["100.2", "3", "0", "1"]], "bids": [["100.1", "2", "0", "4"]], "ts": "1700000000123", "prevSeqId": -1 if action == "snapshot" else 10, "seqId": 10}
-        return {"arg": {"channel": "books", "instId": "BTC-USDT-SWAP"}, "action": action, "data": [item | change]}
+        return {"arg": {"channel": "books", "instId": "ZOR-USDT-SWAP"}, "action": action, "data": [item | change]}
 
-    known = {"exchange_symbol": "BTC-USDT-SWAP"} | OKX_STEPS
+    known = {"exchange_symbol": "ZOR-USDT-SWAP"} | OKX_STEPS
     row = okx.depth(feed(spark, message(), **known)).first()
     assert row[VIOLATIONS] == [] and row.kind == "snapshot" and row.bids[0].price == 1001
     assert okx.depth(feed(spark, message("update", bids=[], asks=[["100.2", "0", "0", "0"]]), **known)).first()[VIOLATIONS] == []
@@ -103,13 +103,13 @@ def test_okx_depth(spark):
 
 
 def test_okx_funding(spark):
-    dim = spark.createDataFrame([(2, "BTC-USDT-SWAP", "perpetual")], "instrument_id long, exchange_symbol string, market_type string")
-    rows = [{"instId": "", "instType": "SWAP", "fundingRate": "0.0003", "fundingTime": "1700006400000", "ts": "1700000000000"}, {"instId": "ETH-USDT-SWAP", "instType": "", "fundingRate": "0.1", "fundingTime": "1", "ts": "1"}]
-    got = okx.funding_updates(feed(spark, {"arg": {"channel": "funding-rate", "instId": "BTC-USDT-SWAP"}, "data": rows}), dim).collect()
+    dim = spark.createDataFrame([(2, "ZOR-USDT-SWAP", "perpetual")], "instrument_id long, exchange_symbol string, market_type string")
+    rows = [{"instId": "", "instType": "SWAP", "fundingRate": "0.0003", "fundingTime": "1700006400000", "ts": "1700000000000"}, {"instId": "KEP-USDT-SWAP", "instType": "", "fundingRate": "0.1", "fundingTime": "1", "ts": "1"}]
+    got = okx.funding_updates(feed(spark, {"arg": {"channel": "funding-rate", "instId": "ZOR-USDT-SWAP"}, "data": rows}), dim).collect()
     assert sorted(len(x[VIOLATIONS]) for x in got) == [0, 1] and len(got) == 2
     time = datetime(2026, 1, 1, 8, tzinfo=timezone.utc)
     ms = str(int(time.timestamp() * 1000))
     for realized, rate in (("0.0005", Decimal("0.0005")), ("", None)):
-        payload = {"code": "0", "data": [{"instId": "BTC-USDT-SWAP", "fundingRate": "0.9", "realizedRate": realized, "fundingTime": ms}]}
-        got = okx.funding_history(feed(spark, payload, instrument_id=2, exchange_symbol="BTC-USDT-SWAP", funding_time=time)).first()
+        payload = {"code": "0", "data": [{"instId": "ZOR-USDT-SWAP", "fundingRate": "0.9", "realizedRate": realized, "fundingTime": ms}]}
+        got = okx.funding_history(feed(spark, payload, instrument_id=2, exchange_symbol="ZOR-USDT-SWAP", funding_time=time)).first()
         assert got.rate == rate and got[VIOLATIONS] == []
