@@ -16,10 +16,8 @@ from tickweave.llm.common import ID, held_out, in_batches, lowest
 
 #: Words in a window and from one window to the next; neighbours share eight words.
 WINDOW, STEP = 32, 24
-#: Labelled rows of either kind that are fitted on at most (smallest hashes of ids), and windows of each, spread over its whole text.
-FIT_TOXIC, FIT_CLEAN, FIT_WINDOWS = 1500, 3000, 48
-#: Words of a text that are fitted on at most, in this many stretches spread over it, and bytes of such a word.  Scores take whole texts.
-FIT_WORDS, FIT_STRETCHES, FIT_BYTES = 6656, 64, 64
+#: Labelled rows of either kind that are fitted on at most (smallest hashes of ids), each with its whole text.
+FIT_TOXIC, FIT_CLEAN = 1500, 3000
 THRESHOLD = 0.5
 HIDDEN, EMBED, ATTEND = 8, 8, 8
 #: Hashes that words and character runs are told apart by, and the runs' bytes.
@@ -33,6 +31,8 @@ HIDE = 0.2
 DECAY = 2.0
 #: Windows scored together, and words hashed together in fitting.
 TOGETHER, BLOCK = 1024, 20_000
+#: Bytes of texts scored together; a longer text is scored by itself.
+SLICE_BYTES = 8_000_000
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _KEPT = np.float32(30)  # update gate of padding: the state stays as it is
@@ -280,10 +280,7 @@ def fit(texts: list[str | None], labels: np.ndarray, prior: float | None = None,
     pad = len(vocabulary)
     all_words, bounds = Words.in_order(vocabulary)
     net.keep_common(all_words, ids, bounds)
-    each = []
-    for i in ids:
-        w = windows(i, pad)
-        each.append(w if len(w) <= FIT_WINDOWS else w[np.unique(np.linspace(0, len(w) - 1, FIT_WINDOWS).astype(int))])
+    each = [windows(i, pad) for i in ids]
     flat, starts = np.concatenate(each), np.concatenate([[0], np.cumsum([len(w) for w in each])])
     del each, ids, vocabulary
     weight_of = np.where(labels > 0, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
@@ -335,36 +332,21 @@ def fit(texts: list[str | None], labels: np.ndarray, prior: float | None = None,
     return net
 
 
-def excerpt(text: str | None) -> str:
-    """A text to fit on, of at most FIT_WORDS words: whole if it has no more, else stretches spread evenly from start to end."""
-    words = [w[:FIT_BYTES] for w in (text or "").split()]
-    if len(words) > FIT_WORDS:
-        size = FIT_WORDS // FIT_STRETCHES
-        starts = np.linspace(0, len(words) - size, FIT_STRETCHES).astype(int)
-        words = [w for a in starts for w in words[a : a + size]]
-    return " ".join(words)
-
-
 def learn(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int = 0, toxic: int = FIT_TOXIC, clean: int = FIT_CLEAN) -> Network:
     """Fits the network on a bounded sample of labelled documents that are not held out.
 
     Of either label, those with the smallest hashes of their ids, ``toxic``
     and ``clean`` of them at most; a row with more than one label is toxic if
-    any says so; rows without an id or a label teach nothing.  Long texts are
-    cut to an ``excerpt`` where they are, so what comes to the driver is bounded.
+    any says so; rows without an id or a label teach nothing; of rows that
+    repeat an id the least text does.  Whole texts of at most ``toxic`` and
+    ``clean`` rows come to the driver.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"), modulus, remainder))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("label"))
     prior = known.agg(F.avg("label")).first()[0]
     first = lambda label, n: lowest(known.where(F.col("label") == label), n, "doc_id")
     sample = first(1, toxic).unionByName(first(0, clean))
-    kinds = T.StructType([ID, T.StructField("text", T.StringType()), T.StructField("label", T.IntegerType())])
-
-    def shorten(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [excerpt(x) for x in batch.column("text").to_pylist()]
-        return pa.record_batch([batch.column("doc_id"), pa.array(texts, pa.string()), batch.column("label").cast(pa.int32())], kinds.names)
-
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").mapInArrow(in_batches(shorten), kinds)
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
     rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
     got = rows.orderBy("doc_id").toArrow()
     return fit(got.column("text").to_pylist(), got.column("label").to_numpy(), prior)
@@ -379,4 +361,4 @@ def score(docs: DataFrame, net: Network) -> DataFrame:
         found = scores(sent.value, batch.column("text").to_pylist())
         return pa.record_batch([batch.column("doc_id"), pa.array(found)], ["doc_id", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(in_batches(run, 2500), schema)
+    return docs.select("doc_id", "text").mapInArrow(in_batches(run, 2500, SLICE_BYTES), schema)
