@@ -35,25 +35,34 @@ def positive(raw: Column) -> Column:
     return F.when(value > 0, value)
 
 
-def _quotient(value: Column, step: Column, least: Column) -> Column:
-    """value / step where step divides a value of at least ``least``, else null; ``/`` and not ``div``, which wraps beyond 2**63.
+def _quotient(value: Column, step: Column, within: str, positive: bool) -> Column:
+    """value / step where step divides a value of 0 (or a step) and more, else null; the remainder decides, exactly.
 
-    The remainder decides, exactly; value and quotient are computed once each.
+    In a type of up to 18 digits, which are longs, ``div`` is exact and cheap;
+    in wider ones it would wrap beyond 2**63, so they are divided by ``/``.
     """
-    value, step = value.cast(WIDE), step.cast(WIDE)
-    return F.when((step > 0) & (value >= least) & (value % step == 0), value / step)
+    value, step = value.try_cast(within), step.try_cast(within)
+    good = (step > 0) & (value >= (step if positive else F.lit(0).cast(within))) & (value % step == 0)
+    narrow = int(within.split("(")[1].split(",")[0]) <= 18
+    return F.when(good, F.call_function("div", value, step) if narrow else value / step)
 
 
-def price_tick(value: Column, step: Column) -> Column:
-    """Whole ticks from 1 to 2**63-1 as a long, else null: nothing is rounded."""
-    return _quotient(value, step, step.cast(WIDE)).try_cast("long")
+def price_tick(value: Column, step: Column, within: str = WIDE) -> Column:
+    """Whole ticks from 1 to 2**63-1 as a long, else null: nothing is rounded.
+
+    ``within`` is a decimal type that holds both price and step, if that is
+    known; what it doesn't hold is null.
+    """
+    return _quotient(value, step, within, True).try_cast("long")
 
 
-def quantity_lot(value: Column, step: Column) -> Column:
-    """Whole lots from 0 to 2**64-1 as decimal(20,0), else null."""
-    beyond = F.lit(str(MAX_LOT + 1)).cast("decimal(20,0)")
-    lot = F.least(_quotient(value, step, F.lit(0).cast(WIDE)).try_cast("decimal(26,0)"), beyond.cast("decimal(26,0)"))
-    return F.nullif(lot, beyond.cast("decimal(26,0)")).cast("decimal(20,0)")
+def quantity_lot(value: Column, step: Column, within: str = WIDE) -> Column:
+    """Whole lots from 0 to 2**64-1 as decimal(20,0), else null; ``within`` as for prices."""
+    lots = _quotient(value, step, within, False)
+    if within != WIDE:
+        return lots.cast("decimal(20,0)")
+    beyond = F.lit(str(MAX_LOT + 1)).cast("decimal(26,0)")
+    return F.nullif(F.least(lots.try_cast("decimal(26,0)"), beyond), beyond).cast("decimal(20,0)")
 
 
 def price(tick: Column, step: Column) -> Column:

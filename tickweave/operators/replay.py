@@ -68,7 +68,7 @@ def every_second(minutes: DataFrame, deltas: DataFrame, depth: int = DEPTH) -> D
 
 
 def books(requests: DataFrame, minutes: DataFrame, deltas: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """The answer to each request (instrument_id, time): status not_found, invalid or valid, with the book's arrays if valid.
+    """The answer to each request (instrument_id, time): status not_found, invalid or valid, with the arrays of a valid book that holds levels.
 
     Many requests are one job: they meet their minute by id, the bit is tested
     before any delta is read, and only deltas up to the second are joined.
@@ -78,17 +78,28 @@ def books(requests: DataFrame, minutes: DataFrame, deltas: DataFrame, depth: int
     found = asked.join(minutes.withColumnRenamed("id", "minute_id").drop("instrument_id", "minute_time"), "minute_id", "left")
     status = F.when(F.col("valid_bitmap").isNull(), "not_found").when(ids.is_set(F.col("valid_bitmap"), F.col("second")), "valid").otherwise("invalid")
     found = found.withColumn("status", status)
-    valid = found.where("status = 'valid'")
-    keys = ["minute_id", "second"]
-    first = valid.select(*keys, F.lit(0).alias("at"), F.inline(levels("prices", "qtys")))
-    near = valid.select(*keys, "valid_bitmap").join(deltas, "minute_id").where("second_offset <= second").where(ids.is_set(F.col("valid_bitmap"), F.col("second_offset")))
+    keys = ["instrument_id", "time", "status"]
+    none = F.lit(None).cast("array<struct<side:string,price:bigint,qty:decimal(20,0)>>")
+    book = F.when(F.col("status") == "valid", levels("prices", "qtys"))
+    first = found.select(*keys, F.lit(0).alias("at"), F.inline_outer(F.coalesce(book, none)))
+    near = found.where("status = 'valid'").select(*keys, "minute_id", "second", "valid_bitmap").join(deltas, "minute_id")
+    near = near.where("second_offset <= second").where(ids.is_set(F.col("valid_bitmap"), F.col("second_offset")))
     rows = first.unionByName(near.select(*keys, F.col("second_offset").alias("at"), F.inline(levels("change_prices", "change_qtys"))))
-    held = last_writes(rows, keys, "at", depth)
+    # one shuffle, by request, serves the last write of each price, the ranks and the arrays
+    last = rows.repartition(*keys).groupBy(*keys, "side", "price").agg(F.max_by("qty", "at").alias("qty")).withColumn("_held", F.coalesce(F.col("qty") > 0, F.lit(False)))
+    best = F.when(F.col("side") == "bid", -F.col("price")).otherwise(F.col("price"))
+    ranked = last.withColumn("level", F.row_number().over(Window.partitionBy(*keys, "side", "_held").orderBy(best)))
     sides = []
     for side in SIDES:
-        pairs = F.sort_array(F.collect_list(F.when(F.col("side") == side, F.struct("level", "price", "qty"))))
-        sides += [F.transform(pairs, lambda x: x["price"]).alias(f"{side}_prices"), F.transform(pairs, lambda x: x["qty"]).alias(f"{side}_qtys")]
-    return found.select("instrument_id", "time", *keys, "status").join(held.groupBy(*keys).agg(*sides), keys, "left").drop(*keys)
+        held = F.col("_held") & (F.col("side") == side) & (F.col("level") <= depth)
+        pairs = F.sort_array(F.collect_list(F.when(held, F.struct("level", "price", "qty"))))
+        for name, part in (("prices", "price"), ("qtys", "qty")):
+            sides.append(F.when((F.col("status") == "valid") & F.bool_or("_held"), _part(pairs, part)).alias(f"{side}_{name}"))
+    return ranked.groupBy(*keys).agg(*sides)
+
+
+def _part(pairs: Column, name: str) -> Column:
+    return F.transform(pairs, lambda x: x[name])
 
 
 def json_of() -> Column:

@@ -92,8 +92,8 @@ def replay_second_31(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tick_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
     price, lot = F.col("l_extendedprice").cast("decimal(18,2)"), F.col("l_quantity").cast("decimal(18,2)")
     return table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", decimals.price_tick(price, F.lit("0.01")).alias("tick"),
-        decimals.price_tick(price, F.lit("0.05")).alias("coarse_tick"), decimals.quantity_lot(lot, F.lit("0.25")).cast("long").alias("lot"),
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", decimals.price_tick(price, F.lit("0.01"), "decimal(18,2)").alias("tick"),
+        decimals.price_tick(price, F.lit("0.05"), "decimal(18,2)").alias("coarse_tick"), decimals.quantity_lot(lot, F.lit("0.25"), "decimal(18,2)").cast("long").alias("lot"),
     )
 
 
