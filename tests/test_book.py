@@ -1,14 +1,15 @@
 from __future__ import annotations
 
+import json
 from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
 
-from tickweave import schemas
+from tickweave import cli, schemas
 from tickweave.operators import book, replay, sampler
 from tickweave.operators.book import INVALID, VALID, Book, BookError, Feed
-from tickweave.sources import feed as feeds
+from tickweave.sources import feed as feeds, store
 from tickweave.streaming import books as streaming
 
 T0 = datetime(2026, 1, 1)
@@ -132,7 +133,7 @@ def test_set_based_continuity(spark):
     assert [(x.arrival_seq, x.gap) for x in book.range_breaks(rows, ["k"]).orderBy("arrival_seq").collect()] == [(1, False), (2, False), (4, True)]
 
 
-def test_stream_of_minutes_is_the_batch(spark, tmp_path):
+def test_stream_of_minutes_is_the_batch(spark, tmp_path, monkeypatch):
     """Three minutes of one book, with a gap in the second and a snapshot after it: stored rows and deltas as in batch."""
     from pyspark.sql import Window
     from pyspark.sql import functions as F
@@ -172,6 +173,16 @@ def test_stream_of_minutes_is_the_batch(spark, tmp_path):
     kept = deltas.join(whole.select(F.col("id").alias("minute_id")), "minute_id", "left_semi")
     names = [x.name for x in schemas.DELTA]
     assert plain(got_deltas.select(names), ["minute_id", "second_offset"]) == plain(kept.select(names), ["minute_id", "second_offset"]) and kept.count() > 20
+    monkeypatch.setenv("TICKWEAVE_DATABASE", "collected")
+    for _ in range(2):  # nothing new, nothing stored again
+        cli.main(["--collect", source, "--checkpoint", str(tmp_path / "collected")], spark)
+    names = [x.name for x in schemas.MINUTE]
+    assert plain(store.read(spark, "collected", "order_book_minute").select(names), ["id"]) == plain(whole.select(names), ["id"])
+    assert store.read(spark, "collected", "order_book_second_delta").count() == kept.count()
+    second = start + timedelta(seconds=17)
+    (out,) = cli.main(["--replay-instrument", "7", "--replay-time", second.strftime("%Y-%m-%dT%H:%M:%SZ")], spark)
+    view = views.where((F.col("from_time") <= F.lit(second)) & (F.col("to_time") > F.lit(second))).first()
+    assert json.loads(out)["snapshot"]["bid_prices"] == view.bid_prices
 
 
 def test_stream_of_estimates(spark, tmp_path):

@@ -1,4 +1,4 @@
-"""Command line: print the DDL, or replay a book at a second."""
+"""Command line: print the DDL, collect a log of book events into the stored tables, or replay a book at a second."""
 
 from __future__ import annotations
 
@@ -12,16 +12,21 @@ from tickweave.functions.ids import MAX_INSTRUMENT
 from tickweave.operators import replay
 from tickweave.sources import store
 from tickweave.sources.config import Config
+from tickweave.streaming import books
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="tickweave")
     parser.add_argument("--print-ddl", action="store_true")
+    parser.add_argument("--collect", metavar="LOG", help="Parquet folder of book events (schemas.BOOK_EVENT); what is new in it is sampled and stored")
+    parser.add_argument("--checkpoint", help="folder in which the state of the books is kept from one run to the next")
     parser.add_argument("--replay-instrument", type=int)
     parser.add_argument("--replay-time", help="RFC 3339, as 2026-01-02T03:04:05Z")
     got = parser.parse_args(argv)
     if (got.replay_instrument is None) != (got.replay_time is None):
         parser.error("--replay-instrument and --replay-time go together")
+    if (got.collect is None) != (got.checkpoint is None):
+        parser.error("--collect and --checkpoint go together")
     if got.replay_instrument is not None:
         if not 1 <= got.replay_instrument <= MAX_INSTRUMENT:
             parser.error("--replay-instrument is out of range")
@@ -35,12 +40,23 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     return got
 
 
+def session() -> SparkSession:
+    settings = {"spark.sql.session.timeZone": "UTC", "spark.sql.streaming.stateStore.providerClass": books.STATE_STORE}
+    return SparkSession.builder.config(map=settings).getOrCreate()
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> list[str]:
     got, config = arguments(argv), Config.load()
     if got.print_ddl:
         out = [f"{x};" for x in schemas.ddl(config.database)]
+    elif got.collect is not None:
+        spark = spark or session()
+        store.init(spark, config.database)
+        events = spark.readStream.schema(schemas.BOOK_EVENT).parquet(got.collect)
+        books.store_minutes(events, config.database, got.checkpoint).awaitTermination()
+        out = []
     elif got.replay_instrument is not None:
-        spark = spark or SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
+        spark = spark or session()
         asked = spark.createDataFrame([(got.replay_instrument, got.replay_time)], "instrument_id long, time timestamp")
         month = [got.replay_time.strftime("%Y%m")]
         minute, second = divmod(int(got.replay_time.timestamp()), 60)

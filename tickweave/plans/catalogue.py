@@ -330,6 +330,20 @@ def backfill_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routed.select("instrument_id", _us("funding_time").alias("funding_us"), "exchange", "exchange_symbol")
 
 
+@_query(
+    "startup_backfill",
+    f"WITH {_RATES}, fin AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY instrument_id, hour_us ORDER BY is_actual DESC, event_id DESC) AS rn FROM rates) WHERE rn = 1), "
+    "now AS (SELECT epoch_us(TIMESTAMP '2024-01-15 08:07:00') AS t), pend AS (SELECT instrument_id, funding_us, t, t - funding_us AS late FROM fin, now WHERE funding_us BETWEEN t - 86400000000 AND t GROUP BY ALL HAVING max(CAST(is_actual AS INT)) = 0) "
+    "SELECT p.instrument_id, p.funding_us, CASE WHEN p.instrument_id % 2 = 0 THEN 'OKX' ELSE 'Binance' END AS exchange, "
+    "CAST(CASE WHEN late >= 3600000000 THEN 3 WHEN late >= 900000000 THEN 2 WHEN late >= 300000000 THEN 1 ELSE 0 END AS INT) AS attempt, CASE WHEN late >= 120000000 THEN t ELSE funding_us + 120000000 END AS due_us "
+    "FROM pend p WHERE p.instrument_id <> 5",
+)
+def startup_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    now = F.timestamp_seconds(F.lit(1705306020))
+    found = funding.backfill(_rates(spark, sf_dir), now, _instruments(spark, sf_dir), ["Binance", "OKX"])
+    return found.select("instrument_id", _us("funding_time").alias("funding_us"), "exchange", "attempt", _us("due").alias("due_us"))
+
+
 @_query(
     "confirm_rates",
     f"WITH {_RATES} SELECT t.instrument_id, (t.funding_us // 3600000000) * 3600000000 AS hour_us, t.funding_us, a.cents FROM (SELECT DISTINCT instrument_id, funding_us FROM rates) t "

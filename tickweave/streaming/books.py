@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from tickweave.operators.book import VIEW, Book, Feed, event_of, view
 from tickweave.operators.versions import SEQ
 from tickweave.schemas import DELTA, ESTIMATE, MINUTE, SIDES
+from tickweave.sources import store
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -155,6 +156,18 @@ def split_minutes(whole: DataFrame) -> tuple[DataFrame, DataFrame]:
     return whole.drop("deltas"), whole.select(F.col("id").alias("minute_id"), F.inline("deltas"))
 
 
+def store_minutes(events: DataFrame, database: str, checkpoint: str) -> StreamingQuery:
+    """Writes the whole minutes of a stream of book events to the stored tables, each batch under its own number; one that is run again changes nothing."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.persist()
+        rows, deltas = split_minutes(batch)
+        store.write_minutes(rows, deltas, database, F.lit(number))
+        batch.unpersist()
+
+    return minutes(events).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 ESTIMATE_STATE = T.StructType([*ESTIMATE.fields, T.StructField("available", T.BooleanType())])
 RETENTION_US = 48 * 3_600_000_000
 
