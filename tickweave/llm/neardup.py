@@ -19,6 +19,8 @@ SHINGLE = 3
 HASH_SEED = 42
 #: Rows before it that a row is compared with under a key; what a longer run leaves open goes to the whole balls.
 NEAR = 64
+#: Variants that a fingerprint emits, and variants in a task.
+VARIANTS, TASK_ROWS = 130, 600_000
 
 _hash = partial(xxhash.xxh64_intdigest, seed=HASH_SEED)
 _PAIR = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
@@ -183,10 +185,11 @@ def links(fps: DataFrame) -> DataFrame:
     longer runs that this leaves open emit their whole balls of half the
     radius, where meeting proves the link; that is linear in their number.
     """
-    once = fps.select("fp").distinct()
-    # by number and by another hash, so that this isn't left out: few bytes would be put into few tasks, which emit 130 times what they read
-    once = once.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("fp"))
-    keyed = once.mapInArrow(in_batches(_ball_keys, 1000), _PAIR).repartition("a").sortWithinPartitions("a", "b")
+    once = cut(fps.select("fp").distinct())
+    # tasks by the number of variants: few bytes would else be put into few tasks, which emit 130 times what they read
+    tasks = max(1, -(-once.count() * VARIANTS // TASK_ROWS))
+    once = once.repartition(tasks, F.xxhash64("fp"))
+    keyed = once.mapInArrow(in_batches(_ball_keys, 1000), _PAIR).repartition(tasks, "a").sortWithinPartitions("a", "b")
     found = cut(keyed.mapInArrow(_collide, _PAIR))
     near = found.where("a <> b")
     dense = found.where("a = b").select("a").distinct()
