@@ -133,7 +133,7 @@ def test_mixing_odd_rows(odd_docs, no_docs, make_docs):
     assert rows.columns == odd_docs.columns
     keys = ["doc_id", "text", "source"]
     assert odd_docs.select(keys).distinct().exceptAll(rows.select(keys).distinct()).count() == 0
-    keyed = odd_docs.withColumn("__row__", F.xxhash64(*odd_docs.columns))  # as mix_rows tells rows apart; other keys give other last blocks
+    keyed = odd_docs.withColumn("__row__", mixing.row_key(odd_docs))  # as mix_rows tells rows apart; other keys give other last blocks
     assert rows.count() == mixing.mix(keyed, row="__row__").count() >= odd_docs.count()
     assert mixing.mix(no_docs).count() == 0 and mixing.mix_rows(no_docs).count() == 0
     assert mixing.mix(make_docs([(1, "", "a"), (2, None, "b")])).count() == 2

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.llm.common import WORD, cut, join_hot, ranked, ranked_sql, seeded, seeded_sql
@@ -112,6 +112,12 @@ def mix(
     )
 
 
+def row_key(docs: DataFrame) -> Column:
+    """96 bits of hashes of all columns, which tell rows apart at any size."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return F.concat_ws("-", F.xxhash64(*columns).cast("string"), F.hash(*columns).cast("string"))
+
+
 def mix_rows(docs: DataFrame, **options) -> DataFrame:
     """The documents themselves as the mixture reads them, with their own columns.
 
@@ -120,14 +126,16 @@ def mix_rows(docs: DataFrame, **options) -> DataFrame:
     shuffled once, on that hash, to be repeated; one that is read very often is
     dealt in parts to many tasks.
     """
-    keyed = docs.withColumn(_ROW, F.xxhash64(*docs.columns))
-    reads = mix(keyed, row=_ROW, **options).groupBy(F.col("row").alias(_ROW)).agg(F.count(F.lit(1)).alias(_READS))
+    keyed = docs.withColumn(_ROW, row_key(docs))
+    reads = cut(mix(keyed, row=_ROW, **options).groupBy(F.col("row").alias(_ROW)).agg(F.count(F.lit(1)).alias(_READS)))
     once = keyed.dropDuplicates([_ROW])
     repeated = once.join(reads, _ROW)
+    if reads.where(F.col(_READS) > TOGETHER).isEmpty():
+        return repeated.withColumn(_ROW, F.explode(F.sequence(F.lit(1).cast("long"), F.col(_READS)))).select(*(F.col(f"`{c}`") for c in docs.columns))
     few, many = repeated.where(F.col(_READS) <= TOGETHER), repeated.where(F.col(_READS) > TOGETHER)
     parts = many.withColumn(_PART, F.explode(F.sequence(F.lit(0), F.floor((F.col(_READS) - 1) / TOGETHER)))).repartition(_ROW, _PART)
-    parts = parts.withColumn(_READS, F.least(F.lit(TOGETHER), F.col(_READS) - F.col(_PART) * TOGETHER).cast("int")).drop(_PART)
-    read = few.unionByName(parts).withColumn(_ROW, F.explode(F.sequence(F.lit(1), F.col(_READS))))
+    parts = parts.withColumn(_READS, F.least(F.lit(TOGETHER), F.col(_READS) - F.col(_PART) * TOGETHER).cast("long")).drop(_PART)
+    read = few.unionByName(parts).withColumn(_ROW, F.explode(F.sequence(F.lit(1).cast("long"), F.col(_READS))))
     return read.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
