@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tickweave.llm import decontaminate, extract, fingerprints, lm, mixing, neardup, quality, sharding, toxicity, warc
+from tickweave.llm import decontaminate, extract, fingerprints, lm, mixing, neardup, pieces, quality, sharding, toxicity, warc
 from tickweave.llm.common import held_out, table
 
 
@@ -63,6 +64,16 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    path = model or public_tokenizers.path("piece_bpe_32k.model")
+    found = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), path), path)
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "pipeline": corpus_pipeline.run,
@@ -76,6 +87,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc": op8_warc,
         "op9_extract": op9_extract,
         "op10_sharding": op10_sharding,
+        "op11_sentencepiece": op11_sentencepiece,
     }
 
 
