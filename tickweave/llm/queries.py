@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tickweave.llm import decontaminate, extract, fingerprints, lm, mixing, neardup, pieces, quality, sharding, toxicity, warc
+from tickweave.llm import decontaminate, extract, fingerprints, lm, mixing, neardup, negatives, pieces, quality, sharding, toxicity, warc, whitening
 from tickweave.llm.common import held_out, table
 
 
@@ -74,6 +74,20 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = Non
     )
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of ids divisible by 7 are moved on by one, as the contract has it."""
+    rows = table(spark, sf_dir, "embeddings")
+    return negatives.mine(rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    exact = F.col("deviation")
+    return found.select(
+        "vec_id", "component", "n", exact.try_cast("long").alias("deviation"), "whitened", "explained", "identity_error", exact.alias("deviation_exact")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "pipeline": corpus_pipeline.run,
@@ -88,9 +102,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_extract": op9_extract,
         "op10_sharding": op10_sharding,
         "op11_sentencepiece": op11_sentencepiece,
+        "op12_negatives": op12_negatives,
+        "op13_whitening": op13_whitening,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     found = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
-    return found | {"op3_mixing": mixing.sql(), "op8_warc": warc.sql(), "op10_sharding": sharding.sql()}
+    return found | {"op3_mixing": mixing.sql(), "op8_warc": warc.sql(), "op10_sharding": sharding.sql(), "op12_negatives": negatives.sql()}
