@@ -7,7 +7,8 @@ small state machine for each instrument, fed in order by Spark.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from bisect import bisect_left, insort
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -17,23 +18,67 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tickweave.operators.ordering import running_count
 from tickweave.schemas import DEPTH, RETAINED
 
 CONNECTING, VALID, INVALID, RESYNCING = "connecting", "valid", "invalid", "resyncing"
+#: Updates that wait for a connection's first snapshot at most.
+EARLY = 4096
 
 
 class BookError(ValueError):
     """An update that may not be applied; the book is as before it."""
 
 
+class Side:
+    """One side of a book: quantities by price, and the prices in order, so the best and the worst are at hand.
+
+    A change costs a binary search and a shift of the array; nothing is copied
+    or sorted.  ``changed`` has the prices that were set since it was last
+    emptied, for a state store that keeps levels one by one.
+    """
+
+    __slots__ = ("changed", "prices", "qty")
+
+    def __init__(self, levels: Iterable[tuple[int, int]] = ()) -> None:
+        self.qty = dict(levels)
+        self.prices = sorted(self.qty)
+        self.changed: set[int] = set()
+
+    def __len__(self) -> int:
+        return len(self.prices)
+
+    def set(self, price: int, qty: int) -> int:
+        """Sets an absolute quantity, 0 deleting; returns what it was, 0 if nothing."""
+        old = self.qty.get(price, 0)
+        if qty:
+            self.qty[price] = qty
+            if not old:
+                insort(self.prices, price)
+        elif old:
+            del self.qty[price]
+            del self.prices[bisect_left(self.prices, price)]
+        self.changed.add(price)
+        return old
+
+    def replace(self, levels: list[tuple[int, int]]) -> None:
+        new = dict(levels)
+        self.changed.update(p for p in self.qty.keys() | new.keys() if self.qty.get(p) != new.get(p))
+        self.qty, self.prices = new, sorted(new)
+
+    def best(self, depth: int, highest: bool) -> list[tuple[int, int]]:
+        prices = self.prices[: -depth - 1 : -1] if highest else self.prices[:depth]
+        return [(p, self.qty[p]) for p in prices]
+
+
 @dataclass
 class Book:
     retained: int
     state: str = CONNECTING
     sequence: int = 0
     source_time: Any = None
-    bids: dict[int, int] = field(default_factory=dict)
-    asks: dict[int, int] = field(default_factory=dict)
+    bids: Side = field(default_factory=Side)
+    asks: Side = field(default_factory=Side)
     complete: list[bool] = field(default_factory=lambda: [False, False])
 
     def __post_init__(self) -> None:
@@ -47,12 +92,21 @@ class Book:
                 raise BookError("bad snapshot")
         if max(p for p, _ in bids) >= min(p for p, _ in asks):
             raise BookError("crossed snapshot")
-        self.bids, self.asks = dict(bids), dict(asks)
+        self.bids.replace(bids)
+        self.asks.replace(asks)
         self.complete = [len(bids) < self.retained, len(asks) < self.retained]
         self.state, self.sequence, self.source_time = VALID, sequence, source_time
 
+    def crossed(self) -> bool:
+        """Whether the best bid reaches the best ask; a side without levels crosses nothing."""
+        return bool(self.bids.prices and self.asks.prices) and self.bids.prices[-1] >= self.asks.prices[0]
+
     def apply_changes(self, expected: int, sequence: int, source_time: Any, bids: list[tuple[int, int]], asks: list[tuple[int, int]]) -> None:
-        """Sets absolute quantities, 0 deleting.  Too few known levels make the book invalid, which is no error."""
+        """Sets absolute quantities, 0 deleting.  Too few known levels make the book invalid, which is no error.
+
+        What was there before goes to a list, from which a change that crosses
+        the book is undone.
+        """
         if source_time is None or sequence <= expected:
             raise BookError("no source time, or a sequence that doesn't grow")
         for rows in (bids, asks):
@@ -60,34 +114,25 @@ class Book:
                 raise BookError("bad change")
         if self.state != VALID or self.sequence != expected:
             raise BookError("the book is not at the expected sequence")
-        sides = []
-        for side, rows in ((self.bids, bids), (self.asks, asks)):
-            new = dict(side)
-            for price, qty in rows:
-                if qty:
-                    new[price] = qty
-                else:
-                    new.pop(price, None)
-            sides.append(new)
-        if sides[0] and sides[1] and max(sides[0]) >= min(sides[1]):
+        undo = [(side, price, side.set(price, qty)) for side, rows in ((self.bids, bids), (self.asks, asks)) for price, qty in rows]
+        if self.crossed():
+            for side, price, qty in reversed(undo):
+                side.set(price, qty)
             raise BookError("crossed")
-        for k, new in enumerate(sides):
-            if len(new) > self.retained:
-                best = sorted(new, reverse=k == 0)
-                for price in best[self.retained :]:
-                    del new[price]
+        for k, side in enumerate((self.bids, self.asks)):
+            while len(side) > self.retained:
+                side.set(side.prices[0] if k == 0 else side.prices[-1], 0)
                 self.complete[k] = False
-        self.bids, self.asks = sides
-        if any(len(new) < DEPTH and not whole for new, whole in zip(sides, self.complete, strict=True)):
+        if any(len(side) < DEPTH and not whole for side, whole in zip((self.bids, self.asks), self.complete, strict=True)):
             self.state = INVALID
             return
         self.sequence, self.source_time = sequence, source_time
 
     def top(self, depth: int = DEPTH) -> tuple[list[tuple[int, int]], list[tuple[int, int]]] | None:
         """The best levels of both sides, if the book is valid and neither is empty."""
-        if self.state != VALID or not self.bids or not self.asks:
+        if self.state != VALID or not self.bids.prices or not self.asks.prices:
             return None
-        return sorted(self.bids.items(), reverse=True)[:depth], sorted(self.asks.items())[:depth]
+        return self.bids.best(depth, True), self.asks.best(depth, False)
 
 
 @dataclass
@@ -148,6 +193,9 @@ class Feed:
         first, final, before = e["first_id"], e["final_id"], e["prev_id"]
         if not self.snapshot_seen:
             if self.book.state == CONNECTING:
+                if len(self.held) == EARLY:  # dropping any of them would leave a gap
+                    self.held = []
+                    raise self._broken("too many updates before the snapshot")
                 self.held.append(e)
                 return
             raise BookError("no snapshot yet")
@@ -209,24 +257,45 @@ def event_of(row: dict) -> dict:
     return row | whole | {"source_time": None if time is None or pd.isna(time) else time, "bids": pairs(row["bids"]), "asks": pairs(row["asks"])}
 
 
+def segments(events: DataFrame) -> DataFrame:
+    """The log with ``segment``: how many snapshots, without the first, had replaced the book of its connection by then.
+
+    A snapshot that is taken replaces all that a feed knows, so what follows it
+    can be replayed without what was before.  Not so the first of a connection,
+    which lets in the updates that waited for it, and one that breaks a rule,
+    which changes nothing.
+    """
+    retained = F.lit(DEPTH)
+    for exchange, depth in RETAINED.items():
+        retained = F.when(F.col("exchange") == exchange, depth).otherwise(retained)
+    good = F.lit(True)
+    for side in ("bids", "asks"):
+        levels, prices = F.col(side), F.transform(side, lambda x: x.price)
+        good &= F.size(levels).between(1, retained) & F.forall(side, lambda x: (x.price > 0) & (x.qty > 0)) & (F.size(F.array_distinct(prices)) == F.size(prices))
+    good &= F.array_max(F.transform("bids", lambda x: x.price)) < F.array_min(F.transform("asks", lambda x: x.price))
+    taken = F.coalesce((F.col("kind") == "snapshot") & good, F.lit(False))
+    counted = running_count(events, ["instrument_id", "conn_id"], "arrival_seq", taken, "segment")
+    return counted.withColumn("segment", F.greatest(F.col("segment") - 1, F.lit(0)))
+
+
 def replay_log(events: DataFrame, depth: int = DEPTH) -> DataFrame:
     """The book after every event of a log (schemas.BOOK_EVENT), for each instrument in order of arrival.
 
-    A batch twin of the stream.  An instrument's log is one sequence and stays
-    in one task, but it is fed through in batches and the state is one book;
-    the log is split by instrument and connection, as a connection starts from
-    nothing.
+    A batch twin of the stream.  What a book does is one sequence from one
+    snapshot to the next, so the log is dealt by connection and segment and
+    one instrument's log is the work of many tasks; a segment is fed through in
+    batches, and its state is one book.
     """
-    keys = ["instrument_id", "conn_id"]
-
-    ordered = events.repartition(*keys).sortWithinPartitions(*keys, "arrival_seq")
+    keys = ["instrument_id", "conn_id", "segment"]
+    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # named, so that few bytes of much work aren't put together
+    ordered = segments(events).repartition(tasks, *keys).sortWithinPartitions(*keys, "arrival_seq")
 
     def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         feed, at = None, None
         for frame in batches:
             rows = []
             for row in frame.to_dict("records"):
-                here = (row["instrument_id"], row["conn_id"])
+                here = (row["instrument_id"], row["conn_id"], row["segment"])
                 if here != at:
                     feed, at = Feed.of(row["exchange"], row["market_type"]), here
                 event = event_of(row)
