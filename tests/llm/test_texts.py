@@ -9,6 +9,7 @@ import random
 import re
 import struct
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -196,6 +197,52 @@ def test_decontaminate_blocks_and_odd_rows(spark, odd_docs, no_docs, monkeypatch
     assert decontaminate.clean(odd_docs, many).count() == odd_docs.count() - 3
 
 
+def test_a_benchmark_that_tasks_cannot_read_is_an_error(spark, odd_docs, tmp_path):
+    import shutil
+
+    bench = spark.createDataFrame([(1, "one two three"), (2, "four five six seven")], "item_id long, text string")
+    for damage in ("folder", "file"):
+        found = decontaminate.find(odd_docs, bench)
+        blocks = decontaminate.Blocks(bench, 0.08)
+        folder = Path(decontaminate.store_of(blocks.folder)[1]) / "block=0"
+        assert blocks.sizes == {0: 2} and len(next(iter(blocks.matchers())).items) == 2
+        blocks.kept = None
+        if damage == "folder":
+            shutil.rmtree(folder)
+        else:
+            next(folder.glob("*.parquet")).unlink()
+        with pytest.raises(FileNotFoundError):
+            next(blocks.matchers())
+        assert found.count() == 3  # its own blocks are whole
+
+
+def test_shared_folders_are_full_addresses(spark):
+    from tickweave.llm import common
+
+    assert common.full_address(spark, "/tmp/no-scheme") == "file:/tmp/no-scheme"
+    assert common.full_address(spark, "file:///tmp/one") == "file:/tmp/one"
+    assert common.store_of(f"{common.own_dir(spark)}/x")[1].endswith("/x")
+
+
+def test_items_with_a_common_sentence_are_not_all_verified():
+    import time
+
+    rng = random.Random(12)
+    own = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 9))) for _ in range(n))
+    first = own(14) + ". "
+    items = [(i, first + own(40)) for i in range(8_000)]
+    matcher = decontaminate.Matcher(items)
+    clean_text = decontaminate.normal(own(300) + " " + first + own(300))
+    began = time.perf_counter()
+    assert list(matcher.find(clean_text)) == []
+    assert time.perf_counter() - began < 1.0  # a Myers run for each item takes several seconds
+    small = decontaminate.Matcher(items[:300])
+    for k in range(25):  # and none is lost: edits up to the budget, all items against the plain distance
+        text = decontaminate.normal(own(20) + " " + edited(rng, decontaminate.normal(items[k][1]), small.items[k].budget - k % 3) + " " + own(20))
+        want = {i.item_id for i in small.items if decontaminate.myers(i.peq, len(i.text), text, i.budget)}
+        assert {hit[0] for hit in small.find(text)} == want and k in want
+
+
 # --- fingerprints -----------------------------------------------------------
 
 

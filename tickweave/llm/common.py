@@ -35,11 +35,19 @@ def shared_dir(spark: SparkSession) -> str:
         if not context.master.split("[")[0] == "local":
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = f"file://{tempfile.mkdtemp(prefix='tickweave-')}"
+    found = full_address(spark, found)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(found)
     return found
 
 
+def full_address(spark: SparkSession, path: str) -> str:
+    """A path with the file system that Spark takes it to be on, as tasks that read without Spark would look on their own disk."""
+    context = spark.sparkContext
+    found = context._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(found).toString()
+
+
 def own_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
 

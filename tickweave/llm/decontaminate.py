@@ -38,12 +38,26 @@ class Item:
     budget: int
     peq: dict[str, int] = field(default_factory=dict)
     back: dict[str, int] = field(default_factory=dict)
+    halves: list[str] | None = None
 
     def __post_init__(self) -> None:
         for masks, text in ((self.peq, self.text), (self.back, self.text[::-1])):
             for i, c in enumerate(text):
                 masks[c] = masks.get(c, 0) | 1 << i
 
+    def may_be_in(self, window: str) -> bool:
+        """Whether a window can hold the item: of twice as many pieces each error spoils one at most, so more than half must be there."""
+        if self.halves is None:
+            n, m = 2 * (self.budget + 1), len(self.text)
+            self.halves = [self.text[k * m // n : (k + 1) * m // n] for k in range(n)]
+        missing = 0
+        for half in self.halves:
+            if half not in window:
+                missing += 1
+                if missing > self.budget:
+                    return False
+        return True
+
 
 def myers(masks: dict[str, int], m: int, text: str, limit: int, anchored: bool = False) -> tuple[int, int] | None:
     """Least edit distance of a pattern to a substring, with the first end at which it occurs; None if over the limit.
@@ -135,7 +149,7 @@ class Matcher:
             if item.budget or ((a == 0 or not text[a - 1].isalnum()) and (b == len(text) or not text[b].isalnum())):
                 return 0, a, b
             at = whole.find(item.text, at + 1)
-        if item.budget == 0 or limit < 1:
+        if item.budget == 0 or limit < 1 or not item.may_be_in(whole):
             return None
         found = myers(item.peq, m, whole, limit)
         if not found:
@@ -148,32 +162,37 @@ class Matcher:
 class Blocks:
     """A benchmark as files in the shared folder, in blocks of about ``size`` bytes, and the tasks' way to them.
 
-    The driver holds none of it, whatever its size.  A task reads a block and
-    builds its automaton where it is needed; the last one built is kept, so a
-    benchmark of one block is read once by each Python worker.
+    The driver holds none of it, whatever its size, but how many items each
+    block has: a task that finds others, or no folder, fails.  A task reads a
+    block and builds its automaton where it is needed; the last one built is
+    kept, so a benchmark of one block is read once by each Python worker.
     """
 
     def __init__(self, benchmark: DataFrame, rate: float, size: int = BLOCK_BYTES) -> None:
         items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null").distinct()
         total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        self.count, self.rate = -(-total // size), rate
+        self.count, self.rate, self.sizes = -(-total // size), rate, {}
         self.kept: tuple[int, Matcher] | None = None
         if self.count:
             self.folder = f"{own_dir(benchmark.sparkSession)}/benchmark-{uuid.uuid4().hex}"
             dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(self.count)))
             dealt.repartition(int(min(self.count, 1000)), "block").write.partitionBy("block").parquet(self.folder)
+            written = benchmark.sparkSession.read.schema("item_id long, text string, block int").parquet(self.folder)
+            self.sizes = {r.block: r["count"] for r in written.groupBy("block").count().collect()}
 
     def matchers(self) -> Iterator[Matcher]:
         for k in range(self.count):
             if self.kept is None or self.kept[0] != k:
                 self.kept = None
-                store, base = store_of(f"{self.folder}/block={k}")
-                found = store.get_file_info(pafs.FileSelector(base, allow_not_found=True))
                 items: list[tuple[int | None, str | None]] = []
-                for x in found:
-                    if x.path.endswith(".parquet"):
-                        got = pq.read_table(store.open_input_file(x.path), columns=["item_id", "text"])
-                        items += zip(got.column("item_id").to_pylist(), got.column("text").to_pylist(), strict=True)
+                if k in self.sizes:  # a block that the hash left empty has no folder
+                    store, base = store_of(f"{self.folder}/block={k}")
+                    for x in store.get_file_info(pafs.FileSelector(base)):
+                        if x.path.endswith(".parquet"):
+                            got = pq.read_table(store.open_input_file(x.path), columns=["item_id", "text"])
+                            items += zip(got.column("item_id").to_pylist(), got.column("text").to_pylist(), strict=True)
+                    if len(items) != self.sizes[k]:
+                        raise FileNotFoundError(f"{self.folder}/block={k} has {len(items)} of {self.sizes[k]} items here")
                 self.kept = (k, Matcher(sorted(items, key=lambda x: (x[0] is not None, x)), self.rate))
             yield self.kept[1]
 
