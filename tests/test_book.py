@@ -57,7 +57,7 @@ def test_trim_and_lost_depth():
     b.apply_snapshot(1, T0, [(1000 - i, 1) for i in range(60)], [(2000, 1)])
     assert b.complete == [False, True]
     b.apply_changes(1, 2, T0, [(1001, 1)], [])
-    assert len(b.bids) == 60 and 941 not in b.bids
+    assert len(b.bids) == 60 and 941 not in b.bids.qty
     b.apply_changes(2, 3, T0, [(1001 - i, 0) for i in range(11)], [])
     assert b.state == INVALID and b.sequence == 2
 

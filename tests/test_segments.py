@@ -88,11 +88,10 @@ def test_an_update_costs_the_same_whatever_is_retained():
     assert cost(10_000) < 3 * cost(100)  # a hundred times the levels; copies and sorts would make it 50 times as dear
 
 
-def test_changed_prices_are_known():
+def test_levels_of_a_side():
     s = Side([(5, 1), (7, 2)])
-    assert s.set(5, 0) == 1 and s.set(6, 3) == 0
-    s.replace([(7, 2), (9, 1)])
-    assert s.changed == {5, 6, 9} and s.best(2, True) == [(9, 1), (7, 2)]
+    assert s.set(5, 0) == 1 and s.set(6, 3) == 0 and s.set(5, 0) == 0
+    assert s.best(2, True) == [(7, 2), (6, 3)] and s.best(1, False) == [(6, 3)]
 
 
 def random_log(seed, instruments, length):

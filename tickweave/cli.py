@@ -14,6 +14,9 @@ from tickweave.sources import store
 from tickweave.sources.config import Config
 from tickweave.streaming import books
 
+#: Files of a log that one batch takes, which bounds what a task holds of one instrument.
+FILES = 64
+
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="tickweave")
@@ -52,8 +55,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> li
     elif got.collect is not None:
         spark = spark or session()
         store.init(spark, config.database)
-        events = spark.readStream.schema(schemas.BOOK_EVENT).parquet(got.collect)
-        books.store_minutes(events, config.database, got.checkpoint).awaitTermination()
+        events = spark.readStream.schema(schemas.BOOK_EVENT).option("maxFilesPerTrigger", FILES).parquet(got.collect)
+        query = books.store_minutes(events, config.database, got.checkpoint)
+        query.awaitTermination()
+        late = books.dropped(query)
+        if late:
+            raise SystemExit(f"{late} events lie further back than {books.DELAY} and are not in the stored minutes")
         out = []
     elif got.replay_instrument is not None:
         spark = spark or session()

@@ -34,16 +34,14 @@ class Side:
     """One side of a book: quantities by price, and the prices in order, so the best and the worst are at hand.
 
     A change costs a binary search and a shift of the array; nothing is copied
-    or sorted.  ``changed`` has the prices that were set since it was last
-    emptied, for a state store that keeps levels one by one.
+    or sorted.
     """
 
-    __slots__ = ("changed", "prices", "qty")
+    __slots__ = ("prices", "qty")
 
-    def __init__(self, levels: Iterable[tuple[int, int]] = ()) -> None:
+    def __init__(self, levels: Iterable[tuple[int, int]] | dict[int, int] = ()) -> None:
         self.qty = dict(levels)
         self.prices = sorted(self.qty)
-        self.changed: set[int] = set()
 
     def __len__(self) -> int:
         return len(self.prices)
@@ -58,14 +56,8 @@ class Side:
         elif old:
             del self.qty[price]
             del self.prices[bisect_left(self.prices, price)]
-        self.changed.add(price)
         return old
 
-    def replace(self, levels: list[tuple[int, int]]) -> None:
-        new = dict(levels)
-        self.changed.update(p for p in self.qty.keys() | new.keys() if self.qty.get(p) != new.get(p))
-        self.qty, self.prices = new, sorted(new)
-
     def best(self, depth: int, highest: bool) -> list[tuple[int, int]]:
         prices = self.prices[: -depth - 1 : -1] if highest else self.prices[:depth]
         return [(p, self.qty[p]) for p in prices]
@@ -92,8 +84,7 @@ class Book:
                 raise BookError("bad snapshot")
         if max(p for p, _ in bids) >= min(p for p, _ in asks):
             raise BookError("crossed snapshot")
-        self.bids.replace(bids)
-        self.asks.replace(asks)
+        self.bids, self.asks = Side(bids), Side(asks)
         self.complete = [len(bids) < self.retained, len(asks) < self.retained]
         self.state, self.sequence, self.source_time = VALID, sequence, source_time
 
@@ -278,33 +269,46 @@ def segments(events: DataFrame) -> DataFrame:
     return counted.withColumn("segment", F.greatest(F.col("segment") - 1, F.lit(0)))
 
 
-def replay_log(events: DataFrame, depth: int = DEPTH) -> DataFrame:
+def replay_log(events: DataFrame, depth: int = DEPTH, by_second: bool = False) -> DataFrame:
     """The book after every event of a log (schemas.BOOK_EVENT), for each instrument in order of arrival.
 
     A batch twin of the stream.  What a book does is one sequence from one
     snapshot to the next, so the log is dealt by connection and segment and
     one instrument's log is the work of many tasks; a segment is fed through in
-    batches, and its state is one book.
+    batches, and its state is one book.  With ``by_second`` only views that
+    still stand at a whole second come out, which is all that sampling needs.
     """
     keys = ["instrument_id", "conn_id", "segment"]
     tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # named, so that few bytes of much work aren't put together
     ordered = segments(events).repartition(tasks, *keys).sortWithinPartitions(*keys, "arrival_seq")
 
     def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        feed, at = None, None
+        feed, at, held = None, None, None
         for frame in batches:
             rows = []
             for row in frame.to_dict("records"):
                 here = (row["instrument_id"], row["conn_id"], row["segment"])
+                event = event_of(row)
+                if held is not None and (here != at or _second(event) > _second(held[0])):
+                    rows.append(view(feed, *held, depth))
                 if here != at:
                     feed, at = Feed.of(row["exchange"], row["market_type"]), here
-                event = event_of(row)
-                rows.append(view(feed, event, feed.apply(event), depth))
+                held = event, feed.apply(event)
+                if not by_second:
+                    rows.append(view(feed, *held, depth))
+                    held = None
             yield pd.DataFrame(rows, columns=VIEW.names)
+        if held is not None:
+            yield pd.DataFrame([view(feed, *held, depth)], columns=VIEW.names)
 
     return ordered.mapInPandas(parts, VIEW)
 
 
+def _second(event: dict) -> int:
+    """The first whole second that isn't before an event."""
+    return -(-pd.Timestamp(event["arrival_time"]).value // 1_000_000_000)
+
+
 def chain_breaks(updates: DataFrame, keys: list[str], order: str = "arrival_seq") -> DataFrame:
     """Set-based continuity of feeds that name their predecessor: ``gap`` where prev_id isn't the last final_id.
 

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tickweave.functions import decimals, ids
-from tickweave.operators import book, funding, registry, replay, sampler, validate, versions, yields
+from tickweave.operators import book, collect, funding, registry, replay, sampler, validate, versions, yields
 from tickweave.plans import projection as p
-from tickweave.plans.projection import PRICES, table
+from tickweave.plans.projection import BLOCK, PAUSE, PRICES, table
 from tickweave.schemas import DEPTH
 from tickweave.sources.binance import field, whole
 
@@ -567,3 +567,31 @@ def stateful_books(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = book.replay_log(snapshots.unionByName(updates))
     levels = lambda side: F.array_join(F.transform(F.arrays_zip(F.col(f"{side}_prices").alias("p"), F.col(f"{side}_qtys").alias("q")), lambda x: F.concat_ws(":", x["p"].cast("string"), x["q"].cast("string"))), " ")
     return found.select("instrument_id", "arrival_seq", "state", "sequence", levels("bid").alias("bids"), levels("ask").alias("asks"))
+
+
+_OUTAGES = (
+    f"WITH {_EV}, up AS (SELECT instrument_id, event_id * 2 + 1 AS seq, sec // {BLOCK} AS block, CAST((sec + {PAUSE} * (sec // {BLOCK})) * 1000000 + part * 277 AS BIGINT) AS at_us, event_id % 2 = 0 AS bid, "
+    f"CASE WHEN event_id % 2 = 0 THEN {PRICES} - user_id % {PRICES} ELSE {PRICES + 1} + user_id % {PRICES} END AS price FROM "
+    "(SELECT *, (day(ts) - 1) * 24 + hour(ts) AS sec, minute(ts) * 60 + second(ts) AS part FROM ev)), "
+    "log AS (SELECT instrument_id, seq, at_us, FALSE AS snap FROM up UNION ALL SELECT instrument_id, min(seq) - 1, min(at_us), TRUE FROM up GROUP BY instrument_id, block HAVING (instrument_id + block) % 3 <> 0), "
+    "fin AS (SELECT max(at_us) AS t FROM log), nxt AS (SELECT *, lead(at_us) OVER (PARTITION BY instrument_id ORDER BY seq) AS n FROM log), "
+    "flt AS (SELECT *, coalesce(n - at_us > 45000000, t - at_us >= 45000000) AS fault FROM nxt, fin), "
+    "cnt AS (SELECT *, coalesce(sum(CAST(fault AS INT)) OVER (PARTITION BY instrument_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS faults FROM flt), "
+    "own AS (SELECT *, max(CASE WHEN snap THEN faults END) OVER w AS snap_faults, max(CASE WHEN snap THEN seq END) OVER w AS snap_seq FROM cnt WINDOW w AS (PARTITION BY instrument_id ORDER BY seq ROWS UNBOUNDED PRECEDING)), "
+    "sec AS (SELECT instrument_id, seq, snap_seq, unnest(range((at_us + 999999) // 1000000, ((CASE WHEN fault THEN at_us + 45000000 ELSE coalesce(n, t + 1) END) + 999999) // 1000000)) AS s FROM own WHERE snap_faults = faults), "
+    "mins AS (SELECT instrument_id, s // 60 AS minute, CAST(sum(CAST(1 AS BIGINT) << (s % 60)) AS BIGINT) AS valid_bitmap, max(CASE WHEN s % 60 = 0 THEN seq END) AS seq, max(CASE WHEN s % 60 = 0 THEN snap_seq END) AS snap_seq "
+    "FROM sec, fin WHERE (s // 60 + 1) * 60000000 <= t GROUP BY 1, 2 HAVING min(s % 60) = 0) "
+    f"SELECT m.instrument_id, CAST(m.minute AS BIGINT) AS minute, m.valid_bitmap, CAST(coalesce(max(CASE WHEN u.bid THEN u.price END), 1) AS BIGINT) AS best_bid, CAST(coalesce(min(CASE WHEN NOT u.bid THEN u.price END), {2 * PRICES}) AS BIGINT) AS best_ask "
+    "FROM mins m LEFT JOIN up u ON u.instrument_id = m.instrument_id AND u.seq > m.snap_seq AND u.seq <= m.seq GROUP BY 1, 2, 3"
+)
+
+
+@_query("outage_minutes", _OUTAGES)
+def outage_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The collector over a log with silences: minutes that end in one, and books that stay invalid after it."""
+    log = p.book_log(spark, sf_dir)
+    until = log.agg(F.max("arrival_time")).first()[0]
+    found = collect.minutes(log, F.lit(until))[0]
+    return found.select(
+        "instrument_id", F.floor(F.unix_seconds("minute_time") / 60).cast("long").alias("minute"), "valid_bitmap", F.get("bid_prices", F.lit(0)).alias("best_bid"), F.get("ask_prices", F.lit(0)).alias("best_ask")
+    )

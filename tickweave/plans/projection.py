@@ -59,3 +59,40 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 def settlement(ts: str = "ts") -> Column:
     """The next eight-hour boundary after a time, in seconds."""
     return F.floor(F.unix_seconds(ts) / 28800).cast("long") * 28800 + 28800
+
+
+#: Seconds of events that follow each other, and of silence after them.
+BLOCK, PAUSE = 150, 130
+
+
+def book_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as an update of its instrument's book (schemas.BOOK_EVENT), with silences and new snapshots.
+
+    After each block of seconds the feeds pause.  Two of three blocks of an
+    instrument begin with a snapshot of the worst prices; in the others its
+    book stays invalid.  Quantities are 1 to 4, so no level goes.
+    """
+    sec = (F.dayofmonth("ts") - 1) * 24 + F.hour("ts")
+    rows = events(spark, sf_dir).withColumn("block", F.floor(sec / BLOCK).cast("long"))
+    at = (sec + PAUSE * F.col("block")) * 1_000_000 + (F.minute("ts") * 60 + F.second("ts")) * 277
+    bid, price = F.col("event_id") % 2 == 0, F.col("user_id") % PRICES
+    level = lambda price, qty: F.array(F.struct(price.cast("long").alias("price"), qty.cast("decimal(20,0)").alias("qty")))
+    one = level(F.when(bid, PRICES - price).otherwise(PRICES + 1 + price), F.col("event_id") % 4 + 1)
+    none = F.array().cast(one_type := "array<struct<price:bigint,qty:decimal(20,0)>>")
+    updates = rows.select(
+        "instrument_id", "block", (F.col("event_id") * 2 + 1).alias("arrival_seq"), at.alias("at"), F.lit("update").alias("kind"),
+        F.when(bid, one).otherwise(none).cast(one_type).alias("bids"), F.when(~bid, one).otherwise(none).cast(one_type).alias("asks"),
+    )
+    starts = updates.groupBy("instrument_id", "block").agg(F.min("arrival_seq").alias("arrival_seq"), F.min("at").alias("at")).where((F.col("instrument_id") + F.col("block")) % 3 != 0)
+    snapshots = starts.select(
+        "instrument_id", "block", (F.col("arrival_seq") - 1).alias("arrival_seq"), "at", F.lit("snapshot").alias("kind"),
+        level(F.lit(1), F.lit(1)).cast(one_type).alias("bids"), level(F.lit(2 * PRICES), F.lit(1)).cast(one_type).alias("asks"),
+    )
+    log = updates.unionByName(snapshots)
+    before = F.lag("arrival_seq", 1, 0).over(Window.partitionBy("instrument_id").orderBy("arrival_seq"))
+    time = F.timestamp_micros("at")
+    return log.select(
+        "instrument_id", F.lit("OKX").alias("exchange"), F.lit("perpetual").alias("market_type"), F.lit(1).cast("long").alias("conn_id"), "arrival_seq", time.alias("arrival_time"), "kind",
+        F.lit(None).cast("long").alias("first_id"), F.col("arrival_seq").alias("final_id"), F.when(F.col("kind") == "update", before).otherwise(-1).cast("long").alias("prev_id"),
+        time.alias("source_time"), "bids", "asks",
+    )

@@ -44,13 +44,19 @@ BOOK_EVENT = T.StructType(
     ]
 )
 
-TABLES = {"instrument": INSTRUMENT, "order_book_minute": MINUTE, "order_book_second_delta": DELTA, "funding_rate_hourly": FUNDING}
+#: Minutes that broke a rule, whole, as text.
+QUARANTINE = T.StructType([_f("minute_id", T.LongType()), _f("rules", T.ArrayType(T.StringType())), _f("minute", T.StringType()), _f("deltas", T.StringType())])
+
+TABLES = {
+    "instrument": INSTRUMENT, "order_book_minute": MINUTE, "order_book_second_delta": DELTA, "funding_rate_hourly": FUNDING, "minute_quarantine": QUARANTINE,
+}
 #: Sort key of each table: the newest row of a key is the one that counts.
 KEYS = {
     "instrument": ["instrument_id"],
     "order_book_minute": ["instrument_id", "minute_time"],
     "order_book_second_delta": ["minute_id", "second_offset"],
     "funding_rate_hourly": ["instrument_id", "hour_time"],
+    "minute_quarantine": ["minute_id"],
 }
 #: What each table's month partition is taken from; instruments have none.
 MONTH_OF = {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -19,16 +19,29 @@ def messages(spark: SparkSession, path: str, streaming: bool = False) -> DataFra
     return reader.schema(MESSAGE).json(path)
 
 
-def with_faults(events: DataFrame, silence: int = SILENCE) -> DataFrame:
-    """A log with an ``invalidate`` row where a connection was silent too long: sockets' faults become rows of the log."""
-    order = Window.partitionBy("instrument_id", "conn_id").orderBy("arrival_seq")
-    late = F.unix_micros("arrival_time") - F.unix_micros(F.lag("arrival_time").over(order)) > silence * 1_000_000
-    marked = events.withColumn("_late", F.coalesce(late, F.lit(False)))
-    spread = marked.withColumn("_k", F.explode(F.when(F.col("_late"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))))
-    fault = F.col("_k") == 0
+def with_faults(events: DataFrame, silence: int = SILENCE, until: Column | None = None) -> DataFrame:
+    """A log with an ``invalidate`` row where a connection was silent too long: sockets' faults become rows of the log.
+
+    The row comes when the silence has lasted ``silence`` seconds, after the
+    connection's last event; sequence numbers are doubled to make room for it.
+    With ``until``, up to which nothing more has arrived, the end of the log
+    counts too.
+    """
+    order = Window.partitionBy("instrument_id").orderBy("arrival_seq")
+    gap = F.unix_micros(F.lead("arrival_time").over(order)) - F.unix_micros("arrival_time")
+    limit = silence * 1_000_000
+    late = F.coalesce(gap > limit, F.unix_micros(until) - F.unix_micros("arrival_time") >= limit if until is not None else F.lit(False), F.lit(False))
+    spread = events.withColumn("_late", late).withColumn("_fault", F.explode(F.when(F.col("_late"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    fault = F.col("_fault") == 1
     blank = {c: F.when(~fault, F.col(c)) for c in ("first_id", "final_id", "prev_id", "source_time", "bids", "asks")}
-    rows = spread.withColumns(blank | {"kind": F.when(fault, "invalidate").otherwise(F.col("kind")), "arrival_seq": F.col("arrival_seq") * 2 - F.when(fault, 1).otherwise(0)})
-    return rows.drop("_late", "_k")
+    rows = spread.withColumns(
+        blank
+        | {
+            "kind": F.when(fault, "invalidate").otherwise(F.col("kind")), "arrival_seq": F.col("arrival_seq") * 2 + F.col("_fault"),
+            "arrival_time": F.timestamp_micros(F.unix_micros("arrival_time") + F.col("_fault") * limit),
+        }
+    )
+    return rows.drop("_late", "_fault")
 
 
 def reconnect_delay(failures: int) -> int:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickweave import schemas
+from tickweave.functions import ids
 from tickweave.operators import funding, validate
 from tickweave.operators.versions import SEQ, current
 
@@ -45,6 +46,34 @@ def write_minutes(minutes: DataFrame, deltas: DataFrame, database: str, seq: Col
     append(minutes, database, "order_book_minute", seq)
 
 
+def write_sound_minutes(minutes: DataFrame, deltas: DataFrame, database: str, seq: Column) -> int:
+    """Writes the minutes that break no rule with their deltas, deltas first; the others go to ``minute_quarantine`` whole.
+
+    Returns how many minutes were set aside.  Each row is checked once, and
+    what is broken is collected as few rows of ids and rules.
+    """
+    held = minutes.select(F.col("id").alias("minute_id"), "valid_bitmap").groupBy("minute_id").agg(F.max("valid_bitmap").alias("_bits"))
+    orphan = F.col("_bits").isNull() | ~ids.is_set(F.col("_bits"), F.col("second_offset"))
+    of_deltas = F.array_union(validate.delta(), validate.codes(orphan=orphan))
+    broken = minutes.select(F.col("id").alias("minute_id"), F.explode(validate.minute()).alias("rule"))
+    broken = broken.unionByName(deltas.join(held, "minute_id", "left").select("minute_id", F.explode(of_deltas).alias("rule")))
+    bad = broken.groupBy("minute_id").agg(F.sort_array(F.collect_set("rule")).alias("rules")).persist()
+    try:
+        n = bad.count()
+        if n:
+            held_out = lambda df, key: df.join(bad.withColumnRenamed("minute_id", key), key, "left_anti")
+            rows = minutes.select(F.col("id").alias("minute_id"), F.to_json(F.struct("*")).alias("minute"))
+            parts = deltas.groupBy("minute_id").agg(F.to_json(F.sort_array(F.collect_list(F.struct("second_offset", *[c for c in deltas.columns if c != "second_offset"])))).alias("deltas"))
+            aside = bad.join(rows, "minute_id", "left").join(parts, "minute_id", "left")
+            append(aside, database, "minute_quarantine", seq)
+            minutes, deltas = held_out(minutes, "id").select(minutes.columns), held_out(deltas, "minute_id").select(deltas.columns)
+        append(deltas, database, "order_book_second_delta", seq)
+        append(minutes, database, "order_book_minute", seq)
+    finally:
+        bad.unpersist()
+    return n
+
+
 def read(spark: SparkSession, database: str, table: str, where: Column | str | None = None, months: list[str] | None = None) -> DataFrame:
     """The newest row of each key.  ``where`` bears on key columns and ``months`` on partitions; both reach the scan."""
     rows = spark.table(f"{schemas.database_name(database)}.{table}")

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 from datetime import datetime, timezone
-from decimal import Decimal
 from typing import Any
 
 import pandas as pd
@@ -14,141 +12,104 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from tickweave.operators.book import VIEW, Book, Feed, event_of, view
+from tickweave.operators.book import VIEW, Feed, event_of, view
 from tickweave.operators.versions import SEQ
-from tickweave.schemas import DELTA, ESTIMATE, MINUTE, SIDES
+from tickweave.schemas import DELTA, ESTIMATE, MINUTE
 from tickweave.sources import store
+from tickweave.sources.feed import SILENCE
+from tickweave.streaming.state import BookState, Sampler, SamplerState, waits
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def _pack(feed: Feed, conn: int) -> str:
-    book = feed.book
-    time = None if book.source_time is None else pd.Timestamp(book.source_time).isoformat()
-    held = [e | {"source_time": None if e["source_time"] is None else pd.Timestamp(e["source_time"]).isoformat(), "arrival_time": None} for e in feed.held]
-    return json.dumps(
-        [conn, feed.exchange, feed.futures, book.retained, book.state, book.sequence, time, list(book.bids.items()), list(book.asks.items()), book.complete, feed.last, feed.snapshot_seen, feed.bridged, held]
-    )
-
-
-def _unpack(text: str) -> tuple[Feed, int]:
-    conn, exchange, futures, retained, state, sequence, time, bids, asks, complete, last, seen, bridged, held = json.loads(text)
-    when = lambda x: None if x is None else pd.Timestamp(x)
-    book = Book(retained, state, sequence, when(time), dict(map(tuple, bids)), dict(map(tuple, asks)), complete)
-    early = [e | {"source_time": when(e["source_time"]), "bids": list(map(tuple, e["bids"])), "asks": list(map(tuple, e["asks"]))} for e in held]
-    return Feed(exchange, futures, book, last, seen, bridged, early), conn
+#: How far the events of a log may be out of the order of their arrival.
+DELAY = "10 seconds"
 
 
 class BookProcessor(StatefulProcessor):
     """One instrument's book as state; a new connection starts another."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("feed", T.StructType([T.StructField("feed", T.StringType())]))
+        self.state = BookState(handle)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        feed, conn = _unpack(self.state.get()[0]) if self.state.exists() else (None, None)
-        events = pd.concat(list(rows)).sort_values("arrival_seq")
+        feed, conn = self.state.load()
         out = []
-        for row in events.to_dict("records"):
+        for row in _in_order(rows):
             if feed is None or row["conn_id"] != conn:
                 feed, conn = Feed.of(row["exchange"], row["market_type"]), int(row["conn_id"])
             event = event_of(row)
             out.append(view(feed, event, feed.apply(event)))
-        self.state.update((_pack(feed, conn),))
+            if feed.held and feed.held[-1] is event:
+                feed.held[-1] = waits(event)
+        self.state.save(feed, conn)
         yield pd.DataFrame(out, columns=VIEW.names)
 
     def close(self) -> None:
         pass
 
 
+def _in_order(rows: Iterator[pd.DataFrame]) -> list[dict]:
+    """A key's rows of one micro-batch, which the source bounds, in order of arrival."""
+    return pd.concat(list(rows)).sort_values("arrival_seq").to_dict("records")
+
+
 def books(events: DataFrame) -> DataFrame:
     """The book after every event of a stream of schemas.BOOK_EVENT; needs the RocksDB state store."""
     return events.groupBy("instrument_id").transformWithStateInPandas(BookProcessor(), outputStructType=VIEW, outputMode="append", timeMode="none")
 
 
-def _seconds(time: Any) -> int:
-    """The first whole second that isn't before a time."""
-    return -(-pd.Timestamp(time).value // 1_000_000_000)
-
-
-class Minute:
-    """One minute of samples as it fills: an anchor at second 0, then what differs from the last valid second."""
-
-    def __init__(self, number: int, bitmap: int = 0, anchor: list | None = None, last: list | None = None, deltas: list | None = None) -> None:
-        self.number, self.bitmap, self.anchor, self.last, self.deltas = number, bitmap, anchor, last, deltas or []
-
-    def sample(self, second: int, top: list | None) -> None:
-        """A second's best levels, None if it isn't valid; without a valid second 0 nothing is kept."""
-        if top is None or (self.anchor is None and second > 0):
-            return
-        self.bitmap |= 1 << second
-        if self.anchor is None:
-            self.anchor = top
-        elif top != self.last:
-            sides = []
-            for old, new, down in zip(self.last, top, (True, False), strict=True):
-                was, now = dict(map(tuple, old)), dict(map(tuple, new))
-                changed = sorted((p for p in was.keys() | now.keys() if was.get(p) != now.get(p)), reverse=down)
-                sides.append([[p, now.get(p, 0)] for p in changed])
-            self.deltas.append([second, *sides])
-        self.last = top
-
-    def row(self, instrument: int) -> dict:
-        names = [f"{s}_{n}" for s in SIDES for n in ("prices", "qtys")]
-        flat = lambda sides: [x for side in sides for x in ([p for p, _ in side], [Decimal(q) for _, q in side])]
-        time = pd.Timestamp(self.number * 60, unit="s")
-        deltas = [{"second_offset": s} | dict(zip([n.replace("_", "_change_", 1) for n in names], flat(sides), strict=True)) for s, *sides in self.deltas]
-        head = {"id": self.number << 32 | instrument, "instrument_id": instrument, "minute_time": time, "valid_bitmap": self.bitmap}
-        return head | dict(zip(names, flat(self.anchor), strict=True)) | {"deltas": deltas}
-
-
 #: A whole minute: the stored row and its deltas.
 WHOLE_MINUTE = T.StructType([*MINUTE.fields, T.StructField("deltas", T.ArrayType(T.StructType([x for x in DELTA if x.name != "minute_id"])))])
 
 
 class MinuteProcessor(StatefulProcessor):
-    """One instrument's book sampled at whole seconds of arrival time; a minute comes out when an event of a later one is seen.
+    """One instrument's book sampled at whole seconds of arrival time; a minute comes out as soon as the watermark has passed it.
 
-    A second has the state after the last event at or before it.  The minute
-    that is under way waits in the state, also over a restart.
+    What the instrument's own events don't tell, the watermark does: a timer at
+    the end of each minute ends it without a later event, and seconds from the
+    end of a silence on are not valid.  The minute that is under way waits in
+    the state, also over a restart.
     """
 
+    def __init__(self, silence: int = SILENCE) -> None:
+        self.silence = silence
+
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("minute", T.StructType([T.StructField("feed", T.StringType()), T.StructField("minute", T.StringType())]))
+        self.handle, self.state = handle, SamplerState(handle, self.silence)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        feed, conn, minute, due = None, None, None, None
-        if self.state.exists():
-            packed, own = self.state.get()
-            (feed, conn), (due, fields) = _unpack(packed), json.loads(own)
-            minute = None if fields is None else Minute(*fields)
-        out = []
-        for row in pd.concat(list(rows)).sort_values("arrival_seq").to_dict("records"):
-            second = _seconds(row["arrival_time"])
-            if due is not None and second > due:
-                top = feed.book.top()
-                top = None if top is None else [[list(x) for x in side] for side in top]
-                for s in range(due, second):
-                    if minute is None or minute.number != s // 60:
-                        if minute is not None and minute.anchor is not None:
-                            out.append(minute.row(int(row["instrument_id"])))
-                        minute = Minute(s // 60)
-                    minute.sample(s % 60, top)
-            due = second if due is None else max(due, second)
-            if feed is None or row["conn_id"] != conn:
-                feed, conn = Feed.of(row["exchange"], row["market_type"]), int(row["conn_id"])
-            feed.apply(event_of(row))
-        fields = None if minute is None else [minute.number, minute.bitmap, minute.anchor, minute.last, minute.deltas]
-        self.state.update((_pack(feed, conn), json.dumps([due, fields])))
-        yield pd.DataFrame(out, columns=WHOLE_MINUTE.names)
+        sampler = self.state.load(int(key[0]))
+        yield self._done(sampler, [minute for row in _in_order(rows) for minute in sampler.event(row)])
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        seen = timerValues.getCurrentWatermarkInMs() * 1000
+        if self.state.is_due(seen):  # else events have come further than the timer
+            sampler = self.state.load(int(key[0]))
+            yield self._done(sampler, sampler.until(seen))
+
+    def _done(self, sampler: Sampler, out: list[dict]) -> pd.DataFrame:
+        self.state.save(sampler)
+        end = sampler.next_minute()
+        if end is not None:
+            self.handle.registerTimer(end * 1000)
+        return pd.DataFrame(out, columns=WHOLE_MINUTE.names)
 
     def close(self) -> None:
         pass
 
 
-def minutes(events: DataFrame) -> DataFrame:
-    """Whole minutes (WHOLE_MINUTE) of a stream of schemas.BOOK_EVENT; needs the RocksDB state store."""
-    return events.groupBy("instrument_id").transformWithStateInPandas(MinuteProcessor(), outputStructType=WHOLE_MINUTE, outputMode="append", timeMode="none")
+def minutes(events: DataFrame, silence: int = SILENCE, delay: str = DELAY) -> DataFrame:
+    """Whole minutes (WHOLE_MINUTE) of a stream of schemas.BOOK_EVENT; needs the RocksDB state store.
+
+    ``delay`` is how far events of different instruments may be behind each
+    other in the stream; what is further behind is dropped (see ``dropped``).
+    """
+    keyed = events.withWatermark("arrival_time", delay).groupBy("instrument_id")
+    return keyed.transformWithStateInPandas(MinuteProcessor(silence), outputStructType=WHOLE_MINUTE, outputMode="append", timeMode="eventTime")
+
+
+def dropped(query: StreamingQuery) -> int:
+    """Events that came too late for the watermark in the batches that a query still knows."""
+    return sum(op.numRowsDroppedByWatermark for batch in query.recentProgress for op in batch.stateOperators)
 
 
 def split_minutes(whole: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -156,16 +117,20 @@ def split_minutes(whole: DataFrame) -> tuple[DataFrame, DataFrame]:
     return whole.drop("deltas"), whole.select(F.col("id").alias("minute_id"), F.inline("deltas"))
 
 
-def store_minutes(events: DataFrame, database: str, checkpoint: str) -> StreamingQuery:
-    """Writes the whole minutes of a stream of book events to the stored tables, each batch under its own number; one that is run again changes nothing."""
+def store_minutes(events: DataFrame, database: str, checkpoint: str, silence: int = SILENCE, delay: str = DELAY) -> StreamingQuery:
+    """Writes the whole minutes of a stream of book events to the stored tables, each batch under its own number; one that is run again changes nothing.
+
+    A minute that breaks a rule is set aside with its deltas and stops no other.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
         batch.persist()
-        rows, deltas = split_minutes(batch)
-        store.write_minutes(rows, deltas, database, F.lit(number))
-        batch.unpersist()
+        try:
+            store.write_sound_minutes(*split_minutes(batch), database, F.lit(number))
+        finally:
+            batch.unpersist()
 
-    return minutes(events).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return minutes(events, silence, delay).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 ESTIMATE_STATE = T.StructType([*ESTIMATE.fields, T.StructField("available", T.BooleanType())])
