@@ -145,3 +145,45 @@ def test_confirmation_is_written_back(spark):
     got = {x.instrument_id: (x.rate, x.is_actual) for x in store.read(spark, "confirmed", "funding_rate_hourly").collect()}
     assert got == {1: (Decimal("0.0002"), True), 2: (Decimal("0.0003"), False)}
     assert spark.table("confirmed.funding_rate_hourly").count() == 4
+
+
+def _log(spark, rows):
+    t = lambda s: None if s is None else datetime(2026, 1, 2) + timedelta(seconds=s)
+    schema = "instrument_id long, conn_id long, kind string, arrival_seq long, arrival_time timestamp, funding_time timestamp, source_time timestamp"
+    return spark.createDataFrame([(i, c, k, n, t(at), t(f), t(s)) for i, c, k, n, at, f, s in rows], schema)
+
+
+def test_outages_as_intervals(spark):
+    t = lambda s: datetime(2026, 1, 2) + timedelta(seconds=s)
+    up = lambda n, at, source, target=28800, i=1: (i, 1, "estimate", n, at, target, source)
+    down = lambda n, at, i=1: (i, 1, "unavailable", n, at, None, None)
+    rows = [up(0, 10, 10), up(1, 20, 20), down(2, 30), down(3, 31), up(4, 40, 15), up(5, 50, 20), down(70_000, 60), up(140_000, 70, 1, 57600), down(5, 5, 2), (3, 1, "estimate", 1, 9, 28800, 9)]
+    for width in (2, 1 << 16):
+        got = sorted(((r.instrument_id, r.from_time, r.to_time) for r in funding.outages(_log(spark, rows), width).collect()), key=str)
+        # an old estimate (15 after 20) ends nothing, an equal one does, and so does any of another settlement
+        assert got == sorted([(1, None, t(10)), (1, t(30), t(50)), (1, t(60), t(70)), (2, None, None), (3, None, t(9))], key=str)
+    hours = spark.createDataFrame([(i, datetime(2026, 1, 2, h)) for i in (1, 2, 3) for h in (0, 1, 2)], "instrument_id long, hour timestamp")
+    spans = spark.createDataFrame([(1, datetime(2026, 1, 2, 0, 30), datetime(2026, 1, 2, 1)), (1, datetime(2026, 1, 2, 2), datetime(2026, 1, 2, 2, 0, 1)), (2, None, None), (3, None, datetime(2026, 1, 2, 0, 1)), (3, datetime(2026, 1, 2, 1, 1), None)], "instrument_id long, from_time timestamp, to_time timestamp")
+    assert sorted((r.instrument_id, r.hour.hour) for r in funding.down_hours(spans, hours).collect()) == [(1, 2), (2, 0), (2, 1), (2, 2), (3, 0), (3, 2)]
+
+
+def test_a_silent_connection_takes_all_its_instruments_down(spark):
+    rows = [(1, 7, "estimate", 0, 0, 28800, 0), (2, 7, "estimate", 1, 100, 28800, 100), (1, 7, "estimate", 2, 220, 28800, 220), (2, 7, "estimate", 3, 341, 28800, 341), (3, 8, "estimate", 0, 0, 28800, 0)]
+    log = _log(spark, rows)
+    end = datetime(2026, 1, 2, 0, 6)
+    found = funding.silences(log, 120, F.lit(end))
+    at = sorted((r.instrument_id, r.conn_id, int((r.arrival_time - datetime(2026, 1, 2)).total_seconds())) for r in found.collect())
+    assert at == [(1, 7, 340), (2, 7, 340), (3, 8, 120)]  # 120 seconds are not too long, 121 are
+    both = log.select("instrument_id", "kind", "arrival_seq", "arrival_time", "funding_time", "source_time").unionByName(found.drop("conn_id"), allowMissingColumns=True)
+    got = {(r.instrument_id, r.from_time, r.to_time) for r in funding.outages(both).where("from_time is not null").collect()}
+    t = lambda s: datetime(2026, 1, 2) + timedelta(seconds=s)
+    assert got == {(1, t(340), None), (2, t(340), t(341)), (3, t(120), None)}
+
+
+def test_the_row_before_over_ranges(spark):
+    from tickweave.operators import ordering
+
+    rows = [(k, n * (k + 3), n % 3) for k in range(3) for n in range(200)]
+    df = spark.createDataFrame(rows, "k int, n int, v int").repartition(5)
+    got = {(r.k, r.n): r.p for r in ordering.previous(df, ["k"], "n", "v", "p", width=16).collect()}
+    assert got == {(k, n, )[:2]: (None if n == 0 else (n // (k + 3) - 1) % 3) for k, n, _ in rows}

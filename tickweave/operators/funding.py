@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tickweave.operators.ordering import WIDTH, previous
 from tickweave.operators.registry import route_backfill
 from tickweave.operators.versions import SEQ, current
 
@@ -34,12 +35,74 @@ def _chosen(found: DataFrame, hours: DataFrame, unavailable: DataFrame | None) -
     """Of rows (instrument_id, hour, settlement, own, any) the estimate that stands at each hour that is asked for."""
     asked = hours.select("instrument_id", "hour").distinct()
     if unavailable is not None:
-        down = asked.join(unavailable, "instrument_id").where("hour >= from_time and (to_time is null or hour < to_time)").select("instrument_id", "hour")
-        asked = asked.join(down, ["instrument_id", "hour"], "left_anti")
+        asked = asked.join(down_hours(unavailable, asked), ["instrument_id", "hour"], "left_anti")
     chosen = found.select("instrument_id", "hour", "settlement", F.when(F.col("settlement"), F.col("own")).otherwise(F.col("any")).alias("r"))
     return chosen.where("r is not null").join(asked, ["instrument_id", "hour"], "left_semi").select("instrument_id", "hour", "settlement", "r.*")
 
 
+def down_hours(unavailable: DataFrame, hours: DataFrame) -> DataFrame:
+    """The whole hours within intervals (instrument_id, from_time, to_time), of those between the first and the last hour asked for.
+
+    An interval holds its start and not its end; an absent start or end is
+    open.  Intervals are spread over their hours, so they meet hours by
+    equality and no instrument's intervals meet all of its hours.
+    """
+    span = hours.agg(F.min("hour").alias("_low"), F.max("hour").alias("_high"))
+    within = unavailable.crossJoin(F.broadcast(span))  # one row
+    low = F.greatest(F.coalesce(_hour_after("from_time"), F.col("_low")), F.col("_low"))
+    high = F.least(F.coalesce(_hour_after("to_time") - F.expr("interval 1 hour"), F.col("_high")), F.col("_high"))
+    return within.withColumn("hour", F.explode(F.when(low <= high, F.sequence(low, high, F.expr("interval 1 hour"))))).select("instrument_id", "hour").distinct()
+
+
+def taken(log: DataFrame, arrival: str = "arrival_seq") -> DataFrame:
+    """The estimates of a log that the store takes: not those that are older, by source time, than one of the same settlement before them."""
+    settlement = Window.partitionBy("instrument_id", "_target").orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
+    rows = log.withColumn("_target", F.unix_millis("funding_time")).withColumn("_newest", F.max("source_time").over(settlement))
+    return rows.where(F.col("_newest").isNull() | (F.col("source_time") >= F.col("_newest"))).drop("_target", "_newest")
+
+
+def silences(messages: DataFrame, silence: int, until: Column | None = None) -> DataFrame:
+    """Rows of kind ``unavailable`` for each instrument of a connection that was silent for longer than ``silence`` seconds.
+
+    ``messages`` are a connection's (conn_id, arrival_seq, arrival_time,
+    instrument_id); any message ends its silence.  The row comes ``silence``
+    seconds after the last message and takes its place in the order;
+    ``until``, up to which nothing more has arrived, ends the log.
+    """
+    order = Window.partitionBy("conn_id").orderBy("arrival_seq")
+    gap = F.unix_micros(F.lead("arrival_time").over(order)) - F.unix_micros("arrival_time")
+    limit = silence * 1_000_000
+    late = F.coalesce(gap > limit, F.unix_micros(until) - F.unix_micros("arrival_time") >= limit if until is not None else F.lit(False), F.lit(False))
+    once = messages.groupBy("conn_id", "arrival_seq").agg(F.first("arrival_time").alias("arrival_time"))
+    ends = once.withColumn("_late", late).where("_late").select("conn_id", "arrival_seq", F.timestamp_micros(F.unix_micros("arrival_time") + limit).alias("arrival_time"))
+    members = messages.select("conn_id", "instrument_id").distinct()
+    return members.join(ends, "conn_id").select("instrument_id", "conn_id", "arrival_seq", "arrival_time", F.lit("unavailable").alias("kind"))
+
+
+def outages(log: DataFrame, width: int = WIDTH) -> DataFrame:
+    """Intervals (instrument_id, from_time, to_time) during which an instrument had no estimates to rely on.
+
+    ``log`` has rows of kind ``estimate`` (funding_time, source_time) and
+    ``unavailable``, in order of ``arrival_seq``; of equal places the estimate
+    comes first.  An instrument is down at first (no from_time), again from
+    each ``unavailable``, and up from the next estimate that is taken; one that
+    is passed over as old ends nothing.  The last interval has no to_time if
+    it goes on.
+    """
+    log = log.withColumn("_at", F.col("arrival_seq") * 2 + (F.col("kind") == "unavailable").cast("long"))
+    up = taken(log.where("kind = 'estimate'"), "_at").select("instrument_id", "_at", "arrival_time", F.lit(True).alias("_up"))
+    down = log.where("kind = 'unavailable'").select("instrument_id", "_at", "arrival_time", F.lit(False).alias("_up"))
+    marked = previous(up.unionByName(down), ["instrument_id"], "_at", "_up", "_was", width)
+    turns = marked.where("_up != coalesce(_was, false) or (_was is null and not _up)")  # few, whatever the log has
+    order = Window.partitionBy("instrument_id").orderBy("_at")
+    first = F.lag("_at").over(order).isNull()
+    next_ = F.lead("arrival_time").over(order)
+    each = turns.select("instrument_id", "arrival_time", "_up", first.alias("_first"), next_.alias("_next"))
+    later = each.where("not _up and not _first").select("instrument_id", F.col("arrival_time").alias("from_time"), F.col("_next").alias("to_time"))
+    start = each.where("_first").select("instrument_id", F.lit(None).cast("timestamp").alias("from_time"), F.when(F.col("_up"), F.col("arrival_time")).otherwise(F.col("_next")).alias("to_time"))
+    return start.unionByName(later)
+
+
 def at_hours(
     estimates: DataFrame, hours: DataFrame, max_age: str = MAX_AGE, retention: str = RETENTION, arrival: str = "arrival", unavailable: DataFrame | None = None
 ) -> DataFrame:
@@ -56,7 +119,7 @@ def at_hours(
     carried on to the hours until the next, for ``retention`` at most.
 
     ``unavailable`` has intervals (instrument_id, from_time, to_time) during
-    which a feed was down: hours within have no estimate.
+    which a feed was down (``outages``): hours within have no estimate.
     """
     order = F.struct("source_time", arrival)
     last = estimates.withColumn("hour", _hour_after("source_time")).groupBy("instrument_id", "funding_time", "hour").agg(F.max_by(F.struct("source_time", "rate", arrival), order).alias("e"))

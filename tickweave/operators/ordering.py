@@ -25,3 +25,19 @@ def running_count(rows: DataFrame, keys: list[str], order: str, flag: Column, na
     counted = marked.withColumn(name, F.sum(hit).over(within))
     found = counted.join(sums, [*keys, at], "left")
     return found.select(*(F.col(f"`{c}`") for c in rows.columns if c != name), (F.col(name) + F.col(before)).alias(name))
+
+
+def previous(rows: DataFrame, keys: list[str], order: str, value: str, name: str, width: int = WIDTH) -> DataFrame:
+    """Adds ``name``: the value of the row before in ``order`` (an integer column) of the same key, null for the first.
+
+    Cut into ranges as in ``running_count``: only a range's first row needs
+    what was last before it, which the ranges' last values tell.
+    """
+    at, first, last = (f"__{name}_{x}__" for x in ("range", "first", "last"))
+    marked = rows.withColumn(at, F.floor(F.col(order) / width).cast("long"))
+    ranges = marked.groupBy(*keys, at).agg(F.max_by(F.struct(value), order).alias(last))
+    ranges = ranges.withColumn(last, F.lag(last).over(Window.partitionBy(*keys).orderBy(at)))
+    within = Window.partitionBy(*keys, at).orderBy(order)
+    seen = marked.withColumn(first, F.row_number().over(within) == 1).withColumn(name, F.lag(value).over(within))
+    found = seen.join(ranges, [*keys, at], "left")
+    return found.select(*(F.col(f"`{c}`") for c in rows.columns if c != name), F.when(F.col(first), F.col(last)[value]).otherwise(F.col(name)).alias(name))

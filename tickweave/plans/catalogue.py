@@ -13,6 +13,7 @@ from tickweave.operators import book, collect, funding, registry, replay, sample
 from tickweave.plans import projection as p
 from tickweave.plans.projection import BLOCK, PAUSE, PRICES, table
 from tickweave.schemas import DEPTH
+from tickweave.sources import recorded
 from tickweave.sources.binance import field, whole
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -595,3 +596,55 @@ def outage_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "instrument_id", F.floor(F.unix_seconds("minute_time") / 60).cast("long").alias("minute"), "valid_bitmap", F.get("bid_prices", F.lit(0)).alias("best_bid"), F.get("ask_prices", F.lit(0)).alias("best_ask")
     )
+
+
+def _availability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a feed of estimates that goes down now and then; one in four has a source time from before the last one's."""
+    down = F.col("event_id") % 11 == 0
+    source = F.timestamp_micros(F.unix_micros("ts") - F.when(F.col("event_id") % 4 == 0, F.col("user_id") % 120 * 60_000_000).otherwise(0))
+    return p.events(spark, sf_dir).select(
+        "instrument_id", F.when(down, "unavailable").otherwise("estimate").alias("kind"), F.col("event_id").alias("arrival_seq"), F.col("ts").alias("arrival_time"),
+        F.when(~down, F.timestamp_seconds(p.settlement())).alias("funding_time"), F.when(~down, source).alias("source_time"), F.when(~down, F.col("event_id")).alias("rate"),
+    )
+
+
+_DOWN = _EV + (
+    ", av AS (SELECT instrument_id, event_id AS seq, epoch_us(ts) AS us, event_id % 11 = 0 AS down, epoch_us(ts) - CASE WHEN event_id % 4 = 0 THEN user_id % 120 * 60000000 ELSE 0 END AS src, "
+    "(epoch_us(ts) // 28800000000) * 28800000000 + 28800000000 AS target FROM ev), "
+    "tk AS (SELECT *, max(src) OVER (PARTITION BY instrument_id, target ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM av WHERE NOT down), "
+    "st AS (SELECT instrument_id, seq, us, TRUE AS up FROM tk WHERE newest IS NULL OR src >= newest UNION ALL SELECT instrument_id, seq, us, FALSE FROM av WHERE down), "
+    "tn AS (SELECT *, lag(up) OVER (PARTITION BY instrument_id ORDER BY seq) AS was FROM st), "
+    "tr AS (SELECT *, lead(us) OVER w AS nxt, lag(seq) OVER w IS NULL AS head FROM tn WHERE was IS NULL OR up <> was WINDOW w AS (PARTITION BY instrument_id ORDER BY seq)), "
+    "dn AS (SELECT instrument_id, us AS from_us, nxt AS to_us FROM tr WHERE NOT up AND NOT head UNION ALL SELECT instrument_id, NULL, CASE WHEN up THEN us ELSE nxt END FROM tr WHERE head)"
+)
+
+
+@_query("estimate_outages", f"WITH {_DOWN} SELECT * FROM dn")
+def estimate_outages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return funding.outages(_availability(spark, sf_dir)).select("instrument_id", _us("from_time").alias("from_us"), _us("to_time").alias("to_us"))
+
+
+@_query(
+    "available_asof",
+    f"WITH {_DOWN}, {_HOURS}, hr AS (SELECT instrument_id, epoch_us(hour) AS hour_us FROM hrs), "
+    "ok AS (SELECT * FROM hr h WHERE NOT EXISTS (SELECT 1 FROM dn d WHERE d.instrument_id = h.instrument_id AND coalesce(d.from_us <= h.hour_us, TRUE) AND coalesce(h.hour_us < d.to_us, TRUE))), "
+    "known AS (SELECT h.instrument_id, h.hour_us, e.target, arg_max(e.seq, (e.src, e.seq)) AS event_id, max(e.src) AS source_us FROM ok h JOIN tk e "
+    "ON e.instrument_id = h.instrument_id AND e.src <= h.hour_us AND e.src >= h.hour_us - 172800000000 GROUP BY 1, 2, 3), "
+    "flag AS (SELECT *, bool_or(target = hour_us) OVER (PARTITION BY instrument_id, hour_us) AS settlement, source_us >= hour_us - 1800000000 AS fresh FROM known) "
+    "SELECT instrument_id, hour_us, settlement, arg_max(event_id, (source_us, event_id)) AS event_id, max(source_us) AS source_us "
+    "FROM flag WHERE fresh AND (NOT settlement OR target = hour_us) GROUP BY 1, 2, 3",
+)
+def available_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Estimates at hours, none where the feed was down then."""
+    log = _availability(spark, sf_dir)
+    rows = log.where("kind = 'estimate'").select("instrument_id", "funding_time", "rate", "source_time", F.col("arrival_seq").alias("arrival"))
+    found = funding.at_hours(rows, _hours(spark, sf_dir), max_age="30 minutes", unavailable=funding.outages(log))
+    return found.select("instrument_id", _us("hour").alias("hour_us"), "settlement", F.col("rate").alias("event_id"), _us("source_time").alias("source_us"))
+
+
+@_query("recorded_messages", "SELECT 'events' AS conn_id, event_id AS arrival_seq, epoch_us(ts) AS arrival_us, CAST(regexp_extract(props, '\"k\": ?([0-9]+)', 1) AS BIGINT) AS k FROM events")
+def recorded_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a recorded feed of one connection, read through the data source."""
+    options = {"path": f"{sf_dir}/events.parquet", "arrival_seq": "event_id", "arrival_time": "ts", "payload": "props"}
+    rows = spark.read.format(recorded.register(spark)).options(**options).load()
+    return rows.select("conn_id", "arrival_seq", _us("arrival_time").alias("arrival_us"), whole(field("$.k", "payload")).alias("k"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import urllib.parse
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +13,9 @@ from tickweave.functions import ids
 from tickweave.operators import funding, validate
 from tickweave.operators.versions import SEQ, current
 
+#: Bytes of a file that compaction writes, about.
+FILE_BYTES = 256_000_000
+
 
 def init(spark: SparkSession, database: str) -> None:
     for statement in schemas.ddl(database):
@@ -111,14 +117,61 @@ def instruments(spark: SparkSession, database: str) -> DataFrame:
     return rows.withColumn("instrument_id", checked).orderBy("instrument_id")
 
 
-def compact(spark: SparkSession, database: str, table: str, path: str) -> DataFrame:
-    """Writes the newest rows alone to a folder, a file or so for each month, and returns them."""
-    rows = spark.table(f"{schemas.database_name(database)}.{table}")
-    newest = current(rows, schemas.KEYS[table], version="is_actual" if table == "funding_rate_hourly" else None)
-    parts = ["month"] if table in schemas.MONTH_OF else []
-    laid = newest.repartition(*parts) if parts else newest
-    laid.sortWithinPartitions(*parts, *schemas.KEYS[table]).write.mode("overwrite").partitionBy(*parts).parquet(path)
-    return spark.read.parquet(path)
+def compact(spark: SparkSession, database: str, table: str, months: list[str] | None = None) -> list[str]:
+    """Leaves the newest row of each key alone in months of a table, a file or so for each; returns the months that became smaller.
+
+    The rows of a month are written beside the table and the month's place in
+    the catalogue is then set to them, so a reader sees the files of before or
+    those of after, and one that has begun keeps its own: they stay until
+    ``vacuum``.  Rows keep their place in the order of insertion.  A month that
+    was appended to meanwhile is left as it is and can be taken again; there is
+    one writer for each table, and it doesn't write while this changes places.
+    """
+    name = f"{schemas.database_name(database)}.{table}"
+    if table not in schemas.MONTH_OF:
+        raise ValueError(f"{table} has no months")
+    present = [r[0].partition("=")[2] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+    root = _location(spark, f"DESCRIBE FORMATTED {name}")
+    done = []
+    for month in sorted(set(present) & set(months) if months is not None else present):
+        rows = spark.table(name).where(F.col("month") == month)
+        files = sorted(rows.inputFiles())
+        newest = current(rows, schemas.KEYS[table], version="is_actual" if table == "funding_rate_hourly" else None).drop("month")
+        place = f"{root}/_compacted/month={month}/{uuid.uuid4().hex}"
+        size = stored_bytes(spark, _location(spark, f"DESCRIBE FORMATTED {name} PARTITION (month = '{month}')"))
+        newest.repartition(-(-size // FILE_BYTES) or 1, *schemas.KEYS[table]).sortWithinPartitions(*schemas.KEYS[table]).write.parquet(place)
+        spark.catalog.refreshTable(name)
+        if stored_bytes(spark, place) >= size or sorted(spark.table(name).where(F.col("month") == month).inputFiles()) != files:
+            continue
+        spark.sql(f"ALTER TABLE {name} PARTITION (month = '{month}') SET LOCATION '{place}'")
+        done.append(month)
+    spark.catalog.refreshTable(name)
+    return done
+
+
+def _location(spark: SparkSession, describe: str) -> str:
+    """Where a table or the partition of one lies: a partition's own place comes first in its description."""
+    return next(r.data_type for r in spark.sql(describe).collect() if r.col_name == "Location").rstrip("/")
+
+
+def vacuum(spark: SparkSession, database: str, table: str, before: float) -> list[str]:
+    """Deletes files of a table that no month's place has any more and that were last changed before a time (in seconds since the epoch).
+
+    Give readers that began on them time to end.  Returns what was deleted.
+    """
+    name = f"{schemas.database_name(database)}.{table}"
+    spark.catalog.refreshTable(name)
+    used = {urllib.parse.unquote(urllib.parse.urlparse(x).path) for x in spark.table(name).inputFiles()}
+    root = spark._jvm.org.apache.hadoop.fs.Path(_location(spark, f"DESCRIBE FORMATTED {name}"))
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    listed, gone = files.listFiles(root, True), []
+    while listed.hasNext():
+        x = listed.next()
+        path = x.getPath().toUri().getPath()
+        if path.endswith(".parquet") and path not in used and x.getModificationTime() < before * 1000:
+            files.delete(x.getPath(), False)
+            gone.append(path)
+    return gone
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:
