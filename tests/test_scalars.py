@@ -56,7 +56,7 @@ def test_bitmap(spark):
 
 def test_ddl():
     statements = schemas.ddl("market")
-    assert len(statements) == 5 and len(schemas.minute_columns()) == 204
+    assert len(statements) == 6 and len(schemas.minute_columns()) == 204
     assert schemas.minute_columns()[4:6] == ["bid_price_01", "bid_qty_01"]
     with pytest.raises(ValueError):
         schemas.ddl("bad-name")

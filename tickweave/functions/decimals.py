@@ -35,15 +35,21 @@ def positive(raw: Column) -> Column:
     return F.when(value > 0, value)
 
 
+def _digits(value: Column, within: str) -> Column:
+    """A value of a type of up to 18 digits as the long of its digits: one multiplication, and all that follows is on longs."""
+    scale = int(within.rstrip(")").split(",")[1])
+    return (value.try_cast(within) * F.lit(10**scale).cast("decimal(18,0)" if scale < 18 else "decimal(19,0)")).cast("long")
+
+
 def _quotient(value: Column, step: Column, within: str, positive: bool) -> Column:
     """value / step where step divides a value of 0 (or a step) and more, else null; the remainder decides, exactly.
 
-    In a type of up to 18 digits, which are longs, ``div`` is exact and cheap;
-    in wider ones it would wrap beyond 2**63, so they are divided by ``/``.
+    In a type of up to 18 digits both become longs of the same scale first.  In
+    wider ones ``div`` would wrap beyond 2**63, so they are divided by ``/``.
     """
-    value, step = value.try_cast(within), step.try_cast(within)
-    good = (step > 0) & (value >= (step if positive else F.lit(0).cast(within))) & (value % step == 0)
     narrow = int(within.split("(")[1].split(",")[0]) <= 18
+    value, step = (_digits(x, within) if narrow else x.try_cast(within) for x in (value, step))
+    good = (step > 0) & (value >= (step if positive else F.lit(0).cast("long" if narrow else within))) & (value % step == 0)
     return F.when(good, F.call_function("div", value, step) if narrow else value / step)
 
 

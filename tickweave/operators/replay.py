@@ -10,26 +10,33 @@ from tickweave.functions import ids
 from tickweave.schemas import DEPTH, SIDES
 
 
-def levels(prices: str, qtys: str) -> Column:
-    """Both sides' levels, given the names of their arrays behind ``bid`` and ``ask``, as one array of (side, price, qty)."""
+def levels(prices: str, qtys: str, of: Column | None = None) -> Column:
+    """Both sides' levels, given the names of their arrays behind ``bid`` and ``ask`` (columns, or fields of a struct), as one array of (side, price, qty)."""
 
     def one(side: str) -> Column:
-        pairs = F.arrays_zip(F.col(f"{side}_{prices}").alias("price"), F.col(f"{side}_{qtys}").alias("qty"))
+        p, q = (F.col(f"{side}_{n}") if of is None else of[f"{side}_{n}"] for n in (prices, qtys))
+        pairs = F.arrays_zip(p.alias("price"), q.alias("qty"))
         return F.transform(pairs, lambda x: F.struct(F.lit(side).alias("side"), x["price"].alias("price"), x["qty"].alias("qty")))
 
     return F.concat(*map(one, SIDES))
 
 
-def writes(minutes: DataFrame, deltas: DataFrame) -> DataFrame:
-    """Rows (minute_id, second, side, price, qty): the anchor's levels at second 0, then every change.
+def writes(minutes: DataFrame, deltas: DataFrame | None = None) -> DataFrame:
+    """Rows (minute_id, valid_bitmap, second, side, price, qty): the anchor's levels at second 0, then every change.
 
     Deltas count only with their minute, as the minute is what makes them
-    visible, and only at seconds that it has as valid.
+    visible, and only at seconds that it has as valid.  Without ``deltas``
+    each minute has its own in a column of that name, and nothing is joined.
     """
-    first = minutes.select(F.col("id").alias("minute_id"), F.lit(0).alias("second"), F.inline(levels("prices", "qtys")))
+    if deltas is None:
+        first = F.struct(F.lit(0).alias("second_offset"), *[F.col(f"{s}_{n}").alias(f"{s}_change_{n}") for s in SIDES for n in ("prices", "qtys")])
+        each = minutes.select(F.col("id").alias("minute_id"), "valid_bitmap", F.inline(F.concat(F.array(first), F.col("deltas"))))
+        held = each.where(ids.is_set(F.col("valid_bitmap"), F.col("second_offset")))
+        return held.select("minute_id", "valid_bitmap", F.col("second_offset").alias("second"), F.inline(levels("change_prices", "change_qtys")))
+    first = minutes.select(F.col("id").alias("minute_id"), "valid_bitmap", F.lit(0).alias("second"), F.inline(levels("prices", "qtys")))
     held = deltas.join(minutes.select(F.col("id").alias("minute_id"), "valid_bitmap"), "minute_id")
     held = held.where(ids.is_set(F.col("valid_bitmap"), F.col("second_offset")))
-    return first.unionByName(held.select("minute_id", F.col("second_offset").alias("second"), F.inline(levels("change_prices", "change_qtys"))))
+    return first.unionByName(held.select("minute_id", "valid_bitmap", F.col("second_offset").alias("second"), F.inline(levels("change_prices", "change_qtys"))))
 
 
 def last_writes(rows: DataFrame, keys: list[str], order: str = "second", depth: int = DEPTH) -> DataFrame:
@@ -44,34 +51,41 @@ def last_writes(rows: DataFrame, keys: list[str], order: str = "second", depth:
     return ranked.where(F.col("level") <= depth)
 
 
-def at_second(minutes: DataFrame, deltas: DataFrame, second: int, depth: int = DEPTH) -> DataFrame:
+def at_second(minutes: DataFrame, deltas: DataFrame | None, second: int, depth: int = DEPTH) -> DataFrame:
     """Levels of every minute at one second of it; minutes where that second is invalid have none."""
     if not 0 <= second <= 59:
         raise ValueError(f"second {second} is not from 0 to 59")
     valid = minutes.where(ids.is_set(F.col("valid_bitmap"), F.lit(second)))
-    return last_writes(writes(valid, deltas.where(F.col("second_offset") <= second)), ["minute_id"], depth=depth)
+    if deltas is None:
+        valid = valid.withColumn("deltas", F.filter("deltas", lambda d: d["second_offset"] <= second))
+    else:
+        deltas = deltas.where(F.col("second_offset") <= second)
+    return last_writes(writes(valid, deltas), ["minute_id"], depth=depth)
 
 
-def every_second(minutes: DataFrame, deltas: DataFrame, depth: int = DEPTH) -> DataFrame:
+def every_second(minutes: DataFrame, deltas: DataFrame | None = None, depth: int = DEPTH) -> DataFrame:
     """Levels of every minute at every valid second: rows (minute_id, second, side, price, qty, level).
 
     A write holds until the next of its price, so it is repeated for the valid
-    seconds it spans; the cost is that of the levels returned.
+    seconds it spans; the cost is that of the levels returned.  Rows are dealt
+    by minute once; a minute's levels are at most those of its 60 seconds.
     """
     order = Window.partitionBy("minute_id", "side", "price").orderBy("second")
-    spans = writes(minutes, deltas).withColumn("_to", F.coalesce(F.lead("second").over(order), F.lit(60)) - 1).where("qty > 0")
+    rows = writes(minutes, deltas).repartition("minute_id")
+    spans = rows.withColumn("_to", F.coalesce(F.lead("second").over(order), F.lit(60)) - 1).where("qty > 0")
     held = spans.withColumn("second", F.explode(F.sequence("second", "_to"))).drop("_to")
-    held = held.join(minutes.select(F.col("id").alias("minute_id"), "valid_bitmap"), "minute_id").where(ids.is_set(F.col("valid_bitmap"), F.col("second")))
+    held = held.where(ids.is_set(F.col("valid_bitmap"), F.col("second")))
     best = F.when(F.col("side") == "bid", -F.col("price")).otherwise(F.col("price"))
     ranked = held.withColumn("level", F.row_number().over(Window.partitionBy("minute_id", "second", "side").orderBy(best)))
     return ranked.where(F.col("level") <= depth).drop("valid_bitmap")
 
 
-def books(requests: DataFrame, minutes: DataFrame, deltas: DataFrame, depth: int = DEPTH) -> DataFrame:
+def books(requests: DataFrame, minutes: DataFrame, deltas: DataFrame | None = None, depth: int = DEPTH) -> DataFrame:
     """The answer to each request (instrument_id, time): status not_found, invalid or valid, with the arrays of a valid book that holds levels.
 
     Many requests are one job: they meet their minute by id, the bit is tested
-    before any delta is read, and only deltas up to the second are joined.
+    before any delta is read, and only deltas up to the second are joined; of
+    minutes that have their own (no ``deltas``), only these are unfolded.
     """
     second = (F.unix_seconds("time") % 60).cast("int")
     asked = requests.select("instrument_id", "time").distinct().withColumn("minute_id", ids.minute_id(F.col("instrument_id"), F.col("time"))).withColumn("second", second)
@@ -79,12 +93,17 @@ def books(requests: DataFrame, minutes: DataFrame, deltas: DataFrame, depth: int
     status = F.when(F.col("valid_bitmap").isNull(), "not_found").when(ids.is_set(F.col("valid_bitmap"), F.col("second")), "valid").otherwise("invalid")
     found = found.withColumn("status", status)
     keys = ["instrument_id", "time", "status"]
-    none = F.lit(None).cast("array<struct<side:string,price:bigint,qty:decimal(20,0)>>")
-    book = F.when(F.col("status") == "valid", levels("prices", "qtys"))
-    first = found.select(*keys, F.lit(0).alias("at"), F.inline_outer(F.coalesce(book, none)))
-    near = found.where("status = 'valid'").select(*keys, "minute_id", "second", "valid_bitmap").join(deltas, "minute_id")
-    near = near.where("second_offset <= second").where(ids.is_set(F.col("valid_bitmap"), F.col("second_offset")))
-    rows = first.unionByName(near.select(*keys, F.col("second_offset").alias("at"), F.inline(levels("change_prices", "change_qtys"))))
+    none = F.lit(None).cast("array<struct<at:int,side:string,price:bigint,qty:decimal(20,0)>>")
+    stamp = lambda rows, at: F.transform(rows, lambda x: F.struct(at.alias("at"), x["side"].alias("side"), x["price"].alias("price"), x["qty"].cast("decimal(20,0)").alias("qty")))
+    book = stamp(levels("prices", "qtys"), F.lit(0))
+    if deltas is None:
+        near = F.filter("deltas", lambda d: (d["second_offset"] <= F.col("second")) & ids.is_set(F.col("valid_bitmap"), d["second_offset"]))
+        book = F.concat(book, F.flatten(F.transform(near, lambda d: stamp(levels("change_prices", "change_qtys", d), d["second_offset"]))))
+    rows = found.select(*keys, F.inline_outer(F.coalesce(F.when(F.col("status") == "valid", book), none)))
+    if deltas is not None:
+        near = found.where("status = 'valid'").select(*keys, "minute_id", "second", "valid_bitmap").join(deltas, "minute_id")
+        near = near.where("second_offset <= second").where(ids.is_set(F.col("valid_bitmap"), F.col("second_offset")))
+        rows = rows.unionByName(near.select(*keys, F.col("second_offset").alias("at"), F.inline(levels("change_prices", "change_qtys"))))
     # one shuffle, by request, serves the last write of each price, the ranks and the arrays
     last = rows.repartition(*keys).groupBy(*keys, "side", "price").agg(F.max_by("qty", "at").alias("qty")).withColumn("_held", F.coalesce(F.col("qty") > 0, F.lit(False)))
     best = F.when(F.col("side") == "bid", -F.col("price")).otherwise(F.col("price"))

@@ -15,6 +15,7 @@ from tickweave.functions import ids
 from tickweave.schemas import DEPTH, SIDES, minute_columns
 
 KEY = ["instrument_id", "minute"]
+INT = "int"
 
 
 def anchored(seconds: DataFrame) -> DataFrame:
@@ -23,18 +24,6 @@ def anchored(seconds: DataFrame) -> DataFrame:
     return per.where(ids.is_set(F.col("valid_bitmap"), F.lit(0)))
 
 
-def steps(seconds: DataFrame) -> DataFrame:
-    """Valid seconds of anchored minutes with the valid second before and after each.
-
-    The window runs over valid seconds alone, so the first after a gap is
-    compared with the last valid one and not with the second before it.
-    """
-    order = Window.partitionBy(*KEY).orderBy("second")
-    marked = seconds.select(*KEY, "second").distinct()
-    marked = marked.withColumn("_first", F.min("second").over(Window.partitionBy(*KEY))).where("_first = 0")
-    return marked.select(*KEY, "second", F.lag("second").over(order).alias("before"), F.lead("second").over(order).alias("after"))
-
-
 def rank_levels(samples: DataFrame, depth: int = DEPTH) -> DataFrame:
     """The best levels of each side: bids from the highest price, asks from the lowest."""
     best = F.when(F.col("side") == "bid", -F.col("price")).otherwise(F.col("price"))
@@ -42,22 +31,40 @@ def rank_levels(samples: DataFrame, depth: int = DEPTH) -> DataFrame:
     return samples.where("qty > 0").withColumn("level", F.row_number().over(order)).where(F.col("level") <= depth)
 
 
-def changes(samples: DataFrame, seconds: DataFrame) -> DataFrame:
-    """Rows (key, second, side, price, qty) that differ from the last valid second; 0 for a price that went.
+def next_valid(second: Column, bitmap: Column) -> Column:
+    """The next second after one whose bit is set, null if there is none: zeros below the lowest bit of what is left are counted."""
+    rest = F.call_function("shiftright", bitmap, second + 1)
+    lowest = rest.bitwiseAND(-rest)
+    return F.when(rest != 0, second + 1 + F.bit_count(lowest - 1).cast(INT))
+
+
+def _written(samples: DataFrame, seconds: DataFrame, depth: int | None) -> DataFrame:
+    """Rows (key, valid_bitmap, second, side, price, qty) of an anchored minute's book at second 0 and of what differs from then on.
 
     Each level is put down as what its second has and as what the next valid
-    second had before, and the two are met by one aggregate: no self-join.
+    second had before, and the two are met by one aggregate: no self-join, and
+    the first second after a gap is compared with the last valid one.  Samples
+    are dealt by minute once, which serves all that follows.
     """
-    held = samples.join(steps(seconds), [*KEY, "second"])
+    kind = samples.schema["qty"].dataType
+    dealt = samples.repartition(*KEY)
+    top = dealt if depth is None else rank_levels(dealt, depth)
+    held = top.join(anchored(seconds), KEY).where(ids.is_set(F.col("valid_bitmap"), F.col("second")))
+    none = F.lit(None).cast(kind)
     both = held.select(
-        *KEY, "side", "price",
+        *KEY, "valid_bitmap", "side", "price",
         F.explode(F.array(
-            F.struct(F.col("second").alias("second"), F.col("qty").alias("now"), F.lit(None).cast(samples.schema["qty"].dataType).alias("was")),
-            F.struct(F.col("after").alias("second"), F.lit(None).cast(samples.schema["qty"].dataType).alias("now"), F.col("qty").alias("was")),
+            F.struct(F.col("second").cast(INT).alias("second"), F.col("qty").alias("now"), none.alias("was")),
+            F.struct(next_valid(F.col("second").cast(INT), F.col("valid_bitmap")).alias("second"), none.alias("now"), F.col("qty").alias("was")),
         )).alias("e"),
-    ).where("e.second > 0")
-    met = both.groupBy(*KEY, F.col("e.second").alias("second"), "side", "price").agg(F.max("e.now").alias("now"), F.max("e.was").alias("was"))
-    return met.where(~F.col("now").eqNullSafe(F.col("was"))).select(*KEY, "second", "side", "price", F.coalesce("now", F.lit(0)).cast(samples.schema["qty"].dataType).alias("qty"))
+    ).where("e.second is not null")
+    met = both.groupBy(*KEY, "valid_bitmap", F.col("e.second").alias("second"), "side", "price").agg(F.max("e.now").alias("now"), F.max("e.was").alias("was"))
+    return met.where(~F.col("now").eqNullSafe(F.col("was"))).select(*KEY, "valid_bitmap", "second", "side", "price", F.coalesce("now", F.lit(0)).cast(kind).alias("qty"))
+
+
+def changes(samples: DataFrame, seconds: DataFrame) -> DataFrame:
+    """Rows (key, second, side, price, qty) that differ from the last valid second; 0 for a price that went."""
+    return _written(samples, seconds, None).where("second > 0").drop("valid_bitmap")
 
 
 def _arrays(side: str, prices: str, qtys: str) -> list[Column]:
@@ -66,22 +73,32 @@ def _arrays(side: str, prices: str, qtys: str) -> list[Column]:
     return [F.transform(pairs, lambda x: x["price"]).alias(prices), F.transform(pairs, lambda x: x["qty"]).alias(qtys)]
 
 
-def encode(samples: DataFrame, seconds: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, DataFrame]:
-    """(minutes, deltas) as they are stored, from samples that are ranked already or not."""
-    top = rank_levels(samples.drop("level") if "level" in samples.columns else samples, depth).drop("level")
-    held = anchored(seconds)
+def whole_minutes(samples: DataFrame, seconds: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """Minutes with their deltas, in one row each: what is stored, and an array of deltas by second; from samples that are ranked already or not."""
+    written = _written(samples.drop("level"), seconds, depth)
+    names = [f"{s}_{n}" for s in SIDES for n in ("prices", "qtys")]
+    each = written.groupBy(*KEY, "second").agg(*[c for s in SIDES for c in _arrays(s, f"{s}_prices", f"{s}_qtys")])
+    delta = F.struct(F.col("second").alias("second_offset"), *[F.col(n).alias(n.replace("_", "_change_", 1)) for n in names])
+    found = each.groupBy(*KEY).agg(
+        F.first(F.when(F.col("second") == 0, F.struct(*names)), ignorenulls=True).alias("_anchor"),
+        F.sort_array(F.collect_list(F.when(F.col("second") > 0, delta))).alias("deltas"),
+    )
     key = F.shiftleft(F.col("minute"), 32).bitwiseOR(F.col("instrument_id"))
-    anchors = top.where("second = 0").groupBy(*KEY).agg(*[c for s in SIDES for c in _arrays(s, f"{s}_prices", f"{s}_qtys")])
-    minutes = held.join(anchors, KEY, "left").select(
+    none = lambda c: F.array().cast(each.schema[c].dataType)
+    return anchored(seconds).join(found, KEY, "left").select(
         key.alias("id"), "instrument_id", F.timestamp_seconds(F.col("minute") * 60).alias("minute_time"), "valid_bitmap",
-        *[F.coalesce(c, F.array().cast(anchors.schema[c].dataType)).alias(c) for s in SIDES for c in (f"{s}_prices", f"{s}_qtys")],
+        *[F.coalesce(F.col("_anchor")[n], none(n)).alias(n) for n in names], F.coalesce("deltas", F.array().cast(found.schema["deltas"].dataType)).alias("deltas"),
     )
-    deltas = (
-        changes(top, seconds)
-        .groupBy(key.alias("minute_id"), F.col("second").cast("int").alias("second_offset"))
-        .agg(*[c for s in SIDES for c in _arrays(s, f"{s}_change_prices", f"{s}_change_qtys")])
-    )
-    return minutes, deltas
+
+
+def split(whole: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(minutes, deltas) as they are stored."""
+    return whole.drop("deltas"), whole.select(F.col("id").alias("minute_id"), F.inline("deltas"))
+
+
+def encode(samples: DataFrame, seconds: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, DataFrame]:
+    """(minutes, deltas) as they are stored, from samples that are ranked already or not."""
+    return split(whole_minutes(samples, seconds, depth))
 
 
 def widen(minutes: DataFrame, depth: int = DEPTH) -> DataFrame:

@@ -158,8 +158,9 @@ def delta_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampler.changes(top, p.held_seconds(spark, sf_dir)).withColumn("second", F.col("second").cast("int"))
 
 
-def _stored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return sampler.encode(p.samples(spark, sf_dir), p.held_seconds(spark, sf_dir), DEPTH)
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minutes with their deltas."""
+    return sampler.whole_minutes(p.samples(spark, sf_dir), p.held_seconds(spark, sf_dir), DEPTH)
 
 
 @_query(
@@ -168,7 +169,7 @@ def _stored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     "FROM top t JOIN anch USING (instrument_id, minute)",
 )
 def encode_replay_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    levels = replay.every_second(*_stored(spark, sf_dir), DEPTH)
+    levels = replay.every_second(_stored(spark, sf_dir), depth=DEPTH)
     return levels.select("minute_id", "second", "side", "price", F.col("qty").cast("long").alias("qty"), "level")
 
 
@@ -178,7 +179,7 @@ def encode_replay_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     "FROM top t JOIN anch USING (instrument_id, minute) WHERE t.second = 59",
 )
 def stored_at_second_59(spark: SparkSession, sf_dir: str) -> DataFrame:
-    levels = replay.at_second(*_stored(spark, sf_dir), 59, DEPTH)
+    levels = replay.at_second(_stored(spark, sf_dir), None, 59, DEPTH)
     return levels.select("minute_id", "side", "price", F.col("qty").cast("long").alias("qty"), "level")
 
 
@@ -194,7 +195,7 @@ def stored_at_second_59(spark: SparkSession, sf_dir: str) -> DataFrame:
 def replay_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     shift = F.when(F.col("event_id") % 13 == 0, 1000).otherwise(0)
     asked = p.writes(spark, sf_dir).select((F.col("instrument_id") + shift).alias("instrument_id"), F.timestamp_seconds("sec").alias("time")).distinct()
-    found = replay.books(asked, *_stored(spark, sf_dir), DEPTH)
+    found = replay.books(asked, _stored(spark, sf_dir), depth=DEPTH)
     sums = lambda c: F.aggregate(c, F.lit(0).cast("decimal(30,0)"), lambda a, x: (a + x).cast("decimal(30,0)"))
     return found.select(
         "instrument_id", F.unix_seconds("time").alias("time_s"), "status", F.get("bid_prices", F.lit(0)).alias("bid"),
@@ -217,7 +218,7 @@ _WIDE = ", ".join(
     "LEFT JOIN top t ON t.instrument_id = a.instrument_id AND t.minute = a.minute AND t.second = 0 GROUP BY a.minute, a.instrument_id, a.valid_bitmap",
 )
 def wide_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = sampler.widen(_stored(spark, sf_dir)[0], DEPTH)
+    wide = sampler.widen(_stored(spark, sf_dir), DEPTH)
     levels = [F.col(c).cast("long").alias(c) for c in wide.columns[4:]]
     return wide.select("id", "instrument_id", F.unix_seconds("minute_time").alias("minute_s"), "valid_bitmap", *levels)
 
