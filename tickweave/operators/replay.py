@@ -63,29 +63,35 @@ def at_second(minutes: DataFrame, deltas: DataFrame | None, second: int, depth:
     return last_writes(writes(valid, deltas), ["minute_id"], depth=depth)
 
 
+def _held(rows: DataFrame, seconds: Column) -> DataFrame:
+    """Levels that rows of writes leave at the seconds of a bitmap: a write holds until the next of its price, and is repeated for the seconds it spans."""
+    order = Window.partitionBy("minute_id", "side", "price").orderBy("second")
+    spans = rows.withColumn("_to", F.coalesce(F.lead("second").over(order), F.lit(60)) - 1).where("qty > 0")
+    return spans.withColumn("second", F.explode(F.sequence("second", "_to"))).drop("_to").where(ids.is_set(seconds, F.col("second")))
+
+
+def _ranked(held: DataFrame, depth: int) -> DataFrame:
+    best = F.when(F.col("side") == "bid", -F.col("price")).otherwise(F.col("price"))
+    ranked = held.withColumn("level", F.row_number().over(Window.partitionBy("minute_id", "second", "side").orderBy(best)))
+    return ranked.where(F.col("level") <= depth)
+
+
 def every_second(minutes: DataFrame, deltas: DataFrame | None = None, depth: int = DEPTH) -> DataFrame:
     """Levels of every minute at every valid second: rows (minute_id, second, side, price, qty, level).
 
-    A write holds until the next of its price, so it is repeated for the valid
-    seconds it spans; the cost is that of the levels returned.  Rows are dealt
-    by minute once; a minute's levels are at most those of its 60 seconds.
+    The cost is that of the levels returned.  Rows are dealt by minute once; a
+    minute's levels are at most those of its 60 seconds.
     """
-    order = Window.partitionBy("minute_id", "side", "price").orderBy("second")
     rows = writes(minutes, deltas).repartition("minute_id")
-    spans = rows.withColumn("_to", F.coalesce(F.lead("second").over(order), F.lit(60)) - 1).where("qty > 0")
-    held = spans.withColumn("second", F.explode(F.sequence("second", "_to"))).drop("_to")
-    held = held.where(ids.is_set(F.col("valid_bitmap"), F.col("second")))
-    best = F.when(F.col("side") == "bid", -F.col("price")).otherwise(F.col("price"))
-    ranked = held.withColumn("level", F.row_number().over(Window.partitionBy("minute_id", "second", "side").orderBy(best)))
-    return ranked.where(F.col("level") <= depth).drop("valid_bitmap")
+    return _ranked(_held(rows, F.col("valid_bitmap")), depth).drop("valid_bitmap")
 
 
-def books(requests: DataFrame, minutes: DataFrame, deltas: DataFrame | None = None, depth: int = DEPTH) -> DataFrame:
+def books(requests: DataFrame, minutes: DataFrame, deltas: DataFrame, depth: int = DEPTH) -> DataFrame:
     """The answer to each request (instrument_id, time): status not_found, invalid or valid, with the arrays of a valid book that holds levels.
 
     Many requests are one job: they meet their minute by id, the bit is tested
-    before any delta is read, and only deltas up to the second are joined; of
-    minutes that have their own (no ``deltas``), only these are unfolded.
+    before any delta is read, and only deltas up to the second are joined.  For
+    many requests of each minute see ``books_of_whole``.
     """
     second = (F.unix_seconds("time") % 60).cast("int")
     asked = requests.select("instrument_id", "time").distinct().withColumn("minute_id", ids.minute_id(F.col("instrument_id"), F.col("time"))).withColumn("second", second)
@@ -93,17 +99,12 @@ def books(requests: DataFrame, minutes: DataFrame, deltas: DataFrame | None = No
     status = F.when(F.col("valid_bitmap").isNull(), "not_found").when(ids.is_set(F.col("valid_bitmap"), F.col("second")), "valid").otherwise("invalid")
     found = found.withColumn("status", status)
     keys = ["instrument_id", "time", "status"]
-    none = F.lit(None).cast("array<struct<at:int,side:string,price:bigint,qty:decimal(20,0)>>")
-    stamp = lambda rows, at: F.transform(rows, lambda x: F.struct(at.alias("at"), x["side"].alias("side"), x["price"].alias("price"), x["qty"].cast("decimal(20,0)").alias("qty")))
-    book = stamp(levels("prices", "qtys"), F.lit(0))
-    if deltas is None:
-        near = F.filter("deltas", lambda d: (d["second_offset"] <= F.col("second")) & ids.is_set(F.col("valid_bitmap"), d["second_offset"]))
-        book = F.concat(book, F.flatten(F.transform(near, lambda d: stamp(levels("change_prices", "change_qtys", d), d["second_offset"]))))
-    rows = found.select(*keys, F.inline_outer(F.coalesce(F.when(F.col("status") == "valid", book), none)))
-    if deltas is not None:
-        near = found.where("status = 'valid'").select(*keys, "minute_id", "second", "valid_bitmap").join(deltas, "minute_id")
-        near = near.where("second_offset <= second").where(ids.is_set(F.col("valid_bitmap"), F.col("second_offset")))
-        rows = rows.unionByName(near.select(*keys, F.col("second_offset").alias("at"), F.inline(levels("change_prices", "change_qtys"))))
+    none = F.lit(None).cast("array<struct<side:string,price:bigint,qty:decimal(20,0)>>")
+    book = F.when(F.col("status") == "valid", levels("prices", "qtys"))
+    first = found.select(*keys, F.lit(0).alias("at"), F.inline_outer(F.coalesce(book, none)))
+    near = found.where("status = 'valid'").select(*keys, "minute_id", "second", "valid_bitmap").join(deltas, "minute_id")
+    near = near.where("second_offset <= second").where(ids.is_set(F.col("valid_bitmap"), F.col("second_offset")))
+    rows = first.unionByName(near.select(*keys, F.col("second_offset").alias("at"), F.inline(levels("change_prices", "change_qtys"))))
     # one shuffle, by request, serves the last write of each price, the ranks and the arrays
     last = rows.repartition(*keys).groupBy(*keys, "side", "price").agg(F.max_by("qty", "at").alias("qty")).withColumn("_held", F.coalesce(F.col("qty") > 0, F.lit(False)))
     best = F.when(F.col("side") == "bid", -F.col("price")).otherwise(F.col("price"))
@@ -117,6 +118,33 @@ def books(requests: DataFrame, minutes: DataFrame, deltas: DataFrame | None = No
     return ranked.groupBy(*keys).agg(*sides)
 
 
+def books_of_whole(requests: DataFrame, whole: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """``books`` from minutes that have their deltas in one row each, made for many requests of a minute.
+
+    The seconds that are asked of a minute are one bitmap; its writes are
+    unfolded once, whatever is asked of it, and repeated for the seconds they
+    span.  A row of its own keeps a second that has no level.
+    """
+    asked = requests.select("instrument_id", "time").distinct().withColumn("minute_id", ids.minute_id(F.col("instrument_id"), F.col("time"))).withColumn("second", (F.unix_seconds("time") % 60).cast("int"))
+    wanted = asked.groupBy(F.col("minute_id").alias("id")).agg(ids.bitmap(F.col("second")).alias("_asked"))
+    found = wanted.join(whole, "id")
+    mark = F.struct(F.lit("").alias("side"), F.lit(0).cast("long").alias("price"), F.lit(1).cast("decimal(20,0)").alias("qty"))
+    first = F.struct(F.lit(0).alias("second"), F.concat(F.array(mark), levels("prices", "qtys")).alias("levels"))
+    rest = F.transform("deltas", lambda d: F.struct(d["second_offset"].alias("second"), levels("change_prices", "change_qtys", d).alias("levels")))
+    each = found.select(F.col("id").alias("minute_id"), "valid_bitmap", "_asked", F.inline(F.concat(F.array(first), rest)))
+    # a mark stands at every second that is asked for, a write counts only if its second is valid
+    rows = each.select("minute_id", "valid_bitmap", "_asked", "second", F.inline("levels")).where((F.col("side") == "") | ids.is_set(F.col("valid_bitmap"), F.col("second")))
+    seconds = F.when(F.col("side") == "", F.col("_asked")).otherwise(F.col("_asked").bitwiseAND(F.col("valid_bitmap")))
+    held = _ranked(_held(rows.repartition("minute_id"), seconds), depth)
+    sides = []
+    for side in SIDES:
+        pairs = F.sort_array(F.collect_list(F.when(F.col("side") == side, F.struct("level", "price", "qty"))))
+        sides += [F.when(F.bool_or(F.col("side") != ""), _part(pairs, part)).alias(f"{side}_{name}") for name, part in (("prices", "price"), ("qtys", "qty"))]
+    answers = held.groupBy("minute_id", "second").agg(F.first("valid_bitmap").alias("_bits"), *sides)
+    status = F.when(F.col("_bits").isNull(), "not_found").when(ids.is_set(F.col("_bits"), F.col("second")), "valid").otherwise("invalid")
+    return asked.join(answers, ["minute_id", "second"], "left").select("instrument_id", "time", status.alias("status"), *[f"{s}_{n}" for s in SIDES for n in ("prices", "qtys")])
+
+
 def _part(pairs: Column, name: str) -> Column:
     return F.transform(pairs, lambda x: x[name])
 

@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from tickweave.functions import decimals, ids
 from tickweave.operators import book, collect, funding, registry, replay, sampler, validate, versions, yields
 from tickweave.plans import projection as p
-from tickweave.plans.projection import BLOCK, PAUSE, PRICES, table
+from tickweave.plans.projection import BLOCK, MIDDLE, PAUSE, PRICES, STRETCH, table
 from tickweave.schemas import DEPTH
 from tickweave.sources import recorded
 from tickweave.sources.binance import field, whole
@@ -195,7 +195,7 @@ def stored_at_second_59(spark: SparkSession, sf_dir: str) -> DataFrame:
 def replay_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     shift = F.when(F.col("event_id") % 13 == 0, 1000).otherwise(0)
     asked = p.writes(spark, sf_dir).select((F.col("instrument_id") + shift).alias("instrument_id"), F.timestamp_seconds("sec").alias("time")).distinct()
-    found = replay.books(asked, _stored(spark, sf_dir), depth=DEPTH)
+    found = replay.books_of_whole(asked, _stored(spark, sf_dir), DEPTH)
     sums = lambda c: F.aggregate(c, F.lit(0).cast("decimal(30,0)"), lambda a, x: (a + x).cast("decimal(30,0)"))
     return found.select(
         "instrument_id", F.unix_seconds("time").alias("time_s"), "status", F.get("bid_prices", F.lit(0)).alias("bid"),
@@ -567,8 +567,13 @@ def stateful_books(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0).cast("long").alias("final_id"), F.lit(-1).cast("long").alias("prev_id"), start.alias("source_time"), one(PRICES).alias("bids"), one(PRICES + 1).alias("asks"),
     )
     found = book.replay_log(snapshots.unionByName(updates))
-    levels = lambda side: F.array_join(F.transform(F.arrays_zip(F.col(f"{side}_prices").alias("p"), F.col(f"{side}_qtys").alias("q")), lambda x: F.concat_ws(":", x["p"].cast("string"), x["q"].cast("string"))), " ")
-    return found.select("instrument_id", "arrival_seq", "state", "sequence", levels("bid").alias("bids"), levels("ask").alias("asks"))
+    return found.select("instrument_id", "arrival_seq", "state", "sequence", _levels("bid").alias("bids"), _levels("ask").alias("asks"))
+
+
+def _levels(side: str) -> Column:
+    """A side's levels as text."""
+    pairs = F.arrays_zip(F.col(f"{side}_prices").alias("p"), F.col(f"{side}_qtys").alias("q"))
+    return F.array_join(F.transform(pairs, lambda x: F.concat_ws(":", x["p"].cast("string"), x["q"].cast("string"))), " ")
 
 
 _OUTAGES = (
@@ -649,3 +654,43 @@ def recorded_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     options = {"path": f"{sf_dir}/events.parquet", "arrival_seq": "event_id", "arrival_time": "ts", "payload": "props"}
     rows = spark.read.format(recorded.register(spark)).options(**options).load()
     return rows.select("conn_id", "arrival_seq", _us("arrival_time").alias("arrival_us"), whole(field("$.k", "payload")).alias("k"))
+
+
+def _ladder(count: str, price: str, qty: int) -> str:
+    return f"list_transform(range({count}), lambda i: {{'p': CAST({price} AS BIGINT), 'q': CAST({qty} AS BIGINT)}})"
+
+
+# The rules of a book, one row of each instrument's log after the other.
+_FAULTS = (
+    f"WITH RECURSIVE {_EV}, num AS (SELECT *, CAST(row_number() OVER (PARTITION BY instrument_id ORDER BY event_id) - 1 AS BIGINT) AS n, instrument_id % 2 = 0 AS chained, "
+    "CASE WHEN instrument_id % 2 = 0 THEN 400 ELSE 1000 END AS retained FROM ev), "
+    f"pos AS (SELECT *, n % {STRETCH} AS k, (n // {STRETCH}) % 8 AS fault, n * 10 - 5 AS before FROM num), "
+    "own AS (SELECT *, k = 0 OR (fault = 7 AND k = 40) AS snap, fault = 7 AND k = 40 AS bad, (fault = 3 AND k = 60) OR (fault = 5 AND k = 50) AS planted, CASE WHEN (fault = 1 AND k = 50) OR (fault = 6 AND k = 1) THEN 3 ELSE 0 END AS skip FROM pos), "
+    "log AS MATERIALIZED (SELECT instrument_id, n, event_id, chained, retained, snap, bad, before + 1 + skip AS first_id, before + skip AS prev_id, CASE WHEN fault = 2 AND k = 50 THEN before - 1 ELSE before + 10 END AS final_id, "
+    f"CASE WHEN snap AND fault IN (4, 5) AND NOT bad THEN {_ladder('retained', f'{MIDDLE} - 2 * i', 2)} WHEN snap THEN {_ladder('10', f'{MIDDLE} - i', 2)} "
+    f"WHEN fault = 3 AND k = 60 THEN [{{'p': CAST({MIDDLE + 500} AS BIGINT), 'q': CAST(1 AS BIGINT)}}] WHEN fault = 5 AND k = 50 THEN {_ladder('retained - 20', f'{MIDDLE} - 2 * i', 0)} "
+    f"WHEN event_id % 2 = 0 THEN [{{'p': CAST({MIDDLE} - user_id % 60 AS BIGINT), 'q': CAST(event_id % 4 AS BIGINT)}}] ELSE [] END AS cb, "
+    f"CASE WHEN snap THEN {_ladder('10', f'{MIDDLE + 1} + i', 3)} WHEN event_id % 2 = 1 AND NOT planted THEN [{{'p': CAST({MIDDLE + 1} + user_id % 60 AS BIGINT), 'q': CAST(event_id % 4 AS BIGINT)}}] ELSE [] END AS ca FROM own), "
+    "run AS (SELECT instrument_id, n, event_id, 'valid' AS state, final_id AS sequence, CAST(NULL AS VARCHAR) AS reason, TRUE AS seen, FALSE AS bridged, cb AS bids, ca AS asks, len(cb) < retained AS bw, len(ca) < retained AS aw FROM log WHERE n = 0 "
+    "UNION ALL SELECT instrument_id, n, event_id, CASE WHEN act IN ('gap', 'reset', 'bridge', 'crossed', 'lost') THEN 'invalid' WHEN act = 'snapshot' THEN 'valid' ELSE state END, CASE WHEN act IN ('ok', 'snapshot') THEN final_id ELSE sequence END, "
+    "CASE act WHEN 'gap' THEN 'gap' WHEN 'reset' THEN 'sequence reset' WHEN 'bridge' THEN 'the first update does not bridge the snapshot' WHEN 'crossed' THEN 'crossed' WHEN 'lost' THEN 'insufficient retained depth' WHEN 'refused' THEN 'crossed snapshot' WHEN 'none' THEN 'no snapshot yet' END, "
+    "CASE WHEN act = 'snapshot' THEN TRUE WHEN act IN ('gap', 'reset', 'bridge', 'crossed', 'lost') THEN FALSE ELSE seen END, CASE WHEN act = 'snapshot' THEN FALSE WHEN act = 'ok' THEN TRUE ELSE bridged END, "
+    "CASE WHEN act = 'snapshot' THEN cb WHEN act IN ('ok', 'lost') THEN tb ELSE bids END, CASE WHEN act = 'snapshot' THEN ca WHEN act IN ('ok', 'lost') THEN ta ELSE asks END, "
+    "CASE WHEN act = 'snapshot' THEN len(cb) < retained WHEN act IN ('ok', 'lost') THEN tbw ELSE bw END, CASE WHEN act = 'snapshot' THEN len(ca) < retained WHEN act IN ('ok', 'lost') THEN taw ELSE aw END FROM ("
+    "SELECT *, CASE WHEN bad THEN 'refused' WHEN snap THEN 'snapshot' WHEN NOT seen THEN 'none' WHEN chained AND final_id < prev_id THEN 'reset' WHEN final_id <= sequence THEN 'old' WHEN chained AND prev_id <> sequence THEN 'gap' "
+    "WHEN NOT chained AND NOT bridged AND NOT (first_id <= sequence + 1 AND sequence + 1 <= final_id) THEN 'bridge' WHEN NOT chained AND bridged AND first_id > sequence + 1 THEN 'gap' "
+    "WHEN len(nb) > 0 AND len(na) > 0 AND list_max(list_transform(nb, lambda x: x.p)) >= list_min(list_transform(na, lambda x: x.p)) THEN 'crossed' WHEN (len(tb) < 50 AND NOT tbw) OR (len(ta) < 50 AND NOT taw) THEN 'lost' ELSE 'ok' END AS act FROM ("
+    "SELECT *, CASE WHEN len(nb) > retained THEN list_sort(nb, 'DESC')[1:retained] ELSE nb END AS tb, CASE WHEN len(na) > retained THEN list_sort(na)[1:retained] ELSE na END AS ta, bw AND len(nb) <= retained AS tbw, aw AND len(na) <= retained AS taw FROM ("
+    "SELECT l.*, r.state, r.sequence, r.seen, r.bridged, r.bids, r.asks, r.bw, r.aw, "
+    "list_filter(r.bids, lambda x: NOT list_contains(list_transform(l.cb, lambda y: y.p), x.p)) || list_filter(l.cb, lambda x: x.q > 0) AS nb, list_filter(r.asks, lambda x: NOT list_contains(list_transform(l.ca, lambda y: y.p), x.p)) || list_filter(l.ca, lambda x: x.q > 0) AS na "
+    "FROM run r JOIN log l ON l.instrument_id = r.instrument_id AND l.n = r.n + 1)))) "
+    "SELECT instrument_id, event_id AS arrival_seq, state, sequence, reason, CASE WHEN shown THEN array_to_string(list_transform(list_sort(bids, 'DESC')[1:50], lambda x: x.p || ':' || x.q), ' ') ELSE '' END AS bids, "
+    "CASE WHEN shown THEN array_to_string(list_transform(list_sort(asks)[1:50], lambda x: x.p || ':' || x.q), ' ') ELSE '' END AS asks FROM (SELECT *, state = 'valid' AND len(bids) > 0 AND len(asks) > 0 AS shown FROM run)"
+)
+
+
+@_query("faulty_books", _FAULTS)
+def faulty_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state machine's view after every row of a log with all of its faults."""
+    found = book.replay_log(p.faulty_log(spark, sf_dir))
+    return found.select("instrument_id", "arrival_seq", "state", "sequence", "reason", _levels("bid").alias("bids"), _levels("ask").alias("asks"))

@@ -96,3 +96,50 @@ def book_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("long").alias("first_id"), F.col("arrival_seq").alias("final_id"), F.when(F.col("kind") == "update", before).otherwise(-1).cast("long").alias("prev_id"),
         time.alias("source_time"), "bids", "asks",
     )
+
+
+#: Rows of a log from one snapshot to the next, and the prices between which its books are.
+STRETCH, MIDDLE = 97, 2000
+
+
+def faulty_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a row of its instrument's log (schemas.BOOK_EVENT), with a fault in most stretches.
+
+    Instruments of even number are an exchange's that chains its updates,
+    others one's that gives ranges.  A stretch starts with a snapshot, deep in
+    the fifth and sixth of eight; then come, in the second to the eighth: a
+    gap, a sequence that falls back, a crossing, levels beyond the retained
+    depth, too many levels lost, a first update that doesn't follow the
+    snapshot, and a crossed snapshot.
+    """
+    order = Window.partitionBy("instrument_id").orderBy("event_id")
+    rows = events(spark, sf_dir).withColumn("n", F.row_number().over(order) - 1)
+    chained = F.col("instrument_id") % 2 == 0
+    at, kind = F.col("n") % STRETCH, F.floor(F.col("n") / STRETCH) % 8
+    retained = F.when(chained, 400).otherwise(1000)
+    typed = "array<struct<price:bigint,qty:decimal(20,0)>>"
+    ladder = lambda count, price, qty: F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.struct(price(i).alias("price"), qty.alias("qty"))).cast(typed)
+    one = lambda price, qty: F.array(F.struct(price.alias("price"), qty.alias("qty"))).cast(typed)
+    none, lot = F.array().cast(typed), F.col("event_id") % 4
+    deep, crossed = kind.isin(4, 5), (kind == 7) & (at == 40)
+    snapshot = (at == 0) | crossed
+    bid = F.col("event_id") % 2 == 0
+    bids = (
+        F.when(crossed, one(F.lit(MIDDLE + 5), F.lit(1)))
+        .when(snapshot & deep, ladder(retained, lambda i: MIDDLE - 2 * i, F.lit(2)))
+        .when(snapshot, ladder(F.lit(10), lambda i: MIDDLE - i, F.lit(2)))
+        .when((kind == 3) & (at == 60), one(F.lit(MIDDLE + 500), F.lit(1)))
+        .when((kind == 5) & (at == 50), ladder(retained - 20, lambda i: MIDDLE - 2 * i, F.lit(0)))
+        .when(bid, one(MIDDLE - F.col("user_id") % 60, lot))
+        .otherwise(none)
+    )
+    asks = F.when(snapshot, ladder(F.lit(10), lambda i: MIDDLE + 1 + i, F.lit(3))).when(~bid & ~((kind == 3) & (at == 60)) & ~((kind == 5) & (at == 50)), one(MIDDLE + 1 + F.col("user_id") % 60, lot)).otherwise(none)
+    skip = F.when((kind == 1) & (at == 50) | (kind == 6) & (at == 1), 3).otherwise(0)
+    before = F.col("n") * 10 - 5
+    final = F.when((kind == 2) & (at == 50), before - 1).otherwise(before + 10)
+    long = lambda c: c.cast("long")
+    return rows.select(
+        "instrument_id", F.when(chained, "OKX").otherwise("Binance").alias("exchange"), F.when(chained, "perpetual").otherwise("spot").alias("market_type"), F.lit(1).cast("long").alias("conn_id"),
+        F.col("event_id").alias("arrival_seq"), F.col("ts").alias("arrival_time"), F.when(snapshot, "snapshot").otherwise("update").alias("kind"), long(F.when(~snapshot, before + 1 + skip)).alias("first_id"),
+        long(final).alias("final_id"), long(F.when(snapshot, -1).otherwise(before + skip)).alias("prev_id"), F.col("ts").alias("source_time"), bids.alias("bids"), asks.alias("asks"),
+    )
