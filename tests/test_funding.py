@@ -187,3 +187,24 @@ def test_the_row_before_over_ranges(spark):
     df = spark.createDataFrame(rows, "k int, n int, v int").repartition(5)
     got = {(r.k, r.n): r.p for r in ordering.previous(df, ["k"], "n", "v", "p", width=16).collect()}
     assert got == {(k, n, )[:2]: (None if n == 0 else (n // (k + 3) - 1) % 3) for k, n, _ in rows}
+
+
+def test_ids_are_dense_over_many_ranges_and_all_or_nothing(spark):
+    """As one writer would give them, one after the other; a row that breaks a rule refuses all."""
+    import random
+
+    rng = random.Random(5)
+    incoming = [(pos, f"s{rng.randrange(60)}", rng.choice([None, "x"])) for pos in sorted(rng.sample(range(700_000), 150))]
+    existing = [(n, f"s{n}", "x") for n in range(1, 20)]
+    ids, want = {(a, b): n for n, a, b in existing}, {}
+    for pos, a, b in incoming:
+        want[pos] = ids.setdefault((a, b), max(ids.values()) + 1)
+    fields = ["a", "b"]
+    known = spark.createDataFrame(existing, "instrument_id long, a string, b string")
+    rows = spark.createDataFrame(incoming, "pos int, a string, b string").repartition(4)
+    assert {r.pos: r.instrument_id for r in registry.register(known, rows, fields).collect()} == want
+    rules = validate.codes(a_text=~(F.col("a") != ""))
+    assert {r.pos: r.instrument_id for r in registry.register(known, rows, fields, rules=rules).collect()} == want
+    bad = rows.unionByName(spark.createDataFrame([(900_000, "", None)], rows.schema))
+    with pytest.raises(Exception, match="1 rows break rules, the first one: a_text"):
+        registry.register(known, bad, fields, rules=rules).collect()
