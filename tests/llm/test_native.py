@@ -139,6 +139,24 @@ def test_mixing_odd_rows(odd_docs, no_docs, make_docs):
     assert mixing.mix(make_docs([(1, "", "a"), (2, None, "b")])).count() == 2
 
 
+def test_columns_of_any_name_and_kind_come_through(make_docs):
+    """The operators' own names, in any case, and maps; two rows that differ in the map alone are two."""
+    from tickweave.llm import neardup
+
+    docs = make_docs([(1, "one two three four", "a"), (2, "five six seven eight nine", "b"), (2, "five six seven eight nine", "b"), (None, "ten eleven twelve", "b")])
+    docs = docs.withColumn("k", F.monotonically_increasing_id())
+    for name in ("__row__", "__READS__", "__part__", "__fp__", "__keep__", "__root__", "__again__"):
+        docs = docs.withColumn(name, F.concat(F.lit("mine "), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))))
+    docs = docs.withColumn("m", F.create_map(F.lit("k"), F.col("k"))).drop("k")
+    mixed = mixing.mix_rows(docs)
+    assert mixed.columns == docs.columns and mixed.schema["m"].dataType == docs.schema["m"].dataType
+    got = mixed.select("doc_id", "__row__", "__READS__", "__fp__", F.to_json("m").alias("m")).distinct().collect()
+    assert {(r[0], *r[1:4]) for r in got} == {(i, *[f"mine {i or '-'}"] * 3) for i in (1, 2, None)} and len({r.m for r in got}) == 4
+    kept = neardup.dedup(docs)
+    assert kept.columns == docs.columns
+    assert sorted((str(r.doc_id), r["__row__"], r["__fp__"]) for r in kept.collect()) == [("1", "mine 1", "mine 1"), ("2", "mine 2", "mine 2"), ("None", "mine -", "mine -")]
+
+
 def test_main_path_is_native(odd_docs):
     for df in (mixing.mix(odd_docs), sharding.shard(odd_docs)):
         plan = df._jdf.queryExecution().toString()

@@ -73,6 +73,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def apart(docs: DataFrame, private: tuple[str, ...], f: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """f of a table whose columns have other names where these are f's own; f keeps the columns and their order."""
+    names = docs.columns
+    if not any(c.lower() in private for c in names):
+        return f(docs)
+    free = (x for x in (f"own_{i}" for i in range(10**6)) if x not in {c.lower() for c in names})
+    return f(docs.toDF(*[next(free) if c.lower() in private else c for c in names])).toDF(*names)
+
+
 def held_out(key: Column, modulus: int, remainder: int) -> Column:
     """Whether crc32 of the id as text leaves this remainder; rows without an id never do."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % modulus == remainder, F.lit(False))

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickweave.llm.common import WORD, cut, join_hot, ranked, ranked_sql, seeded, seeded_sql
+from tickweave.llm.common import WORD, apart, cut, join_hot, ranked, ranked_sql, seeded, seeded_sql
 
 #: Share of the largest entropy (equal weights) that the mixture should reach.
 ENTROPY = 0.97
@@ -113,8 +113,8 @@ def mix(
 
 
 def row_key(docs: DataFrame) -> Column:
-    """96 bits of hashes of all columns, which tell rows apart at any size."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    """96 bits of hashes of all columns, which tell rows apart at any size; maps, which have no hash, are taken as JSON."""
+    columns = [F.to_json(F.struct(F.col(f"`{x.name}`"))) if "map<" in x.dataType.simpleString() else F.col(f"`{x.name}`") for x in docs.schema]
     return F.concat_ws("-", F.xxhash64(*columns).cast("string"), F.hash(*columns).cast("string"))
 
 
@@ -124,8 +124,12 @@ def mix_rows(docs: DataFrame, **options) -> DataFrame:
     Rows are told apart by a hash of all columns; those equal in all of them
     are as many readings of one.  The plan moves ids and counts; the texts are
     shuffled once, on that hash, to be repeated; one that is read very often is
-    dealt in parts to many tasks.
+    dealt in parts to many tasks.  Columns may have any names.
     """
+    return apart(docs, (_ROW, _READS, _PART), lambda rows: _mix_rows(rows, **options))
+
+
+def _mix_rows(docs: DataFrame, **options) -> DataFrame:
     keyed = docs.withColumn(_ROW, row_key(docs))
     reads = cut(mix(keyed, row=_ROW, **options).groupBy(F.col("row").alias(_ROW)).agg(F.count(F.lit(1)).alias(_READS)))
     once = keyed.dropDuplicates([_ROW])

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickweave.llm.common import ID, NO_ID, components, cut, in_batches, join_hot
+from tickweave.llm.common import ID, NO_ID, apart, components, cut, in_batches, join_hot
 
 RADIUS = 3
 SHINGLE = 3
@@ -233,8 +233,12 @@ def dedup(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     Of rows of a component that repeat this id, and of a component without any
     id, the row with the smallest hashes stays.  A row is told by its id and its
     fingerprint, so an id that stands in several components keeps one row in
-    each of which it is the smallest.
+    each of which it is the smallest.  Columns may have any names.
     """
+    return apart(docs, ("__keep__", "__fp__", "__root__", "__again__", "__row__"), lambda rows: _dedup(rows, size))
+
+
+def _dedup(docs: DataFrame, size: int) -> DataFrame:
     found = classes(docs, size)
     best = found.where("doc_id = component").select(F.col("doc_id").alias("__keep__"), F.col("fp").alias("__fp__"), F.col("root").alias("__root__")).distinct()
     again = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and doc_id is not null").select(F.col("doc_id").alias("__again__"))
