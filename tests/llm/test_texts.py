@@ -416,6 +416,14 @@ PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>v
 <footer>&copy; x</footer></body></html>"""
 
 
+def test_empty_comments_end_where_they_begin():
+    text = "A first paragraph that is long enough to be the article's own, with a clause or two."
+    for comment in ("<!-->", "<!--->", "<!---->", "<!-- a > b -->", "<!--->-->"):
+        page = f"<html><body><article><p>{text}</p>{comment}<p>{text} Again.</p></article></body></html>"
+        want = text + "\n" + ("-->" + "\n" if comment == "<!--->-->" else "") + text + " Again."
+        assert extract.main_text(page) == want, comment
+
+
 def test_marked_page():
     assert extract.main_text(PAGE) == "A title & more\nFirst bold words.\nShort.\nUnclosed é one line"
 
