@@ -115,3 +115,24 @@ def test_urls_and_delays():
     assert "limit=1000" in rest.snapshot_url("ZORUSDT", "spot") and "startTime=5&endTime=6" in rest.funding_history_url("Binance", "ZORUSDT", 5)
     assert rest.stream_names("Binance", ["ZORUSDT"], "depth") == ["zorusdt@depth@100ms"]
     assert [feed.reconnect_delay(k) for k in range(7)] == [1, 2, 4, 8, 16, 30, 30]
+
+
+def test_tiers_pay_by_their_mode(spark):
+    from decimal import Decimal
+
+    from tickweave.operators import yields
+
+    tiers = spark.createDataFrame(
+        [(1, 1, "0", "100", "marginal", "0.10"), (1, 2, "100", None, "marginal", "0.02"), (2, 1, "0", "100", "whole_balance", "0.10"), (2, 2, "100", None, "whole_balance", "0.02"), (3, 1, "0", None, "none", "0.05"),
+         (4, 1, "0", None, "unknown", "0.05"), (5, 1, "0", "10", "marginal", "0.01"), (5, 2, "10", None, "marginal", None)],
+        "yield_route_id long, tier_no int, tier_min_amount string, tier_max_amount string, tier_mode string, rate string",
+    )
+    asked = {(1, "50"): "5", (1, "100"): "10", (1, "150"): "11", (2, "99.999999999"): "9.9999999999", (2, "100"): "2", (3, "7"): "0.35", (3, "0"): "0", (3, "-1"): "0", (4, "7"): None, (5, "10"): "0.1", (5, "11"): None, (9, "1"): None}
+    amounts = spark.createDataFrame([(r, n, Decimal(a)) for n, (r, a) in enumerate(asked)], "yield_route_id long, position_id long, amount decimal(19,9)")
+    got = {r.position_id: r.income for r in yields.tiered_income(amounts, tiers).collect()}
+    assert [None if got[n] is None else got[n].normalize() for n in range(len(asked))] == [None if x is None else Decimal(x).normalize() for x in asked.values()]
+    row = {"reward_asset_keys": ["a"], "reward_component_rates": [None], "rule_principal_loss_mode": "none", "rule_eligibility": "candidate", "fixed_principal_loss_rate": None, "tier_no": 1, "tier_mode": "none", "tier_min_amount": Decimal(0), "tier_max_amount": None}
+    schema = "reward_asset_keys array<string>, reward_component_rates array<decimal(38,18)>, rule_principal_loss_mode string, rule_eligibility string, fixed_principal_loss_rate decimal(38,18), tier_no int, tier_mode string, tier_min_amount decimal(38,18), tier_max_amount decimal(38,18)"
+    wrong = [{}, {"reward_component_rates": []}, {"rule_principal_loss_mode": "variable"}, {"rule_principal_loss_mode": "fixed"}, {"tier_no": 0}, {"tier_max_amount": Decimal(0)}]
+    found = [spark.createDataFrame([row | w], schema).select(yields.observation()).first()[0] for w in wrong]
+    assert found == [[], ["reward_lengths"], ["rule_eligibility"], ["fixed_principal_loss_rate"], ["tier_no"], ["tier_amounts"]]

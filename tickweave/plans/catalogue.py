@@ -720,3 +720,24 @@ def stored_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
         store.compact(spark, database, name)
     levels = replay.at_second(store.read(spark, database, "order_book_minute"), store.read(spark, database, "order_book_second_delta"), 59, DEPTH)
     return levels.select("minute_id", "side", "price", F.col("qty").cast("long").alias("qty"), "level")
+
+
+@_query(
+    "tiered_income",
+    "WITH tier AS (SELECT n_regionkey AS r, CAST(row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS BIGINT) AS k, count(*) OVER (PARTITION BY n_regionkey) AS n, n_nationkey + 1 AS mills FROM nation), "
+    "pos AS (SELECT c_custkey AS position_id, c_nationkey % 5 AS yield_route_id, CAST(CAST(c_acctbal AS DECIMAL(18, 2)) * 100 AS BIGINT) AS cents FROM customer), "
+    "met AS (SELECT p.*, CASE WHEN r % 2 = 0 THEN greatest(CASE WHEN k < n THEN least(cents, k * 200000) ELSE cents END - (k - 1) * 200000, 0) * mills "
+    "WHEN cents >= (k - 1) * 200000 AND (k = n OR cents < k * 200000) THEN cents * mills ELSE 0 END AS part FROM pos p JOIN tier t ON t.r = p.yield_route_id) "
+    "SELECT yield_route_id, position_id, CAST(CASE WHEN cents <= 0 THEN 0 ELSE sum(part) END AS BIGINT) AS income_mills FROM met GROUP BY yield_route_id, position_id, cents",
+)
+def tiered_income(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers' balances at the tiers of five routes, which pay by tier or on the whole balance."""
+    whole = Window.partitionBy("n_regionkey")
+    tiers = table(spark, sf_dir, "nation").select(
+        F.col("n_regionkey").alias("yield_route_id"), F.row_number().over(whole.orderBy("n_nationkey")).alias("tier_no"), F.count(F.lit(1)).over(whole).alias("n"),
+        F.when(F.col("n_regionkey") % 2 == 0, "marginal").otherwise("whole_balance").alias("tier_mode"), ((F.col("n_nationkey") + 1) * F.lit("0.001").cast("decimal(9,3)")).alias("rate"),
+    )
+    tiers = tiers.withColumn("tier_min_amount", (F.col("tier_no") - 1) * 2000).withColumn("tier_max_amount", F.when(F.col("tier_no") < F.col("n"), F.col("tier_no") * 2000))
+    amounts = table(spark, sf_dir, "customer").select((F.col("c_nationkey") % 5).alias("yield_route_id"), F.col("c_custkey").alias("position_id"), F.col("c_acctbal").cast("decimal(18,2)").alias("amount"))
+    found = yields.tiered_income(amounts, tiers)
+    return found.select("yield_route_id", "position_id", (F.col("income") * 100_000).cast("long").alias("income_mills"))
