@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 from fractions import Fraction
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -192,3 +193,26 @@ def test_best_keeps_the_first_of_equal_scores(scores, k):
 def test_products_beyond_doubles_are_exact():
     a, b = np.array([[2**30, 1], [-(2**30), 3]]), np.array([[2**30, 2**27 + 1]])
     assert negatives.product(a, b).tolist() == [[2**60 + 2**27 + 1], [-(2**60) + 3 * (2**27 + 1)]]
+
+
+def written_by_shuffles(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return sum(f.stat().st_size for d in manager.localDirs() for f in Path(d.getPath()).rglob("shuffle_*.data"))
+
+
+def test_no_score_is_shuffled(spark):
+    rows = clustered(3000, [0, 1, 2], 9)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(2)
+    before = written_by_shuffles(spark)
+    assert negatives.mine(df, every=2, rows=128, anchors=64, dims=2).count() > 0
+    assert written_by_shuffles(spark) - before < 1_000_000  # 4.5 million scores, of each of three chunks, are 108 MB
+
+
+def test_best_of_a_stream_with_ties_and_panels_in_any_order():
+    rng = random.Random(4)
+    cells = [(rng.randint(0, 3), rng.choice([7, 8, 9, 10, negatives.NO_ID]), k) for k in range(200)]
+    found = negatives.Firsts(2, 3)
+    for part in (cells[100:], cells[:100]):
+        part = np.array(sorted(part, key=lambda c: (c[1], c[2])))
+        found.add(np.ones(len(part), int), part[:, 0], part[:, 1], part[:, 2])
+    assert found.kept == [[], sorted((-s, i, k) for s, i, k in cells)[:3]]

@@ -1,34 +1,38 @@
 """Hard-negative mining by a blocked matrix product: tiles of anchors by rows, added over chunks of dimensions.
 
 Rows are numbered in the order of their labels and cut into blocks; so are the
-anchors.  Each block is kept as one panel for each chunk of dimensions.  A cell
-of the grid (block of anchors, block of rows, chunk) gets its two panels by
-shuffle and gives a partial tile of 64-bit scores; partial tiles of the same
-rows, in strips of anchors, are shuffled together, added, and reduced at once to
-what an anchor can need of them.  As blocks follow the labels, positives lie in
-few blocks; these cells come first, and with the windows that the positives set
-all cells that hold other labels follow, so nearly every score is made once.
+anchors.  Each block is kept as one panel for each chunk of dimensions, the
+rows' panels in the shared folder.  A task has a block of anchors and goes
+through the rows' panels one after the other: partial tiles of a cell are added
+over its chunks and reduced at once to what an anchor can need of them, so no
+score is written or shuffled.  As blocks follow the labels, positives lie in few
+panels; these come first, and with the windows that the positives set all that
+hold other labels follow, so nearly every score is made once.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
-from tickweave.llm.common import NO_ID, cut, ranked, written
+from tickweave.llm.common import NO_ID, RANGES, cut, own_dir, ranked, store_of, written
 from tickweave.llm.vectors import matrix, padded, usable, whole
 
 POSITIVES, NEGATIVES = 5, 3
-#: Rows and anchors of a block, anchors of a strip, and dimensions of a chunk at least; a vector has at most ``CHUNKS`` chunks.
-ROWS, ANCHORS, STRIP, DIMS, CHUNKS = 4096, 512, 64, 32, 16
-#: Bytes of a panel of all dimensions at most, and of partial tiles that a task makes or adds, about.
-PANEL_BYTES, TASK_BYTES = 1 << 26, 1 << 27
+#: Rows and anchors of a block at most, anchors of a strip, and dimensions of a chunk at least; a vector has at most ``CHUNKS`` chunks.
+ROWS, ANCHORS, STRIP, DIMS, CHUNKS = 4096, 2048, 256, 32, 16
+#: Bytes of a panel of all dimensions at most, and of a row group of panels, about.
+PANEL_BYTES, GROUP_BYTES = 1 << 26, 1 << 24
+_LEAST = -(2**63)
 
 _kind = {"long": T.LongType(), "int": T.IntegerType(), "binary": T.BinaryType()}
 
@@ -38,8 +42,7 @@ def _schema(fields: str) -> T.StructType:
 
 
 PANEL = _schema("block long, chunk int, lo long, hi long, ids binary, labels binary, rows binary, x binary")
-STRIPS = _schema("i long, j long, s int, chunk int, meta binary, seek binary, tile binary")
-BEST = _schema("anchor long, anchor_id long, slot int, positive_id long, positive_score long, score long, vec_id long, row long")
+FOUND = "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long"
 
 
 def _table(schema: T.StructType, columns: list) -> pa.Table:
@@ -47,10 +50,11 @@ def _table(schema: T.StructType, columns: list) -> pa.Table:
     return pa.table([c if isinstance(c, pa.Array) else pa.array(c, kinds[f.dataType.simpleString()]) for c, f in zip(columns, schema.fields, strict=True)], schema.names)
 
 
-def panels(rows: DataFrame, size: int, width: int, dims: int) -> DataFrame:
+def panels(rows: DataFrame, size: int, width: int, dims: int, blocks: int) -> DataFrame:
     """Rows (row, label, vec_id, x) as panels of ``size`` rows in the order of labels, one for each chunk of dimensions.
 
     In a panel rows lie in ascending ``vec_id`` (those without one last), so of equal scores the first comes first.
+    Neighbouring blocks, of ``blocks``, lie side by side.
     """
     order = ranked(cut(rows.select("row", "label", F.lit(0).alias("all"), F.lit(0).cast("long").alias("weight"))), "all", ["label", "row"], "weight")
     placed = rows.join(order.select("row", F.floor((F.col("rank") - 1) / size).alias("block")), "row").select("block", "row", "label", "vec_id", "x")
@@ -65,7 +69,7 @@ def panels(rows: DataFrame, size: int, width: int, dims: int) -> DataFrame:
             out.append([table.column("block")[0].as_py(), k, int(label.min()), int(label.max()), *held, np.ascontiguousarray(x[:, start : start + dims]).tobytes()])
         return _table(PANEL, list(zip(*out, strict=True)))
 
-    return placed.groupBy("block").applyInArrow(pack, PANEL)
+    return placed.repartitionByRange(max(1, min(-(-blocks // 16), RANGES)), "block").groupBy("block").applyInArrow(pack, PANEL)
 
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -80,37 +84,6 @@ def _ints(x: bytes | None) -> np.ndarray:
     return np.frombuffer(x or b"", np.int64)
 
 
-def _partial(width: int, dims: int) -> Callable:
-    def cell(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return _table(STRIPS, [[]] * 7)
-        (i, j, k), a, b = (x.as_py() for x in key), left.to_pylist()[0], right.to_pylist()[0]
-        depth = min(dims, width - k * dims)
-        tile = product(_ints(a["x"]).reshape(-1, depth), _ints(b["x"]).reshape(-1, depth))
-        out, n = [], len(tile)
-        for s, at in enumerate(range(0, n, STRIP)):
-            meta = seek = None
-            if k == 0:
-                part = slice(at, at + STRIP)
-                mine = [_ints(a[c])[part] for c in ("ids", "labels", "rows")]
-                meta = np.concatenate([np.array([len(mine[0]), len(tile[0])]), *mine, *(_ints(b[c]) for c in ("ids", "labels", "rows"))]).tobytes()
-                seek = None if a.get("seek") is None else _ints(a["seek"]).reshape(n, -1)[part].tobytes()
-            out.append((i, j, s, k, meta, seek, tile[at : at + STRIP].tobytes()))
-        return _table(STRIPS, list(zip(*out, strict=True)))
-
-    return cell
-
-
-def _summed(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray], np.ndarray]:
-    """The whole tile of a strip, and the ids, labels and rows of its anchors and of its rows; the windows of its anchors."""
-    tile = np.sum([_ints(x) for x in table.column("tile").to_pylist()], axis=0, dtype=np.int64)
-    first = next(r for r in table.select(["chunk", "meta", "seek"]).to_pylist() if r["chunk"] == 0)
-    meta = _ints(first["meta"])
-    n, m = meta[:2]
-    a, b = meta[2 : 2 + 3 * n].reshape(3, n), meta[2 + 3 * n :].reshape(3, m)
-    return tile.reshape(n, m), list(a), list(b), _ints(first["seek"]).reshape(n, -1)
-
-
 def best(scores: np.ndarray, among: np.ndarray, k: int) -> np.ndarray:
     """Positions of the k highest scores among some positions in ascending order, the first of equal ones first."""
     if len(among) > k:
@@ -119,43 +92,156 @@ def best(scores: np.ndarray, among: np.ndarray, k: int) -> np.ndarray:
     return among[np.argsort(-scores[among], kind="stable")][:k]
 
 
-def _positives(count: int) -> Callable:
-    def reduce(table: pa.Table) -> pa.Table:
-        tile, (ids, labels, rows), (other_ids, other_labels, other_rows), _ = _summed(table)
-        out = []
-        for t in range(len(tile)):
-            for p in best(tile[t], np.flatnonzero((other_labels == labels[t]) & (other_rows != rows[t])), count):
-                out.append((rows[t], ids[t], 0, None, None, tile[t, p], other_ids[p], other_rows[p]))
-        return _table(BEST, [list(map(_plain, c)) for c in zip(*out, strict=True)] if out else [[]] * 8)
-
-    return reduce
-
-
-def _negatives(count: int) -> Callable:
-    def reduce(table: pa.Table) -> pa.Table:
-        tile, (ids, labels, rows), (other_ids, other_labels, other_rows), seek = _summed(table)
-        out = []
-        for t in range(len(tile)):
-            other = np.flatnonzero(other_labels != labels[t])
-            own = tile[t, other]
-            for slot, positive_id, p in seek[t].reshape(-1, 3):
-                if slot:
-                    least, most = -((-p) // 2), (95 * p) // 100  # 50 p <= 100 s <= 95 p
-                    for q in best(tile[t], other[(own >= least) & (own <= most)], count):
-                        out.append((rows[t], ids[t], slot, positive_id, p, tile[t, q], other_ids[q], other_rows[q]))
-        return _table(BEST, [list(map(_plain, c)) for c in zip(*out, strict=True)] if out else [[]] * 8)
-
-    return reduce
-
-
-def _plain(x: np.integer | None) -> int | None:
-    return None if x is None else int(x)
-
-
-def _first(found: DataFrame, keys: list[str], count: int) -> DataFrame:
-    """Of what the tiles gave, the first ``count`` of each key with their place: a few rows for each tile that held any."""
-    order = Window.partitionBy(*keys).orderBy(F.desc("score"), "vec_id", "row")
-    return found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= count)
+@dataclass
+class Panels:
+    """The rows' panels in the shared folder, ``count`` of them; a task that can't read them all fails."""
+
+    folder: str
+    count: int
+
+    def over(self, wanted: Callable[[int, int], bool]) -> Iterator[Panel]:
+        """Each block between whose lowest and highest label something is wanted; blocks are read one row group at a time."""
+        store, base = store_of(self.folder)
+        seen = 0
+        for info in sorted(store.get_file_info(pafs.FileSelector(base)), key=lambda x: x.path):
+            if not info.path.endswith(".parquet"):
+                continue
+            with store.open_input_file(info.path) as opened:
+                file = pq.ParquetFile(opened)
+                seen += file.metadata.num_rows
+                held: list[dict] = []  # chunks of one block may lie in two row groups
+                for g in range(file.num_row_groups):
+                    spans = file.read_row_group(g, columns=["lo", "hi"]).to_pylist()
+                    if not any(wanted(x["lo"], x["hi"]) for x in spans):
+                        continue
+                    for k, x in enumerate(file.read_row_group(g).to_batches(max_chunksize=1)):
+                        if wanted(spans[k]["lo"], spans[k]["hi"]):
+                            row = x.to_pylist()[0]
+                            if held and held[0]["block"] != row["block"]:
+                                yield Panel.of(held)
+                                held = []
+                            held.append(row)
+                if held:
+                    yield Panel.of(held)
+        if seen != self.count:
+            raise FileNotFoundError(f"{self.folder} has {seen} of {self.count} panels here")
+
+
+class Panel:
+    """A block of rows: ids, labels, rows' own numbers, and a matrix for each chunk of dimensions."""
+
+    def __init__(self, ids: np.ndarray, labels: np.ndarray, rows: np.ndarray, parts: list[np.ndarray]) -> None:
+        self.ids, self.labels, self.rows, self.parts = ids, labels, rows, parts
+        self.most = max((float(np.abs(x).max(initial=0)) for x in parts), default=0.0)
+        self.narrow = [x.astype(np.float32) for x in parts] if self.most < 2**24 else []
+
+    @classmethod
+    def of(cls, chunks: list[dict]) -> Panel:
+        chunks = sorted(chunks, key=lambda x: x["chunk"])
+        ids, labels, rows = (_ints(chunks[0][c]) for c in ("ids", "labels", "rows"))
+        return cls(ids, labels, rows, [_ints(x["x"]).reshape(len(ids), -1) for x in chunks])
+
+
+def tile(a: Panel, strip: slice, b: Panel) -> np.ndarray:
+    """Scores of a strip of a's rows by b's, added over the chunks: in floats where all sums are exact in them, else in 64-bit integers."""
+    narrow = a.most * b.most * sum(x.shape[1] for x in a.parts) < 2**24
+    out = None
+    for x, y in zip(a.narrow if narrow else a.parts, b.narrow if narrow else b.parts, strict=True):
+        part = x[strip] @ y.T if narrow else product(x[strip], y)
+        out = part if out is None else np.add(out, part, out=out)
+    return out
+
+
+class Firsts:
+    """For each of n places the ``count`` best (score, id, row) so far: higher scores first, then smaller ids and rows."""
+
+    def __init__(self, n: int, count: int) -> None:
+        self.count = count
+        self.kept: list[list[tuple[int, int, int]]] = [[] for _ in range(n)]
+        #: What has to be beaten; nothing as long as there are fewer.
+        self.score, self.id, self.row = np.full(n, _LEAST), np.full(n, NO_ID), np.full(n, NO_ID)
+
+    def add(self, at: np.ndarray, score: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
+        """Scores at places; the places ascend, and ids at a place do."""
+        beats = (ids < self.id[at]) | (ids == self.id[at]) & (rows < self.row[at])
+        use = np.flatnonzero((score > self.score[at]) | (score == self.score[at]) & beats)
+        if not len(use):
+            return
+        at = at[use]
+        begins = np.flatnonzero(np.diff(at, prepend=-1))
+        for a, b in zip(begins, np.append(begins[1:], len(at)), strict=True):
+            t = int(at[a])
+            mine = use[a:b]
+            mine = mine[best(score[mine], np.arange(len(mine)), self.count)]
+            more = [(-int(s), int(i), int(r)) for s, i, r in zip(score[mine], ids[mine], rows[mine], strict=True)]
+            self.kept[t] = sorted(self.kept[t] + more)[: self.count]
+            if len(self.kept[t]) == self.count:
+                last = self.kept[t][-1]
+                self.score[t], self.id[t], self.row[t] = -last[0], last[1], last[2]
+
+
+def _between(scores: np.ndarray, least: np.ndarray, most: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor, row, score) of all cells whose score is not below an anchor's ``least`` or above its ``most``, in order."""
+    if scores.dtype == np.float32:  # such scores are less than 2**24, so limits beyond it may be that
+        least, most = (None if x is None else np.clip(x, -(2**24), 2**24).astype(np.float32) for x in (least, most))
+    hit = scores >= least[:, None]
+    if most is not None:
+        hit &= scores <= most[:, None]
+    at = np.flatnonzero(hit.ravel())
+    return at // scores.shape[1], at % scores.shape[1], scores.ravel()[at].astype(np.int64)
+
+
+def mined(a: Panel, rows: Panels, positives: int, negatives: int) -> Iterator[tuple[int, int, int, int, int, int]]:
+    """All rows of the result for a block of anchors: its positives, and with their windows its negatives."""
+    n, lo, hi = len(a.ids), int(a.labels.min()), int(a.labels.max())
+    strips = [slice(s, min(s + STRIP, n)) for s in range(0, n, STRIP)]
+    good = Firsts(n, positives)
+    for b in rows.over(lambda x, y: x <= hi and y >= lo):
+        for strip in strips:
+            t, q, score = _between(tile(a, strip, b), good.score[strip], None)
+            t = t + strip.start
+            own = np.flatnonzero((a.labels[t] == b.labels[q]) & (a.rows[t] != b.rows[q]))
+            good.add(t[own], score[own], b.ids[q[own]], b.rows[q[own]])
+    # 50 p <= 100 s <= 95 p; a slot without a positive has an empty window
+    windows = np.array([[(-(s // 2), 95 * -s // 100) for s, _, _ in kept] + [(2**62, _LEAST)] * (positives - len(kept)) for kept in good.kept]).reshape(n, positives, 2)
+    slots = [Firsts(n, negatives) for _ in range(positives)]
+    for b in rows.over(lambda x, y: not lo == hi == x == y):
+        for strip in strips:
+            need = np.min([np.maximum(f.score[strip], windows[strip, k, 0]) for k, f in enumerate(slots)], axis=0)
+            t, q, score = _between(tile(a, strip, b), need, windows[strip, :, 1].max(axis=1))
+            t = t + strip.start
+            other = np.flatnonzero(a.labels[t] != b.labels[q])
+            t, q, score = t[other], q[other], score[other]
+            for k, found in enumerate(slots):
+                use = np.flatnonzero((score >= windows[t, k, 0]) & (score <= windows[t, k, 1]) & (score >= found.score[t]))
+                found.add(t[use], score[use], b.ids[q[use]], b.rows[q[use]])
+    known = lambda x: None if x == NO_ID else x
+    for t in range(n):
+        for (p, positive_id, _), found in zip(good.kept[t], slots, strict=False):
+            for rank, (s, vec_id, _) in enumerate(found.kept[t], 1):
+                yield int(a.ids[t]), known(positive_id), rank, known(vec_id), -p, -s
+
+
+def _miner(rows: Panels, positives: int, negatives: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    kinds = pa.schema([(n, pa.int32() if n == "rank" else pa.int64()) for n in (f.split()[0] for f in FOUND.split(", "))])
+
+    def out(chunks: list[dict]) -> Iterator[pa.RecordBatch]:
+        found = list(mined(Panel.of(chunks), rows, positives, negatives))
+        if found:
+            yield from pa.table([list(c) for c in zip(*found, strict=True)], schema=kinds).to_batches(max_chunksize=10_000)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if held and held[0]["block"] != row["block"]:
+                    yield from out(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield from out(held)
+
+    return run
 
 
 def mine(df: DataFrame, every: int = 50, positives: int = POSITIVES, negatives: int = NEGATIVES, rows: int = ROWS, anchors: int = ANCHORS, dims: int = DIMS) -> DataFrame:
@@ -172,7 +258,6 @@ def mine(df: DataFrame, every: int = 50, positives: int = POSITIVES, negatives:
     the windows, give no rows.
     """
     spark = df.sparkSession
-    schema = "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long"
     parts = usable(df.where(F.col("label").isNotNull())).select(
         F.monotonically_increasing_id().alias("row"), F.col("label").cast("long").alias("label"), F.coalesce(F.col("vec_id").cast("long"), F.lit(NO_ID)).alias("vec_id"), whole().alias("x")
     )
@@ -181,71 +266,17 @@ def mine(df: DataFrame, every: int = 50, positives: int = POSITIVES, negatives:
     largest = F.max(F.greatest(F.array_max("x"), -F.array_min("x")))
     total, seeking, width, most = base.agg(F.count(F.lit(1)), F.count_if(asked), F.max(F.size("x")), largest).first()
     if not seeking or not width:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], FOUND)
     if 100 * width * most * most >= 2**63:
         raise ValueError("components are too large for scores of 64 bits")
     base = base.withColumn("x", padded("x", width))
     dims, rows = max(dims, -(-width // CHUNKS)), min(rows, max(STRIP, PANEL_BYTES // (8 * width)))
+    anchors = min(anchors, max(64, -(-seeking // (2 * spark.sparkContext.defaultParallelism))))
     chunks, n_rows, n_anchors = -(-width // dims), -(-total // rows), -(-seeking // anchors)
-    left = written(panels(base.where(asked), anchors, width, dims), "anchors").withColumnRenamed("block", "i")
-    right = written(panels(base, rows, width, dims), "rows").withColumnRenamed("block", "j")
-
-    # blocks that hold a label are neighbours, and so are those that hold no other
-    spans = right.where("chunk = 0").select("j", "lo", "hi")
-    labels = right.where("chunk = 0").select("j", "labels").mapInArrow(_labels, "j long, label long")
-    alone = F.when(F.col("lo") == F.col("hi"), F.col("j"))
-    reach = labels.join(spans, "j").groupBy("label").agg(F.min("j").alias("first"), F.max("j").alias("last"), F.min(alone).alias("pure"), F.max(alone).alias("pure_last"))
-    reach = cut(reach)
-
-    def tiles(panel: DataFrame, cells: DataFrame, reduce: Callable) -> DataFrame:
-        cells = cut(cells)
-        tasks = int(min(max(1, cells.count() * chunks * rows * anchors * 8 // TASK_BYTES), 100_000))
-        a, b = (p.join(cells, on).repartition(tasks, "i", "j", "chunk").groupBy("i", "j", "chunk") for p, on in ((panel, "i"), (right, "j")))
-        partial = a.cogroup(b).applyInArrow(_partial(width, dims), STRIPS)
-        return partial.repartition(tasks, "i", "j", "s").groupBy("i", "j", "s").applyInArrow(reduce, BEST)
-
-    blocks = left.where("chunk = 0").select("i", "lo", "hi")
-    low, high = (reach.select(F.col("label").alias(c), F.struct("first", "last", "pure", "pure_last").alias(f"{c}_at")) for c in ("lo", "hi"))
-    blocks = cut(blocks.join(low, "lo").join(high, "hi"))
-    same = blocks.select("i", F.explode(F.sequence("lo_at.first", "hi_at.last")).alias("j"))
-    good = _first(tiles(left, same, _positives(positives)), ["anchor"], positives)
-
-    # each anchor's windows, in the order of the anchors in their panel
-    place = left.where("chunk = 0").select("i", "rows").mapInArrow(_places, "i long, place_in int, anchor long")
-    slots = good.groupBy("anchor").agg(F.collect_list(F.struct("place", F.col("vec_id"), "score")).alias("slots"))
-    sought = place.join(slots, "anchor", "left").select("i", "place_in", F.flatten(F.transform("slots", lambda s: F.array(s.place.cast("long"), s.vec_id, s.score))).alias("seek"))
-    seek = cut(sought.groupBy("i").applyInArrow(_windows(3 * positives), "i long, seek binary"))
-    inside = (F.col("lo") == F.col("hi")) & F.col("lo_at.pure").isNotNull() & F.col("j").between(F.col("lo_at.pure"), F.col("lo_at.pure_last"))
-    other = blocks.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_rows - 1).cast("long")))).where(~F.coalesce(inside, F.lit(False))).select("i", "j")
-    bad = _first(tiles(left.join(seek, "i"), other, _negatives(negatives)), ["anchor", "slot"], negatives)
-    known = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
-    return bad.select(
-        "anchor_id", known("positive_id").alias("positive_id"), F.col("place").cast("int").alias("rank"), known("vec_id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score")
-    )
-
-
-def _labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for j, labels in zip(batch.column("j").to_pylist(), batch.column("labels").to_pylist(), strict=True):
-            own = np.unique(_ints(labels))
-            yield pa.record_batch([pa.array(np.full(len(own), j)), pa.array(own)], ["j", "label"])
-
-
-def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i, rows in zip(batch.column("i").to_pylist(), batch.column("rows").to_pylist(), strict=True):
-            own = _ints(rows)
-            yield pa.record_batch([pa.array(np.full(len(own), i)), pa.array(np.arange(len(own), dtype=np.int32)), pa.array(own)], ["i", "place_in", "anchor"])
-
-
-def _windows(width: int) -> Callable:
-    def pack(table: pa.Table) -> pa.Table:
-        out = np.zeros((table.num_rows, width), np.int64)
-        for place, slots in zip(table.column("place_in").to_pylist(), table.column("seek").to_pylist(), strict=True):
-            out[place, : len(slots or [])] = slots or []
-        return pa.table([table.column("i")[:1], pa.array([out.tobytes()])], ["i", "seek"])
-
-    return pack
+    right = f"{own_dir(spark)}/rows-{uuid.uuid4().hex}"
+    panels(base, rows, width, dims, n_rows).write.options(**{"parquet.block.size": GROUP_BYTES, "parquet.page.size.row.check.min": 1}).parquet(right)
+    left = written(panels(base.where(asked), anchors, width, dims, n_anchors), "anchors").repartitionById(n_anchors, F.col("block").cast("int")).sortWithinPartitions("block", "chunk")
+    return left.mapInArrow(_miner(Panels(right, n_rows * chunks), positives, negatives), FOUND)
 
 
 def sql() -> str:
