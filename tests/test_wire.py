@@ -113,3 +113,19 @@ def test_okx_funding(spark):
         payload = {"code": "0", "data": [{"instId": "ZOR-USDT-SWAP", "fundingRate": "0.9", "realizedRate": realized, "fundingTime": ms}]}
         got = okx.funding_history(feed(spark, payload, instrument_id=2, exchange_symbol="ZOR-USDT-SWAP", funding_time=time)).first()
         assert got.rate == rate and got[VIOLATIONS] == []
+
+
+def test_what_a_payload_holds_is_worked_out_once(spark):
+    """Rows of texts, and the decimals in them, are made once for each side, however many rules look at them."""
+    from pyspark.sql import functions as F
+
+    step = F.lit("0.5").cast("decimal(38,18)")
+    rows = spark.createDataFrame([("{}", "A", "spot")], "payload string, exchange_symbol string, market_type string").select(
+        "*", step.alias("price_tick_size"), step.alias("quantity_step_size"), F.timestamp_seconds(F.lit(0)).alias("received_time")
+    )
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    for made in (binance.depth_snapshots(rows), binance.depth_updates(rows), okx.depth(rows)):
+        plan = made._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert plan.count("from_json") == 2
+        assert plan.count("rtrim") == 4  # a price and a quantity of each side
+    spark.conf.unset("spark.sql.debug.maxToStringFields")

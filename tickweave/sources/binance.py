@@ -59,56 +59,70 @@ def instruments(df: DataFrame, market: str) -> DataFrame:
     )
 
 
-def levels(path: str, tick: Column, step: Column, zero: bool, width: int = 2, payload: str = "payload") -> tuple[Column, Column]:
-    """(array of (price, qty) in ticks and lots, whether the rows are good): rows of ``width`` quoted texts, each price once."""
-    text = F.get_json_object(payload, path)
-    rows = F.from_json(text, "array<array<string>>")
-    made = F.transform(
-        rows, lambda x: F.struct(decimals.price_tick(decimals.positive(x[0]), tick).alias("price"), decimals.quantity_lot(decimals.strict(x[1]), step).alias("qty"))
-    )
+def texts(df: DataFrame, **paths: str) -> DataFrame:
+    """Adds columns ``_{name}`` with the text at each path; each is a column of its own so that what is made of it parses the payload once."""
+    return df.withColumns({f"_{name}": field(path) for name, path in paths.items()})
+
+
+def levels(df: DataFrame, sides: dict[str, str], zero: bool, width: int = 2) -> DataFrame:
+    """Adds each side of a book at its path: array of (price, qty) in ticks and lots, and ``_{side}_good``, whether the rows are good.
+
+    Rows are ``width`` quoted texts, each price once; ``df`` has the steps.  Step by step, as a
+    column that is used more than once is then worked out once: text, rows of texts
+    (``_{side}_rows``), decimals, ticks and lots, and their rules.
+    """
     least = 0 if zero else 1
-    good = (
-        rows.isNotNull()
-        & F.forall(rows, lambda x: F.size(x) == width)
-        & F.forall(made, lambda x: F.coalesce((x["price"] > 0) & (x["qty"] >= least), F.lit(False)))
-        & (F.size(F.array_distinct(F.transform(made, lambda x: x["price"]))) == F.size(made))
-        & ~text.rlike(r"[\[,]\s*-?[0-9]")  # a number where a text should be
-    )
-    return made, F.coalesce(good, F.lit(False))
+    tick, step = F.col("price_tick_size"), F.col("quantity_step_size")
+    text, rows, values = ({side: f"_{side}_{x}" for side in sides} for x in ("text", "rows", "values"))
+    df = texts(df, **{f"{side}_text": path for side, path in sides.items()})
+    df = df.withColumns({rows[side]: F.from_json(text[side], "array<array<string>>") for side in sides})
+    df = df.withColumns({values[side]: F.transform(rows[side], lambda x: F.struct(decimals.strict(F.get(x, F.lit(0))).alias("p"), decimals.strict(F.get(x, F.lit(1))).alias("q"))) for side in sides})
+    df = df.withColumns({side: F.transform(values[side], lambda x: F.struct(decimals.price_tick(x["p"], tick).alias("price"), decimals.quantity_lot(x["q"], step).alias("qty"))) for side in sides})
+    good = {}
+    for side in sides:
+        prices = F.transform(side, lambda x: x["price"])
+        good[f"_{side}_good"] = F.coalesce(
+            F.col(rows[side]).isNotNull()
+            & F.forall(rows[side], lambda x: F.size(x) == width)
+            & F.forall(side, lambda x: F.coalesce((x["price"] > 0) & (x["qty"] >= least), F.lit(False)))
+            & (F.size(F.array_distinct(prices)) == F.size(side))
+            & ~F.col(text[side]).rlike(r"[\[,]\s*-?[0-9]"),  # a number where a text should be
+            F.lit(False),
+        )
+    return df.withColumns(good)
 
 
 def depth_snapshots(df: DataFrame, depth: int = 1000) -> DataFrame:
     """REST snapshots; ``df`` also has instrument_id, price_tick_size, quantity_step_size and received_time."""
-    bids, good_bids = levels("$.bids", F.col("price_tick_size"), F.col("quantity_step_size"), zero=False)
-    asks, good_asks = levels("$.asks", F.col("price_tick_size"), F.col("quantity_step_size"), zero=False)
-    stamp = field("$.T")
-    return df.select(
-        *df.drop("payload").columns, whole(field("$.lastUpdateId")).alias("final_id"),
-        F.when(stamp.isNull(), F.col("received_time")).otherwise(F.timestamp_millis(whole(stamp))).alias("source_time"), bids.alias("bids"), asks.alias("asks"),
+    rows = levels(texts(df, id="$.lastUpdateId", stamp="$.T"), {"bids": "$.bids", "asks": "$.asks"}, zero=False)
+    rows = rows.withColumns({"_final": whole(F.col("_id")), "_time": whole(F.col("_stamp"))})
+    return rows.select(
+        *df.drop("payload").columns, F.col("_final").alias("final_id"),
+        F.when(F.col("_stamp").isNull(), F.col("received_time")).otherwise(F.timestamp_millis("_time")).alias("source_time"), "bids", "asks",
         codes(
-            last_update_id=~(whole(field("$.lastUpdateId")) > 0), source_time=stamp.isNotNull() & ~F.coalesce(whole(stamp) > 0, F.lit(False)),
-            bids=~good_bids | ~F.size(bids).between(1, depth), asks=~good_asks | ~F.size(asks).between(1, depth),
-            crossed=F.array_max(F.transform(bids, lambda x: x["price"])) >= F.array_min(F.transform(asks, lambda x: x["price"])),
+            last_update_id=~(F.col("_final") > 0), source_time=F.col("_stamp").isNotNull() & ~F.coalesce(F.col("_time") > 0, F.lit(False)),
+            bids=~F.col("_bids_good") | ~F.size("bids").between(1, depth), asks=~F.col("_asks_good") | ~F.size("asks").between(1, depth),
+            crossed=F.array_max(F.transform("bids", lambda x: x["price"])) >= F.array_min(F.transform("asks", lambda x: x["price"])),
         ).alias(VIOLATIONS),
     )
 
 
 def depth_updates(df: DataFrame) -> DataFrame:
     """Diffs of the depth stream, in a combined-stream envelope or bare; ``df`` also has exchange_symbol, market_type and the steps."""
-    body = df.withColumn("_stream", field("$.stream")).withColumn("payload", F.coalesce(field("$.data"), F.col("payload")))
+    body = texts(df, stream="$.stream", data="$.data").withColumn("payload", F.coalesce("_data", "payload"))
+    body = texts(body, first="$.U", final="$.u", before="$.pu", event="$.e", symbol="$.s", sent="$.E", traded="$.T")
     futures = F.col("market_type") != "spot"
-    bids, good_bids = levels("$.b", F.col("price_tick_size"), F.col("quantity_step_size"), zero=True)
-    asks, good_asks = levels("$.a", F.col("price_tick_size"), F.col("quantity_step_size"), zero=True)
-    first, final, before = whole(field("$.U")), whole(field("$.u")), whole(field("$.pu"))
-    stamp = whole(F.when(futures, field("$.T")).otherwise(field("$.E")))
-    return body.select(
+    rows = levels(body, {"bids": "$.b", "asks": "$.a"}, zero=True).withColumn("_stamp", F.when(futures, F.col("_traded")).otherwise(F.col("_sent")))
+    rows = rows.withColumns({x: whole(F.col(x)) for x in ("_first", "_final", "_before", "_stamp")})
+    first, final, before, stamp = (F.col(x) for x in ("_first", "_final", "_before", "_stamp"))
+    return rows.select(
         *df.drop("payload").columns, first.alias("first_id"), final.alias("final_id"), before.alias("prev_id"),
-        F.timestamp_millis(stamp).alias("source_time"), bids.alias("bids"), asks.alias("asks"),
+        F.timestamp_millis(stamp).alias("source_time"), "bids", "asks",
         codes(
             stream=F.col("_stream").isNotNull() & (F.lower(F.split(F.col("_stream"), "@")[0]) != F.lower("exchange_symbol")),
-            event=~F.coalesce(field("$.e") == "depthUpdate", F.lit(False)), symbol=~F.coalesce(field("$.s") == F.col("exchange_symbol"), F.lit(False)),
+            event=~F.coalesce(F.col("_event") == "depthUpdate", F.lit(False)), symbol=~F.coalesce(F.col("_symbol") == F.col("exchange_symbol"), F.lit(False)),
             ids=~((first > 0) & (first <= final)), prev_id=futures & ~F.coalesce(before > 0, F.lit(False)), source_time=~(stamp > 0),
-            bids=~good_bids, asks=~good_asks,
+            bids=~F.col("_bids_good"), asks=~F.col("_asks_good"),
         ).alias(VIOLATIONS),
     )
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.functions import decimals
 from tickweave.operators.validate import VIOLATIONS, codes
-from tickweave.sources.binance import field, funding_history as _history, levels, whole
+from tickweave.sources.binance import field, funding_history as _history, levels, texts, whole
 
 _INFO = (
     "struct<code:string,msg:string,data:array<struct<instType:string,instId:string,state:string,baseCcy:string,quoteCcy:string,settleCcy:string,"
@@ -51,27 +51,26 @@ def instruments(df: DataFrame, market: str) -> DataFrame:
 
 def depth(df: DataFrame) -> DataFrame:
     """Messages of the books channel; ``df`` also has exchange_symbol and the steps.  Pongs and subscription notices are left out."""
-    rows = control(df)[0]
     item = "$.data[0]"
-    first = field("$.action")
-    snapshot = F.coalesce(first == "snapshot", F.lit(False))
-    sides = {}
-    for side in ("bids", "asks"):
-        rows4, good = levels(f"{item}.{side}", F.col("price_tick_size"), F.col("quantity_step_size"), zero=True, width=4)
-        raw = F.from_json(F.get_json_object("payload", f"{item}.{side}"), "array<array<string>>")
-        tails = F.forall(raw, lambda x: (F.get(x, F.lit(2)) == "0") & F.get(x, F.lit(3)).rlike("^[0-9]+$"))
-        filled = ~snapshot | ((F.size(rows4) > 0) & F.forall(rows4, lambda x: x["qty"] > 0))
-        sides[side] = (rows4, good & F.coalesce(tails & filled, F.lit(False)))
-    sequence, stamp, before = whole(field(f"{item}.seqId")), field(f"{item}.ts"), field(f"{item}.prevSeqId").try_cast("long")
+    rows = texts(control(df)[0], action="$.action", channel="$.arg.channel", inst="$.arg.instId", item=item, second="$.data[1]", sequence=f"{item}.seqId", stamp=f"{item}.ts", before=f"{item}.prevSeqId")
+    rows = levels(rows, {side: f"{item}.{side}" for side in ("bids", "asks")}, zero=True, width=4)
+    rows = rows.withColumns({"_sequence": whole(F.col("_sequence")), "_stamp": whole(F.col("_stamp")), "_before": F.col("_before").try_cast("long"), "_snapshot": F.coalesce(F.col("_action") == "snapshot", F.lit(False))})
+    first, snapshot, sequence, stamp, before = (F.col(x) for x in ("_action", "_snapshot", "_sequence", "_stamp", "_before"))
+
+    def good(side: str) -> Column:
+        tails = F.forall(f"_{side}_rows", lambda x: (F.get(x, F.lit(2)) == "0") & F.get(x, F.lit(3)).rlike("^[0-9]+$"))
+        filled = ~snapshot | ((F.size(side) > 0) & F.forall(side, lambda x: x["qty"] > 0))
+        return F.col(f"_{side}_good") & F.coalesce(tails & filled, F.lit(False))
+
     return rows.select(
         *df.drop("payload").columns, first.alias("kind"), F.lit(None).cast("long").alias("first_id"), sequence.alias("final_id"), before.alias("prev_id"),
-        F.timestamp_millis(whole(stamp)).alias("source_time"), sides["bids"][0].alias("bids"), sides["asks"][0].alias("asks"),
+        F.timestamp_millis(stamp).alias("source_time"), "bids", "asks",
         codes(
-            channel=~F.coalesce((field("$.arg.channel") == "books") & (field("$.arg.instId") == F.col("exchange_symbol")), F.lit(False)),
+            channel=~F.coalesce((F.col("_channel") == "books") & (F.col("_inst") == F.col("exchange_symbol")), F.lit(False)),
             action=~F.coalesce(first.isin("snapshot", "update"), F.lit(False)),
-            data=field("$.data[0]").isNull() | field("$.data[1]").isNotNull(), sequence=~(sequence >= 0),
-            source_time=~F.coalesce((whole(stamp) > 0) & F.col("payload").rlike(r'"ts"\s*:\s*"[0-9]+"'), F.lit(False)),
-            prev_id=~F.coalesce(F.when(snapshot, before == -1).otherwise(before >= 0), F.lit(False)), bids=~sides["bids"][1], asks=~sides["asks"][1],
+            data=F.col("_item").isNull() | F.col("_second").isNotNull(), sequence=~(sequence >= 0),
+            source_time=~F.coalesce((stamp > 0) & F.col("payload").rlike(r'"ts"\s*:\s*"[0-9]+"'), F.lit(False)),
+            prev_id=~F.coalesce(F.when(snapshot, before == -1).otherwise(before >= 0), F.lit(False)), bids=~good("bids"), asks=~good("asks"),
         ).alias(VIOLATIONS),
     )
 
