@@ -165,3 +165,51 @@ def test_too_many_early_updates_invalidate():
     reasons = [f.apply(e) for _ in range(book.EARLY + 2)]
     assert set(reasons[: book.EARLY]) == {"insufficient retained depth"} and reasons[book.EARLY] == "too many updates before the snapshot" and reasons[-1] == "no snapshot yet"
     assert f.held == [] and f.book.state == book.INVALID
+
+
+def log_of(spark, exchange, market_type, faults, n=400):
+    """A snapshot and n updates of one instrument, some of them broken, as rows and as what one feed makes of them in one go."""
+    rng = random.Random(f"{exchange}{market_type}{faults}")
+    rows, last = [], 10
+    for k in range(n):
+        first, final, before = last + 1, last + 2, last
+        kind, bids, asks = "update", [], []
+        if k in (0, 250):
+            kind, bids, asks = "snapshot", [(90, 1), (80, 2)], [(110, 1), (120, 2)]
+        elif k in faults:
+            bids = {"cross": [(300, 1)], "gap": [(85, 1)], "none": []}[faults[k]]
+            before, first = (last + 5, last + 6) if faults[k] == "gap" else (before, first)
+            final = first + 1
+        elif rng.random() < 0.5:
+            bids = [(rng.randint(60, 99), rng.randint(0, 3))]
+        else:
+            asks = [(rng.randint(101, 140), rng.randint(0, 3)), (rng.randint(141, 150), 0)]
+        if k in (1, 251) and exchange != "OKX" and market_type != "spot":
+            first = last
+        time_ = T0 + timedelta(milliseconds=300 * k)
+        rows.append((1, exchange, market_type, 1, 3 * k + 7, time_, kind, first, final, before, time_, *([(p, Decimal(q)) for p, q in side] for side in (bids, asks))))
+        last = final
+    feed = Feed.of(exchange, market_type)
+    want = []
+    for row in rows:
+        event = book.event_of(dict(zip(schemas.BOOK_EVENT.names, row, strict=True)))
+        want.append(book.view(feed, event, feed.apply(event)))
+    return spark.createDataFrame(rows, schemas.BOOK_EVENT), want
+
+
+def test_long_segments_are_dealt_to_stretches_with_the_same_views(spark, monkeypatch):
+    monkeypatch.setattr(book.stretches, "__defaults__", (64,))
+    cases = (("OKX", "perpetual", {}), ("Binance", "perpetual", {22: "gap", 330: "cross"}), ("Binance", "spot", {101: "cross"}))
+    for exchange, market_type, faults in cases:
+        log, want = log_of(spark, exchange, market_type, faults)
+        got = sorted((r.asDict() for r in book.replay_log(log).collect()), key=lambda r: r["arrival_seq"])
+        assert got == want
+        dealt = book.stretches(book.segments(log)).select("segment", "stretch").distinct().count()
+        assert dealt >= 19 if not faults else 2 < dealt < 19
+
+
+def test_a_stretch_may_begin_after_the_snapshot_alone(spark, monkeypatch):
+    monkeypatch.setattr(book.stretches, "__defaults__", (10,))  # the snapshot has number 7, the next rows 10 and 13
+    log, want = log_of(spark, "Binance", "spot", {1: "gap"}, 30)
+    got = sorted((r.asDict() for r in book.replay_log(log).collect()), key=lambda r: r["arrival_seq"])
+    assert got == want and want[1]["reason"] == "the first update does not bridge the snapshot"

@@ -13,17 +13,19 @@ from dataclasses import dataclass, field
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tickweave.operators.ordering import running_count
+from tickweave.operators.ordering import previous, running_count
 from tickweave.schemas import DEPTH, RETAINED
 
 CONNECTING, VALID, INVALID, RESYNCING = "connecting", "valid", "invalid", "resyncing"
 #: Updates that wait for a connection's first snapshot at most.
 EARLY = 4096
+#: Kind of the rows that stand for what a book held when a stretch began, and values of the order that a stretch spans.
+HELD, STRETCH = "held", 1 << 16
 
 
 class BookError(ValueError):
@@ -142,6 +144,12 @@ class Feed:
     def of(cls, exchange: str, market_type: str) -> Feed:
         return cls(exchange, market_type != "spot", Book(RETAINED.get(exchange, DEPTH)))
 
+    def resume(self, e: dict) -> None:
+        """Goes on from a valid book that is known whole; ``first_id`` tells whether updates came after its snapshot."""
+        self.book.bids, self.book.asks, self.book.complete = Side(e["bids"]), Side(e["asks"]), [True, True]
+        self.book.state, self.book.sequence, self.book.source_time = VALID, e["final_id"], e["source_time"]
+        self.last, self.snapshot_seen, self.bridged = e["final_id"], True, bool(e["first_id"])
+
     def apply(self, event: dict) -> str | None:
         """Handles one event of the log; returns the reason if it made or found the book unusable."""
         kind = event["kind"]
@@ -248,6 +256,13 @@ def event_of(row: dict) -> dict:
     return row | whole | {"source_time": None if time is None or pd.isna(time) else time, "bids": pairs(row["bids"]), "asks": pairs(row["asks"])}
 
 
+def _retained() -> Column:
+    found = F.lit(DEPTH)
+    for exchange, depth in RETAINED.items():
+        found = F.when(F.col("exchange") == exchange, depth).otherwise(found)
+    return found
+
+
 def segments(events: DataFrame) -> DataFrame:
     """The log with ``segment``: how many snapshots, without the first, had replaced the book of its connection by then.
 
@@ -256,9 +271,7 @@ def segments(events: DataFrame) -> DataFrame:
     which lets in the updates that waited for it, and one that breaks a rule,
     which changes nothing.
     """
-    retained = F.lit(DEPTH)
-    for exchange, depth in RETAINED.items():
-        retained = F.when(F.col("exchange") == exchange, depth).otherwise(retained)
+    retained = _retained()
     good = F.lit(True)
     for side in ("bids", "asks"):
         levels, prices = F.col(side), F.transform(side, lambda x: x.price)
@@ -269,30 +282,101 @@ def segments(events: DataFrame) -> DataFrame:
     return counted.withColumn("segment", F.greatest(F.col("segment") - 1, F.lit(0)))
 
 
+def _good_levels(side: str, least: int) -> Column:
+    """Prices above 0, each once, and quantities of ``least`` and more."""
+    prices = F.transform(side, lambda x: x.price)
+    return F.forall(side, lambda x: (x.price > 0) & (x.qty >= least)) & (F.size(F.array_distinct(prices)) == F.size(prices))
+
+
+def stretches(events: DataFrame, width: int = STRETCH) -> DataFrame:
+    """Segments with ``stretch``, parts that can be replayed apart, each but the first led by a row of what the book held then.
+
+    In a segment that begins with a snapshot that is taken, a part is sound if
+    its updates follow each other without a break and can't cross or trim the
+    book: all bids ever set in the segment up to its end are below all asks,
+    and their prices are fewer than the retained depth.  The book is then the
+    last quantity of each price.  Parts up to the first that isn't sound are
+    replayed apart; that one and what follows it are one sequence.
+    """
+    keys = ["instrument_id", "conn_id", "segment"]
+    lines = [*keys, "stretch"]
+    rows = events.withColumn("stretch", F.floor(F.col("arrival_seq") / width).cast("long"))
+    chain = previous(rows.withColumn("__now__", F.struct("final_id", "kind")), keys, "arrival_seq", "__now__", "__before__", width)
+    head, after, last_id = F.col("__before__").isNull(), F.col("__before__.kind") == "snapshot", F.col("__before__.final_id")
+    chained, futures, retained = F.col("exchange") == "OKX", F.col("market_type") != "spot", _retained()
+    whole = lambda side: F.size(side).between(1, retained - 1) & _good_levels(side, 1)
+    first = head & (F.col("kind") == "snapshot") & whole("bids") & whole("asks")
+    follows = F.when(chained | futures & ~after, F.col("prev_id") == last_id).when(futures, F.col("first_id") <= last_id).otherwise(F.col("first_id") <= last_id + 1)
+    update = ~head & (F.col("kind") == "update") & (F.col("final_id") > last_id) & follows & F.col("source_time").isNotNull() & _good_levels("bids", 0) & _good_levels("asks", 0)
+    marked = chain.withColumn("__sound__", F.coalesce(first | update, F.lit(False)))
+
+    ahead = Window.partitionBy(*keys).orderBy("stretch")
+    upto = ahead.rowsBetween(Window.unboundedPreceding, 0)
+    parts = marked.groupBy(*lines).agg(
+        F.bool_and("__sound__").alias("sound"), F.max_by(F.struct("arrival_seq", "arrival_time", "exchange", "market_type", "final_id", "source_time", "kind"), "arrival_seq").alias("end"), F.max(retained).alias("retained")
+    )
+    each = lambda side: marked.select(*lines, "arrival_seq", F.lit(side).alias("side"), F.inline(side))
+    last = each("bids").unionByName(each("asks")).groupBy(*lines, "side", "price").agg(F.max_by("qty", "arrival_seq").alias("qty"), F.bool_or(F.col("qty") > 0).alias("set"))
+    fresh = last.withColumn("n", (F.row_number().over(Window.partitionBy(*keys, "side", "price").orderBy("stretch")) == 1).cast("long"))
+    spans = fresh.groupBy(*lines).agg(
+        F.max(F.when((F.col("side") == "bids") & F.col("set"), F.col("price"))).alias("bid"), F.min(F.when((F.col("side") == "asks") & F.col("set"), F.col("price"))).alias("ask"),
+        F.sum(F.when(F.col("side") == "bids", F.col("n"))).alias("bids"), F.sum(F.when(F.col("side") == "asks", F.col("n"))).alias("asks"),
+    )
+    parts = parts.join(spans, lines, "left")
+    fits = lambda side: F.coalesce(F.sum(side).over(upto), F.lit(0)) < F.col("retained")
+    fine = F.col("sound") & F.coalesce(F.max("bid").over(upto) < F.min("ask").over(upto), F.lit(False)) & fits("bids") & fits("asks")
+    parts = parts.withColumn("fine", fine).withColumn("fine", F.min("fine").over(upto))
+    # a part begins anew if all before it are fine; others go on with the last that does
+    parts = parts.withColumn("new", F.coalesce(F.lag("fine").over(ahead), F.lit(True))).withColumn("of", F.max(F.when(F.col("new"), F.col("stretch"))).over(upto))
+    parts = parts.select(*lines, "fine", "new", "of", F.lag("end").over(ahead).alias("was"), F.row_number().over(ahead).alias("i"), F.count(F.lit(1)).over(Window.partitionBy(*keys)).cast("int").alias("n"))
+
+    # a price's last quantity is held in all parts until that in which it is set again
+    begins = parts.where("new and was is not null")
+    spread = last.join(parts.select(*lines, "fine", "i", "n"), lines).where("fine")
+    spread = spread.withColumn("to", F.coalesce(F.lead("i").over(Window.partitionBy(*keys, "side", "price").orderBy("i")), "n")).where("qty > 0 and i < to")
+    met = spread.select(*keys, "side", "price", "qty", F.explode(F.sequence(F.col("i") + 1, F.col("to"))).alias("i")).join(begins.select(*lines, "i"), [*keys, "i"])
+    level = F.struct("price", "qty")
+    books = met.groupBy(*lines).agg(*(F.collect_list(F.when(F.col("side") == side, level)).alias(side) for side in ("bids", "asks")))
+    types = {f.name: f.dataType for f in events.schema}
+    made = {
+        **{x: F.col(x) for x in keys}, **{x: F.col(f"was.{x}") for x in ("exchange", "market_type", "arrival_seq", "arrival_time", "final_id", "source_time")}, "kind": F.lit(HELD),
+        "first_id": (F.col("was.kind") == "update").cast("long"),
+        **{x: F.coalesce(x, F.array()) for x in ("bids", "asks")},
+    }
+    held = begins.join(books, lines, "left").select(*(made.get(c, F.lit(None)).cast(types[c]).alias(c) for c in events.columns), "stretch")
+    dealt = rows.join(parts.select(*lines, "of"), lines).select(*events.columns, F.col("of").alias("stretch"))
+    return dealt.unionByName(held)
+
+
 def replay_log(events: DataFrame, depth: int = DEPTH, by_second: bool = False) -> DataFrame:
     """The book after every event of a log (schemas.BOOK_EVENT), for each instrument in order of arrival.
 
     A batch twin of the stream.  What a book does is one sequence from one
     snapshot to the next, so the log is dealt by connection and segment and
     one instrument's log is the work of many tasks; a segment is fed through in
-    batches, and its state is one book.  With ``by_second`` only views that
+    batches, and its state is one book.  Long segments are dealt on by
+    ``stretches``.  With ``by_second`` only views that
     still stand at a whole second come out, which is all that sampling needs.
     """
-    keys = ["instrument_id", "conn_id", "segment"]
+    keys = ["instrument_id", "conn_id", "segment", "stretch"]
     tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # named, so that few bytes of much work aren't put together
-    ordered = segments(events).repartition(tasks, *keys).sortWithinPartitions(*keys, "arrival_seq")
+    ordered = stretches(segments(events)).repartition(tasks, *keys).sortWithinPartitions(*keys, "arrival_seq")
 
     def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         feed, at, held = None, None, None
         for frame in batches:
             rows = []
             for row in frame.to_dict("records"):
-                here = (row["instrument_id"], row["conn_id"], row["segment"])
+                here = (row["instrument_id"], row["conn_id"], row["segment"], row["stretch"])
                 event = event_of(row)
                 if held is not None and (here != at or _second(event) > _second(held[0])):
                     rows.append(view(feed, *held, depth))
                 if here != at:
                     feed, at = Feed.of(row["exchange"], row["market_type"]), here
+                if event["kind"] == HELD:  # what was held when the stretch began, which is no event
+                    feed.resume(event)
+                    held = None
+                    continue
                 held = event, feed.apply(event)
                 if not by_second:
                     rows.append(view(feed, *held, depth))
