@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tickweave.llm import common, lm, mixer, quality, toxicity
+from tickweave.llm import common, corpus, lm, mixer, quality, toxicity
 from tickweave.llm.queries import op1_quality, op4_toxicity
 
 
@@ -242,6 +242,109 @@ def test_lm_odd_rows(odd_docs, no_docs, monkeypatch):
         assert a[:5] == b[:5] and a[5] == pytest.approx(b[5], rel=1e-9)
 
 
+def test_lm_learns_from_other_shards(spark, monkeypatch):
+    """Documents that differ in a word each are in shards of their own and still know each other."""
+    rng = random.Random(8)
+    names = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(600)]
+    texts = [[rng.choice(names) for _ in range(150)] for _ in range(60)]
+    for k in range(10):
+        texts[50 + k] = [f"other{k}", *texts[k][1:]]
+    rows = [(k, " ".join(x)) for k, x in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    one = {x.doc_id: x for x in lm.score(docs, 7, 2).collect()}
+    monkeypatch.setattr(lm, "SHARD_BYTES", 500)
+    many = {x.doc_id: x for x in lm.score(docs, 7, 2).collect()}
+    near = [k + d for k in range(10) for d in (0, 50) if not many[k + 50 - d].held_out]
+    fresh = [k for k in range(10, 50)]
+    for got in (one, many):
+        assert max(got[k].score for k in fresh) < min(got[k].score for k in near)
+        assert sum(got[k].score for k in near) / len(near) > 0.5 * sum(got[k].score for k in fresh) / len(fresh)
+
+
+def test_answers_by_brute_force():
+    rng = random.Random(9)
+    parts, bits = 3, 40
+    shards, texts = [], []
+    for _ in range(4):
+        some = [" ".join(rng.choice("abcde") for _ in range(rng.randint(0, 9))).encode() for _ in range(25)]
+        held = [rng.random() < 0.3 for _ in some]
+        texts.append((some, held))
+        shards.append(corpus.Shard.load(corpus.Shard.of(some, held).dump()))
+    counts, follow = Counter(), defaultdict(Counter)
+    pairs = lambda words: zip([None, None, *words], [None, *words], words)
+    for some, held in texts:
+        for text, out in zip(some, held, strict=True):
+            words = mixer.tokens(text)
+            if not out:
+                counts.update(words)
+                for a, b, c in pairs(words):
+                    follow[a, b][c] += 1
+    asked = sorted((part, kind, k, data) for k, shard in enumerate(shards) for part, kind, data in shard.asks(parts, bits))
+    answers, distinct = defaultdict(dict), 0
+    for part in range(parts):
+        for kind in (corpus.WORDS, corpus.CONTEXTS):
+            mine = [x for x in asked if x[:2] == (part, kind)]
+            if kind == corpus.WORDS and mine:
+                got, more = corpus.answer_words([x[3] for x in mine])
+                distinct += more
+            elif mine:
+                got = corpus.answer_contexts([x[3] for x in mine])
+            for x, y in zip(mine, got if mine else [], strict=True):
+                answers[x[2], kind][part] = y
+    assert distinct == len(counts)
+    for k, (shard, (some, _)) in enumerate(zip(shards, texts, strict=True)):
+        at = 0
+        for part, data in sorted(answers[k, corpus.WORDS].items()):
+            one, more, bitmap, code = corpus.unpack(data)
+            for n in corpus.large(one, more):
+                assert n == counts[shard.words[shard.order[at]]]
+                at += 1
+        lists = [[None, None, *mixer.tokens(x)] for x in some]
+        flat = [(a, b, d) for d, x in enumerate(lists) for a, b in zip(x, x[1:-1], strict=False)]
+        for part, data in sorted(answers[k, corpus.CONTEXTS].items()):
+            keys = np.flatnonzero(shard.key_part == part)
+            bitmap, a, b, c, d, *_ = corpus.unpack(data)
+            known = np.unpackbits(np.frombuffer(bitmap, np.uint8), count=len(keys)).astype(bool)
+            n1, total = np.zeros(len(keys), int), np.zeros(len(keys), int)
+            n1[known], total[known] = corpus.large(a, b), corpus.large(c, d)
+            for key, n, all_ in zip(keys, n1, total, strict=True):
+                places = np.flatnonzero(shard.of == key)
+                a, b, doc = flat[places[0]]
+                assert shard.shared[key] == any(flat[p][2] != doc for p in places)
+                others = Counter(follow[a, b])
+                if not shard.shared[key] and not shard.held[doc]:
+                    others.subtract(Counter(z for x, y, z in pairs(lists[doc][2:]) if (x, y) == (a, b)))
+                assert n == max(others.values(), default=0) and (not n or all_ == sum(others.values()))
+
+
+def test_prices_of_contrary_cells():
+    seen = np.random.default_rng(2).integers(0, 50, corpus.CELLS).astype(float)
+    p = np.exp(-corpus.prices(seen, 20))
+    two = p[: corpus.TREE].reshape(-1, 2).sum(axis=1)
+    tree = p[corpus.TREE :].reshape(mixer.DEPTHS, corpus.STATIC, corpus.OWN)
+    assert two == pytest.approx(1, rel=1e-4) and (tree + tree[:, ::-1, ::-1]).ravel() == pytest.approx(1, rel=1e-4)
+
+
+def test_spelling_by_trigrams_is_a_probability():
+    rng = random.Random(1)
+    words = sorted({bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 4))) for _ in range(60)})
+    keys, n = np.unique(corpus.grams(words), return_counts=True)
+    spelling = corpus.Spelling(keys, n)
+    first = [[bytes([x])] for x in range(256)] + [[b""]]
+    assert np.exp(-spelling.nats(first, np.ones(257, bool))).sum() < 1
+    every = [[bytes(x)] for k in range(9) for x in itertools.product(b"ab", repeat=k)]
+    assert 0.3 < np.exp(-spelling.nats(every, np.ones(len(every), bool))).sum() <= 1 + 1e-9
+    less = np.unique(corpus.grams([w for w in words if w != words[3]]), return_counts=True)
+    assert (spelling.nats([[words[3]]], np.zeros(1, bool)) >= spelling.nats([[words[3]]], np.ones(1, bool)) - 1e-9).all() and len(less[0]) <= len(keys)
+    assert corpus.Spelling(np.zeros(0, np.int64), np.zeros(0, np.int64)).nats([[b"ab"], []], np.ones(2, bool))[0] == pytest.approx(3 * math.log(257))
+
+
+def test_counts_in_bytes():
+    n = np.concatenate([np.arange(70_000), 2 ** np.arange(17, 33)])
+    back = corpus.restored(corpus.rounded(n))
+    assert (back[:16] == n[:16]).all() and (np.abs(back - n) <= n / 8).all()
+
+
 def test_lowest_is_the_smallest_hashes(spark):
     rows = spark.range(20_000).withColumnRenamed("id", "k")
     got = [x.k for x in common.lowest(rows, 100, "k").collect()]
