@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickweave import cli, schemas
-from tickweave.operators import collect
+from tickweave.operators import collect, ordering
 from tickweave.operators.book import Feed, event_of
+from tickweave.plans import projection
+from tickweave.sources import feed as feeds
 from tickweave.sources import store
 from tickweave.streaming import books as streaming
 from tickweave.streaming.state import BookState, Sampler, SamplerState
@@ -240,3 +242,28 @@ def test_a_sampler_in_the_state_is_the_sampler():
     state = SamplerState(handle, 45)
     sampler = state.load(1)
     assert state.is_due(us(10_000)) and sampler.until(us(10_000)) == plain.until(us(10_000))
+
+
+def test_no_task_has_the_whole_log_of_an_instrument(spark, small, monkeypatch):
+    for f in (ordering.previous, ordering.following):
+        monkeypatch.setattr(f, "__defaults__", (64,))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        log = projection.book_log(spark, small)
+        for rows in (log, feeds.with_faults(log, next_time="next_time")):
+            tasks = rows.where("instrument_id = 1").select("arrival_seq", "prev_id", *rows.columns[13:], F.spark_partition_id().alias("p")).distinct().select("p").distinct().count()
+            assert tasks > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_books_are_replayed_once(spark):
+    minutes, _ = collect.minutes(spark.createDataFrame(log_of(5), schemas.BOOK_EVENT), F.lit(START + timedelta(seconds=250)))
+    assert minutes._jdf.queryExecution().optimizedPlan().toString().count("MapInPandas") == 1
+
+
+def test_seconds_where_time_falls_back(spark):
+    times = [0, 1.5, 2.2, 0.5, 3]
+    log = spark.createDataFrame([row(1, n, at, "update" if n else "snapshot") for n, at in enumerate(times)], schemas.BOOK_EVENT)
+    got = sorted(r.second for r in collect.samples(log, F.lit(START + timedelta(seconds=5))).collect())
+    assert got == [0, 1, 1, 2, 2, 3, 4, 5]  # what came at 2.2 ended before it began

@@ -213,3 +213,45 @@ def test_a_stretch_may_begin_after_the_snapshot_alone(spark, monkeypatch):
     log, want = log_of(spark, "Binance", "spot", {1: "gap"}, 30)
     got = sorted((r.asDict() for r in book.replay_log(log).collect()), key=lambda r: r["arrival_seq"])
     assert got == want and want[1]["reason"] == "the first update does not bridge the snapshot"
+
+
+def test_following_over_ranges(spark):
+    rng = random.Random(4)
+    rows = [(k, n, rng.choice([None, rng.randint(0, 99)])) for k in range(3) for n in sorted(rng.sample(range(5_000), 200))]
+    df = spark.createDataFrame(rows, "k int, n int, v int").repartition(7)
+    got = {(r.k, r.n): r.f for r in ordering.following(df, ["k"], "n", "v", "f", width=64).collect()}
+    assert got == {(k, n): rows[i + 1][2] if i + 1 < len(rows) and rows[i + 1][0] == k else None for i, (k, n, _) in enumerate(rows)}
+
+
+def one_run(rows):
+    """What a feed for each connection makes of rows of a log, in one go."""
+    want, feed, at = [], None, None
+    for row in rows:
+        event = book.event_of(dict(zip(schemas.BOOK_EVENT.names, row, strict=True)))
+        if (event["instrument_id"], event["conn_id"]) != at:
+            feed, at = Feed.of(event["exchange"], event["market_type"]), (event["instrument_id"], event["conn_id"])
+        want.append(book.view(feed, event, feed.apply(event)))
+    return want
+
+
+def test_a_book_that_waits_is_the_work_of_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(book.stretches, "__defaults__", (64,))
+    for exchange, market_type, first in (("OKX", "perpetual", "snapshot"), ("OKX", "spot", "update"), ("Binance", "spot", "snapshot")):
+        rows = []
+        for k in range(400):
+            kind = {0: first, 100: "invalidate", 200: "resync", 300: "snapshot"}.get(k, "update")
+            asks = [(90, 1)] if k == 300 else [(110 + k % 9, 1)] if kind == "snapshot" else []  # the second snapshot is crossed
+            none = kind in ("invalidate", "resync")
+            rows.append((1, exchange, market_type, 1, 3 * k + 7, T0 + timedelta(seconds=k), kind, *([None] * 4 if none else [k, k + 1, k, T0]), *([None] * 2 if none else [[(100 - k % 9, Decimal(1))], [(p, Decimal(q)) for p, q in asks]])))
+        log = spark.createDataFrame(rows, schemas.BOOK_EVENT)
+        got = sorted((r.asDict() for r in book.replay_log(log).collect()), key=lambda r: r["arrival_seq"])
+        assert got == one_run(rows)
+        assert {r["state"] for r in got[1:]} >= {"invalid", "resyncing", "valid" if first == "snapshot" else "connecting"}
+        assert book.stretches(book.segments(log)).select("segment", "stretch").distinct().count() >= 19
+
+
+def test_short_stretches_are_the_single_run(spark, monkeypatch):
+    monkeypatch.setattr(book.stretches, "__defaults__", (4000,))  # four rows
+    rows = [(*r[:6], "resync" if r[6] == "invalidate" and r[4] % 2000 else r[6], *r[7:]) for r in random_log(12, 6, 250)]
+    got = sorted((r.asDict() for r in book.replay_log(spark.createDataFrame(rows, schemas.BOOK_EVENT)).collect()), key=lambda r: (r["instrument_id"], r["arrival_seq"]))
+    assert got == one_run(rows)

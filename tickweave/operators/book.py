@@ -26,6 +26,8 @@ CONNECTING, VALID, INVALID, RESYNCING = "connecting", "valid", "invalid", "resyn
 EARLY = 4096
 #: Kind of the rows that stand for what a book held when a stretch began, and values of the order that a stretch spans.
 HELD, STRETCH = "held", 1 << 16
+#: Kinds that make a book wait for a snapshot, and its state then; such a state is also the kind of a row that a stretch of a waiting book begins with.
+SHUT = {"invalidate": INVALID, "resync": RESYNCING}
 
 
 class BookError(ValueError):
@@ -145,7 +147,10 @@ class Feed:
         return cls(exchange, market_type != "spot", Book(RETAINED.get(exchange, DEPTH)))
 
     def resume(self, e: dict) -> None:
-        """Goes on from a valid book that is known whole; ``first_id`` tells whether updates came after its snapshot."""
+        """Goes on from a valid book that is known whole, ``first_id`` telling whether updates came after its snapshot, or from one that waits for a snapshot."""
+        if e["kind"] != HELD:
+            self.book.state, self.book.sequence = e["kind"], e["final_id"]
+            return
         self.book.bids, self.book.asks, self.book.complete = Side(e["bids"]), Side(e["asks"]), [True, True]
         self.book.state, self.book.sequence, self.book.source_time = VALID, e["final_id"], e["source_time"]
         self.last, self.snapshot_seen, self.bridged = e["final_id"], True, bool(e["first_id"])
@@ -153,8 +158,8 @@ class Feed:
     def apply(self, event: dict) -> str | None:
         """Handles one event of the log; returns the reason if it made or found the book unusable."""
         kind = event["kind"]
-        if kind in ("invalidate", "resync"):
-            self.book.state = INVALID if kind == "invalidate" else RESYNCING
+        if kind in SHUT:
+            self.book.state = SHUT[kind]
             self.snapshot_seen, self.held = False, []
             return kind
         try:
@@ -264,12 +269,12 @@ def _retained() -> Column:
 
 
 def segments(events: DataFrame) -> DataFrame:
-    """The log with ``segment``: how many snapshots, without the first, had replaced the book of its connection by then.
+    """The log with ``segment``: how many snapshots had replaced the book of its connection by then, without the first but on OKX.
 
     A snapshot that is taken replaces all that a feed knows, so what follows it
     can be replayed without what was before.  Not so the first of a connection,
-    which lets in the updates that waited for it, and one that breaks a rule,
-    which changes nothing.
+    which lets in the updates that waited for it (on OKX none do), and one that
+    breaks a rule, which changes nothing.
     """
     retained = _retained()
     good = F.lit(True)
@@ -279,7 +284,7 @@ def segments(events: DataFrame) -> DataFrame:
     good &= F.array_max(F.transform("bids", lambda x: x.price)) < F.array_min(F.transform("asks", lambda x: x.price))
     taken = F.coalesce((F.col("kind") == "snapshot") & good, F.lit(False))
     counted = running_count(events, ["instrument_id", "conn_id"], "arrival_seq", taken, "segment")
-    return counted.withColumn("segment", F.greatest(F.col("segment") - 1, F.lit(0)))
+    return counted.withColumn("segment", F.when(F.col("exchange") == "OKX", F.col("segment")).otherwise(F.greatest(F.col("segment") - 1, F.lit(0))))
 
 
 def _good_levels(side: str, least: int) -> Column:
@@ -296,7 +301,10 @@ def stretches(events: DataFrame, width: int = STRETCH) -> DataFrame:
     book: all bids ever set in the segment up to its end are below all asks,
     and their prices are fewer than the retained depth.  The book is then the
     last quantity of each price.  Parts up to the first that isn't sound are
-    replayed apart; that one and what follows it are one sequence.
+    replayed apart; that one and what follows it are one sequence, unless the
+    first row that isn't sound makes the book wait for a snapshot.  There is
+    none in the rest of the segment then, whose parts are replayed apart, too;
+    and so are those of updates that no snapshot came before on OKX.
     """
     keys = ["instrument_id", "conn_id", "segment"]
     lines = [*keys, "stretch"]
@@ -312,10 +320,13 @@ def stretches(events: DataFrame, width: int = STRETCH) -> DataFrame:
 
     ahead = Window.partitionBy(*keys).orderBy("stretch")
     upto = ahead.rowsBetween(Window.unboundedPreceding, 0)
+    unsound, shut = F.when(~F.col("__sound__"), F.col("arrival_seq")), F.when(F.col("kind").isin(*SHUT), F.col("arrival_seq"))
+    state = F.coalesce(*(F.when(F.col("kind") == kind, state) for kind, state in SHUT.items()))
     parts = marked.groupBy(*lines).agg(
-        F.bool_and("__sound__").alias("sound"), F.max_by(F.struct("arrival_seq", "arrival_time", "exchange", "market_type", "final_id", "source_time", "kind"), "arrival_seq").alias("end"), F.max(retained).alias("retained")
+        F.bool_and("__sound__").alias("sound"), F.min_by(F.struct("kind", last_id.alias("last_id")), unsound).alias("broke"), F.max_by(state, shut).alias("shut"),
+        F.max_by(F.struct("arrival_seq", "arrival_time", "exchange", "market_type", "final_id", "source_time", "kind"), "arrival_seq").alias("end"), F.max(retained).alias("retained"),
     )
-    each = lambda side: marked.select(*lines, "arrival_seq", F.lit(side).alias("side"), F.inline(side))
+    each = lambda side: rows.select(*lines, "arrival_seq", F.lit(side).alias("side"), F.inline(side))
     last = each("bids").unionByName(each("asks")).groupBy(*lines, "side", "price").agg(F.max_by("qty", "arrival_seq").alias("qty"), F.bool_or(F.col("qty") > 0).alias("set"))
     fresh = last.withColumn("n", (F.row_number().over(Window.partitionBy(*keys, "side", "price").orderBy("stretch")) == 1).cast("long"))
     spans = fresh.groupBy(*lines).agg(
@@ -324,23 +335,28 @@ def stretches(events: DataFrame, width: int = STRETCH) -> DataFrame:
     )
     parts = parts.join(spans, lines, "left")
     fits = lambda side: F.coalesce(F.sum(side).over(upto), F.lit(0)) < F.col("retained")
-    fine = F.col("sound") & F.coalesce(F.max("bid").over(upto) < F.min("ask").over(upto), F.lit(False)) & fits("bids") & fits("asks")
-    parts = parts.withColumn("fine", fine).withColumn("fine", F.min("fine").over(upto))
-    # a part begins anew if all before it are fine; others go on with the last that does
-    parts = parts.withColumn("new", F.coalesce(F.lag("fine").over(ahead), F.lit(True))).withColumn("of", F.max(F.when(F.col("new"), F.col("stretch"))).over(upto))
-    parts = parts.select(*lines, "fine", "new", "of", F.lag("end").over(ahead).alias("was"), F.row_number().over(ahead).alias("i"), F.count(F.lit(1)).over(Window.partitionBy(*keys)).cast("int").alias("n"))
+    plain = F.coalesce(F.max("bid").over(upto) < F.min("ask").over(upto), F.lit(False)) & fits("bids") & fits("asks")
+    parts = parts.withColumn("plain", plain).withColumn("fine", F.min(F.col("plain") & F.col("sound")).over(upto)).withColumn("new", F.coalesce(F.lag("fine").over(ahead), F.lit(True)))
+    # the book waits in all parts after the one in which it was shut while all was fine; its sequence stays
+    earlier = ahead.rowsBetween(Window.unboundedPreceding, -1)
+    closes = F.col("new") & F.col("plain") & F.col("broke.kind").isin(*SHUT)
+    never = F.when((F.col("end.exchange") == "OKX") & (F.col("segment") == 0) & F.lag("end").over(ahead).isNotNull(), 0)
+    parts = parts.withColumn("waits", F.coalesce(F.max(F.when(closes, F.col("broke.last_id"))).over(earlier), never)).withColumn("shut", F.coalesce(F.last("shut", ignorenulls=True).over(earlier), F.lit(CONNECTING)))
+    # a part begins anew if all before it are fine or the book waits; others go on with the last that does
+    parts = parts.withColumn("new", F.col("new") | F.col("waits").isNotNull()).withColumn("of", F.max(F.when(F.col("new"), F.col("stretch"))).over(upto))
+    parts = parts.select(*lines, "fine", "new", "of", "waits", "shut", F.lag("end").over(ahead).alias("was"), F.row_number().over(ahead).alias("i"), F.count(F.lit(1)).over(Window.partitionBy(*keys)).cast("int").alias("n"))
 
     # a price's last quantity is held in all parts until that in which it is set again
     begins = parts.where("new and was is not null")
     spread = last.join(parts.select(*lines, "fine", "i", "n"), lines).where("fine")
     spread = spread.withColumn("to", F.coalesce(F.lead("i").over(Window.partitionBy(*keys, "side", "price").orderBy("i")), "n")).where("qty > 0 and i < to")
-    met = spread.select(*keys, "side", "price", "qty", F.explode(F.sequence(F.col("i") + 1, F.col("to"))).alias("i")).join(begins.select(*lines, "i"), [*keys, "i"])
+    met = spread.select(*keys, "side", "price", "qty", F.explode(F.sequence(F.col("i") + 1, F.col("to"))).alias("i")).join(begins.where("waits is null").select(*lines, "i"), [*keys, "i"])
     level = F.struct("price", "qty")
     books = met.groupBy(*lines).agg(*(F.collect_list(F.when(F.col("side") == side, level)).alias(side) for side in ("bids", "asks")))
     types = {f.name: f.dataType for f in events.schema}
     made = {
-        **{x: F.col(x) for x in keys}, **{x: F.col(f"was.{x}") for x in ("exchange", "market_type", "arrival_seq", "arrival_time", "final_id", "source_time")}, "kind": F.lit(HELD),
-        "first_id": (F.col("was.kind") == "update").cast("long"),
+        **{x: F.col(x) for x in keys}, **{x: F.col(f"was.{x}") for x in ("exchange", "market_type", "arrival_seq", "arrival_time", "source_time")},
+        "kind": F.when(F.col("waits").isNull(), HELD).otherwise(F.col("shut")), "final_id": F.coalesce("waits", "was.final_id"), "first_id": (F.col("was.kind") == "update").cast("long"),
         **{x: F.coalesce(x, F.array()) for x in ("bids", "asks")},
     }
     held = begins.join(books, lines, "left").select(*(made.get(c, F.lit(None)).cast(types[c]).alias(c) for c in events.columns), "stretch")
@@ -355,42 +371,40 @@ def replay_log(events: DataFrame, depth: int = DEPTH, by_second: bool = False) -
     snapshot to the next, so the log is dealt by connection and segment and
     one instrument's log is the work of many tasks; a segment is fed through in
     batches, and its state is one book.  Long segments are dealt on by
-    ``stretches``.  With ``by_second`` only views that
-    still stand at a whole second come out, which is all that sampling needs.
+    ``stretches``.  With ``by_second`` the log has ``next_time``, when an
+    instrument's next row comes, and only views that still stand at a whole
+    second come out, with it, which is all that sampling needs.
     """
+    out = T.StructType([*VIEW, T.StructField("next_time", T.TimestampType())]) if by_second else VIEW
     keys = ["instrument_id", "conn_id", "segment", "stretch"]
     tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # named, so that few bytes of much work aren't put together
     ordered = stretches(segments(events)).repartition(tasks, *keys).sortWithinPartitions(*keys, "arrival_seq")
 
     def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        feed, at, held = None, None, None
+        feed, at = None, None
         for frame in batches:
             rows = []
             for row in frame.to_dict("records"):
                 here = (row["instrument_id"], row["conn_id"], row["segment"], row["stretch"])
                 event = event_of(row)
-                if held is not None and (here != at or _second(event) > _second(held[0])):
-                    rows.append(view(feed, *held, depth))
                 if here != at:
                     feed, at = Feed.of(row["exchange"], row["market_type"]), here
-                if event["kind"] == HELD:  # what was held when the stretch began, which is no event
+                if event["kind"] in (HELD, CONNECTING, *SHUT.values()):  # what was held when the stretch began, which is no event
                     feed.resume(event)
-                    held = None
                     continue
-                held = event, feed.apply(event)
+                reason = feed.apply(event)
                 if not by_second:
-                    rows.append(view(feed, *held, depth))
-                    held = None
-            yield pd.DataFrame(rows, columns=VIEW.names)
-        if held is not None:
-            yield pd.DataFrame([view(feed, *held, depth)], columns=VIEW.names)
+                    rows.append(view(feed, event, reason, depth))
+                elif pd.isna(event["next_time"]) or _second(event["next_time"]) > _second(event["arrival_time"]):
+                    rows.append(view(feed, event, reason, depth) | {"next_time": event["next_time"]})
+            yield pd.DataFrame(rows, columns=out.names)
 
-    return ordered.mapInPandas(parts, VIEW)
+    return ordered.mapInPandas(parts, out)
 
 
-def _second(event: dict) -> int:
-    """The first whole second that isn't before an event."""
-    return -(-pd.Timestamp(event["arrival_time"]).value // 1_000_000_000)
+def _second(time: Any) -> int:
+    """The first whole second that isn't before a time."""
+    return -(-pd.Timestamp(time).value // 1_000_000_000)
 
 
 def chain_breaks(updates: DataFrame, keys: list[str], order: str = "arrival_seq") -> DataFrame:

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from tickweave.operators import book, replay, sampler
+from tickweave.operators import book, sampler
 from tickweave.sources.feed import SILENCE, with_faults
 
 
@@ -17,10 +16,9 @@ def samples(events: DataFrame, until: Column, silence: int = SILENCE) -> DataFra
     is silent for longer than ``silence`` seconds has none until its next
     snapshot.  ``until`` is when the log ends, itself included.
     """
-    views = book.replay_log(with_faults(events, silence, until), by_second=True)
-    next_ = F.lead("arrival_time").over(Window.partitionBy("instrument_id").orderBy("arrival_seq"))
+    views = book.replay_log(with_faults(events, silence, until, "next_time"), by_second=True)
     end = F.timestamp_micros(F.unix_micros(until) + 1)
-    spans = views.withColumn("to_time", F.coalesce(next_, end)).withColumnRenamed("arrival_time", "from_time").where("state = 'valid' and size(bid_prices) > 0")
+    spans = views.withColumn("to_time", F.coalesce("next_time", end)).withColumnRenamed("arrival_time", "from_time").where("state = 'valid' and size(bid_prices) > 0")
     at = F.unix_seconds("second_time")
     return sampler.sample_grid(spans).select(
         "instrument_id", F.floor(at / 60).cast("long").alias("minute"), (at % 60).cast("int").alias("second"), "bid_prices", "bid_qtys", "ask_prices", "ask_qtys"
@@ -30,5 +28,4 @@ def samples(events: DataFrame, until: Column, silence: int = SILENCE) -> DataFra
 def minutes(events: DataFrame, until: Column, silence: int = SILENCE) -> tuple[DataFrame, DataFrame]:
     """(minutes, deltas) as they are stored, of the minutes that are over by ``until``: the batch twin of the stream."""
     seconds = samples(events, until, silence).where((F.col("minute") + 1) * 60 <= F.unix_seconds(until))
-    levels = seconds.select("instrument_id", "minute", "second", F.inline(replay.levels("prices", "qtys"))).withColumn("qty", F.col("qty").cast("decimal(20,0)"))
-    return sampler.encode(levels, seconds.select("instrument_id", "minute", "second"))
+    return sampler.split(sampler.minutes_of_books(seconds, "decimal(20,0)"))

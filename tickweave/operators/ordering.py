@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -33,11 +35,20 @@ def previous(rows: DataFrame, keys: list[str], order: str, value: str, name: str
     Cut into ranges as in ``running_count``: only a range's first row needs
     what was last before it, which the ranges' last values tell.
     """
-    at, first, last = (f"__{name}_{x}__" for x in ("range", "first", "last"))
+    return _beside(rows, keys, order, value, name, width, F.lag, F.max_by)
+
+
+def following(rows: DataFrame, keys: list[str], order: str, value: str, name: str, width: int = WIDTH) -> DataFrame:
+    """Adds ``name``: the value of the row after in ``order``, null for the last; else as ``previous``."""
+    return _beside(rows, keys, order, value, name, width, F.lead, F.min_by)
+
+
+def _beside(rows: DataFrame, keys: list[str], order: str, value: str, name: str, width: int, step: Callable[[Column | str], Column], nearest: Callable[[str, str], Column]) -> DataFrame:
+    at, edge, beyond = (f"__{name}_{x}__" for x in ("range", "edge", "beyond"))
     marked = rows.withColumn(at, F.floor(F.col(order) / width).cast("long"))
-    ranges = marked.groupBy(*keys, at).agg(F.max_by(F.struct(value), order).alias(last))
-    ranges = ranges.withColumn(last, F.lag(last).over(Window.partitionBy(*keys).orderBy(at)))
+    ranges = marked.groupBy(*keys, at).agg(nearest(value, order).alias(beyond))
+    ranges = ranges.withColumn(beyond, step(beyond).over(Window.partitionBy(*keys).orderBy(at)))
     within = Window.partitionBy(*keys, at).orderBy(order)
-    seen = marked.withColumn(first, F.row_number().over(within) == 1).withColumn(name, F.lag(value).over(within))
+    seen = marked.withColumn(edge, step(F.lit(True)).over(within).isNull()).withColumn(name, step(value).over(within))
     found = seen.join(ranges, [*keys, at], "left")
-    return found.select(*(F.col(f"`{c}`") for c in rows.columns if c != name), F.when(F.col(first), F.col(last)[value]).otherwise(F.col(name)).alias(name))
+    return found.select(*(F.col(f"`{c}`") for c in rows.columns if c != name), F.when(F.col(edge), F.col(beyond)).otherwise(F.col(name)).alias(name))

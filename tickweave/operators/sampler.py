@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tickweave.functions import ids
+from tickweave.operators import replay
 from tickweave.schemas import DEPTH, SIDES, minute_columns
 
 KEY = ["instrument_id", "minute"]
@@ -46,10 +47,14 @@ def _written(samples: DataFrame, seconds: DataFrame, depth: int | None) -> DataF
     the first second after a gap is compared with the last valid one.  Samples
     are dealt by minute once, which serves all that follows.
     """
-    kind = samples.schema["qty"].dataType
     dealt = samples.repartition(*KEY)
     top = dealt if depth is None else rank_levels(dealt, depth)
-    held = top.join(anchored(seconds), KEY).where(ids.is_set(F.col("valid_bitmap"), F.col("second")))
+    return _differences(top.join(anchored(seconds), KEY).where(ids.is_set(F.col("valid_bitmap"), F.col("second"))))
+
+
+def _differences(held: DataFrame) -> DataFrame:
+    """``_written`` from the levels of anchored minutes' valid seconds, each with its minute's bitmap."""
+    kind = held.schema["qty"].dataType
     none = F.lit(None).cast(kind)
     both = held.select(
         *KEY, "valid_bitmap", "side", "price",
@@ -75,17 +80,41 @@ def _arrays(side: str, prices: str, qtys: str) -> list[Column]:
 
 def whole_minutes(samples: DataFrame, seconds: DataFrame, depth: int = DEPTH) -> DataFrame:
     """Minutes with their deltas, in one row each: what is stored, and an array of deltas by second; from samples that are ranked already or not."""
-    written = _written(samples.drop("level"), seconds, depth)
+    found = _by_minute(_written(samples.drop("level"), seconds, depth), KEY)
+    return _rows_of_minutes(anchored(seconds).join(found, KEY, "left"))
+
+
+def minutes_of_books(seconds: DataFrame, kind: str) -> DataFrame:
+    """``whole_minutes`` of seconds that come with their book, both sides' arrays of prices and quantities, which neither lack.
+
+    The seconds may be dear to make, so they are read once: a minute's are put
+    together with its bitmap and dealt out again, and nothing is joined.
+    """
+    book = [F.col(f"{s}_{n}") for s in SIDES for n in ("prices", "qtys")]
+    per = seconds.groupBy(*KEY).agg(ids.bitmap(F.col("second")).alias("valid_bitmap"), F.collect_list(F.struct("second", *book)).alias("books"))
+    each = per.where(ids.is_set(F.col("valid_bitmap"), F.lit(0))).select(*KEY, "valid_bitmap", F.inline("books"))
+    held = each.select(*KEY, "valid_bitmap", "second", F.inline(replay.levels("prices", "qtys"))).withColumn("qty", F.col("qty").cast(kind))
+    return _rows_of_minutes(_by_minute(_differences(held), [*KEY, "valid_bitmap"]))
+
+
+def _by_minute(written: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows (keys, _anchor, deltas) of what was written in each minute."""
     names = [f"{s}_{n}" for s in SIDES for n in ("prices", "qtys")]
-    each = written.groupBy(*KEY, "second").agg(*[c for s in SIDES for c in _arrays(s, f"{s}_prices", f"{s}_qtys")])
+    each = written.groupBy(*keys, "second").agg(*[c for s in SIDES for c in _arrays(s, f"{s}_prices", f"{s}_qtys")])
     delta = F.struct(F.col("second").alias("second_offset"), *[F.col(n).alias(n.replace("_", "_change_", 1)) for n in names])
-    found = each.groupBy(*KEY).agg(
+    return each.groupBy(*keys).agg(
         F.first(F.when(F.col("second") == 0, F.struct(*names)), ignorenulls=True).alias("_anchor"),
         F.sort_array(F.collect_list(F.when(F.col("second") > 0, delta))).alias("deltas"),
     )
+
+
+def _rows_of_minutes(found: DataFrame) -> DataFrame:
+    """Minutes as they are stored, with their deltas, from what each has; nothing where it has nothing."""
+    names = [f"{s}_{n}" for s in SIDES for n in ("prices", "qtys")]
+    anchor = {f.name: f.dataType for f in found.schema["_anchor"].dataType}
     key = F.shiftleft(F.col("minute"), 32).bitwiseOR(F.col("instrument_id"))
-    none = lambda c: F.array().cast(each.schema[c].dataType)
-    return anchored(seconds).join(found, KEY, "left").select(
+    none = lambda c: F.array().cast(anchor[c])
+    return found.select(
         key.alias("id"), "instrument_id", F.timestamp_seconds(F.col("minute") * 60).alias("minute_time"), "valid_bitmap",
         *[F.coalesce(F.col("_anchor")[n], none(n)).alias(n) for n in names], F.coalesce("deltas", F.array().cast(found.schema["deltas"].dataType)).alias("deltas"),
     )

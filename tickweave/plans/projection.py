@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tickweave.operators.ordering import previous
+
 #: Prices a side, more than the depth that is kept.
 PRICES = 60
 
@@ -88,9 +90,8 @@ def book_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "instrument_id", "block", (F.col("arrival_seq") - 1).alias("arrival_seq"), "at", F.lit("snapshot").alias("kind"),
         level(F.lit(1), F.lit(1)).cast(one_type).alias("bids"), level(F.lit(2 * PRICES), F.lit(1)).cast(one_type).alias("asks"),
     )
-    log = updates.unionByName(snapshots)
-    before = F.lag("arrival_seq", 1, 0).over(Window.partitionBy("instrument_id").orderBy("arrival_seq"))
-    time = F.timestamp_micros("at")
+    log = previous(updates.unionByName(snapshots), ["instrument_id"], "arrival_seq", "arrival_seq", "before")
+    before, time = F.coalesce("before", F.lit(0)), F.timestamp_micros("at")
     return log.select(
         "instrument_id", F.lit("OKX").alias("exchange"), F.lit("perpetual").alias("market_type"), F.lit(1).cast("long").alias("conn_id"), "arrival_seq", time.alias("arrival_time"), "kind",
         F.lit(None).cast("long").alias("first_id"), F.col("arrival_seq").alias("final_id"), F.when(F.col("kind") == "update", before).otherwise(-1).cast("long").alias("prev_id"),
