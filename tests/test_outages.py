@@ -259,7 +259,9 @@ def test_no_task_has_the_whole_log_of_an_instrument(spark, small, monkeypatch):
 
 def test_books_are_replayed_once(spark):
     minutes, _ = collect.minutes(spark.createDataFrame(log_of(5), schemas.BOOK_EVENT), F.lit(START + timedelta(seconds=250)))
-    assert minutes._jdf.queryExecution().optimizedPlan().toString().count("MapInPandas") == 1
+    plan = minutes._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInPandas") == 1
+    assert "Relation" in plan and "LogicalRDD" not in plan and "LocalRelation" not in plan  # the log with its faults was worked out once, too
 
 
 def test_seconds_where_time_falls_back(spark):

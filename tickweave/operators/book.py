@@ -373,12 +373,13 @@ def replay_log(events: DataFrame, depth: int = DEPTH, by_second: bool = False) -
     batches, and its state is one book.  Long segments are dealt on by
     ``stretches``.  With ``by_second`` the log has ``next_time``, when an
     instrument's next row comes, and only views that still stand at a whole
-    second come out, with it, which is all that sampling needs.
+    second come out, with it, which is all that sampling needs.  A log that has
+    its segments already keeps them.
     """
     out = T.StructType([*VIEW, T.StructField("next_time", T.TimestampType())]) if by_second else VIEW
     keys = ["instrument_id", "conn_id", "segment", "stretch"]
     tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # named, so that few bytes of much work aren't put together
-    ordered = stretches(segments(events)).repartition(tasks, *keys).sortWithinPartitions(*keys, "arrival_seq")
+    ordered = stretches(events if "segment" in events.columns else segments(events)).repartition(tasks, *keys).sortWithinPartitions(*keys, "arrival_seq")
 
     def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         feed, at = None, None

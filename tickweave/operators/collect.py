@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickweave.operators import book, sampler
+from tickweave.operators import book, lineage, sampler
 from tickweave.sources.feed import SILENCE, with_faults
 
 
@@ -14,9 +14,11 @@ def samples(events: DataFrame, until: Column, silence: int = SILENCE) -> DataFra
 
     A second has the state after the last event at or before it; a feed that
     is silent for longer than ``silence`` seconds has none until its next
-    snapshot.  ``until`` is when the log ends, itself included.
+    snapshot.  ``until`` is when the log ends, itself included.  The log with
+    its faults and segments, which replay reads many times, is kept.
     """
-    views = book.replay_log(with_faults(events, silence, until, "next_time"), by_second=True)
+    log = lineage.kept(book.segments(with_faults(events, silence, until, "next_time")), "log")
+    views = book.replay_log(log, by_second=True)
     end = F.timestamp_micros(F.unix_micros(until) + 1)
     spans = views.withColumn("to_time", F.coalesce("next_time", end)).withColumnRenamed("arrival_time", "from_time").where("state = 'valid' and size(bid_prices) > 0")
     at = F.unix_seconds("second_time")
